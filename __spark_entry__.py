@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.plans import customers as C
+from orderlens.plans import operations as O
 from orderlens.sources.fixture import transactions
 
 AS_OF = dt.date(2001, 8, 1)
@@ -26,6 +27,15 @@ def _tx(spark: SparkSession, sf_dir: str, cols=_ALL) -> DataFrame:
     return transactions(spark, sf_dir, cols)
 
 
+def _final(df: DataFrame) -> DataFrame:
+    """Report types: DECIMAL money and rates become DOUBLE (exact values, cast last)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import DecimalType
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: annualised customer lifetime value with value bands (sf0.001)."""
     return C.clv(_tx(spark, SMOKE_DIR, _CLV_COLS), AS_OF)
@@ -36,7 +46,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     def reg(name: str, cols=_ALL):
         def deco(fn):
-            q[name] = lambda spark, sf_dir: fn(_tx(spark, sf_dir, cols))
+            q[name] = lambda spark, sf_dir: _final(fn(_tx(spark, sf_dir, cols)))
             return fn
         return deco
 
@@ -50,6 +60,13 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("churn_risk", _CLV_COLS)(lambda tx: C.churn_risk(tx, AS_OF))
     reg("cuisine_pairs", _CLV_COLS + ["cuisine_type"])(lambda tx: C.cuisine_pairs(tx))
     reg("cross_sell", _CLV_COLS + ["cuisine_type"])(lambda tx: C.cross_sell(tx, AS_OF))
+    reg("delivery_performance")(lambda tx: O.delivery_performance(tx, AS_OF))
+    reg("peak_hours")(lambda tx: O.peak_hours(tx, AS_OF))
+    reg("demand_level")(lambda tx: O.demand_level(tx, AS_OF))
+    reg("restaurant_performance")(lambda tx: O.restaurant_performance(tx, AS_OF))
+    reg("month_over_month")(lambda tx: O.month_over_month(tx, AS_OF))
+    reg("city_growth")(lambda tx: O.city_growth(tx, AS_OF))
+    reg("executive_summary")(lambda tx: O.executive_summary(tx, AS_OF))
     return q
 
 

@@ -43,14 +43,27 @@ def with_tx(*ctes: str) -> str:
     return "WITH " + ",\n".join((TX,) + ctes) + "\n"
 
 
-def hu(num: str, den: str, digits: int = 2) -> str:
-    """ROUND(num/den, digits) half away from zero, exact; den > 0; DOUBLE result."""
+def hu_k(num: str, den: str, digits: int = 2) -> str:
+    """ROUND(num/den, digits) * 10^digits half away from zero, as an exact integer; den > 0."""
     p = 10 ** digits
     n = f"CAST({num} AS HUGEINT)"
     d = f"CAST({den} AS HUGEINT)"
-    q = (f"(CASE WHEN {n} >= 0 THEN (2*{p}*{n} + {d}) // (2*{d}) "
-         f"ELSE -((2*{p}*(-{n}) + {d}) // (2*{d})) END)")
-    return f"(CAST({q} AS DOUBLE) / CAST({p} AS DOUBLE))"
+    return (f"(CASE WHEN {n} >= 0 THEN (2*{p}*{n} + {d}) // (2*{d}) "
+            f"ELSE -((2*{p}*(-{n}) + {d}) // (2*{d})) END)")
+
+
+def k_to_double(k: str, digits: int = 2) -> str:
+    return f"(CAST({k} AS DOUBLE) / CAST({10 ** digits} AS DOUBLE))"
+
+
+def hu(num: str, den: str, digits: int = 2) -> str:
+    """ROUND(num/den, digits) half away from zero, exact; den > 0; DOUBLE result."""
+    return k_to_double(hu_k(num, den, digits), digits)
+
+
+def mean_k(k: str, digits: int = 2) -> str:
+    """Mean of values held as integers k / 10^digits, as DOUBLE: double(sum) / count."""
+    return f"({k_to_double(f'SUM({k})', digits)} / COUNT({k}))"
 
 
 def he(num: str, den: str, digits: int = 2) -> str:
@@ -256,3 +269,132 @@ FROM prefs pp JOIN pairs cc ON pp.cuisine_type = cc.cuisine_1
 WHERE pp.preference_rank = 1
   AND NOT EXISTS (SELECT 1 FROM prefs x WHERE x.customer_id = pp.customer_id
                   AND x.cuisine_type = cc.cuisine_2)"""
+
+
+# ---------------------------------------------------------------- Q4
+@oracle("delivery_performance")
+def _delivery():
+    return with_tx() + f"""
+SELECT city, strftime(order_date, '%Y-%m') AS month, COUNT(DISTINCT order_id) AS total_orders,
+       AVG(delivery_time) AS avg_delivery_time,
+       quantile_cont(delivery_time, 0.5) AS median_delivery_time,
+       quantile_cont(delivery_time, 0.95) AS p95_delivery_time,
+       COUNT(CASE WHEN delivery_time <= 30 THEN 1 END) / COUNT(*) * 100 AS on_time_delivery_rate,
+       CAST(SUM(order_value) AS DOUBLE) AS total_revenue,
+       CAST(SUM(order_value) AS DOUBLE) / COUNT(order_value) AS avg_order_value
+FROM transactions WHERE order_date >= {months_back(6)}
+GROUP BY 1, 2"""
+
+
+# ---------------------------------------------------------------- Q5
+HOURLY_SQL = f"""
+h AS (SELECT hour(order_date) AS order_hour, dayname(order_date) AS day_of_week,
+             COUNT(*) AS order_count, SUM(delivery_time) AS ds, COUNT(delivery_time) AS dc,
+             SUM(order_value) AS rev
+      FROM transactions WHERE order_date >= {days_back(30)} GROUP BY 1, 2)"""
+
+
+@oracle("peak_hours")
+def _peak():
+    return with_tx(HOURLY_SQL) + f"""
+SELECT day_of_week, CAST(order_hour AS BIGINT) AS order_hour, order_count,
+       CASE WHEN dc > 0 THEN {hu('ds', 'dc')} END AS avg_delivery_time,
+       CAST(rev AS DOUBLE) AS hourly_revenue,
+       CASE WHEN order_count >= (SELECT AVG(order_count) * 1.5 FROM h) THEN 'Peak'
+            WHEN order_count >= (SELECT AVG(order_count) FROM h) THEN 'Normal'
+            ELSE 'Low' END AS demand_level,
+       {hu('100 * order_count', 'SUM(order_count) OVER (PARTITION BY day_of_week)')} AS pct_of_daily_orders
+FROM h"""
+
+
+@oracle("demand_level")
+def _demand():
+    return with_tx(HOURLY_SQL) + """
+SELECT CAST(order_hour AS BIGINT) AS order_hour, day_of_week, order_count,
+       (SELECT AVG(order_count) FROM h) AS mean_order_count
+FROM h"""
+
+
+# ---------------------------------------------------------------- Q6
+@oracle("restaurant_performance")
+def _restaurants():
+    return with_tx(f"""
+m AS (SELECT restaurant_id, cuisine_type, city, COUNT(DISTINCT order_id) AS total_orders,
+             AVG(delivery_time) AS adt, SUM(delivery_time) AS ds, COUNT(delivery_time) AS dc,
+             SUM(order_value) AS rev, COUNT(order_value) AS nv,
+             COUNT(DISTINCT customer_id) AS unique_customers
+      FROM transactions WHERE order_date >= {months_back(3)} GROUP BY 1, 2, 3),
+r AS (SELECT *,
+        RANK() OVER (PARTITION BY city ORDER BY rev DESC NULLS LAST) AS revenue_rank,
+        RANK() OVER (PARTITION BY city ORDER BY total_orders DESC NULLS LAST) AS order_rank,
+        RANK() OVER (PARTITION BY city ORDER BY adt ASC NULLS FIRST) AS delivery_rank
+      FROM m)""") + f"""
+SELECT restaurant_id, cuisine_type, city, total_orders,
+       CASE WHEN dc > 0 THEN {hu('ds', 'dc')} END AS avg_delivery_time,
+       CAST(rev AS DOUBLE) AS total_revenue,
+       CASE WHEN nv > 0 THEN {hu_money('rev', 'nv')} END AS avg_order_value,
+       unique_customers,
+       CASE WHEN unique_customers > 0 THEN {hu('total_orders', 'unique_customers')} END AS avg_orders_per_customer,
+       CAST(revenue_rank AS BIGINT) AS revenue_rank, CAST(order_rank AS BIGINT) AS order_rank,
+       CAST(delivery_rank AS BIGINT) AS delivery_rank,
+       CASE WHEN revenue_rank <= 5 AND delivery_rank <= 10 THEN 'Top Performer'
+            WHEN revenue_rank <= 10 THEN 'High Revenue'
+            WHEN delivery_rank <= 5 THEN 'Fast Delivery'
+            WHEN total_orders >= 100 THEN 'High Volume'
+            ELSE 'Standard' END AS performance_category
+FROM r"""
+
+
+# ---------------------------------------------------------------- Q9
+MOM_SQL = f"""
+mo AS (SELECT city, strftime(order_date, '%Y-%m') AS month, COUNT(DISTINCT order_id) AS orders,
+              COUNT(DISTINCT customer_id) AS customers, SUM(order_value) AS revenue,
+              SUM(delivery_time) AS ds, COUNT(delivery_time) AS dc
+       FROM transactions WHERE order_date >= {months_back(12)} GROUP BY 1, 2),
+cg AS (SELECT *, LAG(orders) OVER (PARTITION BY city ORDER BY month) AS po,
+              LAG(revenue) OVER (PARTITION BY city ORDER BY month) AS pr FROM mo),
+gc AS (SELECT city, month, orders, customers, revenue,
+              CASE WHEN dc > 0 THEN {hu_k('ds', 'dc')} END AS adt_k,
+              CASE WHEN po > 0 THEN {hu_k('100 * (orders - po)', 'po')} END AS og_k,
+              CASE WHEN pr > 0 THEN {hu_k('100 * ' + cents('revenue - pr'), cents('pr'))} END AS rg_k
+       FROM cg)"""
+
+
+@oracle("month_over_month")
+def _mom():
+    return with_tx(MOM_SQL) + f"""
+SELECT city, month, orders, customers, CAST(revenue AS DOUBLE) AS revenue,
+       {k_to_double('adt_k')} AS avg_delivery_time,
+       {k_to_double('og_k')} AS orders_growth_rate, {k_to_double('rg_k')} AS revenue_growth_rate
+FROM gc"""
+
+
+@oracle("city_growth")
+def _city_growth():
+    og = mean_k("og_k")
+    dt = mean_k("adt_k")
+    return with_tx(MOM_SQL) + f"""
+SELECT city, COUNT(*) AS months_of_data, SUM(orders) AS total_orders, SUM(customers) AS total_customers,
+       CAST(SUM(revenue) AS DOUBLE) AS total_revenue,
+       {dt} AS overall_avg_delivery_time,
+       {og} AS avg_monthly_orders_growth,
+       {mean_k('rg_k')} AS avg_monthly_revenue_growth,
+       CASE WHEN {og} >= 10 THEN 'High Growth' WHEN {og} >= 5 THEN 'Moderate Growth'
+            WHEN {og} >= 0 THEN 'Stable' ELSE 'Declining' END AS growth_category,
+       CASE WHEN {dt} <= 25 THEN 'Excellent' WHEN {dt} <= 35 THEN 'Good'
+            WHEN {dt} <= 45 THEN 'Average' ELSE 'Needs Improvement' END AS delivery_performance
+FROM gc WHERE og_k IS NOT NULL GROUP BY city"""
+
+
+# ---------------------------------------------------------------- Q10
+@oracle("executive_summary")
+def _summary():
+    w = f"FROM transactions WHERE order_date >= {days_back(30)}"
+    return with_tx() + f"""
+SELECT 'Overall Performance' AS metric_category,
+  (SELECT COUNT(*) {w}) AS total_orders_last_30_days,
+  (SELECT CAST(SUM(order_value) AS DOUBLE) {w}) AS total_revenue_last_30_days,
+  (SELECT CASE WHEN COUNT(order_value) > 0 THEN {hu_money('SUM(order_value)', 'COUNT(order_value)')} END {w}) AS avg_order_value_last_30_days,
+  (SELECT CASE WHEN COUNT(delivery_time) > 0 THEN {hu('SUM(delivery_time)', 'COUNT(delivery_time)')} END {w}) AS avg_delivery_time_last_30_days,
+  (SELECT COUNT(DISTINCT customer_id) {w}) AS active_customers_last_30_days,
+  (SELECT COUNT(DISTINCT restaurant_id) {w}) AS active_restaurants_last_30_days"""

@@ -32,7 +32,8 @@ def exact_ratio(num: Column, den: Column) -> Column:
 def exact_mean(c: Column | str, integral: bool = False) -> Column:
     """Mean that skips NULLs, as exact DECIMAL (aggregate expression)."""
     x = col_(c)
-    total = F.sum(as_dec(x)) if integral else F.sum(x)
+    # sum first, then widen: decimal(20,0) / count keeps 18 fractional digits
+    total = F.sum(x).cast(_INT_DEC) if integral else F.sum(x)
     return F.try_divide(total, F.count(x))
 
 
@@ -47,8 +48,18 @@ def round_half_even(c: Column, digits: int = 2) -> Column:
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    """ROUND(100 * part / whole, digits) for counts, exact, as DOUBLE."""
-    return round_half_up(exact_ratio(as_dec(part) * F.lit(100), whole), digits)
+    """ROUND(100 * part / whole, digits) for counts, exact, as DOUBLE.
+
+    Rounded as ``ROUND(part / whole, digits + 2) * 100``: the same digit, and
+    the quotient keeps 18 fractional digits (multiplying first would cut it to 7).
+    """
+    return (F.round(exact_ratio(as_dec(part), whole), digits + 2) * 100).cast("double")
+
+
+def percent_change(cur: Column, prev: Column, digits: int = 2) -> Column:
+    """ROUND((cur - prev) / prev * 100, digits) for counts or DECIMAL money, kept DECIMAL."""
+    diff = cur - prev
+    return F.round(exact_ratio(diff, prev), digits + 2) * 100
 
 
 def mean_as_double(c: Column | str) -> Column:
