@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.plans import customers as C
+from orderlens.plans import api as A
+from orderlens.plans import dashboard as DB
 from orderlens.plans import operations as O
 from orderlens.sources.fixture import transactions
 
@@ -67,6 +69,31 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("month_over_month")(lambda tx: O.month_over_month(tx, AS_OF))
     reg("city_growth")(lambda tx: O.city_growth(tx, AS_OF))
     reg("executive_summary")(lambda tx: O.executive_summary(tx, AS_OF))
+
+    # ---- API metrics (2.12)
+    reg("retention_summary")(lambda tx: A.retention_summary(tx, AS_OF))
+    reg("city_breakdown")(lambda tx: A.city_breakdown(tx, AS_OF))
+    reg("operational_metrics")(lambda tx: A.operational_metrics(tx, AS_OF))
+    reg("status_breakdown")(lambda tx: A.status_breakdown(tx, AS_OF))
+    reg("daily_summary")(lambda tx: A.daily_summary(tx, AS_OF))
+    reg("weekly_trend")(lambda tx: A.weekly_trend(tx, AS_OF))
+    reg("weekly_trend_json")(lambda tx: A.weekly_trend_json(tx, AS_OF))
+    reg("top_cities")(lambda tx: A.top_cities(tx, AS_OF))
+
+    # ---- dashboard tables (2.13), over the page's default selection
+    def dash(name, fn):
+        reg(name)(lambda tx: fn(DB.dashboard_frame(tx, AS_OF)))
+
+    dash("kpi_cards", lambda df: DB.kpi_cards(df, AS_OF))
+    dash("daily_revenue", lambda df: DB.daily_revenue(df, AS_OF))
+    dash("city_performance", DB.city_performance)
+    dash("delivery_box_stats", DB.delivery_box_stats)
+    dash("hourly_heatmap", DB.hourly_heatmap)
+    dash("operational_insights", DB.operational_insights)
+    dash("peak_hour_and_best_city", DB.peak_hour_and_best_city)
+    dash("repeat_rate", DB.repeat_rate)
+    dash("dataset_overview", DB.dataset_overview)
+    dash("distinct_cities", DB.distinct_cities)
     return q
 
 

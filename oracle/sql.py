@@ -398,3 +398,205 @@ SELECT 'Overall Performance' AS metric_category,
   (SELECT CASE WHEN COUNT(delivery_time) > 0 THEN {hu('SUM(delivery_time)', 'COUNT(delivery_time)')} END {w}) AS avg_delivery_time_last_30_days,
   (SELECT COUNT(DISTINCT customer_id) {w}) AS active_customers_last_30_days,
   (SELECT COUNT(DISTINCT restaurant_id) {w}) AS active_restaurants_last_30_days"""
+
+
+# ---------------------------------------------------------------- 2.12 API metrics
+RANGE30 = "order_date >= DATE '2001-07-02' AND order_date < DATE '2001-08-02'"
+
+
+@oracle("retention_summary")
+def _retention_summary():
+    inw = f"order_date >= {months_back(12)}"
+    return with_tx(f"""
+per AS (SELECT customer_id, MAX(order_date) AS last,
+               COUNT(CASE WHEN {inw} THEN 1 END) AS n12,
+               SUM(CASE WHEN {inw} THEN order_value END) AS s12,
+               {ddiff(f'MAX(CASE WHEN {inw} THEN order_date END)', f'MIN(CASE WHEN {inw} THEN order_date END)')} + 1 AS life
+        FROM transactions WHERE customer_id IS NOT NULL GROUP BY customer_id),
+c AS (SELECT COALESCE(last < {days_back(30)}, TRUE) AS churned,
+             CASE WHEN n12 > 0 THEN {hu_k(cents('s12') + ' * 36525', 'life * 10000')} END AS clv_k
+      FROM per)""") + f"""
+SELECT 'monthly' AS cohort_period, 'all' AS city,
+       {hu('100 * COUNT(CASE WHEN churned THEN 1 END)', 'COUNT(*)')} AS average_churn_rate,
+       CASE WHEN COUNT(clv_k) > 0 THEN {hu('SUM(clv_k)', 'COUNT(clv_k) * 100')} END AS average_clv
+FROM c"""
+
+
+@oracle("city_breakdown")
+def _city_breakdown():
+    return with_tx() + f"""
+SELECT city, AVG(delivery_time) AS avg_delivery_time, COUNT(*) AS total_orders,
+       CAST(COALESCE(SUM(order_value), 0) AS DOUBLE) AS total_revenue,
+       CAST(SUM(order_value) AS DOUBLE) / COUNT(order_value) AS avg_order_value
+FROM transactions WHERE {RANGE30} AND city IS NOT NULL GROUP BY city"""
+
+
+@oracle("operational_metrics")
+def _operational_metrics():
+    return with_tx() + f"""
+SELECT COUNT(*) AS total_orders, COUNT(DISTINCT customer_id) AS active_customers,
+       COUNT(DISTINCT restaurant_id) AS active_restaurants,
+       CAST(SUM(order_value) AS DOUBLE) AS total_revenue,
+       CASE WHEN COUNT(order_value) > 0 THEN {hu_money('SUM(order_value)', 'COUNT(order_value)')} END AS avg_order_value,
+       CASE WHEN COUNT(delivery_time) > 0 THEN {hu('SUM(delivery_time)', 'COUNT(delivery_time)')} END AS avg_delivery_time,
+       quantile_cont(delivery_time, 0.5) AS median_delivery_time,
+       quantile_cont(delivery_time, 0.95) AS p95_delivery_time,
+       CASE WHEN COUNT(*) > 0 THEN {hu('100 * COUNT(CASE WHEN delivery_time <= 30 THEN 1 END)', 'COUNT(*)')} END AS on_time_rate
+FROM transactions WHERE {RANGE30}"""
+
+
+@oracle("status_breakdown")
+def _status_breakdown():
+    return with_tx(f"""
+r AS (SELECT * FROM transactions WHERE {RANGE30}),
+l AS (SELECT 'delivery_status' AS dimension, delivery_status AS value, delivery_time FROM r
+      UNION ALL SELECT 'payment_method', payment_method, delivery_time FROM r),
+g AS (SELECT dimension, value, COUNT(*) AS orders, SUM(delivery_time) AS ds, COUNT(delivery_time) AS dc
+      FROM l GROUP BY 1, 2)""") + f"""
+SELECT dimension, value, orders, CASE WHEN dc > 0 THEN {hu('ds', 'dc')} END AS avg_delivery_time,
+       {hu('100 * orders', 'SUM(orders) OVER (PARTITION BY dimension)')} AS pct_of_orders
+FROM g"""
+
+
+def _two_day(src: str, with_customers: bool) -> str:
+    today = f"CAST(order_date AS DATE) = DATE '{AS_OF}'"
+    extra_mid = (f", COUNT(DISTINCT CASE WHEN {today} THEN customer_id END) AS today_customers"
+                 if with_customers else "")
+    extra_end = ", y AS yesterday_orders, CAST(yr AS DOUBLE) AS yesterday_revenue" if with_customers else ""
+    return f"""
+d AS (SELECT * FROM {src} WHERE order_date >= DATE '2001-07-31' AND order_date < DATE '2001-08-02'),
+a AS (SELECT COUNT(CASE WHEN {today} THEN 1 END) AS t, COUNT(CASE WHEN NOT ({today}) THEN 1 END) AS y,
+             COALESCE(SUM(CASE WHEN {today} THEN order_value END), 0) AS tr,
+             COALESCE(SUM(CASE WHEN NOT ({today}) THEN order_value END), 0) AS yr,
+             COALESCE(AVG(CASE WHEN {today} THEN delivery_time END), 0.0) AS adt{extra_mid}
+      FROM d)""", f"""
+SELECT t AS today_orders, CAST(tr AS DOUBLE) AS today_revenue, adt AS avg_delivery_time
+       {', today_customers' if with_customers else ''},
+       CASE WHEN y > 0 THEN (CAST(t AS DOUBLE) - CAST(y AS DOUBLE)) / CAST(y AS DOUBLE) * 100 ELSE 0.0 END AS orders_growth,
+       CASE WHEN yr > 0 THEN (CAST(tr AS DOUBLE) - CAST(yr AS DOUBLE)) / CAST(yr AS DOUBLE) * 100 ELSE 0.0 END AS revenue_growth
+       {extra_end}
+FROM a"""
+
+
+@oracle("daily_summary")
+def _daily_summary():
+    cte, sel = _two_day("transactions", False)
+    return with_tx(cte) + sel
+
+
+@oracle("weekly_trend")
+def _weekly_trend():
+    return with_tx() + """
+SELECT CAST(order_date AS DATE) AS date, COUNT(*) AS orders, CAST(SUM(order_value) AS DOUBLE) AS revenue
+FROM transactions WHERE order_date >= DATE '2001-07-25' GROUP BY 1"""
+
+
+@oracle("top_cities")
+def _top_cities():
+    return with_tx() + """
+SELECT city, COUNT(*) AS orders, CAST(SUM(order_value) AS DOUBLE) AS revenue,
+       AVG(delivery_time) AS avg_delivery_time
+FROM transactions WHERE order_date >= DATE '2001-07-02'
+GROUP BY city ORDER BY SUM(order_value) DESC NULLS LAST, city NULLS FIRST LIMIT 5"""
+
+
+# ---------------------------------------------------------------- 2.13 dashboard tables
+DF = f"""
+df AS (SELECT * FROM transactions
+       WHERE order_date >= {days_back(90)} AND order_date >= DATE '2001-07-02'
+         AND order_date < DATE '2001-08-02')"""
+
+
+@oracle("kpi_cards")
+def _kpi_cards():
+    cte, sel = _two_day("df", True)
+    return with_tx(DF, cte) + sel
+
+
+@oracle("daily_revenue")
+def _daily_revenue():
+    return with_tx(DF) + f"""
+SELECT CAST(order_date AS DATE) AS date, CAST(SUM(order_value) AS DOUBLE) AS revenue,
+       COUNT(order_id) AS orders
+FROM df WHERE order_date >= {days_back(30)} GROUP BY 1"""
+
+
+@oracle("city_performance")
+def _city_performance():
+    return with_tx(DF) + f"""
+SELECT city, CAST(SUM(order_value) AS DOUBLE) AS total_revenue,
+       CASE WHEN COUNT(order_value) > 0 THEN {he(cents('SUM(order_value)'), 'COUNT(order_value) * 100')} END AS avg_order_value,
+       COUNT(order_value) AS total_orders,
+       CASE WHEN COUNT(delivery_time) > 0 THEN {he('SUM(delivery_time)', 'COUNT(delivery_time)')} END AS avg_delivery_time
+FROM df WHERE city IS NOT NULL GROUP BY city"""
+
+
+@oracle("delivery_box_stats")
+def _box():
+    return with_tx(DF, """
+b AS (SELECT city, delivery_time AS v FROM df WHERE city IS NOT NULL AND delivery_time IS NOT NULL),
+q AS (SELECT city, COUNT(*) AS count, MIN(v) AS min, MAX(v) AS max, SUM(v) AS s,
+             quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3
+      FROM b GROUP BY city)""") + """
+SELECT q.city, q.count, q.min, q.max, q.q1, q.median, q.q3,
+       (SELECT MIN(v) FROM b WHERE b.city = q.city AND v >= q.q1 - 1.5 * (q.q3 - q.q1)) AS whisker_low,
+       (SELECT MAX(v) FROM b WHERE b.city = q.city AND v <= q.q3 + 1.5 * (q.q3 - q.q1)) AS whisker_high,
+       CAST(q.s AS DOUBLE) / q.count AS mean,
+       CAST(SUM(q.s) OVER () AS DOUBLE) / SUM(q.count) OVER () AS overall_mean
+FROM q"""
+
+
+@oracle("hourly_heatmap")
+def _heatmap():
+    hours = ",\n       ".join(
+        f"CAST(SUM(CASE WHEN hour(order_date) = {h} THEN 1 ELSE 0 END) AS BIGINT) AS h{h:02d}"
+        for h in range(24))
+    return with_tx(DF, f"""
+c AS (SELECT CAST(isodow(order_date) - 1 AS BIGINT) AS day_index,
+       {hours}
+      FROM df WHERE order_date IS NOT NULL GROUP BY 1),
+days AS (SELECT * FROM (VALUES (0, 'Monday'), (1, 'Tuesday'), (2, 'Wednesday'), (3, 'Thursday'),
+                               (4, 'Friday'), (5, 'Saturday'), (6, 'Sunday')) v(day_index, day_name))""") + """
+SELECT CAST(days.day_index AS BIGINT) AS day_index, days.day_name, c.* EXCLUDE (day_index)
+FROM days LEFT JOIN c ON c.day_index = days.day_index"""
+
+
+INSIGHT_PARTS = {
+    "peak": """(SELECT CAST(h AS BIGINT) AS peak_hour, n AS peak_orders FROM (
+        SELECT hour(order_date) AS h, COUNT(*) AS n FROM df WHERE order_date IS NOT NULL GROUP BY 1)
+        ORDER BY n DESC, h ASC LIMIT 1)""",
+    "best": """(SELECT city AS best_city, CAST(rev AS DOUBLE) AS best_city_revenue FROM (
+        SELECT city, SUM(order_value) AS rev FROM df WHERE city IS NOT NULL GROUP BY city)
+        ORDER BY rev DESC NULLS LAST, city ASC LIMIT 1)""",
+    "delivery": """(SELECT avg_delivery_time,
+        CASE WHEN avg_delivery_time <= 30 THEN 'Excellent' WHEN avg_delivery_time <= 40 THEN 'Good'
+             ELSE 'Needs Improvement' END AS delivery_status
+        FROM (SELECT AVG(delivery_time) AS avg_delivery_time FROM df))""",
+    "repeat": """(SELECT repeat_customers, total_customers,
+        CAST(repeat_customers AS DOUBLE) / total_customers * 100 AS repeat_rate FROM (
+        SELECT COUNT(CASE WHEN n > 1 THEN 1 END) AS repeat_customers, COUNT(*) AS total_customers
+        FROM (SELECT customer_id, COUNT(*) AS n FROM df WHERE customer_id IS NOT NULL GROUP BY 1)))""",
+}
+
+
+def _insights(*parts: str) -> str:
+    froms = ", ".join(f"{INSIGHT_PARTS[p]} AS {p}" for p in parts)
+    return with_tx(DF) + f"SELECT * FROM {froms}"
+
+
+ORACLES["operational_insights"] = _insights("peak", "best", "delivery", "repeat")
+ORACLES["peak_hour_and_best_city"] = _insights("peak", "best")
+ORACLES["repeat_rate"] = _insights("repeat")
+
+
+@oracle("dataset_overview")
+def _overview():
+    return with_tx(DF) + """
+SELECT COUNT(*) AS total_records, MIN(order_date) AS min_date, MAX(order_date) AS max_date,
+       list_sort(list(DISTINCT city)) AS cities
+FROM df"""
+
+
+@oracle("distinct_cities")
+def _distinct_cities():
+    return with_tx(DF) + "SELECT DISTINCT city FROM df WHERE city IS NOT NULL"
