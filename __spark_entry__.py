@@ -16,6 +16,9 @@ from orderlens.plans import customers as C
 from orderlens.plans import api as A
 from orderlens.plans import dashboard as DB
 from orderlens.plans import operations as O
+from orderlens.plans import primitives as P
+from orderlens.session import scratch_dir
+from orderlens.sources.schema import validate
 from orderlens.sources.fixture import transactions
 
 AS_OF = dt.date(2001, 8, 1)
@@ -94,6 +97,33 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     dash("repeat_rate", DB.repeat_rate)
     dash("dataset_overview", DB.dataset_overview)
     dash("distinct_cities", DB.distinct_cities)
+
+    # ---- single operators (2.1-2.8)
+    reg("scan_transactions")(lambda tx: tx)
+    reg("scan_pruned", P.SEGMENT_COLUMNS)(P.scan_pruned)
+    reg("recent_orders")(lambda tx: P.recent_orders(tx, AS_OF))
+    reg("validate_keys", ["order_id"])(validate)
+    q["csv_round_trip"] = lambda spark, sf_dir: P.csv_round_trip(
+        _tx(spark, sf_dir), scratch_dir(spark, f"csv_round_trip/{abs(hash(sf_dir))}"))
+    reg("trailing_window", ["order_date"])(lambda tx: P.trailing_window(tx, AS_OF))
+    reg("filter_city_dates")(lambda tx: A.filter_orders(tx, "ASIA", "2001-01-01", "2001-03-31"))
+    reg("having_filter", ["order_id", "customer_id"])(P.having_filter)
+    reg("on_time_rate", ["city", "delivery_time"])(P.on_time_rate)
+    reg("band_self_join", _CLV_COLS + ["cuisine_type"])(P.band_self_join)
+    reg("anti_join_unseen", _CLV_COLS + ["cuisine_type"])(lambda tx: P.anti_join_unseen(tx, AS_OF))
+    reg("group_city_month", ["city", "order_date", "order_value"])(P.group_city_month)
+    reg("distinct_counts", ["city", "customer_id", "restaurant_id", "order_id"])(P.distinct_counts)
+    reg("delivery_percentiles", ["city", "delivery_time"])(P.delivery_percentiles)
+    reg("latest_order_attrs")(P.latest_order_attrs)
+    reg("ntile_scores", ["customer_id", "order_value"])(P.ntile_scores)
+    reg("rank_in_city", ["city", "restaurant_id", "order_value"])(P.rank_in_city)
+    reg("top_preference", _CLV_COLS + ["cuisine_type"])(lambda tx: P.top_preference(tx, AS_OF))
+    reg("order_gaps", _CLV_COLS)(P.order_gaps)
+    reg("share_of_day", ["order_date"])(P.share_of_day)
+    reg("fn_dates", ["order_id", "order_date"])(lambda tx: P.fn_dates(tx, AS_OF))
+    reg("fn_elapsed_days", ["customer_id", "order_date"])(P.fn_elapsed_days)
+    reg("fn_rounding", ["customer_id", "order_value"])(P.fn_rounding)
+    reg("order_complexity", ["order_id", "order_value"])(P.order_complexity)
     return q
 
 

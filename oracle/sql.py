@@ -600,3 +600,109 @@ FROM df"""
 @oracle("distinct_cities")
 def _distinct_cities():
     return with_tx(DF) + "SELECT DISTINCT city FROM df WHERE city IS NOT NULL"
+
+
+# ---------------------------------------------------------------- operator-level keys
+TX_DOUBLE = """order_id, customer_id, restaurant_id, city, CAST(order_value AS DOUBLE) AS order_value,
+       delivery_time, order_date, cuisine_type, payment_method, delivery_status"""
+
+ORACLES["scan_transactions"] = with_tx() + f"SELECT {TX_DOUBLE} FROM transactions"
+ORACLES["scan_pruned"] = with_tx() + """
+SELECT customer_id, city, CAST(order_value AS DOUBLE) AS order_value, delivery_time, order_date,
+       restaurant_id, cuisine_type FROM transactions"""
+ORACLES["recent_orders"] = with_tx() + f"SELECT {TX_DOUBLE} FROM transactions WHERE order_date >= {days_back(90)}"
+ORACLES["validate_keys"] = with_tx() + """
+SELECT COUNT(*) AS rows, COUNT(*) - COUNT(order_id) AS null_keys,
+       (SELECT COUNT(*) FROM (SELECT order_id FROM transactions WHERE order_id IS NOT NULL
+                              GROUP BY 1 HAVING COUNT(*) > 1)) AS duplicate_keys
+FROM transactions"""
+ORACLES["trailing_window"] = with_tx() + f"""
+SELECT COUNT(CASE WHEN order_date >= {months_back(12)} THEN 1 END) AS orders_12_months,
+       COUNT(CASE WHEN order_date >= {months_back(6)} THEN 1 END) AS orders_6_months,
+       COUNT(CASE WHEN order_date >= {months_back(3)} THEN 1 END) AS orders_3_months,
+       COUNT(CASE WHEN order_date >= {days_back(30)} THEN 1 END) AS orders_30_days
+FROM transactions"""
+ORACLES["filter_city_dates"] = with_tx() + f"""
+SELECT {TX_DOUBLE} FROM transactions
+WHERE city = 'ASIA' AND order_date >= DATE '2001-01-01' AND order_date < DATE '2001-04-01'"""
+ORACLES["having_filter"] = with_tx() + """
+SELECT customer_id, COUNT(DISTINCT order_id) AS total_orders FROM transactions
+GROUP BY customer_id HAVING COUNT(DISTINCT order_id) >= 10"""
+ORACLES["on_time_rate"] = with_tx() + f"""
+SELECT city, COUNT(*) AS orders, COUNT(CASE WHEN delivery_time <= 30 THEN 1 END) AS on_time_orders,
+       {hu('100 * COUNT(CASE WHEN delivery_time <= 30 THEN 1 END)', 'COUNT(*)')} AS on_time_rate
+FROM transactions GROUP BY city"""
+ORACLES["band_self_join"] = with_tx() + f"""
+SELECT t1.customer_id, t1.cuisine_type AS cuisine_1, t2.cuisine_type AS cuisine_2,
+       COUNT(*) AS order_pairs, COUNT(t1.order_value + t2.order_value) AS valued_pairs,
+       CAST(SUM(t1.order_value + t2.order_value) AS DOUBLE) AS pair_value_sum
+FROM transactions t1 JOIN transactions t2
+  ON t1.customer_id = t2.customer_id AND t1.cuisine_type <> t2.cuisine_type
+ AND abs({ddiff('t1.order_date', 't2.order_date')}) <= 30
+GROUP BY 1, 2, 3"""
+ORACLES["anti_join_unseen"] = with_tx() + f"""
+SELECT r.order_id, r.customer_id, r.cuisine_type FROM transactions r
+WHERE r.order_date >= {days_back(30)}
+  AND NOT EXISTS (SELECT 1 FROM transactions b
+                  WHERE b.customer_id = r.customer_id AND b.cuisine_type = r.cuisine_type
+                    AND b.order_date >= {months_back(6)} AND b.order_date < {days_back(30)})"""
+ORACLES["group_city_month"] = with_tx() + """
+SELECT city, strftime(order_date, '%Y-%m') AS month, COUNT(*) AS orders,
+       CAST(SUM(order_value) AS DOUBLE) AS revenue
+FROM transactions GROUP BY 1, 2"""
+ORACLES["distinct_counts"] = with_tx() + """
+SELECT city, COUNT(DISTINCT customer_id) AS customers, COUNT(DISTINCT restaurant_id) AS restaurants,
+       COUNT(DISTINCT order_id) AS orders FROM transactions GROUP BY city"""
+ORACLES["delivery_percentiles"] = with_tx() + """
+SELECT city, quantile_cont(delivery_time, 0.5) AS median_delivery_time,
+       quantile_cont(delivery_time, 0.95) AS p95_delivery_time FROM transactions GROUP BY city"""
+ORACLES["latest_order_attrs"] = with_tx() + """
+SELECT customer_id, city, cuisine_type FROM (
+  SELECT customer_id, city, cuisine_type,
+         row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC NULLS LAST, order_id DESC) AS rn
+  FROM transactions) WHERE rn = 1"""
+ORACLES["ntile_scores"] = with_tx() + """
+SELECT customer_id, CAST(total_spent AS DOUBLE) AS total_spent,
+       CAST(NTILE(5) OVER (ORDER BY total_spent DESC NULLS LAST, customer_id ASC NULLS FIRST) AS BIGINT) AS spend_quintile
+FROM (SELECT customer_id, SUM(order_value) AS total_spent FROM transactions GROUP BY 1)"""
+ORACLES["rank_in_city"] = with_tx() + """
+SELECT city, restaurant_id, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(RANK() OVER (PARTITION BY city ORDER BY revenue DESC NULLS LAST) AS BIGINT) AS revenue_rank
+FROM (SELECT city, restaurant_id, SUM(order_value) AS revenue FROM transactions GROUP BY 1, 2)"""
+ORACLES["top_preference"] = with_tx(PREFS_SQL) + """
+SELECT customer_id, cuisine_type, orders_count, CAST(spent_on_cuisine AS DOUBLE) AS spent_on_cuisine
+FROM prefs WHERE preference_rank = 1"""
+ORACLES["order_gaps"] = with_tx() + f"""
+SELECT order_id, customer_id, order_date, previous_order_date,
+       CAST({ddiff('order_date', 'previous_order_date')} AS BIGINT) AS days_since_previous
+FROM (SELECT order_id, customer_id, order_date,
+             LAG(order_date) OVER (PARTITION BY customer_id ORDER BY order_date ASC NULLS FIRST, order_id) AS previous_order_date
+      FROM transactions)"""
+ORACLES["share_of_day"] = with_tx() + f"""
+SELECT day_of_week, order_hour, order_count,
+       {hu('100 * order_count', 'SUM(order_count) OVER (PARTITION BY day_of_week)')} AS pct_of_daily_orders
+FROM (SELECT dayname(order_date) AS day_of_week, CAST(hour(order_date) AS BIGINT) AS order_hour,
+             COUNT(*) AS order_count FROM transactions GROUP BY 1, 2)"""
+ORACLES["fn_dates"] = with_tx() + f"""
+SELECT order_id, CAST({ddiff(f"DATE '{AS_OF}'", 'order_date')} AS BIGINT) AS days_before_as_of,
+       strftime(order_date, '%Y-%m') AS month, CAST(date_trunc('month', order_date) AS DATE) AS month_start,
+       dayname(order_date) AS day_name, CAST(hour(order_date) AS BIGINT) AS hour_of_day,
+       CAST(isodow(order_date) - 1 AS BIGINT) AS day_of_week, CAST(order_date AS DATE) AS order_day,
+       CAST(date_diff('month', date_trunc('month', order_date), order_date) AS BIGINT) AS months_since_month_start
+FROM transactions"""
+ORACLES["fn_elapsed_days"] = with_tx() + f"""
+SELECT customer_id, CAST({ddiff('MAX(order_date)', 'MIN(order_date)')} AS BIGINT) AS calendar_days,
+       CAST(date_sub('day', MIN(order_date), MAX(order_date)) AS BIGINT) AS elapsed_days
+FROM transactions GROUP BY customer_id"""
+ORACLES["fn_rounding"] = with_tx() + f"""
+SELECT customer_id,
+       CASE WHEN COUNT(order_value) > 0 THEN {hu_money('SUM(order_value)', 'COUNT(order_value)')} END AS mean_half_up,
+       CASE WHEN COUNT(order_value) > 0 THEN {he(cents('SUM(order_value)'), 'COUNT(order_value) * 100')} END AS mean_half_even
+FROM transactions GROUP BY customer_id"""
+ORACLES["order_complexity"] = with_tx() + """
+SELECT order_id, CAST(order_value AS DOUBLE) AS order_value,
+       CASE WHEN order_value > 0 AND order_value <= 100 THEN 'Simple'
+            WHEN order_value > 100 AND order_value <= 300 THEN 'Medium'
+            WHEN order_value > 300 AND order_value <= 500 THEN 'Complex'
+            WHEN order_value > 500 THEN 'Very Complex' ELSE 'nan' END AS order_complexity
+FROM transactions"""
