@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens.plans import customers as C
 from orderlens.plans import api as A
 from orderlens.plans import dashboard as DB
+from orderlens.plans import features as FE
 from orderlens.plans import operations as O
 from orderlens.plans import primitives as P
+from orderlens.operators.split import stratified_split
 from orderlens.session import scratch_dir
 from orderlens.sources.schema import validate
 from orderlens.sources.fixture import transactions
@@ -124,6 +126,17 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("fn_elapsed_days", ["customer_id", "order_date"])(P.fn_elapsed_days)
     reg("fn_rounding", ["customer_id", "order_value"])(P.fn_rounding)
     reg("order_complexity", ["order_id", "order_value"])(P.order_complexity)
+
+    # ---- features (2.10)
+    reg("segmentation_features")(FE.segmentation_features)
+    reg("delivery_features")(FE.delivery_features)
+    reg("churn_features")(FE.churn_features)
+    reg("churn_label")(lambda tx: FE.churn_features(tx).select("customer_id", "churned"))
+    reg("label_encoding", ["order_id", "city", "cuisine_type"])(FE.label_encoding)
+    reg("standardize")(lambda tx: FE.standardize(FE.segmentation_features(tx), FE.SEGMENT_FEATURES,
+                                                 "customer_id"))
+    reg("train_test_split")(lambda tx: stratified_split(
+        FE.churn_features(tx).select("customer_id", "churned"), "customer_id", "churned"))
     return q
 
 

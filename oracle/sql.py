@@ -706,3 +706,88 @@ SELECT order_id, CAST(order_value AS DOUBLE) AS order_value,
             WHEN order_value > 300 AND order_value <= 500 THEN 'Complex'
             WHEN order_value > 500 THEN 'Very Complex' ELSE 'nan' END AS order_complexity
 FROM transactions"""
+
+
+# ---------------------------------------------------------------- 2.10 features
+def he_money(total: str, count: str) -> str:
+    return he(cents(total), f"({count}) * 100")
+
+
+F1_SQL = f"""
+f1 AS (
+  SELECT customer_id, CAST(COALESCE(SUM(order_value), 0) AS DOUBLE) AS total_spent,
+         COUNT(order_value) AS order_frequency,
+         COALESCE(CASE WHEN COUNT(order_value) > 0 THEN {he_money('SUM(order_value)', 'COUNT(order_value)')} END, 0.0) AS avg_order_value,
+         COALESCE(CAST(COUNT(order_value) AS DOUBLE) / (date_sub('day', MIN(order_date), MAX(order_date)) + 1),
+                  CAST(COUNT(order_value) AS DOUBLE), 0.0) AS orders_per_day,
+         COALESCE(CASE WHEN COUNT(delivery_time) > 0 THEN {he('SUM(delivery_time)', 'COUNT(delivery_time)')} END, 0.0) AS avg_delivery_time
+  FROM transactions WHERE customer_id IS NOT NULL GROUP BY customer_id)"""
+
+ORACLES["segmentation_features"] = with_tx(F1_SQL) + "SELECT * FROM f1"
+
+ORACLES["standardize"] = with_tx(F1_SQL) + "SELECT customer_id, " + ", ".join(
+    f"round((CAST({c} AS DOUBLE) - AVG(CAST({c} AS DOUBLE)) OVER ()) / STDDEV_POP(CAST({c} AS DOUBLE)) OVER (), 6) AS {c}_z"
+    for c in ["total_spent", "order_frequency", "avg_order_value", "orders_per_day", "avg_delivery_time"]) + " FROM f1"
+
+
+def _group_stats_sql(key: str, prefix: str, with_count: bool) -> str:
+    cnt = f"COUNT(delivery_time) AS {prefix}delivery_time_count," if with_count else ""
+    return f"""
+{prefix}s AS (SELECT {key},
+   CASE WHEN COUNT(delivery_time) > 0 THEN {he('SUM(delivery_time)', 'COUNT(delivery_time)')} END AS {prefix}delivery_time_mean,
+   round_even(stddev_samp(delivery_time), 2) AS {prefix}delivery_time_std, {cnt}
+   CASE WHEN COUNT(order_value) > 0 THEN {he_money('SUM(order_value)', 'COUNT(order_value)')} END AS {prefix}order_value_mean
+ FROM transactions WHERE {key} IS NOT NULL GROUP BY {key})"""
+
+
+ORACLES["delivery_features"] = with_tx(_group_stats_sql("restaurant_id", "restaurant_", True),
+                                       _group_stats_sql("city", "city_", False)) + """
+SELECT t.order_id, t.restaurant_id, t.city, t.cuisine_type, CAST(t.order_value AS DOUBLE) AS order_value,
+       t.delivery_time, CAST(hour(t.order_date) AS INTEGER) AS hour_of_day,
+       CAST(isodow(t.order_date) - 1 AS INTEGER) AS day_of_week,
+       CASE WHEN isodow(t.order_date) - 1 IN (5, 6) THEN 1 ELSE 0 END AS is_weekend,
+       CASE WHEN hour(t.order_date) IN (12, 13, 19, 20, 21) THEN 1 ELSE 0 END AS is_peak_hour,
+       CASE WHEN t.order_value > 0 AND t.order_value <= 100 THEN 'Simple'
+            WHEN t.order_value > 100 AND t.order_value <= 300 THEN 'Medium'
+            WHEN t.order_value > 300 AND t.order_value <= 500 THEN 'Complex'
+            WHEN t.order_value > 500 THEN 'Very Complex' ELSE 'nan' END AS order_complexity,
+       rs.* EXCLUDE (restaurant_id), cs.* EXCLUDE (city)
+FROM transactions t LEFT JOIN restaurant_s rs ON rs.restaurant_id = t.restaurant_id
+LEFT JOIN city_s cs ON cs.city = t.city"""
+
+F3_SQL = f"""
+b AS (SELECT MAX(order_date) - INTERVAL 30 DAY AS e, MAX(order_date) - INTERVAL 30 DAY - INTERVAL 90 DAY AS s
+      FROM transactions),
+obs AS (SELECT t.* FROM transactions t, b WHERE t.order_date >= b.s AND t.order_date <= b.e
+        AND t.customer_id IS NOT NULL),
+f AS (SELECT customer_id, COUNT(order_id) AS total_orders, SUM(order_value) AS spent, COUNT(order_value) AS nv,
+             stddev_samp(order_value) AS sv, SUM(delivery_time) AS ds, COUNT(delivery_time) AS dc,
+             stddev_samp(delivery_time) AS sd, MIN(order_date) AS first, MAX(order_date) AS last
+      FROM obs GROUP BY 1),
+lat AS (SELECT customer_id, city, cuisine_type FROM (
+          SELECT customer_id, city, cuisine_type,
+                 row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC, order_id DESC) AS rn
+          FROM obs) WHERE rn = 1),
+fut AS (SELECT DISTINCT customer_id FROM transactions, b WHERE order_date > b.e),
+f3 AS (
+  SELECT f.customer_id, f.total_orders, CAST(COALESCE(f.spent, 0) AS DOUBLE) AS total_spent,
+         COALESCE(CASE WHEN f.nv > 0 THEN {he_money('f.spent', 'f.nv')} END, 0.0) AS avg_order_value,
+         COALESCE(round_even(f.sv, 2), 0.0) AS order_value_variability,
+         COALESCE(CASE WHEN f.dc > 0 THEN {he('f.ds', 'f.dc')} END, 0.0) AS avg_delivery_time,
+         COALESCE(round_even(f.sd, 2), 0.0) AS delivery_consistency,
+         date_sub('day', f.first, f.last) + 1 AS days_active,
+         f.total_orders / (date_sub('day', f.first, f.last) + 1) AS order_frequency,
+         date_sub('day', f.last, b.e) AS days_since_last_order,
+         COALESCE(lat.city, '0') AS city, COALESCE(lat.cuisine_type, '0') AS cuisine_type,
+         fut.customer_id IS NULL AS churned
+  FROM f JOIN lat ON lat.customer_id = f.customer_id
+  LEFT JOIN fut ON fut.customer_id = f.customer_id, b)"""
+
+ORACLES["churn_features"] = with_tx(F3_SQL) + "SELECT * FROM f3"
+ORACLES["churn_label"] = with_tx(F3_SQL) + "SELECT customer_id, churned FROM f3"
+
+ORACLES["label_encoding"] = with_tx() + """
+SELECT order_id, city, cuisine_type,
+       CAST(DENSE_RANK() OVER (ORDER BY COALESCE(city, 'nan')) - 1 AS BIGINT) AS city_encoded,
+       CAST(DENSE_RANK() OVER (ORDER BY COALESCE(cuisine_type, 'nan')) - 1 AS BIGINT) AS cuisine_type_encoded
+FROM transactions"""
