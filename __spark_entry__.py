@@ -11,11 +11,13 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlens.plans import customers as C
 from orderlens.plans import api as A
 from orderlens.plans import dashboard as DB
 from orderlens.plans import features as FE
+from orderlens.plans import models as M
 from orderlens.plans import operations as O
 from orderlens.plans import primitives as P
 from orderlens.operators.split import stratified_split
@@ -137,6 +139,24 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                                  "customer_id"))
     reg("train_test_split")(lambda tx: stratified_split(
         FE.churn_features(tx).select("customer_id", "churned"), "customer_id", "churned"))
+
+    # ---- models (2.11); trained models are checked by rows and invariants
+    reg("choose_k")(lambda tx: M.choose_k(tx, max_k=5))
+    reg("customer_segments")(lambda tx: M.customer_segments(tx, k=4))
+    reg("segment_profiles")(lambda tx: M.segment_profiles(tx, k=4))
+    reg("segment_rules")(lambda tx: M.segment_rules(tx, AS_OF))
+    q["model_round_trip"] = lambda spark, sf_dir: M.model_round_trip(
+        _tx(spark, sf_dir), scratch_dir(spark, f"segmentation_model/{abs(hash(sf_dir))}"))
+    reg("delivery_model_metrics")(lambda tx: M.train_delivery_model(tx)[2])
+    reg("regression_metrics")(lambda tx: M.regression_metrics(M.rule_prediction(tx)))
+    reg("score_delivery")(lambda tx: M.score_delivery(*M.train_delivery_model(tx)[:2], tx))
+    reg("prediction_interval")(lambda tx: M.prediction_interval(
+        M.rule_prediction(tx).filter(F.col("prediction").isNotNull()).select(
+            "order_id", F.greatest(F.col("prediction").cast("double"), F.lit(10.0))
+            .alias("predicted_delivery_time")), "predicted_delivery_time"))
+    reg("churn_model_metrics")(lambda tx: M.train_churn_model(tx)[1])
+    reg("classification_metrics")(lambda tx: M.classification_counts(M.rule_churn_prediction(tx)))
+    reg("score_churn")(lambda tx: M.score_churn(M.train_churn_model(tx)[0], tx))
     return q
 
 

@@ -66,15 +66,19 @@ def mean_k(k: str, digits: int = 2) -> str:
     return f"({k_to_double(f'SUM({k})', digits)} / COUNT({k}))"
 
 
-def he(num: str, den: str, digits: int = 2) -> str:
-    """round-half-even(num/den, digits), exact; num >= 0, den > 0; DOUBLE result."""
+def he_k(num: str, den: str, digits: int = 2) -> str:
+    """round-half-even(num/den, digits) * 10^digits as an exact integer; num >= 0, den > 0."""
     p = 10 ** digits
     n = f"(CAST({num} AS HUGEINT) * {p})"
     d = f"CAST({den} AS HUGEINT)"
     q = f"({n} // {d})"
     r = f"({n} % {d})"
-    k = f"(CASE WHEN 2*{r} > {d} THEN {q} + 1 WHEN 2*{r} = {d} THEN {q} + ({q} % 2) ELSE {q} END)"
-    return f"(CAST({k} AS DOUBLE) / CAST({p} AS DOUBLE))"
+    return f"(CASE WHEN 2*{r} > {d} THEN {q} + 1 WHEN 2*{r} = {d} THEN {q} + ({q} % 2) ELSE {q} END)"
+
+
+def he(num: str, den: str, digits: int = 2) -> str:
+    """round-half-even(num/den, digits), exact; num >= 0, den > 0; DOUBLE result."""
+    return f"(CAST({he_k(num, den, digits)} AS DOUBLE) / CAST({10 ** digits} AS DOUBLE))"
 
 
 def hu_money(total: str, count: str, digits: int = 2) -> str:
@@ -791,3 +795,90 @@ SELECT order_id, city, cuisine_type,
        CAST(DENSE_RANK() OVER (ORDER BY COALESCE(city, 'nan')) - 1 AS BIGINT) AS city_encoded,
        CAST(DENSE_RANK() OVER (ORDER BY COALESCE(cuisine_type, 'nan')) - 1 AS BIGINT) AS cuisine_type_encoded
 FROM transactions"""
+
+
+
+# ---------------------------------------------------------------- 2.11 model-side tables
+CLV_BAND_SQL = f"""
+clvm AS (SELECT customer_id, SUM(order_value) AS spent,
+                {ddiff('MAX(order_date)', 'MIN(order_date)')} + 1 AS lifetime
+         FROM transactions WHERE order_date >= {months_back(12)} GROUP BY customer_id),
+clvb AS (SELECT customer_id,
+           CASE WHEN {cents('spent')} * 36525 >= 2000 * 10000 * lifetime THEN 'High Value'
+                WHEN {cents('spent')} * 36525 >= 1000 * 10000 * lifetime THEN 'Medium Value'
+                WHEN {cents('spent')} * 36525 >= 500 * 10000 * lifetime THEN 'Low Value'
+                ELSE 'Very Low Value' END AS customer_segment
+         FROM clvm)"""
+
+F1K_SQL = f"""
+f1k AS (SELECT customer_id, {cents('COALESCE(SUM(order_value), 0)')} AS spent_c,
+               COUNT(order_value) AS freq,
+               COALESCE(CASE WHEN COUNT(order_value) > 0 THEN {he_k(cents('SUM(order_value)'), 'COUNT(order_value) * 100')} END, 0) AS aov_k,
+               COALESCE(CAST(COUNT(order_value) AS DOUBLE) / (date_sub('day', MIN(order_date), MAX(order_date)) + 1),
+                        CAST(COUNT(order_value) AS DOUBLE), 0.0) AS orders_per_day,
+               COALESCE(CASE WHEN COUNT(delivery_time) > 0 THEN {he_k('SUM(delivery_time)', 'COUNT(delivery_time)')} END, 0) AS dt_k
+        FROM transactions WHERE customer_id IS NOT NULL GROUP BY customer_id)"""
+
+
+@oracle("segment_rules")
+def _segment_rules():
+    spent = "((CAST(SUM(spent_c) AS DOUBLE) / 100.0) / COUNT(*))"
+    freq = "(CAST(SUM(freq) AS DOUBLE) / COUNT(*))"
+    aov = "((CAST(SUM(aov_k) AS DOUBLE) / 100.0) / COUNT(*))"
+    return with_tx(CLV_BAND_SQL, F1K_SQL) + f"""
+SELECT customer_segment, COUNT(*) AS size, {spent} AS avg_total_spent, {freq} AS avg_order_frequency,
+       {aov} AS avg_order_value, round(AVG(orders_per_day), 6) AS avg_orders_per_day,
+       ((CAST(SUM(dt_k) AS DOUBLE) / 100.0) / COUNT(*)) AS avg_delivery_time,
+       CASE WHEN {spent} > 2000 AND {freq} > 15 THEN 'High-Value Frequent Customers'
+            WHEN {spent} > 1000 AND {freq} > 10 THEN 'Medium-Value Regular Customers'
+            WHEN {freq} > 20 THEN 'High-Frequency Low-Spend Customers'
+            WHEN {aov} > 150 THEN 'High-Ticket Occasional Customers'
+            ELSE 'Low-Value Infrequent Customers' END AS characteristics
+FROM f1k JOIN clvb USING (customer_id) GROUP BY customer_segment"""
+
+
+RULE_PRED_SQL = f"""
+rk AS (SELECT restaurant_id, {he_k('SUM(delivery_time)', 'COUNT(delivery_time)')} AS mk
+       FROM transactions WHERE restaurant_id IS NOT NULL AND delivery_time IS NOT NULL GROUP BY 1),
+ck AS (SELECT city, {he_k('SUM(delivery_time)', 'COUNT(delivery_time)')} AS mk
+       FROM transactions WHERE city IS NOT NULL AND delivery_time IS NOT NULL GROUP BY 1),
+pred AS (SELECT t.order_id, t.delivery_time, COALESCE(rk.mk, ck.mk) AS pk
+         FROM transactions t LEFT JOIN rk ON rk.restaurant_id = t.restaurant_id
+         LEFT JOIN ck ON ck.city = t.city)"""
+
+
+@oracle("regression_metrics")
+def _regression_metrics():
+    e = "(CAST(delivery_time AS HUGEINT) * 100 - pk)"
+    return with_tx(RULE_PRED_SQL) + f"""
+SELECT COUNT(*) AS rows, {hu(f'SUM(abs({e}))', 'COUNT(*) * 100', 4)} AS mae,
+       round(sqrt(CAST(SUM({e} * {e}) AS DOUBLE) / 10000.0 / COUNT(*)), 4) AS rmse
+FROM pred WHERE delivery_time IS NOT NULL AND pk IS NOT NULL"""
+
+
+def _margin_sql() -> str:
+    return f"CAST('{repr(1.96 * 5.0)}' AS DOUBLE)"
+
+
+@oracle("prediction_interval")
+def _prediction_interval():
+    p = "greatest(CAST(pk AS DOUBLE) / 100.0, 10.0)"
+    return with_tx(RULE_PRED_SQL) + f"""
+SELECT order_id, {p} AS predicted_delivery_time,
+       greatest({p} - {_margin_sql()}, 10.0) AS lower_bound, {p} + {_margin_sql()} AS upper_bound
+FROM pred WHERE pk IS NOT NULL"""
+
+
+@oracle("classification_metrics")
+def _classification_metrics():
+    def r(num, den):
+        return f"COALESCE(CASE WHEN {den} > 0 THEN {hu(num, den, 3)} END, 0.0)"
+    return with_tx(F3_SQL, """
+c AS (SELECT COUNT(CASE WHEN churned AND days_since_last_order > 30 THEN 1 END) AS tp,
+             COUNT(CASE WHEN NOT churned AND days_since_last_order > 30 THEN 1 END) AS fp,
+             COUNT(CASE WHEN churned AND NOT (days_since_last_order > 30) THEN 1 END) AS fn,
+             COUNT(CASE WHEN NOT churned AND NOT (days_since_last_order > 30) THEN 1 END) AS tn
+      FROM f3)""") + f"""
+SELECT tp, fp, fn, tn, {r('tp + tn', 'tp + fp + fn + tn')} AS accuracy, {r('tp', 'tp + fp')} AS precision,
+       {r('tp', 'tp + fn')} AS recall, {r('2 * tp', '2 * tp + fp + fn')} AS f1_score
+FROM c"""
