@@ -23,7 +23,8 @@ from orderlens.plans import primitives as P
 from orderlens.operators.split import stratified_split
 from orderlens.session import scratch_dir
 from orderlens.sources.schema import validate
-from orderlens.sources.fixture import transactions
+from orderlens.sources.fixture import read_table, transactions
+from orderlens.streaming import kpis as ST
 
 AS_OF = dt.date(2001, 8, 1)
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -157,6 +158,13 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("churn_model_metrics")(lambda tx: M.train_churn_model(tx)[1])
     reg("classification_metrics")(lambda tx: M.classification_counts(M.rule_churn_prediction(tx)))
     reg("score_churn")(lambda tx: M.score_churn(M.train_churn_model(tx)[0], tx))
+
+    # ---- streaming (2.14): the stream (rows) and its batch twin (oracle)
+    q["stream_daily_kpis"] = lambda spark, sf_dir: ST.stream_daily_kpis(
+        spark, f"{sf_dir.rstrip('/')}/events*.parquet",
+        scratch_dir(spark, f"stream_daily_kpis/{abs(hash(sf_dir))}"))
+    q["daily_kpis_events"] = lambda spark, sf_dir: ST.daily_kpis(
+        ST.purchases(read_table(spark, sf_dir, "events")))
     return q
 
 

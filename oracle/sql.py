@@ -882,3 +882,11 @@ c AS (SELECT COUNT(CASE WHEN churned AND days_since_last_order > 30 THEN 1 END)
 SELECT tp, fp, fn, tn, {r('tp + tn', 'tp + fp + fn + tn')} AS accuracy, {r('tp', 'tp + fp')} AS precision,
        {r('tp', 'tp + fn')} AS recall, {r('2 * tp', '2 * tp + fp + fn')} AS f1_score
 FROM c"""
+
+
+# ---------------------------------------------------------------- 2.14 stream (batch twin)
+ORACLES["daily_kpis_events"] = """
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
+       CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end,
+       COUNT(*) AS orders, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM events WHERE event_type = 'purchase' GROUP BY 1, 2"""
