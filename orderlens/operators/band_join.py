@@ -25,17 +25,27 @@ from pyspark.sql import functions as F
 
 
 def day_cells(tx: DataFrame, key: str = "customer_id", item: str = "cuisine_type",
-              value: str = "order_value", ts: str = "order_date") -> DataFrame:
-    return (tx.filter(F.col(key).isNotNull() & F.col(item).isNotNull() & F.col(ts).isNotNull())
-            .groupBy(F.col(key).alias("k"), F.col(item).alias("item"),
-                     F.unix_date(F.to_date(ts)).alias("day"))
+              value: str = "order_value", ts: str = "order_date", keep_nulls: bool = False) -> DataFrame:
+    """(key, item, day) cells: rows ``n``, valued rows ``m``, value sum ``s``.
+
+    ``keep_nulls=True`` keeps NULL keys/items/days as their own cells, so the
+    same cells can also feed a SQL ``GROUP BY`` (which groups NULLs).
+    """
+    src = tx if keep_nulls else tx.filter(F.col(key).isNotNull() & F.col(item).isNotNull()
+                                          & F.col(ts).isNotNull())
+    return (src.groupBy(F.col(key).alias("k"), F.col(item).alias("item"),
+                        F.unix_date(F.to_date(ts)).alias("day"))
             .agg(F.count(F.lit(1)).alias("n"), F.count(value).alias("m"),
                  F.sum(value).alias("s")))
 
 
-def item_pairs_per_key(tx: DataFrame, band_days: int = 30, **cols) -> DataFrame:
+def item_pairs_per_key(tx: DataFrame | None = None, band_days: int = 30, cells: DataFrame | None = None,
+                       **cols) -> DataFrame:
     """Per (key, item_1, item_2): joined order pairs, valued pairs, value sum."""
-    cells = day_cells(tx, **cols)
+    if cells is None:
+        cells = day_cells(tx, **cols)
+    else:
+        cells = cells.filter(F.col("k").isNotNull() & F.col("item").isNotNull() & F.col("day").isNotNull())
     width = band_days + 1
     bucket = F.floor(F.col("day") / width)
     left = cells.select("k", F.col("item").alias("item_1"), F.col("day").alias("d1"),
@@ -53,9 +63,10 @@ def item_pairs_per_key(tx: DataFrame, band_days: int = 30, **cols) -> DataFrame:
                  F.sum(F.col("s1") * F.col("m2") + F.col("s2") * F.col("m1")).alias("value_sum")))
 
 
-def item_pairs(tx: DataFrame, band_days: int = 30, min_keys: int = 10, **cols) -> DataFrame:
+def item_pairs(tx: DataFrame | None = None, band_days: int = 30, min_keys: int = 10,
+               cells: DataFrame | None = None, **cols) -> DataFrame:
     """Per ordered item pair: distinct keys, pairs, and exact pair value sum."""
-    per_key = item_pairs_per_key(tx, band_days, **cols)
+    per_key = item_pairs_per_key(tx, band_days, cells, **cols)
     return (per_key.groupBy("item_1", "item_2")
             .agg(F.count(F.lit(1)).alias("keys"), F.sum("pairs").alias("pairs"),
                  F.sum("valued_pairs").alias("valued_pairs"),

@@ -206,6 +206,11 @@ def churn_risk(tx: DataFrame, as_of, min_orders: int = 2, ordered: bool = True)
 
 
 # ---------------------------------------------------------------- Q8 cross-sell
+def _rank_preferences(prefs: DataFrame) -> DataFrame:
+    rank = F.rank().over(Window.partitionBy("customer_id").orderBy(F.col("orders_count").desc()))
+    return prefs.withColumn("preference_rank", rank.cast("bigint"))
+
+
 def cuisine_preferences(tx: DataFrame, as_of, months: int = 6) -> DataFrame:
     """Per customer and cuisine: orders, spend and rank by orders (ties share a rank).
 
@@ -214,39 +219,46 @@ def cuisine_preferences(tx: DataFrame, as_of, months: int = 6) -> DataFrame:
     prefs = (D.trailing(tx, as_of, months=months).groupBy("customer_id", "cuisine_type")
              .agg(F.count(F.lit(1)).alias("orders_count"),
                   F.sum("order_value").alias("spent_on_cuisine")))
-    rank = F.rank().over(Window.partitionBy("customer_id").orderBy(F.col("orders_count").desc()))
-    return prefs.withColumn("preference_rank", rank.cast("bigint"))
+    return _rank_preferences(prefs)
+
+
+def _pairs_table(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("item_1").alias("cuisine_1"), F.col("item_2").alias("cuisine_2"),
+                        F.col("keys").alias("customers_ordering_both"),
+                        F.col("pairs").alias("order_pairs"),
+                        round_half_up(F.try_divide(F.col("value_sum"), F.col("valued_pairs")))
+                        .alias("avg_combined_order_value"))
 
 
 def cuisine_pairs(tx: DataFrame, band_days: int = 30, min_customers: int = 10,
                   pair_since=None) -> DataFrame:
     """Ordered cuisine pairs bought by one customer within ``band_days`` of each other."""
     src = tx if pair_since is None else D.since(tx, D.lit_date(pair_since))
-    p = item_pairs(src, band_days, min_customers)
-    return p.select(F.col("item_1").alias("cuisine_1"), F.col("item_2").alias("cuisine_2"),
-                    F.col("keys").alias("customers_ordering_both"),
-                    F.col("pairs").alias("order_pairs"),
-                    round_half_up(F.try_divide(F.col("value_sum"), F.col("valued_pairs")))
-                    .alias("avg_combined_order_value"))
+    return _pairs_table(item_pairs(src, band_days, min_customers))
 
 
 def cross_sell(tx: DataFrame, as_of, months: int = 6, band_days: int = 30,
                min_customers: int = 10, pair_since=None, ordered: bool = True) -> DataFrame:
     """Recommend cuisines paired with the customer's primary cuisine but not yet ordered.
 
-    The pair table has at most cuisines^2 rows; AQE broadcasts it once its
-    size is measured, and the NOT EXISTS is a left-anti join on two keys.
+    Preferences read only the trailing window (partition-pruned on a table
+    partitioned by month); the pairs read all history once, pre-aggregated
+    into day cells.  NOT EXISTS becomes a membership test against the
+    customer's set of ordered cuisines, built by the same window that ranks
+    the preferences.  The pair table has at most cuisines^2 rows; AQE
+    broadcasts it once its size is measured.
     """
     prefs = cuisine_preferences(tx, as_of, months)
-    primary = prefs.filter(F.col("preference_rank") == 1).select(
-        "customer_id", F.col("cuisine_type").alias("primary_cuisine"),
-        F.col("orders_count").alias("primary_orders"),
-        F.col("spent_on_cuisine").alias("primary_spent"))
+    # cuisines the customer already ordered, carried on every preference row
+    # (a set bounded by the cuisine domain) instead of a second scan + anti join
+    seen = F.collect_set("cuisine_type").over(Window.partitionBy("customer_id"))
+    primary = (prefs.withColumn("_seen", seen).filter(F.col("preference_rank") == 1)
+               .select("customer_id", F.col("cuisine_type").alias("primary_cuisine"),
+                       F.col("orders_count").alias("primary_orders"),
+                       F.col("spent_on_cuisine").alias("primary_spent"), "_seen"))
     pairs = cuisine_pairs(tx, band_days, min_customers, pair_since)
-    recs = primary.join(pairs, F.col("primary_cuisine") == F.col("cuisine_1"))
-    seen = prefs.select(F.col("customer_id").alias("_c"), F.col("cuisine_type").alias("_k"))
-    recs = recs.join(seen, (F.col("customer_id") == F.col("_c")) & (F.col("cuisine_2") == F.col("_k")),
-                     "left_anti")
+    recs = (primary.join(pairs, F.col("primary_cuisine") == F.col("cuisine_1"))
+            .filter(~F.array_contains(F.col("_seen"), F.col("cuisine_2"))))
     out = recs.select("customer_id", "primary_cuisine", "primary_orders",
                       _money("primary_spent").alias("primary_spent"),
                       F.col("cuisine_2").alias("recommended_cuisine"),
