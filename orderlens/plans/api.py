@@ -34,6 +34,23 @@ def _growth(cur: Column, prev: Column) -> Column:
     return F.when(p > 0, (c - p) / p * 100).otherwise(F.lit(0.0))
 
 
+def has_rows(df: DataFrame) -> bool:
+    """Emptiness test for the outermost caller only (analyses return empty frames)."""
+    return not df.isEmpty()
+
+
+# ---------------------------------------------------------------- segments endpoint
+def segment_summary(tx: DataFrame, city: str | None = None, date_from=None, date_to=None,
+                    k: int = 4, optimize: bool = False, max_k: int = 10) -> DataFrame:
+    """Segment profiles of the filtered orders, with the number of customers segmented."""
+    from .models import customer_segments, profiles
+    seg = customer_segments(filter_orders(tx, city, date_from, date_to), k=k, optimize=optimize,
+                            max_k=max_k)
+    prof = profiles(seg).withColumn("segment", F.concat(F.lit("Segment_"), F.col("segment")))
+    total = F.sum("size").over(Window.partitionBy())          # one row per segment: bounded
+    return prof.withColumn("total_customers", total)
+
+
 # ---------------------------------------------------------------- retention endpoint
 def retention_summary(tx: DataFrame, as_of, city: str | None = None, period: str = "monthly",
                       churn_days: int = 30, clv_months: int = 12) -> DataFrame:

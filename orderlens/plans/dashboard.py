@@ -160,5 +160,13 @@ def dataset_overview(df: DataFrame) -> DataFrame:
                   F.array_sort(F.collect_set("city")).alias("cities"))
 
 
+def export_csv(df: DataFrame, base_path: str, as_of) -> str:
+    """Write the current selection as CSV under a dated folder; returns the folder."""
+    from ..sources.files import write_csv
+    path = f"{base_path.rstrip('/')}/food_delivery_data_{D.as_date(as_of):%Y%m%d}"
+    write_csv(df, path)
+    return path
+
+
 def distinct_cities(df: DataFrame) -> DataFrame:
     return df.select("city").filter(F.col("city").isNotNull()).distinct().orderBy("city")
