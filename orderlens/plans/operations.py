@@ -20,19 +20,28 @@ def delivery_performance(tx: DataFrame, as_of, months: int = 6, on_time_minutes:
     """Per city and month: orders, mean / median / p95 delivery time, on-time rate, revenue.
 
     ``percentile`` is exact; its buffer holds one counter per distinct delivery
-    time (minutes), so it stays small whatever the row count.  The on-time rate
-    divides by all orders, so a missing delivery time counts as late.
+    time (minutes), so it stays small whatever the row count.  The distinct
+    order count is a separate aggregate: next to a single COUNT(DISTINCT),
+    Spark would pre-aggregate the percentile per (city, month, order) - one
+    buffer per order.  The two small results are joined on the group keys
+    (NULL-safe: a NULL city is a group).  The on-time rate divides by all
+    orders, so a missing delivery time counts as late.
     """
     w = D.trailing(tx, as_of, months=months)
     dt = F.col("delivery_time")
-    out = w.groupBy("city", D.month_label(F.col("order_date")).alias("month")).agg(
-        F.count_distinct("order_id").alias("total_orders"),
+    keys = [F.col("city"), D.month_label(F.col("order_date")).alias("month")]
+    stats = w.groupBy(*keys).agg(
         F.avg(dt).alias("avg_delivery_time"),
         F.percentile(dt, 0.5).alias("median_delivery_time"),
         F.percentile(dt, 0.95).alias("p95_delivery_time"),
         (F.count_if(dt <= on_time_minutes) / F.count(F.lit(1)) * 100).alias("on_time_delivery_rate"),
         _double(F.sum("order_value")).alias("total_revenue"),
         mean_as_double("order_value").alias("avg_order_value"))
+    orders = w.groupBy(*keys).agg(F.count_distinct("order_id").alias("total_orders"))
+    orders = orders.select(F.col("city").alias("_c"), F.col("month").alias("_m"), "total_orders")
+    out = (stats.join(orders, stats["city"].eqNullSafe(orders["_c"]) & stats["month"].eqNullSafe(orders["_m"]))
+           .select("city", "month", "total_orders", "avg_delivery_time", "median_delivery_time",
+                   "p95_delivery_time", "on_time_delivery_rate", "total_revenue", "avg_order_value"))
     if ordered:
         out = out.orderBy(F.col("city").asc_nulls_first(), F.col("month").desc())
     return out
