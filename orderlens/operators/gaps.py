@@ -21,13 +21,13 @@ def previous_event(df: DataFrame, key: str, ts: str, tiebreak: str, out: str = "
     within = Window.partitionBy(key, "_day").orderBy(F.col(ts).asc_nulls_first(), F.col(tiebreak))
     rows = rows.withColumn("_prev_in_day", F.lag(ts).over(within)) \
                .withColumn("_first_in_day", F.row_number().over(within) == 1)
-    per_day = rows.groupBy(key, "_day").agg(F.max(F.struct(F.col(ts), F.col(tiebreak))).alias("_last"))
+    per_day = rows.groupBy(key, "_day").agg(F.max(ts).alias("_last"))
     days = Window.partitionBy(key).orderBy(F.col("_day").asc_nulls_first())
     carry = per_day.select(key, "_day", F.lag("_last").over(days).alias("_prev_day_last"))
     # NULL-date rows form their own (first) day; a NULL key or day needs a null-safe join
     joined = rows.join(carry, rows[key].eqNullSafe(carry[key]) & rows["_day"].eqNullSafe(carry["_day"]),
                        "left").drop(carry[key]).drop(carry["_day"])
-    prev = F.when(F.col("_first_in_day"), F.col(f"_prev_day_last.{ts}")).otherwise(F.col("_prev_in_day"))
+    prev = F.when(F.col("_first_in_day"), F.col("_prev_day_last")).otherwise(F.col("_prev_in_day"))
     return joined.withColumn(out, prev).drop("_day", "_prev_in_day", "_first_in_day", "_prev_day_last")
 
 

@@ -110,9 +110,8 @@ def operational_metrics(tx: DataFrame, as_of, date_from=None, date_to=None, city
                         on_time_minutes: int = 30) -> DataFrame:
     """Overall KPIs of the range: volume, value, delivery time, on-time share.
 
-    Distinct counts are a separate one-row aggregate so the percentile buffers
-    are not created per distinct customer / restaurant group; the two one-row
-    results are joined on a constant key.
+    Distinct counts are a separate one-row aggregate (scalar subqueries) so the
+    percentile buffers are not created per distinct customer / restaurant group.
     """
     w = ops_window(tx, as_of, date_from, date_to, city)
     dt = F.col("delivery_time")
@@ -126,8 +125,8 @@ def operational_metrics(tx: DataFrame, as_of, date_from=None, date_to=None, city
         percent(F.count_if(dt <= on_time_minutes), F.count(F.lit(1))).alias("on_time_rate"))
     distinct = w.agg(F.count_distinct("customer_id").alias("active_customers"),
                      F.count_distinct("restaurant_id").alias("active_restaurants"))
-    return (stats.withColumn("_one", F.lit(1))
-            .join(F.broadcast(distinct.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+    from .dashboard import side_by_side
+    return side_by_side(stats, distinct)
 
 
 def status_breakdown(tx: DataFrame, as_of, date_from=None, date_to=None, city=None) -> DataFrame:

@@ -136,21 +136,20 @@ def repeat_rate(df: DataFrame) -> DataFrame:
                              F.try_divide(F.col("repeat_customers"), F.col("total_customers")) * 100)
 
 
-def _side_by_side(*parts: DataFrame) -> DataFrame:
-    """Place one-row aggregates next to each other (equi-join on a constant key)."""
-    out = parts[0].withColumn("_one", F.lit(1))
-    for part in parts[1:]:
-        out = out.join(F.broadcast(part.withColumn("_one", F.lit(1))), "_one")
-    return out.drop("_one")
+def side_by_side(*parts: DataFrame) -> DataFrame:
+    """One row from one-row aggregates: the first part, the others as scalar subqueries."""
+    first, rest = parts[0], parts[1:]
+    extra = [p.select(c).scalar().alias(c) for p in rest for c in p.columns]
+    return first.select("*", *extra)
 
 
 def operational_insights(df: DataFrame) -> DataFrame:
     """Peak hour, best city, delivery status and repeat rate as one row."""
-    return _side_by_side(peak_hour(df), best_city(df), delivery_status(df), repeat_rate(df))
+    return side_by_side(peak_hour(df), best_city(df), delivery_status(df), repeat_rate(df))
 
 
 def peak_hour_and_best_city(df: DataFrame) -> DataFrame:
-    return _side_by_side(peak_hour(df), best_city(df))
+    return side_by_side(peak_hour(df), best_city(df))
 
 
 def dataset_overview(df: DataFrame) -> DataFrame:

@@ -104,15 +104,15 @@ def churn_features(tx: DataFrame, prediction_window_days: int = 30,
                    observation_days: int = 90) -> DataFrame:
     """Customer features over a 90-day observation window ending 30 days before the last order.
 
-    The window bounds come from a one-row aggregate joined on a constant key
-    (no driver round trip); the churn label (an order after the window) and
-    all features come from one aggregation over each customer's orders.
+    The window end is an uncorrelated scalar subquery (the last order minus
+    the prediction window; no driver round trip); the churn label (an order
+    after the window) and all features come from one aggregation over each
+    customer's orders.
     """
-    bounds = tx.agg(F.max("order_date").alias("_max")).select(
-        (F.col("_max") - F.make_dt_interval(F.lit(prediction_window_days))).alias("_end"))
-    bounds = bounds.withColumn("_start", F.col("_end") - F.make_dt_interval(F.lit(observation_days)))
-    rows = tx.withColumn("_one", F.lit(1)).join(F.broadcast(bounds.withColumn("_one", F.lit(1))), "_one")
-    obs = F.col("order_date").between(F.col("_start"), F.col("_end"))
+    last = tx.agg(F.max("order_date")).scalar()
+    rows = tx.withColumn("_end", last - F.make_dt_interval(F.lit(prediction_window_days)))
+    start = F.col("_end") - F.make_dt_interval(F.lit(observation_days))
+    obs = F.col("order_date").between(start, F.col("_end"))
 
     def o(c: str) -> Column:
         return F.when(obs, F.col(c))
@@ -185,10 +185,10 @@ def label_encoding(tx: DataFrame, columns: tuple[str, ...] = ("city", "cuisine_t
 
 # ---------------------------------------------------------------- F5
 def standardize(df: DataFrame, columns: list[str], key: str, digits: int = 6) -> DataFrame:
-    """z = (x - mean) / population std, from one global aggregate joined on a constant key."""
-    stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"_m_{c}") for c in columns],
-                   *[F.stddev_pop(F.col(c).cast("double")).alias(f"_s_{c}") for c in columns])
-    j = df.withColumn("_one", F.lit(1)).join(F.broadcast(stats.withColumn("_one", F.lit(1))), "_one")
-    z = [F.round(F.try_divide(F.col(c).cast("double") - F.col(f"_m_{c}"), F.col(f"_s_{c}")), digits)
-         .alias(f"{c}_z") for c in columns]
-    return j.select(key, *z)
+    """z = (x - mean) / population std; the statistics are scalar subqueries (merged into one)."""
+    def z(c: str) -> Column:
+        x = F.col(c).cast("double")
+        mean = df.agg(F.avg(x)).scalar()
+        std = df.agg(F.stddev_pop(x)).scalar()
+        return F.round(F.try_divide(x - mean, std), digits).alias(f"{c}_z")
+    return df.select(key, *[z(c) for c in columns])
