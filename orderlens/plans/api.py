@@ -110,23 +110,35 @@ def operational_metrics(tx: DataFrame, as_of, date_from=None, date_to=None, city
                         on_time_minutes: int = 30) -> DataFrame:
     """Overall KPIs of the range: volume, value, delivery time, on-time share.
 
-    Distinct counts are a separate one-row aggregate (scalar subqueries) so the
-    percentile buffers are not created per distinct customer / restaurant group.
+    One scan, grouping sets ``(customer)``, ``(restaurant)``, ``(minutes)`` and
+    ``()``: the distinct counts are the numbers of key groups, the exact
+    percentiles read the minute histogram with frequencies, the rest comes from
+    the grand-total row.  All first-level buffers are fixed-width counters.
     """
     w = ops_window(tx, as_of, date_from, date_to, city)
     dt = F.col("delivery_time")
-    stats = w.agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        F.sum("order_value").cast("double").alias("total_revenue"),
-        round_half_up(exact_mean("order_value")).alias("avg_order_value"),
-        round_half_up(exact_mean(dt, integral=True)).alias("avg_delivery_time"),
-        F.percentile(dt, 0.5).alias("median_delivery_time"),
-        F.percentile(dt, 0.95).alias("p95_delivery_time"),
-        percent(F.count_if(dt <= on_time_minutes), F.count(F.lit(1))).alias("on_time_rate"))
-    distinct = w.agg(F.count_distinct("customer_id").alias("active_customers"),
-                     F.count_distinct("restaurant_id").alias("active_restaurants"))
-    from .dashboard import side_by_side
-    return side_by_side(stats, distinct)
+    sets = (w.groupingSets([["customer_id"], ["restaurant_id"], ["delivery_time"], []],
+                           "customer_id", "restaurant_id", "delivery_time")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(dt <= on_time_minutes).alias("on_time"),
+                 F.sum(dt).alias("dsum"), F.count(dt).alias("dcnt"),
+                 F.sum("order_value").alias("rev"), F.count("order_value").alias("nv"),
+                 F.grouping_id().alias("gid")))
+    gid = F.col("gid")
+
+    def total(c: str):
+        return F.max(F.when(gid == 7, F.col(c)))
+
+    minute = F.when(gid == 6, dt)
+    return sets.agg(
+        F.coalesce(total("n"), F.lit(0)).alias("total_orders"),
+        F.count_if((gid == 3) & F.col("customer_id").isNotNull()).alias("active_customers"),
+        F.count_if((gid == 5) & F.col("restaurant_id").isNotNull()).alias("active_restaurants"),
+        total("rev").cast("double").alias("total_revenue"),
+        round_half_up(F.try_divide(total("rev"), total("nv"))).alias("avg_order_value"),
+        round_half_up(F.try_divide(total("dsum").cast("decimal(20,0)"), total("dcnt"))).alias("avg_delivery_time"),
+        F.percentile(minute, 0.5, F.col("n")).alias("median_delivery_time"),
+        F.percentile(minute, 0.95, F.col("n")).alias("p95_delivery_time"),
+        percent(total("on_time"), total("n")).alias("on_time_rate"))
 
 
 def status_breakdown(tx: DataFrame, as_of, date_from=None, date_to=None, city=None) -> DataFrame:

@@ -137,19 +137,64 @@ def repeat_rate(df: DataFrame) -> DataFrame:
 
 
 def side_by_side(*parts: DataFrame) -> DataFrame:
-    """One row from one-row aggregates: the first part, the others as scalar subqueries."""
+    """One row from one-row aggregates: the first part, each other part as one scalar subquery."""
     first, rest = parts[0], parts[1:]
-    extra = [p.select(c).scalar().alias(c) for p in rest for c in p.columns]
+    extra = []
+    for p in rest:
+        packed = p.select(F.struct(*p.columns).alias("v")).scalar()
+        extra += [packed.getField(c).alias(c) for c in p.columns]
     return first.select("*", *extra)
 
 
+def _insight_sets(df: DataFrame, with_customers: bool) -> DataFrame:
+    """Hour, city, (customer) and grand-total groups of the selection in one aggregate."""
+    sets = [["h"], ["city"]] + ([["customer_id"]] if with_customers else []) + [[]]
+    rows = df.withColumn("h", F.hour("order_date"))
+    return (rows.groupingSets(sets, "h", "city", "customer_id")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("order_value").alias("rev"),
+                 F.avg("delivery_time").alias("avg_dt"), F.grouping_id().alias("gid")))
+
+
+# grouping_id bits over (h, city, customer_id): 1 = not grouped
+_HOUR, _CITY, _CUSTOMER, _TOTAL = 0b011, 0b101, 0b110, 0b111
+
+
+def _insight_columns(with_delivery: bool, with_repeat: bool) -> list:
+    gid, n = F.col("gid"), F.col("n")
+    hour_rows = (gid == _HOUR) & F.col("h").isNotNull()
+    city_rows = (gid == _CITY) & F.col("city").isNotNull()
+    peak = F.max(F.when(hour_rows, F.struct(n.alias("n"), (-F.col("h")).alias("neg_h"))))
+    cols = [(-peak.getField("neg_h")).cast("bigint").alias("peak_hour"),
+            peak.getField("n").alias("peak_orders"),
+            F.min_by(F.col("city"), F.when(city_rows, F.struct(-F.col("rev"), F.col("city"))))
+            .alias("best_city"),
+            F.max(F.when(city_rows, F.col("rev"))).cast("double").alias("best_city_revenue")]
+    if with_delivery:
+        cols.append(F.max(F.when(gid == _TOTAL, F.col("avg_dt"))).alias("avg_delivery_time"))
+    if with_repeat:
+        cust_rows = (gid == _CUSTOMER) & F.col("customer_id").isNotNull()
+        cols += [F.count_if(cust_rows & (n > 1)).alias("repeat_customers"),
+                 F.count_if(cust_rows).alias("total_customers")]
+    return cols
+
+
 def operational_insights(df: DataFrame) -> DataFrame:
-    """Peak hour, best city, delivery status and repeat rate as one row."""
-    return side_by_side(peak_hour(df), best_city(df), delivery_status(df), repeat_rate(df))
+    """Peak hour, best city, delivery status and repeat rate as one row, from one scan.
+
+    Grouping sets (hour), (city), (customer) and () share one aggregate; a
+    second, global aggregate picks the arg-maxes (smallest key on ties, like
+    ``idxmax`` over sorted groups) and counts repeat customers.
+    """
+    out = _insight_sets(df, True).agg(*_insight_columns(True, True))
+    avg_dt = F.col("avg_delivery_time")
+    return (out.withColumn("delivery_status", F.when(avg_dt <= 30, "Excellent")
+                           .when(avg_dt <= 40, "Good").otherwise("Needs Improvement"))
+            .withColumn("repeat_rate",
+                        F.try_divide(F.col("repeat_customers"), F.col("total_customers")) * 100))
 
 
 def peak_hour_and_best_city(df: DataFrame) -> DataFrame:
-    return side_by_side(peak_hour(df), best_city(df))
+    return _insight_sets(df, False).agg(*_insight_columns(False, False))
 
 
 def dataset_overview(df: DataFrame) -> DataFrame:

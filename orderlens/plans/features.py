@@ -185,10 +185,13 @@ def label_encoding(tx: DataFrame, columns: tuple[str, ...] = ("city", "cuisine_t
 
 # ---------------------------------------------------------------- F5
 def standardize(df: DataFrame, columns: list[str], key: str, digits: int = 6) -> DataFrame:
-    """z = (x - mean) / population std; the statistics are scalar subqueries (merged into one)."""
+    """z = (x - mean) / population std; all statistics come from one scalar subquery."""
+    stats = df.agg(F.struct(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in columns],
+                            *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in columns])
+                   ).scalar()
+
     def z(c: str) -> Column:
         x = F.col(c).cast("double")
-        mean = df.agg(F.avg(x)).scalar()
-        std = df.agg(F.stddev_pop(x)).scalar()
-        return F.round(F.try_divide(x - mean, std), digits).alias(f"{c}_z")
-    return df.select(key, *[z(c) for c in columns])
+        return F.round(F.try_divide(x - stats.getField(f"m_{c}"), stats.getField(f"s_{c}")), digits)
+
+    return df.select(key, *[z(c).alias(f"{c}_z") for c in columns])

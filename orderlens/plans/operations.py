@@ -19,29 +19,37 @@ def delivery_performance(tx: DataFrame, as_of, months: int = 6, on_time_minutes:
                          ordered: bool = True) -> DataFrame:
     """Per city and month: orders, mean / median / p95 delivery time, on-time rate, revenue.
 
-    ``percentile`` is exact; its buffer holds one counter per distinct delivery
-    time (minutes), so it stays small whatever the row count.  The distinct
-    order count is a separate aggregate: next to a single COUNT(DISTINCT),
-    Spark would pre-aggregate the percentile per (city, month, order) - one
-    buffer per order.  The two small results are joined on the group keys
-    (NULL-safe: a NULL city is a group).  The on-time rate divides by all
-    orders, so a missing delivery time counts as late.
+    One scan, two grouping sets: ``(city, month, order_id)`` gives the distinct
+    order count, ``(city, month, delivery_time)`` a histogram of delivery
+    minutes plus the additive sums.  Every buffer in the first aggregate is a
+    fixed-width counter; the exact percentiles then read the histogram with
+    frequencies (``percentile(value, p, n)``), so no group holds raw values and
+    no buffer exists per order.  The on-time rate divides by all orders, so a
+    missing delivery time counts as late.
     """
-    w = D.trailing(tx, as_of, months=months)
+    w = (D.trailing(tx, as_of, months=months)
+         .withColumn("month", D.month_label(F.col("order_date"))))
     dt = F.col("delivery_time")
-    keys = [F.col("city"), D.month_label(F.col("order_date")).alias("month")]
-    stats = w.groupBy(*keys).agg(
-        F.avg(dt).alias("avg_delivery_time"),
-        F.percentile(dt, 0.5).alias("median_delivery_time"),
-        F.percentile(dt, 0.95).alias("p95_delivery_time"),
-        (F.count_if(dt <= on_time_minutes) / F.count(F.lit(1)) * 100).alias("on_time_delivery_rate"),
-        _double(F.sum("order_value")).alias("total_revenue"),
-        mean_as_double("order_value").alias("avg_order_value"))
-    orders = w.groupBy(*keys).agg(F.count_distinct("order_id").alias("total_orders"))
-    orders = orders.select(F.col("city").alias("_c"), F.col("month").alias("_m"), "total_orders")
-    out = (stats.join(orders, stats["city"].eqNullSafe(orders["_c"]) & stats["month"].eqNullSafe(orders["_m"]))
-           .select("city", "month", "total_orders", "avg_delivery_time", "median_delivery_time",
-                   "p95_delivery_time", "on_time_delivery_rate", "total_revenue", "avg_order_value"))
+    sets = (w.groupingSets([["city", "month", "order_id"], ["city", "month", "delivery_time"]],
+                           "city", "month", "order_id", "delivery_time")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(dt <= on_time_minutes).alias("on_time"),
+                 F.sum(dt).alias("dsum"), F.count(dt).alias("dcnt"),
+                 F.sum("order_value").alias("rev"), F.count("order_value").alias("nv"),
+                 F.grouping_id().alias("gid")))
+    by_order, by_minute = F.col("gid") == 1, F.col("gid") == 2
+
+    def hist(c: str):
+        return F.sum(F.when(by_minute, F.col(c)))
+
+    minute = F.when(by_minute, dt)
+    out = sets.groupBy("city", "month").agg(
+        F.count_if(by_order & F.col("order_id").isNotNull()).alias("total_orders"),
+        (hist("dsum") / hist("dcnt")).alias("avg_delivery_time"),
+        F.percentile(minute, 0.5, F.col("n")).alias("median_delivery_time"),
+        F.percentile(minute, 0.95, F.col("n")).alias("p95_delivery_time"),
+        (hist("on_time") / hist("n") * 100).alias("on_time_delivery_rate"),
+        _double(hist("rev")).alias("total_revenue"),
+        F.try_divide(hist("rev").cast("double"), hist("nv")).alias("avg_order_value"))
     if ordered:
         out = out.orderBy(F.col("city").asc_nulls_first(), F.col("month").desc())
     return out
