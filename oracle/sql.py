@@ -378,7 +378,8 @@ def _city_growth():
     og = mean_k("og_k")
     dt = mean_k("adt_k")
     return with_tx(MOM_SQL) + f"""
-SELECT city, COUNT(*) AS months_of_data, SUM(orders) AS total_orders, SUM(customers) AS total_customers,
+SELECT city, COUNT(*) AS months_of_data, CAST(SUM(orders) AS BIGINT) AS total_orders,
+       CAST(SUM(customers) AS BIGINT) AS total_customers,
        CAST(SUM(revenue) AS DOUBLE) AS total_revenue,
        {dt} AS overall_avg_delivery_time,
        {og} AS avg_monthly_orders_growth,

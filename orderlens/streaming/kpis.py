@@ -34,7 +34,8 @@ def daily_kpis(orders: DataFrame, window: str = "1 day", watermark: str | None =
     src = orders.withWatermark("order_date", watermark) if watermark and orders.isStreaming else orders
     return (src.groupBy(F.window("order_date", window))
             .agg(F.count(F.lit(1)).alias("orders"), F.sum("order_value").alias("revenue"))
-            .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+            .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("window.end").cast("timestamp_ntz").alias("window_end"),
                     "orders", F.col("revenue").cast("double").alias("revenue")))
 
 
