@@ -8,6 +8,7 @@ one analysis at the fixed reference date ``AS_OF``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,7 +110,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("recent_orders")(lambda tx: P.recent_orders(tx, AS_OF))
     reg("validate_keys", ["order_id"])(validate)
     q["csv_round_trip"] = lambda spark, sf_dir: P.csv_round_trip(
-        _tx(spark, sf_dir), scratch_dir(spark, f"csv_round_trip/{abs(hash(sf_dir))}"))
+        _tx(spark, sf_dir), scratch_dir(spark, f"csv_round_trip/{uuid.uuid4().hex}"))
     reg("trailing_window", ["order_date"])(lambda tx: P.trailing_window(tx, AS_OF))
     reg("filter_city_dates")(lambda tx: A.filter_orders(tx, "ASIA", "2001-01-01", "2001-03-31"))
     reg("having_filter", ["order_id", "customer_id"])(P.having_filter)
@@ -147,7 +148,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("segment_profiles")(lambda tx: M.segment_profiles(tx, k=4))
     reg("segment_rules")(lambda tx: M.segment_rules(tx, AS_OF))
     q["model_round_trip"] = lambda spark, sf_dir: M.model_round_trip(
-        _tx(spark, sf_dir), scratch_dir(spark, f"segmentation_model/{abs(hash(sf_dir))}"))
+        _tx(spark, sf_dir), scratch_dir(spark, f"segmentation_model/{uuid.uuid4().hex}"))
     reg("delivery_model_metrics")(lambda tx: M.train_delivery_model(tx)[2])
     reg("regression_metrics")(lambda tx: M.regression_metrics(M.rule_prediction(tx)))
     reg("score_delivery")(lambda tx: M.score_delivery(*M.train_delivery_model(tx)[:2], tx))
@@ -162,7 +163,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # ---- streaming (2.14): the stream (rows) and its batch twin (oracle)
     q["stream_daily_kpis"] = lambda spark, sf_dir: ST.stream_daily_kpis(
         spark, f"{sf_dir.rstrip('/')}/events*.parquet",
-        scratch_dir(spark, f"stream_daily_kpis/{abs(hash(sf_dir))}"))
+        scratch_dir(spark, f"stream_daily_kpis/{uuid.uuid4().hex}"))
     q["daily_kpis_events"] = lambda spark, sf_dir: ST.daily_kpis(
         ST.purchases(read_table(spark, sf_dir, "events")))
     return q

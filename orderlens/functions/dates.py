@@ -81,3 +81,21 @@ def day_name(c: Column) -> Column:
 def weekday_mon0(c: Column) -> Column:
     """Monday = 0 ... Sunday = 6."""
     return F.weekday(c)
+
+
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_as_instant(c: Column) -> Column:
+    """TIMESTAMP_NTZ -> TIMESTAMP reading the wall clock as UTC, whatever the session time zone.
+
+    (A plain cast would read it in the session time zone.)  Streaming event
+    time must be a TIMESTAMP for watermarks.
+    """
+    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), c)
+    return F.timestamp_micros(micros)
+
+
+def instant_as_ntz(c: Column) -> Column:
+    """Inverse of ``ntz_as_instant``: TIMESTAMP -> UTC wall clock as TIMESTAMP_NTZ."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))

@@ -107,12 +107,3 @@ def transactions(spark: SparkSession, sf_dir: str,
     }
     return df.select(*[exprs[c].alias(c) for c in wanted])
 
-
-def purchase_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` purchases mapped to the order vocabulary (stream fixture, batch form)."""
-    ev = read_table(spark, sf_dir, "events")
-    return (ev.filter(F.col("event_type") == "purchase")
-            .select(F.col("event_id").cast("string").alias("order_id"),
-                    F.col("user_id").cast("string").alias("customer_id"),
-                    F.col("value").alias("order_value"),
-                    F.col("ts").cast("timestamp").alias("order_date")))

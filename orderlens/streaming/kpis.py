@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import instant_as_ntz, ntz_as_instant
+
 EVENTS = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
@@ -26,7 +28,7 @@ def purchases(events: DataFrame) -> DataFrame:
             .select(F.col("event_id").cast("string").alias("order_id"),
                     F.col("user_id").cast("string").alias("customer_id"),
                     F.col("value").cast("decimal(18,2)").alias("order_value"),
-                    F.col("ts").cast("timestamp").alias("order_date")))
+                    ntz_as_instant(F.col("ts")).alias("order_date")))
 
 
 def daily_kpis(orders: DataFrame, window: str = "1 day", watermark: str | None = "1 hour") -> DataFrame:
@@ -34,8 +36,8 @@ def daily_kpis(orders: DataFrame, window: str = "1 day", watermark: str | None =
     src = orders.withWatermark("order_date", watermark) if watermark and orders.isStreaming else orders
     return (src.groupBy(F.window("order_date", window))
             .agg(F.count(F.lit(1)).alias("orders"), F.sum("order_value").alias("revenue"))
-            .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+            .select(instant_as_ntz(F.col("window.start")).alias("window_start"),
+                    instant_as_ntz(F.col("window.end")).alias("window_end"),
                     "orders", F.col("revenue").cast("double").alias("revenue")))
 
 

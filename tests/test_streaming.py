@@ -40,3 +40,17 @@ def test_late_event_is_dropped(spark):
     got = {r["window_start"].day: (r["orders"], r["revenue"]) for r in spark.read.parquet(f"{base}/sink").collect()}
     assert got[1] == (1, 10.0)                       # the late 99.0 never reached day 1
     assert 5 not in got                              # day 5 is still open
+
+
+def test_windows_do_not_depend_on_session_time_zone(spark):
+    def starts():
+        return [r["window_start"] for r in
+                ST.daily_kpis(ST.purchases(read_table(spark, SF_MID, "events"))).orderBy("window_start").collect()]
+    utc = starts()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert starts() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert utc[0] == dt.datetime(2024, 1, 1)
