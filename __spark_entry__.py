@@ -151,6 +151,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         _tx(spark, sf_dir), scratch_dir(spark, f"segmentation_model/{uuid.uuid4().hex}"))
     reg("delivery_model_metrics")(lambda tx: M.train_delivery_model(tx)[2])
     reg("regression_metrics")(lambda tx: M.regression_metrics(M.rule_prediction(tx)))
+    reg("scoring_input_report")(M.required_field_report)
     reg("score_delivery")(lambda tx: M.score_delivery(*M.train_delivery_model(tx)[:2], tx))
     reg("prediction_interval")(lambda tx: M.prediction_interval(
         M.rule_prediction(tx).filter(F.col("prediction").isNotNull()).select(

@@ -891,3 +891,11 @@ SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
        CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end,
        COUNT(*) AS orders, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS revenue
 FROM events WHERE event_type = 'purchase' GROUP BY 1, 2"""
+
+
+ORACLES["scoring_input_report"] = with_tx() + """
+SELECT COUNT(*) AS rows, COUNT(*) - COUNT(restaurant_id) AS missing_restaurant_id,
+       COUNT(*) AS missing_customer_location, COUNT(*) - COUNT(order_value) AS missing_order_value,
+       COUNT(*) - COUNT(cuisine_type) AS missing_cuisine_type, COUNT(*) AS missing_peak_hour,
+       COUNT(*) AS missing_weather_condition
+FROM transactions"""

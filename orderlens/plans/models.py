@@ -103,8 +103,18 @@ def choose_k(tx: DataFrame, max_k: int = 10, seed: int = 42) -> DataFrame:
                                  "k int, silhouette double, training_cost double, chosen boolean")
 
 
-def fit_segmentation(tx: DataFrame, k: int = 4, seed: int = 42) -> PipelineModel:
-    return segmentation_pipeline(k, seed).fit(_segment_input(tx))
+def fit_segmentation(tx: DataFrame, k: int = 4, seed: int = 42, n_init: int = 1) -> PipelineModel:
+    """Fit scaler + KMeans; ``n_init`` > 1 restarts with seeds seed..seed+n_init-1 and keeps
+    the lowest training cost (scikit-learn's restarts)."""
+    data = _segment_input(tx)
+    if n_init <= 1:
+        return segmentation_pipeline(k, seed).fit(data)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fits = [segmentation_pipeline(k, seed + i).fit(data) for i in range(n_init)]
+    finally:
+        data.unpersist()
+    return min(fits, key=lambda m: m.stages[-1].summary.trainingCost)
 
 
 def customer_segments(tx: DataFrame, k: int = 4, optimize: bool = False, max_k: int = 10,
@@ -226,6 +236,19 @@ def train_delivery_model(tx: DataFrame, grid: dict | None = None, folds: int = 3
     return best, stats, _one_row(spark, metrics)
 
 
+# The fields a delivery-time request must carry (the prediction endpoint's check).
+REQUIRED_FIELDS = ["restaurant_id", "customer_location", "order_value", "cuisine_type", "peak_hour",
+                   "weather_condition"]
+
+
+def required_field_report(orders: DataFrame) -> DataFrame:
+    """Per required field, the rows that lack it (absent columns count every row)."""
+    present = set(orders.columns)
+    n = F.count(F.lit(1))
+    cols = [(n - F.count(F.col(c))) if c in present else n for c in REQUIRED_FIELDS]
+    return orders.agg(n.alias("rows"), *[c.alias(f"missing_{f}") for c, f in zip(cols, REQUIRED_FIELDS)])
+
+
 def score_delivery(model: PipelineModel, stats, orders: DataFrame, floor_minutes: float = 10.0,
                    confidence: float = 0.95) -> DataFrame:
     """Batch scoring: prediction floored at 10 minutes, plus the fixed-width interval."""

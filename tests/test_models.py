@@ -57,3 +57,16 @@ def test_stratified_split_exact_per_class(spark):
     s = stratified_split(f, "customer_id", "churned", 0.2, 42)
     for r in s.groupBy("churned").agg(F.count("*").alias("n"), F.count_if("is_test").alias("t")).collect():
         assert r["t"] == -(-r["n"] * 2 // 10)          # ceil(0.2 n)
+
+
+def test_kmeans_restarts_keep_lowest_cost(spark):
+    tx = transactions(spark, SF_SMALL)
+    one = M.fit_segmentation(tx, k=3, n_init=1).stages[-1].summary.trainingCost
+    best = M.fit_segmentation(tx, k=3, n_init=3).stages[-1].summary.trainingCost
+    assert best <= one + 1e-9
+
+
+def test_required_field_report_counts_absent_columns(spark):
+    tx = transactions(spark, SF_SMALL)
+    r = M.required_field_report(tx).first()
+    assert r["missing_weather_condition"] == r["rows"] and r["missing_order_value"] == 0
