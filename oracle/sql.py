@@ -598,7 +598,7 @@ ORACLES["repeat_rate"] = _insights("repeat")
 def _overview():
     return with_tx(DF) + """
 SELECT COUNT(*) AS total_records, MIN(order_date) AS min_date, MAX(order_date) AS max_date,
-       list_sort(list(DISTINCT city)) AS cities
+       COUNT(DISTINCT city) AS cities
 FROM df"""
 
 
