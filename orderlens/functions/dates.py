@@ -27,9 +27,23 @@ def days_back(as_of: AsOf, days: int) -> Column:
     return F.date_sub(lit_date(as_of), days)
 
 
+PARTITION_COLUMN = "order_month"   # 'yyyy-MM' partitions written by sources.files.write_table
+
+
+def _month_bound(df: DataFrame, col: str) -> bool:
+    return col == "order_date" and PARTITION_COLUMN in df.columns
+
+
 def since(df: DataFrame, lower: Column, col: str = "order_date") -> DataFrame:
-    """Trailing window: lower bound only (rows after ``as_of`` pass, as in the SQL)."""
-    return df.filter(F.col(col) >= lower.cast("timestamp_ntz"))
+    """Trailing window: lower bound only (rows after ``as_of`` pass, as in the SQL).
+
+    On a table partitioned by order month, the same bound is also stated on
+    the partition column, so the scan skips older partitions.
+    """
+    out = df.filter(F.col(col) >= lower.cast("timestamp_ntz"))
+    if _month_bound(df, col):
+        out = out.filter(F.col(PARTITION_COLUMN) >= F.date_format(lower, "yyyy-MM"))
+    return out
 
 
 def trailing(df: DataFrame, as_of: AsOf, months: int | None = None,
@@ -45,13 +59,16 @@ def day_range(df: DataFrame, start: AsOf | None, end: AsOf | None,
     ``end_inclusive_day=False`` keeps the text-comparison behaviour of the
     reference database, where ``order_date <= 'YYYY-MM-DD'`` stops at midnight.
     """
+    pruned = _month_bound(df, col)
     if start is not None:
-        df = df.filter(F.col(col) >= lit_date(start).cast("timestamp_ntz"))
+        df = since(df, lit_date(start), col)
     if end is not None:
         if end_inclusive_day:
             df = df.filter(F.col(col) < F.date_add(lit_date(end), 1).cast("timestamp_ntz"))
         else:
             df = df.filter(F.col(col) <= lit_date(end).cast("timestamp_ntz"))
+        if pruned:
+            df = df.filter(F.col(PARTITION_COLUMN) <= F.date_format(lit_date(end), "yyyy-MM"))
     return df
 
 

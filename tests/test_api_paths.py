@@ -92,3 +92,21 @@ def test_dashboard_frame_default_selection(spark):
     tx = make_tx(spark, [{"order_date": "2024-03-01 00:00:00"}, {"order_date": "2024-02-29 23:59:59"},
                          {"order_date": "2024-03-31 23:59:59"}, {"order_date": "2024-04-01 00:00:00"}])
     assert DB.dashboard_frame(tx, AS_OF).count() == 2
+
+
+def test_month_partitioned_table_prunes_and_agrees(spark):
+    from conftest import SF_SMALL
+    from orderlens.sources.fixture import transactions
+    tx = transactions(spark, SF_SMALL)
+    path = scratch_dir(spark, "test_partitioned_table")
+    files.write_table(tx, path)
+    stored = spark.read.parquet(path)
+    as_of = dt.date(2001, 8, 1)
+    plain = C.clv(tx, as_of, ordered=False)
+    pruned = C.clv(stored, as_of, ordered=False)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    import re
+    assert re.search(r"PartitionFilters: \[isnotnull\(order_month#\d+\), \(order_month#\d+ >= 2000-08\)\]", plan)
+    assert sorted(plain.collect()) == sorted(pruned.collect())
+    win = A.filter_orders(stored, date_from="2001-07-01", date_to="2001-07-31")
+    assert win.count() == A.filter_orders(tx, date_from="2001-07-01", date_to="2001-07-31").count()
