@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.rounding import as_dec, exact_mean, mean_as_double, percent, round_half_up
+from ..functions.rounding import exact_mean, mean_as_double, percent, round_half_up
 from .customers import cohort_retention
 
 

@@ -102,30 +102,6 @@ def hourly_heatmap(df: DataFrame) -> DataFrame:
     return days.join(F.broadcast(counts), "day_index", "left").orderBy("day_index")
 
 
-def peak_hour(df: DataFrame) -> DataFrame:
-    """Busiest hour (smallest hour on ties, like ``idxmax`` over sorted groups)."""
-    by_hour = (df.filter(F.col("order_date").isNotNull())
-               .groupBy(F.hour("order_date").alias("h")).agg(F.count(F.lit(1)).alias("n")))
-    best = F.max(F.struct(F.col("n").alias("n"), (-F.col("h")).alias("neg_h"))).alias("m")
-    return by_hour.agg(best).select((-F.col("m.neg_h")).cast("bigint").alias("peak_hour"),
-                                    F.col("m.n").alias("peak_orders"))
-
-
-def best_city(df: DataFrame) -> DataFrame:
-    """City with the highest revenue (first city name on ties)."""
-    by_city = (df.filter(F.col("city").isNotNull()).groupBy("city")
-               .agg(F.sum("order_value").alias("rev")))
-    return by_city.agg(F.min_by("city", F.struct(-F.col("rev"), F.col("city"))).alias("best_city"),
-                       F.max("rev").cast("double").alias("best_city_revenue"))
-
-
-def delivery_status(df: DataFrame) -> DataFrame:
-    avg_dt = F.col("avg_delivery_time")
-    return df.agg(F.avg("delivery_time").alias("avg_delivery_time")).withColumn(
-        "delivery_status", F.when(avg_dt <= 30, "Excellent").when(avg_dt <= 40, "Good")
-        .otherwise("Needs Improvement"))
-
-
 def repeat_rate(df: DataFrame) -> DataFrame:
     """Share of customers with more than one order (two-level aggregate)."""
     per_customer = (df.filter(F.col("customer_id").isNotNull()).groupBy("customer_id")
