@@ -31,7 +31,11 @@ AS_OF = dt.date(2001, 8, 1)
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 _ALL = None
+# Columns each query reads: `transactions` joins lines / parts only when a listed
+# column needs them (a left join cannot be pruned by the optimizer).
 _CLV_COLS = ["order_id", "customer_id", "order_value", "order_date"]
+_DT = ["order_date", "order_value", "delivery_time"]
+_ORDER_STATS = ["city", "order_date", "order_id", "customer_id", "order_value", "delivery_time"]
 
 
 def _tx(spark: SparkSession, sf_dir: str, cols=_ALL) -> DataFrame:
@@ -71,38 +75,38 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("churn_risk", _CLV_COLS)(lambda tx: C.churn_risk(tx, AS_OF))
     reg("cuisine_pairs", _CLV_COLS + ["cuisine_type"])(lambda tx: C.cuisine_pairs(tx))
     reg("cross_sell", _CLV_COLS + ["cuisine_type"])(lambda tx: C.cross_sell(tx, AS_OF))
-    reg("delivery_performance")(lambda tx: O.delivery_performance(tx, AS_OF))
-    reg("peak_hours")(lambda tx: O.peak_hours(tx, AS_OF))
-    reg("demand_level")(lambda tx: O.demand_level(tx, AS_OF))
-    reg("restaurant_performance")(lambda tx: O.restaurant_performance(tx, AS_OF))
-    reg("month_over_month")(lambda tx: O.month_over_month(tx, AS_OF))
-    reg("city_growth")(lambda tx: O.city_growth(tx, AS_OF))
-    reg("executive_summary")(lambda tx: O.executive_summary(tx, AS_OF))
+    reg("delivery_performance", _ORDER_STATS)(lambda tx: O.delivery_performance(tx, AS_OF))
+    reg("peak_hours", _DT)(lambda tx: O.peak_hours(tx, AS_OF))
+    reg("demand_level", _DT)(lambda tx: O.demand_level(tx, AS_OF))
+    reg("restaurant_performance", _ORDER_STATS + ["restaurant_id", "cuisine_type"])(lambda tx: O.restaurant_performance(tx, AS_OF))
+    reg("month_over_month", _ORDER_STATS)(lambda tx: O.month_over_month(tx, AS_OF))
+    reg("city_growth", _ORDER_STATS)(lambda tx: O.city_growth(tx, AS_OF))
+    reg("executive_summary", _DT + ["customer_id", "restaurant_id"])(lambda tx: O.executive_summary(tx, AS_OF))
 
     # ---- API metrics (2.12)
-    reg("retention_summary")(lambda tx: A.retention_summary(tx, AS_OF))
-    reg("city_breakdown")(lambda tx: A.city_breakdown(tx, AS_OF))
-    reg("operational_metrics")(lambda tx: A.operational_metrics(tx, AS_OF))
-    reg("status_breakdown")(lambda tx: A.status_breakdown(tx, AS_OF))
-    reg("daily_summary")(lambda tx: A.daily_summary(tx, AS_OF))
-    reg("weekly_trend")(lambda tx: A.weekly_trend(tx, AS_OF))
-    reg("weekly_trend_json")(lambda tx: A.weekly_trend_json(tx, AS_OF))
-    reg("top_cities")(lambda tx: A.top_cities(tx, AS_OF))
+    reg("retention_summary", _CLV_COLS)(lambda tx: A.retention_summary(tx, AS_OF))
+    reg("city_breakdown", _DT + ["city"])(lambda tx: A.city_breakdown(tx, AS_OF))
+    reg("operational_metrics", _DT + ["customer_id", "restaurant_id"])(lambda tx: A.operational_metrics(tx, AS_OF))
+    reg("status_breakdown", _DT + ["delivery_status", "payment_method"])(lambda tx: A.status_breakdown(tx, AS_OF))
+    reg("daily_summary", _DT)(lambda tx: A.daily_summary(tx, AS_OF))
+    reg("weekly_trend", ["order_date", "order_value"])(lambda tx: A.weekly_trend(tx, AS_OF))
+    reg("weekly_trend_json", ["order_date", "order_value"])(lambda tx: A.weekly_trend_json(tx, AS_OF))
+    reg("top_cities", _DT + ["city"])(lambda tx: A.top_cities(tx, AS_OF))
 
     # ---- dashboard tables (2.13), over the page's default selection
-    def dash(name, fn):
-        reg(name)(lambda tx: fn(DB.dashboard_frame(tx, AS_OF)))
-
-    dash("kpi_cards", lambda df: DB.kpi_cards(df, AS_OF))
-    dash("daily_revenue", lambda df: DB.daily_revenue(df, AS_OF))
-    dash("city_performance", DB.city_performance)
-    dash("delivery_box_stats", DB.delivery_box_stats)
-    dash("hourly_heatmap", DB.hourly_heatmap)
-    dash("operational_insights", DB.operational_insights)
-    dash("peak_hour_and_best_city", DB.peak_hour_and_best_city)
-    dash("repeat_rate", DB.repeat_rate)
-    dash("dataset_overview", DB.dataset_overview)
-    dash("distinct_cities", DB.distinct_cities)
+    def dash(name, fn, cols):
+        reg(name, cols)(lambda tx: fn(DB.dashboard_frame(tx, AS_OF)))
+
+    dash("kpi_cards", lambda df: DB.kpi_cards(df, AS_OF), _DT + ["customer_id"])
+    dash("daily_revenue", lambda df: DB.daily_revenue(df, AS_OF), ["order_id", "order_date", "order_value"])
+    dash("city_performance", DB.city_performance, _DT + ["city"])
+    dash("delivery_box_stats", DB.delivery_box_stats, ["city", "order_date", "delivery_time"])
+    dash("hourly_heatmap", DB.hourly_heatmap, ["order_date"])
+    dash("operational_insights", DB.operational_insights, _DT + ["city", "customer_id"])
+    dash("peak_hour_and_best_city", DB.peak_hour_and_best_city, ["order_date", "order_value", "city"])
+    dash("repeat_rate", DB.repeat_rate, ["customer_id", "order_date"])
+    dash("dataset_overview", DB.dataset_overview, ["order_date", "city"])
+    dash("distinct_cities", DB.distinct_cities, ["order_date", "city"])
 
     # ---- single operators (2.1-2.8)
     reg("scan_transactions")(lambda tx: tx)
@@ -120,7 +124,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("group_city_month", ["city", "order_date", "order_value"])(P.group_city_month)
     reg("distinct_counts", ["city", "customer_id", "restaurant_id", "order_id"])(P.distinct_counts)
     reg("delivery_percentiles", ["city", "delivery_time"])(P.delivery_percentiles)
-    reg("latest_order_attrs")(P.latest_order_attrs)
+    reg("latest_order_attrs", ["order_id", "customer_id", "order_date", "city", "cuisine_type"])(P.latest_order_attrs)
     reg("ntile_scores", ["customer_id", "order_value"])(P.ntile_scores)
     reg("rank_in_city", ["city", "restaurant_id", "order_value"])(P.rank_in_city)
     reg("top_preference", _CLV_COLS + ["cuisine_type"])(lambda tx: P.top_preference(tx, AS_OF))
@@ -132,12 +136,12 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("order_complexity", ["order_id", "order_value"])(P.order_complexity)
 
     # ---- features (2.10)
-    reg("segmentation_features")(FE.segmentation_features)
+    reg("segmentation_features", _DT + ["customer_id"])(FE.segmentation_features)
     reg("delivery_features")(FE.delivery_features)
     reg("churn_features")(FE.churn_features)
     reg("churn_label")(lambda tx: FE.churn_features(tx).select("customer_id", "churned"))
     reg("label_encoding", ["order_id", "city", "cuisine_type"])(FE.label_encoding)
-    reg("standardize")(lambda tx: FE.standardize(FE.segmentation_features(tx), FE.SEGMENT_FEATURES,
+    reg("standardize", _DT + ["customer_id"])(lambda tx: FE.standardize(FE.segmentation_features(tx), FE.SEGMENT_FEATURES,
                                                  "customer_id"))
     reg("train_test_split")(lambda tx: stratified_split(
         FE.churn_features(tx).select("customer_id", "churned"), "customer_id", "churned"))
@@ -146,7 +150,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("choose_k")(lambda tx: M.choose_k(tx, max_k=5))
     reg("customer_segments")(lambda tx: M.customer_segments(tx, k=4))
     reg("segment_profiles")(lambda tx: M.segment_profiles(tx, k=4))
-    reg("segment_rules")(lambda tx: M.segment_rules(tx, AS_OF))
+    reg("segment_rules", _CLV_COLS + ["delivery_time"])(lambda tx: M.segment_rules(tx, AS_OF))
     q["model_round_trip"] = lambda spark, sf_dir: M.model_round_trip(
         _tx(spark, sf_dir), scratch_dir(spark, f"segmentation_model/{uuid.uuid4().hex}"))
     reg("delivery_model_metrics")(lambda tx: M.train_delivery_model(tx)[2])

@@ -122,13 +122,17 @@ def side_by_side(*parts: DataFrame) -> DataFrame:
     return first.select("*", *extra)
 
 
-def _insight_sets(df: DataFrame, with_customers: bool) -> DataFrame:
-    """Hour, city, (customer) and grand-total groups of the selection in one aggregate."""
-    sets = [["h"], ["city"]] + ([["customer_id"]] if with_customers else []) + [[]]
+def _insight_sets(df: DataFrame, full: bool) -> DataFrame:
+    """Hour, city, (customer and grand-total) groups of the selection in one aggregate."""
+    sets = [["h"], ["city"]] + ([["customer_id"], []] if full else [])
     rows = df.withColumn("h", F.hour("order_date"))
+    if not full:
+        rows = rows.withColumn("customer_id", F.lit(None).cast("string"))
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum("order_value").alias("rev")]
+    if full:
+        aggs.append(F.avg("delivery_time").alias("avg_dt"))
     return (rows.groupingSets(sets, "h", "city", "customer_id")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("order_value").alias("rev"),
-                 F.avg("delivery_time").alias("avg_dt"), F.grouping_id().alias("gid")))
+            .agg(*aggs, F.grouping_id().alias("gid")))
 
 
 # grouping_id bits over (h, city, customer_id): 1 = not grouped
