@@ -25,6 +25,7 @@ from orderlens.operators.split import stratified_split
 from orderlens.session import scratch_dir
 from orderlens.sources.schema import validate
 from orderlens.sources.fixture import read_table, transactions
+from orderlens.sources.schema import COLUMNS as TX_COLUMNS
 from orderlens.streaming import kpis as ST
 
 AS_OF = dt.date(2001, 8, 1)
@@ -56,12 +57,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return C.clv(_tx(spark, SMOKE_DIR, _CLV_COLS), AS_OF)
 
 
+# key -> (analysis over a transactions frame, columns it reads); filled by _registry
+ANALYSES: dict[str, tuple[Callable[[DataFrame], DataFrame], list[str] | None]] = {}
+
+
 def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
     def reg(name: str, cols=_ALL):
         def deco(fn):
             q[name] = lambda spark, sf_dir: _final(fn(_tx(spark, sf_dir, cols)))
+            ANALYSES[name] = (fn, cols)
             return fn
         return deco
 
@@ -178,6 +184,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return _registry()
 
 
+def analyses() -> dict[str, tuple[Callable[[DataFrame], DataFrame], list[str] | None]]:
+    """The same analyses as functions of a ``transactions`` frame (e.g. a stored table)."""
+    _registry()
+    return dict(ANALYSES)
+
+
 def oracle_sql() -> dict[str, str]:
     from oracle.sql import ORACLES
     return {k: v for k, v in ORACLES.items() if k in _registry()}
