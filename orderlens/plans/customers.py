@@ -117,9 +117,6 @@ def cohort_retention(tx: DataFrame, period: str = "monthly", horizon: int = 12,
 
 
 # ---------------------------------------------------------------- Q3 RFM
-RFM_CATEGORIES = "Champions, Loyal Customers, Potential Loyalists, At Risk, Cannot Lose Them, New Customers, Others"
-
-
 def rfm(tx: DataFrame, as_of, months: int = 12, orientation: str = "as_written",
         method: str = "distributed", ordered: bool = True) -> DataFrame:
     """RFM scores (three global NTILE(5)) and the seven ordered categories.
