@@ -14,6 +14,11 @@ def _double(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
+def _distinct(c: str, approximate: bool) -> Column:
+    """Exact COUNT(DISTINCT) by default; HyperLogLog++ (1 % error) as an opt-in for large scale."""
+    return F.approx_count_distinct(c, 0.01) if approximate else F.count_distinct(c)
+
+
 # ---------------------------------------------------------------- Q4
 def delivery_performance(tx: DataFrame, as_of, months: int = 6, on_time_minutes: int = 30,
                          ordered: bool = True) -> DataFrame:
@@ -95,7 +100,8 @@ def demand_level(tx: DataFrame, as_of, days: int = 30) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q6
-def restaurant_performance(tx: DataFrame, as_of, months: int = 3, ordered: bool = True) -> DataFrame:
+def restaurant_performance(tx: DataFrame, as_of, months: int = 3, ordered: bool = True,
+                           approximate: bool = False) -> DataFrame:
     """Restaurant x cuisine x city metrics with three RANKs inside the city.
 
     Ranks are taken over restaurant aggregates (far fewer rows than orders);
@@ -103,12 +109,12 @@ def restaurant_performance(tx: DataFrame, as_of, months: int = 3, ordered: bool
     """
     w = D.trailing(tx, as_of, months=months)
     m = w.groupBy("restaurant_id", "cuisine_type", "city").agg(
-        F.count_distinct("order_id").alias("total_orders"),
+        _distinct("order_id", approximate).alias("total_orders"),
         F.avg("delivery_time").alias("_dt"),
         exact_mean("delivery_time", integral=True).alias("_dt_exact"),
         F.sum("order_value").alias("_rev"),
         exact_mean("order_value").alias("_aov"),
-        F.count_distinct("customer_id").alias("unique_customers"))
+        _distinct("customer_id", approximate).alias("unique_customers"))
     city = Window.partitionBy("city")
     ranked = m.select(
         "*",
@@ -136,18 +142,18 @@ def restaurant_performance(tx: DataFrame, as_of, months: int = 3, ordered: bool
 
 
 # ---------------------------------------------------------------- Q9
-def monthly_city_metrics(tx: DataFrame, as_of, months: int = 12) -> DataFrame:
+def monthly_city_metrics(tx: DataFrame, as_of, months: int = 12, approximate: bool = False) -> DataFrame:
     w = D.trailing(tx, as_of, months=months)
     return w.groupBy("city", D.month_label(F.col("order_date")).alias("month")).agg(
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
+        _distinct("order_id", approximate).alias("orders"),
+        _distinct("customer_id", approximate).alias("customers"),
         F.sum("order_value").alias("revenue"),
         F.round(exact_mean("delivery_time", integral=True), 2).alias("avg_delivery_time"))
 
 
-def month_over_month(tx: DataFrame, as_of, months: int = 12) -> DataFrame:
+def month_over_month(tx: DataFrame, as_of, months: int = 12, approximate: bool = False) -> DataFrame:
     """Growth against the previous month *present* for the city (gaps are not filled)."""
-    m = monthly_city_metrics(tx, as_of, months)
+    m = monthly_city_metrics(tx, as_of, months, approximate)
     w = Window.partitionBy("city").orderBy("month")     # <= months rows per city
     prev_o = F.lag("orders").over(w)
     prev_r = F.lag("revenue").over(w)
@@ -157,14 +163,15 @@ def month_over_month(tx: DataFrame, as_of, months: int = 12) -> DataFrame:
         F.when(prev_r > 0, percent_change(F.col("revenue"), prev_r)).alias("revenue_growth_rate"))
 
 
-def city_growth(tx: DataFrame, as_of, months: int = 12, ordered: bool = True) -> DataFrame:
+def city_growth(tx: DataFrame, as_of, months: int = 12, ordered: bool = True,
+                approximate: bool = False) -> DataFrame:
     """Per city: months with a previous month, totals, mean growth and bands.
 
     As written: the first month of each city has no growth and is dropped
     before the totals; customers are summed over months (a customer active in
     two months counts twice); the delivery mean is the mean of rounded means.
     """
-    g = month_over_month(tx, as_of, months).filter(F.col("orders_growth_rate").isNotNull())
+    g = month_over_month(tx, as_of, months, approximate).filter(F.col("orders_growth_rate").isNotNull())
     agg = g.groupBy("city").agg(
         F.count(F.lit(1)).alias("months_of_data"),
         F.sum("orders").alias("total_orders"),
@@ -185,7 +192,8 @@ def city_growth(tx: DataFrame, as_of, months: int = 12, ordered: bool = True) ->
 
 
 # ---------------------------------------------------------------- Q10
-def executive_summary(tx: DataFrame, as_of, days: int = 30, as_json: bool = False) -> DataFrame:
+def executive_summary(tx: DataFrame, as_of, days: int = 30, as_json: bool = False,
+                      approximate: bool = False) -> DataFrame:
     """Six 30-day KPIs in one scan and one aggregate (the SQL runs six subqueries)."""
     w = D.trailing(tx, as_of, days=days)
     k = w.agg(
@@ -193,8 +201,8 @@ def executive_summary(tx: DataFrame, as_of, days: int = 30, as_json: bool = Fals
         round_half_up(F.sum("order_value")).alias("total_revenue_last_30_days"),
         round_half_up(exact_mean("order_value")).alias("avg_order_value_last_30_days"),
         round_half_up(exact_mean("delivery_time", integral=True)).alias("avg_delivery_time_last_30_days"),
-        F.count_distinct("customer_id").alias("active_customers_last_30_days"),
-        F.count_distinct("restaurant_id").alias("active_restaurants_last_30_days"))
+        _distinct("customer_id", approximate).alias("active_customers_last_30_days"),
+        _distinct("restaurant_id", approximate).alias("active_restaurants_last_30_days"))
     out = k.select(F.lit("Overall Performance").alias("metric_category"), "*")
     if as_json:
         metrics = F.to_json(F.struct(*[c for c in k.columns]), {"ignoreNullFields": "false"})

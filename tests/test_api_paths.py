@@ -110,3 +110,15 @@ def test_month_partitioned_table_prunes_and_agrees(spark):
     assert sorted(plain.collect()) == sorted(pruned.collect())
     win = A.filter_orders(stored, date_from="2001-07-01", date_to="2001-07-31")
     assert win.count() == A.filter_orders(tx, date_from="2001-07-01", date_to="2001-07-31").count()
+
+
+def test_approximate_distinct_counts_close_to_exact(spark):
+    from conftest import SF_MID
+    from orderlens.plans import operations as O
+    from orderlens.sources.fixture import transactions
+    tx = transactions(spark, SF_MID)
+    as_of = dt.date(2001, 8, 1)
+    exact = O.executive_summary(tx, as_of).first()
+    approx = O.executive_summary(tx, as_of, approximate=True).first()
+    for c in ("active_customers_last_30_days", "active_restaurants_last_30_days"):
+        assert abs(approx[c] - exact[c]) <= max(2, 0.03 * exact[c])
