@@ -8,9 +8,16 @@ one analysis at the fixed reference date ``AS_OF``.
 from __future__ import annotations
 
 import datetime as dt
+import os
+import sys
 import uuid
 from collections.abc import Callable
 
+# the package and the oracles live next to this file
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
