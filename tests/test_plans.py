@@ -1,5 +1,7 @@
 """Plan shape: no Python in the hot path, one scan where the SQL had six, pruned reads."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -38,3 +40,22 @@ def test_clv_reads_no_lineitem_and_prunes_columns(spark):
 def test_distributed_ntile_has_no_ntile_window(spark):
     p = plan(E.queries()["rfm"](spark, SF_SMALL))
     assert "ntile(" not in p.lower()
+
+
+@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in SLOW))
+def test_no_cross_or_nested_loop_join(spark, key):
+    p = plan(E.queries()[key](spark, SF_SMALL))
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_percentile_buffers_are_not_per_order(spark):
+    import re
+    p = plan(E.queries()["delivery_performance"](spark, SF_SMALL))
+    for keys in re.findall(r"ObjectHashAggregate\(keys=\[([^\]]*)\]", p):
+        assert "order_id" not in keys
+
+
+def test_band_join_equi_keys_include_time_bucket(spark):
+    """The band join is an equi-join on (customer, day bucket) with the band as residual."""
+    p = plan(E.queries()["cuisine_pairs"](spark, SF_SMALL))
+    assert re.search(r"Join \[k#\d+, b#\d+L?\], \[k#\d+, b#\d+L?\], Inner, .*<= 30\)", p)
