@@ -184,6 +184,11 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         scratch_dir(spark, f"stream_daily_kpis/{uuid.uuid4().hex}"))
     q["daily_kpis_events"] = lambda spark, sf_dir: ST.daily_kpis(
         ST.purchases(read_table(spark, sf_dir, "events")))
+    q["stream_hourly_kpis"] = lambda spark, sf_dir: ST.stream_daily_kpis(
+        spark, f"{sf_dir.rstrip('/')}/events*.parquet",
+        scratch_dir(spark, f"stream_hourly_kpis/{uuid.uuid4().hex}"), window="1 hour", watermark="10 minutes")
+    q["hourly_kpis_events"] = lambda spark, sf_dir: ST.daily_kpis(
+        ST.purchases(read_table(spark, sf_dir, "events")), window="1 hour")
     return q
 
 

@@ -899,3 +899,9 @@ SELECT COUNT(*) AS rows, COUNT(*) - COUNT(restaurant_id) AS missing_restaurant_i
        COUNT(*) - COUNT(cuisine_type) AS missing_cuisine_type, COUNT(*) AS missing_peak_hour,
        COUNT(*) AS missing_weather_condition
 FROM transactions"""
+
+ORACLES["hourly_kpis_events"] = """
+SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start,
+       CAST(date_trunc('hour', ts) + INTERVAL 1 HOUR AS TIMESTAMP) AS window_end,
+       COUNT(*) AS orders, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM events WHERE event_type = 'purchase' GROUP BY 1, 2"""

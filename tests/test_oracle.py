@@ -13,7 +13,7 @@ from conftest import SF_SMALL
 
 SLOW = {"choose_k", "customer_segments", "segment_profiles", "model_round_trip",
         "delivery_model_metrics", "score_delivery", "churn_model_metrics", "score_churn",
-        "stream_daily_kpis", "csv_round_trip"}
+        "stream_daily_kpis", "stream_hourly_kpis", "csv_round_trip"}
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
