@@ -122,3 +122,12 @@ def test_approximate_distinct_counts_close_to_exact(spark):
     approx = O.executive_summary(tx, as_of, approximate=True).first()
     for c in ("active_customers_last_30_days", "active_restaurants_last_30_days"):
         assert abs(approx[c] - exact[c]) <= max(2, 0.03 * exact[c])
+
+
+def test_command_line_job_writes_output(spark, capsys):
+    from conftest import SF_SMALL
+    from orderlens.__main__ import main
+    assert main(["--list"]) == 0 and "clv" in capsys.readouterr().out.split()
+    out = scratch_dir(spark, "test_cli_clv")
+    assert main(["clv", "--fixture", SF_SMALL, "--as-of", "2001-08-01", "--output", out]) == 0
+    assert spark.read.parquet(out).count() > 0
