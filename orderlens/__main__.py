@@ -1,4 +1,4 @@
-"""Run one analysis as a Spark job: ``spark-submit -m orderlens`` or ``python -m orderlens``.
+"""Run one analysis as a Spark job: ``python -m orderlens`` (or ``spark-submit orderlens/__main__.py``).
 
     python -m orderlens clv --input s3://bucket/transactions --as-of 2001-08-01 \\
         --output s3://bucket/reports/clv --format parquet
