@@ -18,12 +18,12 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import api as A
-from .plans import customers as C
-from .plans import dashboard as DB
-from .plans import features as FE
-from .plans import operations as O
-from .sources.schema import conform
+from orderlens.plans import api as A
+from orderlens.plans import customers as C
+from orderlens.plans import dashboard as DB
+from orderlens.plans import features as FE
+from orderlens.plans import operations as O
+from orderlens.sources.schema import conform
 
 
 def _jobs():
@@ -55,11 +55,11 @@ def _jobs():
 
 def _read(spark: SparkSession, args) -> DataFrame:
     if args.fixture:
-        from .sources.fixture import transactions
+        from orderlens.sources.fixture import transactions
         return transactions(spark, args.fixture)
     reader = spark.read
     if args.input_format == "csv":
-        from .sources.files import read_csv
+        from orderlens.sources.files import read_csv
         return conform(read_csv(spark, args.input).drop("_corrupt_record"))
     return conform(getattr(reader, args.input_format)(args.input))
 
