@@ -3,6 +3,7 @@
     python -m orderlens clv --input s3://bucket/transactions --as-of 2001-08-01 \\
         --output s3://bucket/reports/clv --format parquet
     python -m orderlens --list
+    python -m orderlens prepare --input raw/ --input-format csv --output warehouse/transactions
 
 ``--input`` is any Parquet / CSV / JSON source with the fact-table columns
 (conformed to the schema); ``--fixture DIR`` builds ``transactions`` from the
@@ -68,7 +69,9 @@ def main(argv: list[str] | None = None) -> int:
     jobs = _jobs()
     p = argparse.ArgumentParser(prog="orderlens", description=__doc__,
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
-    p.add_argument("analysis", nargs="?", choices=sorted(jobs))
+    p.add_argument("analysis", nargs="?", choices=sorted(jobs) + ["prepare"],
+                   help="an analysis, or 'prepare' to write the conformed fact table "
+                        "as Parquet partitioned by order month")
     p.add_argument("--list", action="store_true", help="list the analyses")
     src = p.add_mutually_exclusive_group()
     src.add_argument("--input", help="fact table path")
@@ -85,6 +88,12 @@ def main(argv: list[str] | None = None) -> int:
     if not (args.input or args.fixture) or not (args.output or args.show):
         p.error("need --input or --fixture, and --output or --show")
     spark = SparkSession.builder.appName(f"orderlens-{args.analysis}").getOrCreate()
+    if args.analysis == "prepare":
+        from orderlens.sources.files import write_table
+        if not args.output:
+            p.error("prepare needs --output")
+        write_table(_read(spark, args), args.output)
+        return 0
     result = jobs[args.analysis](_read(spark, args), dt.date.fromisoformat(args.as_of))
     if args.show:
         result.show(args.show, truncate=False)

@@ -131,3 +131,6 @@ def test_command_line_job_writes_output(spark, capsys):
     out = scratch_dir(spark, "test_cli_clv")
     assert main(["clv", "--fixture", SF_SMALL, "--as-of", "2001-08-01", "--output", out]) == 0
     assert spark.read.parquet(out).count() > 0
+    table = scratch_dir(spark, "test_cli_prepare")
+    assert main(["prepare", "--fixture", SF_SMALL, "--output", table]) == 0
+    assert "order_month" in spark.read.parquet(table).columns
