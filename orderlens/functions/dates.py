@@ -46,6 +46,16 @@ def since(df: DataFrame, lower: Column, col: str = "order_date") -> DataFrame:
     return out
 
 
+def between(df: DataFrame, lower: Column, upper: Column, col: str = "order_date") -> DataFrame:
+    """Inclusive range on timestamps (bounds may be runtime values such as scalar subqueries);
+    restated on the month partition column when present."""
+    out = df.filter(F.col(col).between(lower, upper))
+    if _month_bound(df, col):
+        out = out.filter(F.col(PARTITION_COLUMN).between(F.date_format(lower, "yyyy-MM"),
+                                                         F.date_format(upper, "yyyy-MM")))
+    return out
+
+
 def trailing(df: DataFrame, as_of: AsOf, months: int | None = None,
              days: int | None = None, col: str = "order_date") -> DataFrame:
     lower = months_back(as_of, months) if months is not None else days_back(as_of, days)

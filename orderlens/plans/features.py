@@ -105,22 +105,22 @@ def churn_features(tx: DataFrame, prediction_window_days: int = 30,
     """Customer features over a 90-day observation window ending 30 days before the last order.
 
     The window end is an uncorrelated scalar subquery (the last order minus
-    the prediction window; no driver round trip); the churn label (an order
-    after the window) and all features come from one aggregation over each
-    customer's orders.
+    the prediction window; no driver round trip).  Statistics and the churn
+    label (an order after the window) come from one hash aggregation over each
+    customer's orders; the latest city and cuisine need a struct-valued
+    ``max_by`` (sort-based), so it runs separately over the observation window
+    only and is joined back by customer.
     """
     last = tx.agg(F.max("order_date")).scalar()
-    rows = tx.withColumn("_end", last - F.make_dt_interval(F.lit(prediction_window_days)))
-    start = F.col("_end") - F.make_dt_interval(F.lit(observation_days))
-    obs = F.col("order_date").between(start, F.col("_end"))
+    end = last - F.make_dt_interval(F.lit(prediction_window_days))
+    start = end - F.make_dt_interval(F.lit(observation_days))
+    obs = F.col("order_date").between(start, end)
 
     def o(c: str) -> Column:
         return F.when(obs, F.col(c))
 
-    latest = F.max_by(F.struct("city", "cuisine_type"),
-                      F.when(obs, F.struct("order_date", "order_id")))
-    g = (rows.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        F.first("_end").alias("_end"),
+    known = tx.filter(F.col("customer_id").isNotNull())
+    g = (known.groupBy("customer_id").agg(
         F.count(o("order_id")).alias("total_orders"),
         F.sum(o("order_value")).alias("total_spent"),
         _bround(exact_mean(o("order_value"))).alias("avg_order_value"),
@@ -129,9 +129,12 @@ def churn_features(tx: DataFrame, prediction_window_days: int = 30,
         F.bround(F.stddev_samp(o("delivery_time")), 2).alias("delivery_consistency"),
         F.min(o("order_date")).alias("_first"), F.max(o("order_date")).alias("_last"),
         F.count_if(obs).alias("_in_window"),
-        F.max("order_date").alias("_latest_any"),
-        latest.alias("_cat"))
+        F.max("order_date").alias("_latest_any"))
          .filter(F.col("_in_window") > 0))
+    latest = (D.between(known, start, end).groupBy(F.col("customer_id").alias("_c"))
+              .agg(F.max_by(F.struct("city", "cuisine_type"), F.struct("order_date", "order_id"))
+                   .alias("_cat")))
+    g = g.join(latest, g["customer_id"] == latest["_c"], "left")
     days_active = D.elapsed_days(F.col("_last"), F.col("_first")) + 1
     zero2 = F.lit(0).cast("decimal(20,2)")
     return g.select(
@@ -143,10 +146,10 @@ def churn_features(tx: DataFrame, prediction_window_days: int = 30,
         F.coalesce("delivery_consistency", F.lit(0.0)).alias("delivery_consistency"),
         days_active.alias("days_active"),
         (F.col("total_orders") / days_active).alias("order_frequency"),
-        D.elapsed_days(F.col("_end"), F.col("_last")).alias("days_since_last_order"),
+        D.elapsed_days(end, F.col("_last")).alias("days_since_last_order"),
         F.coalesce(F.col("_cat.city"), F.lit("0")).alias("city"),
         F.coalesce(F.col("_cat.cuisine_type"), F.lit("0")).alias("cuisine_type"),
-        (~(F.col("_latest_any") > F.col("_end"))).alias("churned"))
+        (~(F.col("_latest_any") > end)).alias("churned"))
 
 
 # ---------------------------------------------------------------- F4
