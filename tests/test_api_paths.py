@@ -134,3 +134,19 @@ def test_command_line_job_writes_output(spark, capsys):
     table = scratch_dir(spark, "test_cli_prepare")
     assert main(["prepare", "--fixture", SF_SMALL, "--output", table]) == 0
     assert "order_month" in spark.read.parquet(table).columns
+
+
+def test_jdbc_options_partition_the_read():
+    o = files.jdbc_options("jdbc:postgresql://db/x", "transactions", lower="2020-01-01",
+                           upper="2024-01-01", partitions=32)
+    assert o["partitionColumn"] == "order_date" and o["numPartitions"] == "32"
+    assert "partitionColumn" not in files.jdbc_options("jdbc:postgresql://db/x", "t")
+
+
+def test_export_csv_uses_dated_folder_and_json_records(spark):
+    tx = make_tx(spark, [{"order_id": "o1", "order_value": 5, "order_date": "2024-03-10 10:00:00"}])
+    path = DB.export_csv(tx, scratch_dir(spark, "test_export"), AS_OF)
+    assert path.endswith("food_delivery_data_20240331")
+    assert files.read_csv(spark, path).select("order_id").first()["order_id"] == "o1"
+    rec = files.json_records(tx.select("order_id", "order_value")).first()["record"]
+    assert rec == '{"order_id":"o1","order_value":5.00}'
