@@ -24,8 +24,18 @@ def _money(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
-# ---------------------------------------------------------------- Q1 CLV
+# The labels and thresholds the analyses must output, in rule order.
 CLV_BANDS = [(2000, "High Value"), (1000, "Medium Value"), (500, "Low Value")]
+CLV_DEFAULT_BAND = "Very Low Value"
+RFM_CATEGORIES = ["Champions", "Loyal Customers", "Potential Loyalists", "At Risk",
+                  "Cannot Lose Them", "New Customers", "Others"]
+CHURN_LEVELS = ["High Risk", "Medium Risk", "Low Risk", "Active"]     # > 3x, 2x, 1x the mean gap
+CHURN_ACTIONS = ["Priority Retention", "Standard Retention", "Engagement Campaign", "Monitor"]
+PRIORITY_SPEND = 1000
+ENGAGEMENT_ORDERS = 10
+
+
+# ---------------------------------------------------------------- Q1 CLV
 
 
 def customer_metrics(tx: DataFrame) -> DataFrame:
@@ -54,7 +64,7 @@ def clv(tx: DataFrame, as_of, months: int = 12, ordered: bool = True) -> DataFra
                    lifetime.cast("bigint").alias("customer_lifetime_days"),
                    round_half_up(F.col("_freq")).alias("projected_annual_orders"),
                    round_half_up(F.col("_clv")).alias("customer_lifetime_value"),
-                   band.otherwise("Very Low Value").alias("customer_segment"),
+                   band.otherwise(CLV_DEFAULT_BAND).alias("customer_segment"),
                    "_clv"))
     if ordered:
         out = out.orderBy(F.col("_clv").desc_nulls_last(), "customer_id")
@@ -142,13 +152,14 @@ def rfm(tx: DataFrame, as_of, months: int = 12, orientation: str = "as_written",
     scored = ntile(scored, 5, key("frequency", conventional), "frequency_score")
     scored = ntile(scored, 5, key("monetary", conventional), "monetary_score")
     r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")
-    category = (F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
-                .when((r >= 3) & (f >= 3) & (m >= 3), "Loyal Customers")
-                .when((r >= 3) & (f <= 2), "Potential Loyalists")
-                .when((r <= 2) & (f >= 3), "At Risk")
-                .when((r <= 2) & (f <= 2) & (m >= 3), "Cannot Lose Them")
-                .when((r >= 3) & (f <= 1), "New Customers")
-                .otherwise("Others"))
+    champions, loyal, potential, at_risk, cannot_lose, new, others = RFM_CATEGORIES
+    category = (F.when((r >= 4) & (f >= 4) & (m >= 4), champions)
+                .when((r >= 3) & (f >= 3) & (m >= 3), loyal)
+                .when((r >= 3) & (f <= 2), potential)
+                .when((r <= 2) & (f >= 3), at_risk)
+                .when((r <= 2) & (f <= 2) & (m >= 3), cannot_lose)
+                .when((r >= 3) & (f <= 1), new)
+                .otherwise(others))
     out = scored.select("customer_id", "recency_days", "frequency",
                         round_half_up(F.col("monetary")).alias("monetary_value"),
                         "recency_score", "frequency_score", "monetary_score",
@@ -179,15 +190,16 @@ def churn_risk(tx: DataFrame, as_of, min_orders: int = 2, ordered: bool = True)
     g = g.filter((F.col("total_orders") >= min_orders) & (F.col("gaps") >= 1))
     mean_gap = F.col("gap_days") / F.col("gaps")          # double, unrounded
     days = F.col("days_since_last_order")
-    level = (F.when(days > mean_gap * 3, "High Risk").when(days > mean_gap * 2, "Medium Risk")
-             .when(days > mean_gap, "Low Risk").otherwise("Active"))
+    high, medium, low, active = CHURN_LEVELS
+    level = (F.when(days > mean_gap * 3, high).when(days > mean_gap * 2, medium)
+             .when(days > mean_gap, low).otherwise(active))
     spent = F.round(F.col("spent"), 2)
-    action = (F.when((F.col("churn_risk_level") == "High Risk") & (F.col("total_spent") >= 1000),
-                     "Priority Retention")
-              .when(F.col("churn_risk_level") == "High Risk", "Standard Retention")
-              .when((F.col("churn_risk_level") == "Medium Risk") & (F.col("total_orders") >= 10),
-                    "Engagement Campaign")
-              .otherwise("Monitor"))
+    lvl = F.col("churn_risk_level")
+    priority, standard, engagement, monitor = CHURN_ACTIONS
+    action = (F.when((lvl == high) & (F.col("total_spent") >= PRIORITY_SPEND), priority)
+              .when(lvl == high, standard)
+              .when((lvl == medium) & (F.col("total_orders") >= ENGAGEMENT_ORDERS), engagement)
+              .otherwise(monitor))
     out = (g.select("customer_id", "total_orders", "last_order_date", "days_since_last_order",
                     round_half_up(as_dec("gap_days") / F.col("gaps")).alias("avg_days_between_orders"),
                     spent.cast("double").alias("total_spent"),
@@ -195,9 +207,7 @@ def churn_risk(tx: DataFrame, as_of, min_orders: int = 2, ordered: bool = True)
                     level.alias("churn_risk_level"))
            .withColumn("recommended_action", action))
     if ordered:
-        rank = (F.when(F.col("churn_risk_level") == "High Risk", 1)
-                .when(F.col("churn_risk_level") == "Medium Risk", 2)
-                .when(F.col("churn_risk_level") == "Low Risk", 3).otherwise(4))
+        rank = F.when(lvl == high, 1).when(lvl == medium, 2).when(lvl == low, 3).otherwise(4)
         out = out.orderBy(rank, F.col("total_spent").desc(), "customer_id")
     return out
 

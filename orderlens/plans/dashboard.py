@@ -16,8 +16,11 @@ from ..functions import dates as D
 from ..functions.rounding import exact_mean, round_half_even
 from .api import daily_summary, filter_orders
 
-# pandas' day names, Monday first (the heatmap row order).
+# pandas' day names, Monday first (the heatmap row order), and the
+# delivery status bands of the insights card (<= 30 min, <= 40 min, else).
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+DELIVERY_STATUS = [(30, "Excellent"), (40, "Good")]
+DELIVERY_STATUS_DEFAULT = "Needs Improvement"
 
 
 def dashboard_frame(tx: DataFrame, as_of, start=None, end=None, city=None,
@@ -167,8 +170,9 @@ def operational_insights(df: DataFrame) -> DataFrame:
     """
     out = _insight_sets(df, True).agg(*_insight_columns(True, True))
     avg_dt = F.col("avg_delivery_time")
-    return (out.withColumn("delivery_status", F.when(avg_dt <= 30, "Excellent")
-                           .when(avg_dt <= 40, "Good").otherwise("Needs Improvement"))
+    (fast, fast_label), (ok, ok_label) = DELIVERY_STATUS
+    return (out.withColumn("delivery_status", F.when(avg_dt <= fast, fast_label)
+                           .when(avg_dt <= ok, ok_label).otherwise(DELIVERY_STATUS_DEFAULT))
             .withColumn("repeat_rate",
                         F.try_divide(F.col("repeat_customers"), F.col("total_customers")) * 100))
 

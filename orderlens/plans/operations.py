@@ -10,6 +10,25 @@ from ..functions.rounding import (as_dec, exact_mean, exact_ratio, mean_as_doubl
                                   percent_change, round_half_up)
 
 
+# The labels and thresholds the analyses must output, in rule order.
+DEMAND_LEVELS = ["Peak", "Normal", "Low"]               # >= 1.5 x mean cell count, >= mean, else
+PEAK_FACTOR = 1.5
+RESTAURANT_CATEGORIES = ["Top Performer", "High Revenue", "Fast Delivery", "High Volume", "Standard"]
+GROWTH_BANDS = [(10, "High Growth"), (5, "Moderate Growth"), (0, "Stable")]
+GROWTH_DEFAULT = "Declining"
+DELIVERY_BANDS = [(25, "Excellent"), (35, "Good"), (45, "Average")]
+DELIVERY_DEFAULT = "Needs Improvement"
+
+
+def _bands(value: Column, bands, default: str, at_least: bool) -> Column:
+    """First matching (threshold, label): value >= threshold (or <= threshold), else default."""
+    expr = None
+    for threshold, label in bands:
+        cond = value >= threshold if at_least else value <= threshold
+        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
+    return expr.otherwise(default)
+
+
 def _double(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
@@ -70,7 +89,7 @@ def hourly_cells(tx: DataFrame, as_of, days: int = 30) -> DataFrame:
         F.sum("order_value").alias("_rev"))
 
 
-def peak_hours(tx: DataFrame, as_of, days: int = 30, peak_factor: float = 1.5,
+def peak_hours(tx: DataFrame, as_of, days: int = 30, peak_factor: float = PEAK_FACTOR,
                ordered: bool = True) -> DataFrame:
     """Hour x day-name demand over the last ``days`` days.
 
@@ -81,8 +100,9 @@ def peak_hours(tx: DataFrame, as_of, days: int = 30, peak_factor: float = 1.5,
     cells = hourly_cells(tx, as_of, days)
     mean = F.avg("order_count").over(Window.partitionBy())
     day_total = F.sum("order_count").over(Window.partitionBy("day_of_week"))
-    level = (F.when(F.col("order_count") >= F.col("_mean") * peak_factor, "Peak")
-             .when(F.col("order_count") >= F.col("_mean"), "Normal").otherwise("Low"))
+    peak, normal, low = DEMAND_LEVELS
+    level = (F.when(F.col("order_count") >= F.col("_mean") * peak_factor, peak)
+             .when(F.col("order_count") >= F.col("_mean"), normal).otherwise(low))
     out = (cells.withColumn("_mean", mean).withColumn("_day", day_total)
            .select("day_of_week", "order_hour", "order_count",
                    round_half_up(F.col("_dt")).alias("avg_delivery_time"),
@@ -122,9 +142,10 @@ def restaurant_performance(tx: DataFrame, as_of, months: int = 3, ordered: bool
         F.rank().over(city.orderBy(F.col("total_orders").desc_nulls_last())).cast("bigint").alias("order_rank"),
         F.rank().over(city.orderBy(F.col("_dt").asc_nulls_first())).cast("bigint").alias("delivery_rank"))
     rev, dlv = F.col("revenue_rank"), F.col("delivery_rank")
-    category = (F.when((rev <= 5) & (dlv <= 10), "Top Performer").when(rev <= 10, "High Revenue")
-                .when(dlv <= 5, "Fast Delivery").when(F.col("total_orders") >= 100, "High Volume")
-                .otherwise("Standard"))
+    top, high_revenue, fast, high_volume, standard = RESTAURANT_CATEGORIES
+    category = (F.when((rev <= 5) & (dlv <= 10), top).when(rev <= 10, high_revenue)
+                .when(dlv <= 5, fast).when(F.col("total_orders") >= 100, high_volume)
+                .otherwise(standard))
     out = ranked.select(
         "restaurant_id", "cuisine_type", "city", "total_orders",
         round_half_up(F.col("_dt_exact")).alias("avg_delivery_time"),
@@ -182,10 +203,8 @@ def city_growth(tx: DataFrame, as_of, months: int = 12, ordered: bool = True,
         mean_as_double("revenue_growth_rate").alias("avg_monthly_revenue_growth"))
     og, dt = F.col("avg_monthly_orders_growth"), F.col("overall_avg_delivery_time")
     out = agg.withColumns({
-        "growth_category": F.when(og >= 10, "High Growth").when(og >= 5, "Moderate Growth")
-        .when(og >= 0, "Stable").otherwise("Declining"),
-        "delivery_performance": F.when(dt <= 25, "Excellent").when(dt <= 35, "Good")
-        .when(dt <= 45, "Average").otherwise("Needs Improvement")})
+        "growth_category": _bands(og, GROWTH_BANDS, GROWTH_DEFAULT, at_least=True),
+        "delivery_performance": _bands(dt, DELIVERY_BANDS, DELIVERY_DEFAULT, at_least=False)})
     if ordered:
         out = out.orderBy(F.col("avg_monthly_revenue_growth").desc_nulls_last(), "city")
     return out
