@@ -19,41 +19,10 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.plans import api as A
-from orderlens.plans import customers as C
-from orderlens.plans import dashboard as DB
-from orderlens.plans import features as FE
-from orderlens.plans import operations as O
+from orderlens.plans.catalog import jobs
 from orderlens.sources.schema import conform
 
 
-def _jobs():
-    """name -> function(tx, as_of) -> DataFrame."""
-    return {
-        "clv": C.clv, "clv_simple": lambda tx, _: C.clv_simple(tx),
-        "cohort_retention": lambda tx, _: C.cohort_retention(tx),
-        "cohort_retention_weekly": lambda tx, _: C.cohort_retention(tx, period="weekly"),
-        "rfm": C.rfm, "churn_risk": C.churn_risk, "cross_sell": C.cross_sell,
-        "cuisine_pairs": lambda tx, _: C.cuisine_pairs(tx),
-        "delivery_performance": O.delivery_performance, "peak_hours": O.peak_hours,
-        "restaurant_performance": O.restaurant_performance, "city_growth": O.city_growth,
-        "month_over_month": O.month_over_month,
-        "executive_summary": lambda tx, d: O.executive_summary(tx, d, as_json=True),
-        "retention_summary": A.retention_summary, "city_breakdown": A.city_breakdown,
-        "operational_metrics": A.operational_metrics, "status_breakdown": A.status_breakdown,
-        "daily_summary": A.daily_summary, "weekly_trend": A.weekly_trend, "top_cities": A.top_cities,
-        "kpi_cards": lambda tx, d: DB.kpi_cards(DB.dashboard_frame(tx, d), d),
-        "daily_revenue": lambda tx, d: DB.daily_revenue(DB.dashboard_frame(tx, d), d),
-        "city_performance": lambda tx, d: DB.city_performance(DB.dashboard_frame(tx, d)),
-        "delivery_box_stats": lambda tx, d: DB.delivery_box_stats(DB.dashboard_frame(tx, d)),
-        "hourly_heatmap": lambda tx, d: DB.hourly_heatmap(DB.dashboard_frame(tx, d)),
-        "operational_insights": lambda tx, d: DB.operational_insights(DB.dashboard_frame(tx, d)),
-        "segmentation_features": lambda tx, _: FE.segmentation_features(tx),
-        "delivery_features": lambda tx, _: FE.delivery_features(tx),
-        "churn_features": lambda tx, _: FE.churn_features(tx),
-    }
-
-
 def _read(spark: SparkSession, args) -> DataFrame:
     if args.fixture:
         from orderlens.sources.fixture import transactions
@@ -66,10 +35,10 @@ def _read(spark: SparkSession, args) -> DataFrame:
 
 
 def main(argv: list[str] | None = None) -> int:
-    jobs = _jobs()
+    table = jobs()
     p = argparse.ArgumentParser(prog="orderlens", description=__doc__,
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
-    p.add_argument("analysis", nargs="?", choices=sorted(jobs) + ["prepare"],
+    p.add_argument("analysis", nargs="?", choices=sorted(table) + ["prepare"],
                    help="an analysis, or 'prepare' to write the conformed fact table "
                         "as Parquet partitioned by order month")
     p.add_argument("--list", action="store_true", help="list the analyses")
@@ -83,7 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--show", type=int, default=0, help="print N rows instead of writing")
     args = p.parse_args(argv)
     if args.list or not args.analysis:
-        print("\n".join(sorted(jobs)))
+        print("\n".join(sorted(table)))
         return 0
     if not (args.input or args.fixture) or not (args.output or args.show):
         p.error("need --input or --fixture, and --output or --show")
@@ -94,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
             p.error("prepare needs --output")
         write_table(_read(spark, args), args.output)
         return 0
-    result = jobs[args.analysis](_read(spark, args), dt.date.fromisoformat(args.as_of))
+    result = table[args.analysis](_read(spark, args), dt.date.fromisoformat(args.as_of))
     if args.show:
         result.show(args.show, truncate=False)
     else:

@@ -150,3 +150,15 @@ def test_export_csv_uses_dated_folder_and_json_records(spark):
     assert files.read_csv(spark, path).select("order_id").first()["order_id"] == "o1"
     rec = files.json_records(tx.select("order_id", "order_value")).first()["record"]
     assert rec == '{"order_id":"o1","order_value":5.00}'
+
+
+def test_analyses_as_sql_views(spark):
+    from conftest import SF_SMALL
+    from orderlens.plans.views import register_views
+    from orderlens.sources.fixture import transactions
+    tx = transactions(spark, SF_SMALL)
+    names = register_views(tx, "2001-08-01", ["clv", "peak_hours", "city_growth"], prefix="v_")
+    assert names == ["v_clv", "v_peak_hours", "v_city_growth"]
+    n = spark.sql("SELECT count(*) AS n FROM v_clv WHERE customer_segment IS NOT NULL").first()["n"]
+    assert n == C.clv(tx, dt.date(2001, 8, 1)).count()
+    assert spark.sql("SELECT count(*) FROM v_transactions").first()[0] == tx.count()
