@@ -30,9 +30,9 @@ from orderlens.plans import operations as O
 from orderlens.plans import primitives as P
 from orderlens.operators.split import stratified_split
 from orderlens.session import scratch_dir
-from orderlens.sources.schema import validate
 from orderlens.sources.fixture import read_table, transactions
 from orderlens.sources.schema import COLUMNS as TX_COLUMNS
+from orderlens.sources.schema import validate
 from orderlens.streaming import kpis as ST
 
 AS_OF = dt.date(2001, 8, 1)
@@ -52,7 +52,6 @@ def _tx(spark: SparkSession, sf_dir: str, cols=_ALL) -> DataFrame:
 
 def _final(df: DataFrame) -> DataFrame:
     """Report types: DECIMAL money and rates become DOUBLE (exact values, cast last)."""
-    from pyspark.sql import functions as F
     from pyspark.sql.types import DecimalType
     return df.select(*[F.col(f.name).cast("double").alias(f.name)
                        if isinstance(f.dataType, DecimalType) else F.col(f.name)
@@ -91,16 +90,20 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("delivery_performance", _ORDER_STATS)(lambda tx: O.delivery_performance(tx, AS_OF))
     reg("peak_hours", _DT)(lambda tx: O.peak_hours(tx, AS_OF))
     reg("demand_level", _DT)(lambda tx: O.demand_level(tx, AS_OF))
-    reg("restaurant_performance", _ORDER_STATS + ["restaurant_id", "cuisine_type"])(lambda tx: O.restaurant_performance(tx, AS_OF))
+    reg("restaurant_performance", _ORDER_STATS + ["restaurant_id", "cuisine_type"])(
+        lambda tx: O.restaurant_performance(tx, AS_OF))
     reg("month_over_month", _ORDER_STATS)(lambda tx: O.month_over_month(tx, AS_OF))
     reg("city_growth", _ORDER_STATS)(lambda tx: O.city_growth(tx, AS_OF))
-    reg("executive_summary", _DT + ["customer_id", "restaurant_id"])(lambda tx: O.executive_summary(tx, AS_OF))
+    reg("executive_summary", _DT + ["customer_id", "restaurant_id"])(
+        lambda tx: O.executive_summary(tx, AS_OF))
 
     # ---- API metrics (2.12)
     reg("retention_summary", _CLV_COLS)(lambda tx: A.retention_summary(tx, AS_OF))
     reg("city_breakdown", _DT + ["city"])(lambda tx: A.city_breakdown(tx, AS_OF))
-    reg("operational_metrics", _DT + ["customer_id", "restaurant_id"])(lambda tx: A.operational_metrics(tx, AS_OF))
-    reg("status_breakdown", _DT + ["delivery_status", "payment_method"])(lambda tx: A.status_breakdown(tx, AS_OF))
+    reg("operational_metrics", _DT + ["customer_id", "restaurant_id"])(
+        lambda tx: A.operational_metrics(tx, AS_OF))
+    reg("status_breakdown", _DT + ["delivery_status", "payment_method"])(
+        lambda tx: A.status_breakdown(tx, AS_OF))
     reg("daily_summary", _DT)(lambda tx: A.daily_summary(tx, AS_OF))
     reg("weekly_trend", ["order_date", "order_value"])(lambda tx: A.weekly_trend(tx, AS_OF))
     reg("weekly_trend_json", ["order_date", "order_value"])(lambda tx: A.weekly_trend_json(tx, AS_OF))
@@ -137,7 +140,8 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("group_city_month", ["city", "order_date", "order_value"])(P.group_city_month)
     reg("distinct_counts", ["city", "customer_id", "restaurant_id", "order_id"])(P.distinct_counts)
     reg("delivery_percentiles", ["city", "delivery_time"])(P.delivery_percentiles)
-    reg("latest_order_attrs", ["order_id", "customer_id", "order_date", "city", "cuisine_type"])(P.latest_order_attrs)
+    reg("latest_order_attrs", ["order_id", "customer_id", "order_date", "city", "cuisine_type"])(
+        P.latest_order_attrs)
     reg("ntile_scores", ["customer_id", "order_value"])(P.ntile_scores)
     reg("rank_in_city", ["city", "restaurant_id", "order_value"])(P.rank_in_city)
     reg("top_preference", _CLV_COLS + ["cuisine_type"])(lambda tx: P.top_preference(tx, AS_OF))
@@ -154,8 +158,8 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("churn_features")(FE.churn_features)
     reg("churn_label")(lambda tx: FE.churn_features(tx).select("customer_id", "churned"))
     reg("label_encoding", ["order_id", "city", "cuisine_type"])(FE.label_encoding)
-    reg("standardize", _DT + ["customer_id"])(lambda tx: FE.standardize(FE.segmentation_features(tx), FE.SEGMENT_FEATURES,
-                                                 "customer_id"))
+    reg("standardize", _DT + ["customer_id"])(
+        lambda tx: FE.standardize(FE.segmentation_features(tx), FE.SEGMENT_FEATURES, "customer_id"))
     reg("train_test_split")(lambda tx: stratified_split(
         FE.churn_features(tx).select("customer_id", "churned"), "customer_id", "churned"))
 
@@ -178,7 +182,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("classification_metrics")(lambda tx: M.classification_counts(M.rule_churn_prediction(tx)))
     reg("score_churn")(lambda tx: M.score_churn(M.train_churn_model(tx)[0], tx))
 
-    # ---- streaming (2.14): the stream (rows) and its batch twin (oracle)
+    # ---- streaming (2.14): the streams (rows) and their batch twins (oracle)
     q["stream_daily_kpis"] = lambda spark, sf_dir: ST.stream_daily_kpis(
         spark, f"{sf_dir.rstrip('/')}/events*.parquet",
         scratch_dir(spark, f"stream_daily_kpis/{uuid.uuid4().hex}"))
