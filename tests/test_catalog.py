@@ -11,7 +11,9 @@ from orderlens.sources.fixture import transactions
 
 @pytest.fixture(scope="module")
 def tx(spark):
-    return transactions(spark, SF_SMALL).cache()
+    df = transactions(spark, SF_SMALL).cache()
+    yield df
+    df.unpersist()
 
 
 @pytest.mark.parametrize("name", sorted(jobs()))

@@ -23,7 +23,9 @@ def _rows(df, cols):
 def skewed(spark):
     tx = transactions(spark, SF_SMALL)
     hot = F.pmod(F.xxhash64("order_id"), F.lit(3)) == 0
-    return tx.withColumn("customer_id", F.when(hot, F.lit("HOT")).otherwise(F.col("customer_id"))).cache()
+    df = tx.withColumn("customer_id", F.when(hot, F.lit("HOT")).otherwise(F.col("customer_id"))).cache()
+    yield df
+    df.unpersist()
 
 
 def test_hot_customer_holds_a_third(skewed):
