@@ -70,3 +70,10 @@ def test_required_field_report_counts_absent_columns(spark):
     tx = transactions(spark, SF_SMALL)
     r = M.required_field_report(tx).first()
     assert r["missing_weather_condition"] == r["rows"] and r["missing_order_value"] == 0
+
+
+def test_same_seed_same_churn_metrics(spark):
+    tx = transactions(spark, SF_MID)
+    a = M.train_churn_model(tx, max_iter=5)[1].first().asDict()
+    b = M.train_churn_model(tx, max_iter=5)[1].first().asDict()
+    assert a == b
