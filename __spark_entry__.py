@@ -63,6 +63,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return C.clv(_tx(spark, SMOKE_DIR, _CLV_COLS), AS_OF)
 
 
+# Trained models shared by the metric and scoring keys of one application and data folder.
+_MODELS: dict[tuple, object] = {}
+
+
+def _trained(kind: str, spark: SparkSession, sf_dir: str, tx: DataFrame):
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = M.train_churn_model(tx) if kind == "churn" else M.train_delivery_model(tx)
+    return _MODELS[key]
+
+
 # key -> (analysis over a transactions frame, columns it reads); filled by _registry
 ANALYSES: dict[str, tuple[Callable[[DataFrame], DataFrame], list[str] | None]] = {}
 
@@ -170,17 +181,23 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("segment_rules", _CLV_COLS + ["delivery_time"])(lambda tx: M.segment_rules(tx, AS_OF))
     q["model_round_trip"] = lambda spark, sf_dir: M.model_round_trip(
         _tx(spark, sf_dir), scratch_dir(spark, f"segmentation_model/{uuid.uuid4().hex}"))
-    reg("delivery_model_metrics")(lambda tx: M.train_delivery_model(tx)[2])
+    def model_key(name, kind, use):
+        def run(spark, sf_dir):
+            tx = _tx(spark, sf_dir)
+            return _final(use(_trained(kind, spark, sf_dir, tx), tx))
+        q[name] = run
+
+    model_key("delivery_model_metrics", "delivery", lambda trained, tx: trained[2])
     reg("regression_metrics")(lambda tx: M.regression_metrics(M.rule_prediction(tx)))
     reg("scoring_input_report")(M.required_field_report)
-    reg("score_delivery")(lambda tx: M.score_delivery(*M.train_delivery_model(tx)[:2], tx))
+    model_key("score_delivery", "delivery", lambda trained, tx: M.score_delivery(trained[0], trained[1], tx))
     reg("prediction_interval")(lambda tx: M.prediction_interval(
         M.rule_prediction(tx).filter(F.col("prediction").isNotNull()).select(
             "order_id", F.greatest(F.col("prediction").cast("double"), F.lit(10.0))
             .alias("predicted_delivery_time")), "predicted_delivery_time"))
-    reg("churn_model_metrics")(lambda tx: M.train_churn_model(tx)[1])
+    model_key("churn_model_metrics", "churn", lambda trained, tx: trained[1])
     reg("classification_metrics")(lambda tx: M.classification_counts(M.rule_churn_prediction(tx)))
-    reg("score_churn")(lambda tx: M.score_churn(M.train_churn_model(tx)[0], tx))
+    model_key("score_churn", "churn", lambda trained, tx: M.score_churn(trained[0], tx))
 
     # ---- streaming (2.14): the streams (rows) and their batch twins (oracle)
     q["stream_daily_kpis"] = lambda spark, sf_dir: ST.stream_daily_kpis(
