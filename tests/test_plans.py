@@ -59,3 +59,9 @@ def test_band_join_equi_keys_include_time_bucket(spark):
     """The band join is an equi-join on (customer, day bucket) with the band as residual."""
     p = plan(E.queries()["cuisine_pairs"](spark, SF_SMALL))
     assert re.search(r"Join \[k#\d+, b#\d+L?\], \[k#\d+, b#\d+L?\], Inner, .*<= 30\)", p)
+
+
+@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in SLOW))
+def test_output_columns_unique_and_named(spark, key):
+    cols = E.queries()[key](spark, SF_SMALL).columns
+    assert len(cols) == len(set(cols)) and all(re.fullmatch(r"[a-z][a-z0-9_]*", c) for c in cols), cols
