@@ -50,12 +50,13 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--output", help="output path")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
     p.add_argument("--show", type=int, default=0, help="print N rows instead of writing")
+    p.add_argument("--explain", action="store_true", help="print the formatted physical plan instead")
     args = p.parse_args(argv)
     if args.list or not args.analysis:
         print("\n".join(sorted(table)))
         return 0
-    if not (args.input or args.fixture) or not (args.output or args.show):
-        p.error("need --input or --fixture, and --output or --show")
+    if not (args.input or args.fixture) or not (args.output or args.show or args.explain):
+        p.error("need --input or --fixture, and --output, --show or --explain")
     spark = SparkSession.builder.appName(f"orderlens-{args.analysis}").getOrCreate()
     if args.analysis == "prepare":
         from orderlens.sources.files import write_table
@@ -64,7 +65,9 @@ def main(argv: list[str] | None = None) -> int:
         write_table(_read(spark, args), args.output)
         return 0
     result = table[args.analysis](_read(spark, args), dt.date.fromisoformat(args.as_of))
-    if args.show:
+    if args.explain:
+        result.explain("formatted")
+    elif args.show:
         result.show(args.show, truncate=False)
     else:
         w = result.write.mode("overwrite")
