@@ -213,10 +213,28 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return q
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def _corpus() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and oracles of the ``llm`` subpackage and its pipeline; none where they are not installed."""
+    try:
+        import corpus_pipeline
+        from orderlens.llm.queries import ORACLES, QUERIES
+    except ModuleNotFoundError as e:
+        if e.name == "corpus_pipeline" or (e.name or "").startswith("orderlens.llm"):
+            return {}, {}
+        raise
+    oracles = dict(ORACLES) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return QUERIES | {"pipeline": corpus_pipeline.run}, oracles
+
+
+def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries over ``transactions``, without the corpus operators."""
     return _registry()
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _registry() | _corpus()[0]
+
+
 def analyses() -> dict[str, tuple[Callable[[DataFrame], DataFrame], list[str] | None]]:
     """The same analyses as functions of a ``transactions`` frame (e.g. a stored table)."""
     _registry()
@@ -225,4 +243,4 @@ def analyses() -> dict[str, tuple[Callable[[DataFrame], DataFrame], list[str] |
 
 def oracle_sql() -> dict[str, str]:
     from oracle.sql import ORACLES
-    return {k: v for k, v in ORACLES.items() if k in _registry()}
+    return {k: v for k, v in ORACLES.items() if k in _registry()} | _corpus()[1]

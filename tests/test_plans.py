@@ -18,7 +18,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in SLOW))
+@pytest.mark.parametrize("key", sorted(k for k in E.table_queries() if k not in SLOW))
 def test_no_python_udf(spark, key):
     p = plan(E.queries()[key](spark, SF_SMALL))
     assert not any(node in p for node in PYTHON_NODES)
@@ -42,7 +42,7 @@ def test_distributed_ntile_has_no_ntile_window(spark):
     assert "ntile(" not in p.lower()
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in SLOW))
+@pytest.mark.parametrize("key", sorted(k for k in E.table_queries() if k not in SLOW))
 def test_no_cross_or_nested_loop_join(spark, key):
     p = plan(E.queries()[key](spark, SF_SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
@@ -61,7 +61,7 @@ def test_band_join_equi_keys_include_time_bucket(spark):
     assert re.search(r"Join \[k#\d+, b#\d+L?\], \[k#\d+, b#\d+L?\], Inner, .*<= 30\)", p)
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in SLOW))
+@pytest.mark.parametrize("key", sorted(k for k in E.table_queries() if k not in SLOW))
 def test_output_columns_unique_and_named(spark, key):
     cols = E.queries()[key](spark, SF_SMALL).columns
     assert len(cols) == len(set(cols)) and all(re.fullmatch(r"[a-z][a-z0-9_]*", c) for c in cols), cols
