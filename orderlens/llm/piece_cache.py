@@ -9,6 +9,7 @@ the library whole.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 import numpy as np
@@ -208,6 +209,8 @@ def learn_with(model, joined: Callable[[list[bytes]], np.ndarray], separator: st
     one by one.
     """
 
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # tasks already use all cores
+
     def learn(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         mark = joined(pieces)
         ids_of: list[np.ndarray] = [np.empty(0, np.int32)] * len(pieces)
