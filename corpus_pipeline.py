@@ -1,23 +1,57 @@
 """The corpus pipeline: five operators of ``orderlens.llm`` one after the other.
 
-``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
-DataFrame that is written as Parquet and read again as the next one's ``docs``.
+``STAGES`` lists (name, function).  Each function takes (spark, docs, sf_dir) and returns a
+DataFrame, which is written as Parquet and read again as the next one's ``docs``; all but the last
+return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import byte_bpe
-from orderlens.llm.common import materialise, read_table
+from orderlens.llm import byte_bpe, decontaminate, language_id, line_dedup, near_dups
+from orderlens.llm.common import materialise, read_table, ship
 
 
-def byte_bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is rejected go."""
+    ship(spark)
+    return language_id.keep_identified(docs, language_id.fit(docs))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs are deleted; documents that this empties go."""
+    ship(spark)
+    return line_dedup.clean(docs, drop_emptied=True)
+
+
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    ship(spark)
+    return near_dups.keep_one(docs)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    ship(spark)
+    return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of what is left."""
+    ship(spark)
     return byte_bpe.round_trip(docs)
 
 
-STAGES = [("byte_bpe", byte_bpe_stage)]
+STAGES = [
+    ("language_id", language_stage),
+    ("line_dedup", line_stage),
+    ("near_dups", near_dup_stage),
+    ("decontaminate", benchmark_stage),
+    ("byte_bpe", token_stage),
+]
 
+# Language, near-duplicate and tokenizer stages are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import byte_bpe, token_files
+from orderlens.llm import (byte_bpe, decontaminate, language_id, line_dedup, near_dups, quality_rules,
+                           secret_scan, sharding, token_files, toxicity)
 from orderlens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,13 +23,48 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_documents(spark, sf_dir))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_documents(spark, sf_dir))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {
-    "op1_byte_bpe": op1_byte_bpe,
-    "op4_token_files": op4_token_files,
-}
+def op5_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.groups(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_documents(spark, sf_dir))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return language_id.predict(docs, language_id.fit(docs))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(_documents(spark, sf_dir))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "posterior")
+
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in (
+    op1_byte_bpe, op2_decontaminate, op3_secret_scan, op4_token_files, op5_near_dups, op6_sharding,
+    op7_language_id, op8_line_dedup, op9_toxicity, op10_quality_rules)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_decontaminate": decontaminate.ORACLE_SQL}

@@ -1,0 +1,499 @@
+"""Each operator against a brute-force version, a round trip or held-out accuracy."""
+
+import hashlib
+import math
+import os
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import pytest
+from pyspark.sql import Row
+
+from orderlens.llm import (byte_bpe, decontaminate, language_id, line_dedup, near_dups, quality_rules, queries,
+                           secret_scan, sharding, token_files, toxicity)
+from orderlens.llm.components import connected_components
+
+SF_SMALL, SF_MID = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+SHA = lambda b: hashlib.sha256(b).hexdigest()
+
+
+def rows_of(df, key="doc_id"):
+    return {r[key]: r for r in df.collect()}
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def texts(docs):
+    return {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Nulls, empty and long texts, repeated rows, and an extra column with a clashing name."""
+    rows = [(1, None, None, "x"), (2, "", "en", "x"), (3, " \n\t ", "en", "x"), (4, "word " * 60, "en", "y"),
+            (4, "word " * 60, "en", "y"), (5, "Ünïcode ñandú 日本語 \U0001F600 é don't 12.5\n\n  x", "es", None),
+            (None, "no id but some words in here to count", "en", "z"), (6, "a", None, "z"),
+            (7, "long " + "abc defg hij " * 20000, "en", "z")]
+    return spark.createDataFrame(
+        [Row(doc_id=a, text=b, lang=c, n_tokens=d) for a, b, c, d in rows],
+        "doc_id bigint, text string, lang string, n_tokens string")
+
+
+# ---- 1 byte-level BPE
+
+def tiktoken_model():
+    import base64
+    import public_tokenizers as P
+    import tiktoken
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_byte_bpe_against_the_rank_library(spark, texts):
+    enc = tiktoken_model()
+    got = rows_of(queries.op1_byte_bpe(spark, SF_SMALL))
+    assert len(got) == len(texts)
+    for i, t in texts.items():
+        ids = enc.encode_ordinary(t or "")
+        assert (got[i].n_tokens, got[i].ids_sha256, got[i].decoded_sha256) == (
+            len(ids), SHA(" ".join(map(str, ids)).encode()), SHA((t or "").encode()))
+
+
+def test_byte_bpe_odd_texts_offsets_and_decoding(spark, odd):
+    enc = tiktoken_model()
+    encoded = byte_bpe.encode(odd)
+    rows = encoded.collect()
+    want = sorted((enc.encode_ordinary(r.text or "") for r in odd.collect()), key=str)
+    assert sorted((r.ids for r in rows), key=str) == want
+    assert sorted((r.text for r in byte_bpe.decode(encoded).collect())) == sorted(r.text or "" for r in odd.collect())
+    t = next(r.text for r in odd.collect() if r.doc_id == 5)
+    r = next(r for r in rows if r.doc_id == 5)
+    raw = t.encode()
+    for k, (b, c) in enumerate(zip(r.byte_start, r.char_start)):
+        assert len(raw[:b].decode("utf-8", "ignore")) in (c, c + 0)
+    assert r.byte_start[0] == 0 and r.char_start == sorted(r.char_start)
+    assert byte_bpe.round_trip(odd.limit(0)).count() == 0
+
+
+# ---- 2 decontamination
+
+def words(t):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+
+
+def brute_contamination(docs, items, window=10):
+    wins = {}
+    for item, t in items:
+        w = words(t)
+        for p in range(max(len(w) - window, 0) + 1 if w else 0):
+            wins.setdefault(tuple(w[p:p + window]), set()).add(str(item))
+    out = {}
+    for i, t in docs:
+        w, hit, found = words(t), set(), set()
+        for n in {len(x) for x in wins}:
+            for p in range(len(w) - n + 1):
+                if tuple(w[p:p + n]) in wins:
+                    hit |= set(range(p, p + n))
+                    found |= wins[tuple(w[p:p + n])]
+        out[i] = (len(w), len(hit), len(found), SHA(",".join(sorted(found)).encode()), bool(hit))
+    return out
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_WINDOWS, 0])
+def test_decontamination_both_join_forms(spark, limit):
+    base = "one two three four five six seven eight nine ten eleven twelve"
+    items = [("a", base), ("b", "short item"), ("c", None), ("d", base), ("e", "the the the the the the the the the the the"),
+             ("f", "x")]
+    docs = [(1, "zero " + base.upper() + " end"), (2, "a short, item; short item"), (3, None), (4, "nothing here"),
+            (5, "the " * 30), (6, base.replace("six", "sechs")), (7, "x"), (8, "")]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    b = spark.createDataFrame(items, "item_id string, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated)
+           for r in decontaminate.report(d, b, broadcast_windows=limit).collect()}
+    assert got == brute_contamination(docs, items)
+    left = {r.doc_id for r in decontaminate.clean(d, b, broadcast_windows=limit).collect()}
+    assert left == {i for i, v in got.items() if not v[4]}
+    assert decontaminate.report(d, b.limit(0)).filter("contaminated").count() == 0
+    assert decontaminate.report(d.limit(0), b).count() == 0
+
+
+def test_decontamination_oracle(spark):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    df = queries.op2_decontaminate(spark, SF_SMALL)
+    rel = con.sql(decontaminate.ORACLE_SQL)
+    assert sorted(df.columns) == sorted(rel.columns)
+    assert sorted(map(tuple, df.select(*rel.columns).collect())) == sorted(rel.fetchall())
+
+
+def test_decontamination_repeated_rows(spark, odd):
+    b = spark.createDataFrame([("i", "word " * 12)], "item_id string, text string")
+    got = decontaminate.report(odd, b)
+    assert got.count() == odd.count() and got.filter("contaminated").count() == 2
+
+
+# ---- 3 secrets
+
+def brute_base(t):
+    out = []
+    for m in re.finditer(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t):
+        if len(m[2]) >= 6:
+            out.append(("assign", *m.span()))
+    out += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+    out += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+    return out
+
+
+def test_secret_base_spans(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_MID}/documents.parquet").collect()}
+    got = rows_of(queries.op3_secret_scan(spark, SF_MID))
+    kinds = Counter()
+    for i, t in texts.items():
+        want = brute_base(t or "")
+        n = Counter(k for k, _, _ in want)
+        kinds += n
+        assert (got[i].n_assign, got[i].n_access, got[i].n_hex) == (n["assign"], n["access"], n["hex"])
+        assert got[i].base_sha256 == SHA(secret_scan.joined(want).encode())
+        spans = set(filter(None, got[i].spans.split(",")))
+        assert {f"{k}:{a}:{b}" for k, a, b in want} <= spans
+    assert sum(kinds.values()) > 0
+
+
+def test_entropy_windows_against_brute_force():
+    import random
+    rnd = random.Random(3)
+    for _ in range(60):
+        s = "".join(rnd.choice("abcdefABCDEF0123456789+/xyzXYZ") for _ in range(rnd.randint(20, 90)))
+        marked = set()
+        for p in range(len(s) - 19):
+            w = s[p:p + 20]
+            h = -sum(c / 20 * math.log2(c / 20) for c in Counter(w).values())
+            if h >= 3.7 + 1e-9 and any(x.isdigit() for x in w) and any(x.isalpha() for x in w):
+                marked |= set(range(p, p + 20))
+        got = {i for a, b in secret_scan.entropy_runs(s, 3.7 + 1e-9) for i in range(a, b)}
+        assert got == marked
+
+
+def test_secret_cases(spark, odd):
+    token = "gH7kP2xQ9vL4mT8wZ3nB6yC1"
+    t = f"see {token} and EXAMPLE{token} é Password = 'hunter2x' ſecret: abcdefg token: abc"
+    d = spark.createDataFrame([(1, t)], "doc_id bigint, text string")
+    r = secret_scan.scan(d).first()
+    at = t.index(token)
+    assert f"entropy_base64:{at}:{at + len(token)}" in r.spans.split(",")
+    assert r.n_entropy == 1 and r.n_assign == 1          # allow-list; the long s is no letter of the pattern
+    assert secret_scan.scan(odd).count() == odd.count() and secret_scan.scan(odd.limit(0)).count() == 0
+
+
+# ---- 4 token files
+
+def brute_ids(texts):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    m = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    m.encode_special_tokens = True
+    return [m.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+
+
+def test_token_files_round_trip(spark, texts):
+    got = rows_of(queries.op4_token_files(spark, SF_SMALL))
+    start = 0
+    for i, ids in zip(sorted(texts), brute_ids([texts[i] for i in sorted(texts)])):
+        crc = zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids))
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), crc)
+        start += len(ids)
+
+
+def test_token_files_odd_rows_and_single_document(spark, odd, tmp_path):
+    files = token_files.write(odd, f"file:{tmp_path}/tokens")
+    rows = sorted(token_files.read(spark, files).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None, 1, 2, 3, 4, 4, 5, 6, 7]
+    want = {r.doc_id: brute_ids([r.text])[0] for r in odd.collect()}
+    at = 0
+    for r in rows:
+        assert r.ids == want[r.doc_id] and r.start == at
+        at += r.n_tokens
+    assert token_files.read_document(spark, files, 5) == want[5]
+    assert token_files.read_document(spark, files, 99) is None
+    empty = token_files.write(odd.limit(0), f"file:{tmp_path}/none")
+    assert token_files.read(spark, empty).count() == 0
+
+
+# ---- 5 near-duplicates
+
+def shingles(t):
+    w = [x for x in re.split("[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if x]
+    return {tuple(w[i:i + 5]) for i in range(max(len(w) - 5, 0) + 1)} if w else set()
+
+
+def brute_components(texts, percent=85):
+    sets = {i: shingles(t) for i, t in texts.items()}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1:]:
+            if sets[a] and sets[b]:
+                common = len(sets[a] & sets[b])
+                if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                    x, y = sorted((find(a), find(b)))
+                    root[y] = x
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+@pytest.mark.parametrize("sf", [SF_SMALL, SF_MID])
+def test_near_dups_against_all_pairs(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = rows_of(queries.op5_near_dups(spark, sf))
+    want = brute_components(texts)
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == want
+    assert all(r.kept == (i == r.component_id) for i, r in got.items())
+
+
+def test_near_dups_chain_of_groups(spark):
+    """Two stars joined only through members that are not leaders."""
+    import random
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    texts, now = {}, list(base)
+    for i in range(60):
+        texts[(i * 37) % 61] = " ".join(now)
+        now = list(now)
+        now[rnd.randrange(200)] = f"n{i}"
+        now[rnd.randrange(200)] = f"m{i}"
+    d = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dups.groups(d).collect()}
+    assert got == brute_components(texts)
+
+
+def test_near_dups_odd_rows(spark, odd):
+    got = near_dups.groups(odd).collect()
+    assert len(got) == odd.count()
+    by = {r.doc_id: r for r in got}
+    assert (by[4].n_shingles, by[4].component_id) == (1, 4) and by[1].n_shingles == 0 and by[1].kept
+    left = near_dups.keep_one(odd)
+    assert left.columns == odd.columns
+    assert sorted(str(r.doc_id) for r in left.collect()) == sorted(["1", "2", "3", "4", "5", "6", "7", "None"])
+    assert near_dups.groups(odd.limit(0)).count() == 0 and near_dups.keep_one(odd.limit(0)).count() == 0
+
+
+def test_connected_components(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, 90), (95, 90), (95, 101), (7, 7)]
+    df = connected_components(spark.createDataFrame(edges, "u bigint, v bigint"))
+    got = {r.node: r.root for r in df.collect()}
+    assert got == {i: 1 for i in range(1, 41)} | {i: 90 for i in (90, 95, 100, 101)}
+
+
+# ---- 6 sharding
+
+def test_sharding(spark, docs, odd):
+    got = queries.op6_sharding(spark, SF_SMALL).collect()
+    raw = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    assert {r.doc_id: (r.size, r.text_crc32) for r in got} == {i: (len(b) + 1, zlib.crc32(b)) for i, b in raw.items()}
+    for s in range(8):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    assert all(r.grown_shard in (r.shard, 8) and 0 <= r.shard < 8 and r.law == "key" for r in got)
+    assert any(r.grown_shard == 8 for r in got)
+    again = {r.doc_id: r.shard for r in sharding.assign(docs.repartition(5), shards=9).collect()}
+    assert again == {r.doc_id: r.grown_shard for r in got}
+    rows = sharding.assign(odd, bins=2).collect()
+    assert len(rows) == odd.count() and len({(r.shard, r.slot) for r in rows}) == len(rows)
+    assert sharding.assign(odd.limit(0)).count() == 0
+
+
+def test_sharding_weights(spark):
+    d = spark.range(20000).selectExpr("id as doc_id", "cast(id as string) as text")
+    n = Counter(r.shard for r in sharding.assign(d, weights=[1, 2, 1]).collect())
+    assert abs(n[1] / 20000 - 0.5) < 0.02 and abs(n[0] - n[2]) < 600
+
+
+# ---- 7 language
+
+def test_language_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    got = rows_of(queries.op7_language_id(spark, SF_MID))
+    truth = {r.doc_id: (r.lang, r.text) for r in docs.collect()}
+    held = [i for i, r in got.items() if r.held_out]
+    assert {i for i in got if zlib.crc32(str(i).encode()) % 4 == 2} == set(held)
+    right = sum(got[i].lang_pred == truth[i][0] for i in held)
+    assert right >= 0.95 * len(held)
+    assert sum(r.rejected for r in got.values()) <= 0.02 * len(got)
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_language_cases(spark, odd):
+    p = language_id.fit(odd)
+    got = language_id.predict(odd, p).collect()
+    assert len(got) == odd.count()
+    assert {r.lang_pred for r in got if r.doc_id in (1, 2, 3)} == {"und"}
+    assert {r.lang_pred for r in got} <= {"und", *p.languages}
+    none = language_id.predict(odd, language_id.fit(odd.limit(0)))
+    assert {r.lang_pred for r in none.collect()} == {"und"}
+    assert language_id.keep_identified(odd, p).columns == odd.columns
+
+
+# ---- 8 line runs
+
+def brute_lines(texts, least=50):
+    """Places in order; a run of enough words that begins earlier is deleted as far as it agrees."""
+    seq = {}
+    for i, t in texts.items():
+        seq[i] = [(k, x, len(re.split("[\x20\x09-\x0D]+", x.strip(" \t\n\x0b\x0c\r"))))
+                  for k, x in enumerate((t or "").split("\n")) if x.strip(" \t\n\x0b\x0c\r")]
+    first, gone = {}, {i: set() for i in texts}
+    for i in sorted(seq):
+        s = seq[i]
+        for p in range(len(s)):
+            n, m = 0, 0
+            while n < least and p + m < len(s):
+                n += s[p + m][2]
+                m += 1
+            if n < least:
+                continue
+            key = tuple(x for _, x, _ in s[p:p + m])
+            if key not in first:
+                first[key] = (i, p)
+                continue
+            j, q = first[key]
+            while p + m < len(s) and q + m < len(seq[j]) and s[p + m][1] == seq[j][q + m][1]:
+                m += 1
+            gone[i] |= {k for k, _, _ in s[p:p + m]}
+    return gone
+
+
+@pytest.mark.parametrize("sf", [SF_SMALL, SF_MID])
+def test_line_runs_against_brute_force(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    want = brute_lines(texts)
+    got = rows_of(queries.op8_line_dedup(spark, sf))
+    assert sum(map(len, want.values())) > 0
+    for i, t in texts.items():
+        assert {int(x) for x in got[i].deleted_lines.split(",") if x} == want[i]
+        assert got[i].text == "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want[i])
+
+
+def test_line_runs_small_lines(spark, odd):
+    """Runs of several short lines, maximal to the right, with blank lines between and overlaps."""
+    import random
+    rnd = random.Random(2)
+    lines = [" ".join(f"{c}{k}" for k in range(n)) for c, n in zip("abcdefgh", (3, 9, 14, 2, 30, 7, 55, 1))]
+    texts = {i: "\n".join(rnd.choice(lines + [""]) if rnd.random() < .9 else f"own{rnd.random()}"
+                          for _ in range(rnd.randint(0, 40))) for i in range(60)}
+    d = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = rows_of(line_dedup.report(d))
+    want = brute_lines(texts)
+    assert {i: {int(x) for x in r.deleted_lines.split(",") if x} for i, r in got.items()} == want
+    rep = line_dedup.report(odd)
+    assert rep.count() == odd.count() and line_dedup.report(odd.limit(0)).count() == 0
+    assert line_dedup.clean(odd).columns == odd.columns
+    assert {r.doc_id: r.text for r in line_dedup.clean(d).collect()} == {i: r.text for i, r in got.items()}
+
+
+# ---- 9 toxicity
+
+def test_toxicity_held_out(spark):
+    got = rows_of(queries.op9_toxicity(spark, SF_MID))
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF_MID}/labels.parquet").collect()}
+    held = [i for i in labels if got[i].held_out]
+    assert {i for i in got if zlib.crc32(str(i).encode()) % 4 == 2} == {i for i in got if got[i].held_out}
+    toxic, clean = [i for i in held if labels[i]], [i for i in held if not labels[i]]
+    assert sum(got[i].predicted for i in toxic) >= 0.8 * len(toxic)
+    assert sum(got[i].predicted for i in clean) <= 0.05 * len(clean)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got.values())
+
+
+def test_toxicity_cases(spark, odd):
+    labels = spark.createDataFrame([(4, 1), (5, 0), (7, 0), (6, None), (6, 3)], "doc_id bigint, toxic int")
+    w = toxicity.fit(odd, labels)
+    assert toxicity.score(odd, w).count() == odd.count()
+    one = toxicity.fit(odd, labels.filter("toxic = 0"))
+    assert not len(one.place) and toxicity.score(odd, one).filter("predicted = 1").count() == 0
+
+
+# ---- 10 quality
+
+def brute_measures(t):
+    t = t or ""
+    w = [x for x in re.split("[\x20\x09-\x0D]+", t) if x]
+    wins = Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
+    rep = {k for i in range(len(w) - 7) if wins[tuple(w[i:i + 8])] > 1 for k in range(i, i + 8)}
+    lines = [x for x in t.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(rep))
+
+
+def test_quality_measures(spark, odd):
+    for df in (spark.read.parquet(f"{SF_MID}/documents.parquet"), odd):
+        got = quality_rules.measures(df).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                                "n_repeat_words")
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(
+            str((r.doc_id, *brute_measures(r.text))) for r in df.collect())
+
+
+def test_quality_verdict(spark, odd):
+    got = rows_of(queries.op10_quality_rules(spark, SF_MID))
+    assert all(r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words) for r in got.values())
+    assert not any(r.kept and r.base_failed for r in got.values())
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_MID}/labels.parquet").collect()}
+    good = [i for i in labels if labels[i] and not got[i].base_failed]
+    assert sum(got[i].kept for i in good) >= 0.97 * len(good)
+    assert quality_rules.judge(odd).count() == odd.count() and quality_rules.judge(odd.limit(0)).count() == 0
+
+
+def test_em_finds_planted_accuracies(spark):
+    import random
+    rnd = random.Random(8)
+    acc = {"a": 0.95, "b": 0.8, "c": 0.65, "d": 0.9}
+    rows = []
+    for _ in range(4000):
+        y = 1 if rnd.random() < 0.7 else -1
+        rows.append(tuple(0 if rnd.random() < 0.2 else y if rnd.random() < p else -y for p in acc.values()))
+    df = spark.createDataFrame(rows, ", ".join(f"vote_{r} int" for r in acc))
+    m = quality_rules.fit(df, list(acc), steps=60)
+    assert abs(m.prior - 0.7) < 0.04
+    assert all(abs(m.accuracy[r] - acc[r]) < 0.05 for r in acc)
+
+
+# ---- plans and the pipeline
+
+NATIVE = {"op2_decontaminate", "op6_sharding", "op10_quality_rules"}
+
+
+@pytest.mark.parametrize("name", sorted(NATIVE))
+def test_native_plans(spark, name):
+    plan = queries.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan)
+
+
+def test_pipeline(spark):
+    import corpus_pipeline as C
+    assert [n for n, _ in C.STAGES] == ["language_id", "line_dedup", "near_dups", "decontaminate", "byte_bpe"]
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    kept = docs
+    for _, stage in C.STAGES[:-1]:
+        before, kept = kept, stage(spark, kept, SF_MID).cache()
+        assert kept.columns == docs.columns and 0 < kept.count() <= before.count()
+    texts = {r.doc_id: r.text for r in kept.collect()}
+    parts = brute_components(texts)
+    assert all(parts[i][1] == i for i in texts)
+    enc = tiktoken_model()
+    got = rows_of(C.run(spark, SF_MID))
+    assert {i: r.n_tokens for i, r in got.items()} == {i: len(enc.encode_ordinary(t or "")) for i, t in texts.items()}
+
+
+def test_every_query_is_registered():
+    import __spark_entry__ as E
+    names = [q for q in E.queries() if re.match(r"op\d+_", q)]
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert os.path.basename(E.__file__) == "__spark_entry__.py"
