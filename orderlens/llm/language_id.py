@@ -1,15 +1,16 @@
 """Operator 7: language identification by compression.
 
-Each language has a zstandard raw-content dictionary of sampled texts.  A text is encoded, in
-pieces of ``PIECE`` bytes that cover it whole, once per language; the language whose dictionary gives
-the fewest bytes in total wins, and the margin to the second decides about rejection.
+Each language has a zstandard raw-content dictionary of sampled texts.  A text, reduced to its
+lower-case words, is encoded once per language in pieces of ``PIECE`` bytes that cover it whole; the
+language whose dictionary gives the fewest bytes in total wins.  Texts of at least ``LEAST_BYTES``
+are rejected when the second language needs hardly more; shorter ones carry too few bytes for a margin.
 
 The dictionaries are fitted on a bounded sample of labelled rows: ``DICT_BYTES`` of text per
 language, from documents of at most ``SAMPLE_TEXT`` bytes, and ``MAX_LANGUAGES`` languages at most
 (more raise an error).  Only they are broadcast.
 
 Cases: null texts and texts without a letter are ``und`` with score 0 and rejected; ties go to the
-first language in alphabetical order; without any labelled row all are ``und``; repeated rows get
+language with more learning text, then the first in alphabetical order; without any labelled row all are ``und``; repeated rows get
 equal results; other columns are not read by a prediction.
 """
 
@@ -26,22 +27,29 @@ from pyspark.sql import functions as F
 
 from orderlens.llm.common import blocks, held_out, id_and_text, texts_of
 
-DICT_BYTES = 96 << 10
+DICT_BYTES = 192 << 10
 SAMPLE_TEXT = 16 << 10
 MAX_LANGUAGES = 200
 PIECE = 2048
-LEVEL = 3
+LEVEL = 6
 # Rejection: the second language needs less than this share of bytes more than the first.
 MARGIN = 0.002
+LEAST_BYTES = 200
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 class Profile(NamedTuple):
+    """Languages, those with more learning text first, and their dictionaries."""
     languages: tuple[str, ...]
     contents: tuple[bytes, ...]
 
 
+def reduced(text: str) -> bytes:
+    """The words of a text in lower case, as UTF-8."""
+    return " ".join(_WORD.findall(text.lower())).encode()
+
+
 def fit(docs: DataFrame, learn: Column | None = None, lang_col: str = "lang", id_col: str = "doc_id",
         text_col: str = "text") -> Profile:
     """Dictionaries from the rows that ``learn`` admits (default: rows that are not held out)."""
@@ -65,8 +73,8 @@ def fit(docs: DataFrame, learn: Column | None = None, lang_col: str = "lang", id
     contents = {lang: b"" for lang in sizes}
     for r in sorted(picked, key=lambda r: (r.h, r.text)):
         if len(contents[r.lang]) < DICT_BYTES:
-            contents[r.lang] += r.text.encode() + b"\n"
-    langs = tuple(sorted(lang for lang, c in contents.items() if len(c) >= 8))
+            contents[r.lang] += reduced(r.text) + b"\n"
+    langs = tuple(sorted((lang for lang, c in contents.items() if len(c) >= 8), key=lambda x: (-sizes[x], x)))
     return Profile(langs, tuple(contents[lang][:DICT_BYTES] for lang in langs))
 
 
@@ -82,17 +90,16 @@ def _compressors(profile: Profile) -> list[zstandard.ZstdCompressor]:
 
 def classify(text: str, profile: Profile, compressors: list) -> tuple[str, float, bool]:
     """Language, score (share of bytes that the second language needs more, 0 to 1), rejected."""
-    if not compressors or not _LETTER.search(text):
+    raw = reduced(text)
+    if not compressors or not raw:
         return UNKNOWN, 0.0, True
-    raw = text.encode()
     pieces = [raw[i:i + PIECE] for i in range(0, len(raw), PIECE)]
-    sizes = sorted((sum(len(c.compress(p)) for p in pieces), lang)
-                   for c, lang in zip(compressors, profile.languages))
-    best, lang = sizes[0]
+    sizes = sorted((sum(len(c.compress(p)) for p in pieces), k) for k, c in enumerate(compressors))
+    best, k = sizes[0]
     if len(sizes) == 1:
-        return lang, 1.0, False
+        return profile.languages[k], 1.0, False
     margin = sizes[1][0] / best - 1
-    return lang, min(1.0, max(0.0, margin)), margin < MARGIN
+    return profile.languages[k], min(1.0, max(0.0, margin)), len(raw) >= LEAST_BYTES and margin < MARGIN
 
 
 def _broadcast(docs: DataFrame, profile: Profile):

@@ -33,8 +33,10 @@ from orderlens.llm.common import blocks, held_out, id_and_text, materialise, tex
 BITS = 20
 MAX_ROWS = 100_000
 SHARDS = 4
-ROUNDS = 3
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.0, 1.0
+ROUNDS = 4
+ALPHA, BETA, L2 = 5.0, 1.0, 0.01
+# L1 grows with the training rows: few rows cannot push a weight over a high bound.
+MOST_L1, LEAST_L1, ROWS_PER_L1 = 4.0, 0.5, 1000
 TOXIC_AT = 0.3
 
 # ASCII letters (lower-cased), digits and all bytes of other characters form words.
@@ -75,17 +77,17 @@ def _sigmoid(x: float) -> float:
     return 1 / (1 + math.exp(-max(min(x, 35.0), -35.0)))
 
 
-def _weight(z: np.ndarray, n: np.ndarray) -> np.ndarray:
-    return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+def _weight(z: np.ndarray, n: np.ndarray, l1: float) -> np.ndarray:
+    return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
-def _epoch(z: np.ndarray, n: np.ndarray, rows: list[tuple[np.ndarray, int]]) -> None:
+def _epoch(z: np.ndarray, n: np.ndarray, rows: list[tuple[np.ndarray, int]], l1: float) -> None:
     """One pass of FTRL-proximal; the last place is the bias (no L1)."""
     bias = len(z) - 1
     for places, y in rows:
         x = np.append(places, bias)
         zx, nx = z[x], n[x]
-        w = _weight(zx, nx)
+        w = _weight(zx, nx, l1)
         w[-1] = -zx[-1] / ((BETA + math.sqrt(nx[-1])) / ALPHA + L2)
         g = _sigmoid(float(w.sum())) - y
         root = np.sqrt(nx + g * g)
@@ -106,6 +108,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, shards: in
     if not pos or pos == n:
         return Weights(np.empty(0, np.int64), np.empty(0), math.log(prior / (1 - prior)))
     limit = int(min(1.0, max_rows / n) * (1 << 31))
+    l1 = min(MOST_L1, max(LEAST_L1, min(n, max_rows) / ROWS_PER_L1))
     # about max_rows rows of (id, label) at most: a broadcast of bounded size
     picked = usable.filter(F.pmod(F.xxhash64("label_id", F.lit(7)), F.lit(1 << 31)) < limit)
 
@@ -136,14 +139,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, shards: in
             for b in batches:
                 got = [(np.frombuffer(p, np.int32), y) for p, y in zip(b.column("places").to_pylist(),
                                                                        b.column("y").to_pylist())]
-                _epoch(zs, ns, got)
+                _epoch(zs, ns, got, l1)
                 rows += len(got)
             if rows:
                 before = np.zeros(size)
                 before[at] = n0
                 met = np.flatnonzero(ns != before)
                 # coordinates that are still far below the L1 bound would stay zero anyway
-                met = met[(np.abs(zs[met]) > 0.5 * L1) | (before[met] > 0)]
+                met = met[(np.abs(zs[met]) > 0.5 * l1) | (before[met] > 0)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x.tobytes()], pa.binary()) for x in
                      (met.astype(np.int32), zs[met].astype(np.float32), ns[met].astype(np.float32))],
@@ -160,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, shards: in
         met = seen > 0
         z[met], sq[met] = sum_z[met] / seen[met], sum_n[met] / seen[met]
         state.unpersist()
-    w = _weight(z[:-1], sq[:-1])
+    w = _weight(z[:-1], sq[:-1], l1)
     place = np.flatnonzero(w)
     bias = -z[-1] / ((BETA + math.sqrt(sq[-1])) / ALPHA + L2)
     return Weights(place, w[place], float(bias))
