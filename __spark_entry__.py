@@ -8,6 +8,7 @@ one analysis at the fixed reference date ``AS_OF``.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import os
 import sys
 import uuid
@@ -63,15 +64,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return C.clv(_tx(spark, SMOKE_DIR, _CLV_COLS), AS_OF)
 
 
-# Trained models shared by the metric and scoring keys of one application and data folder.
-_MODELS: dict[tuple, object] = {}
+def _model_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """Where this application saves the model of a data folder; the keys of a kind share it."""
+    name = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
+    return scratch_dir(spark, f"models/{spark.sparkContext.applicationId}/{name}/{kind}")
 
 
-def _trained(kind: str, spark: SparkSession, sf_dir: str, tx: DataFrame):
-    key = (kind, spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS:
-        _MODELS[key] = M.train_churn_model(tx) if kind == "churn" else M.train_delivery_model(tx)
-    return _MODELS[key]
+def _trained(kind: str, spark: SparkSession, sf_dir: str, tx: DataFrame) -> M.TrainedModel:
+    train = M.train_churn_model if kind == "churn" else M.train_delivery_model
+    return M.trained_at(spark, _model_path(spark, sf_dir, kind), lambda path: train(tx, path=path))
+
+
+def _segmentation(spark: SparkSession, sf_dir: str, tx: DataFrame):
+    """The segmentation of a data folder (search for k, ten starts), saved once and loaded."""
+    path = _model_path(spark, sf_dir, "segmentation")
+    if not M.exists(spark, path):
+        M.fit_segmentation(tx).write().overwrite().save(path)
+    return M.PipelineModel.load(path)
 
 
 # key -> (analysis over a transactions frame, columns it reads); filled by _registry
@@ -108,8 +117,13 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("executive_summary", _DT + ["customer_id", "restaurant_id"])(
         lambda tx: O.executive_summary(tx, AS_OF))
 
+    reg("executive_summary_json", _DT + ["customer_id", "restaurant_id"])(
+        lambda tx: O.parse_summary(O.executive_summary(tx, AS_OF, as_json=True)))
+
     # ---- API metrics (2.12)
     reg("retention_summary", _CLV_COLS)(lambda tx: A.retention_summary(tx, AS_OF))
+    reg("retention_cohorts", ["customer_id", "order_date", "city"])(
+        lambda tx: A.retention_cohorts(tx, city="ASIA"))
     reg("city_breakdown", _DT + ["city"])(lambda tx: A.city_breakdown(tx, AS_OF))
     reg("operational_metrics", _DT + ["customer_id", "restaurant_id"])(
         lambda tx: A.operational_metrics(tx, AS_OF))
@@ -117,7 +131,8 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         lambda tx: A.status_breakdown(tx, AS_OF))
     reg("daily_summary", _DT)(lambda tx: A.daily_summary(tx, AS_OF))
     reg("weekly_trend", ["order_date", "order_value"])(lambda tx: A.weekly_trend(tx, AS_OF))
-    reg("weekly_trend_json", ["order_date", "order_value"])(lambda tx: A.weekly_trend_json(tx, AS_OF))
+    reg("weekly_trend_json", ["order_date", "order_value"])(
+        lambda tx: A.parse_trend(A.weekly_trend_json(tx, AS_OF)))
     reg("top_cities", _DT + ["city"])(lambda tx: A.top_cities(tx, AS_OF))
 
     # ---- dashboard tables (2.13), over the page's default selection
@@ -140,8 +155,8 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("scan_pruned", P.SEGMENT_COLUMNS)(P.scan_pruned)
     reg("recent_orders")(lambda tx: P.recent_orders(tx, AS_OF))
     reg("validate_keys", ["order_id"])(validate)
-    q["csv_round_trip"] = lambda spark, sf_dir: P.csv_round_trip(
-        _tx(spark, sf_dir), scratch_dir(spark, f"csv_round_trip/{uuid.uuid4().hex}"))
+    q["csv_round_trip"] = lambda spark, sf_dir: _final(P.csv_round_trip(
+        _tx(spark, sf_dir), scratch_dir(spark, f"csv_round_trip/{uuid.uuid4().hex}")).drop("_corrupt_record"))
     reg("trailing_window", ["order_date"])(lambda tx: P.trailing_window(tx, AS_OF))
     reg("filter_city_dates")(lambda tx: A.filter_orders(tx, "ASIA", "2001-01-01", "2001-03-31"))
     reg("having_filter", ["order_id", "customer_id"])(P.having_filter)
@@ -172,41 +187,68 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg("standardize", _DT + ["customer_id"])(
         lambda tx: FE.standardize(FE.segmentation_features(tx), FE.SEGMENT_FEATURES, "customer_id"))
     reg("train_test_split")(lambda tx: stratified_split(
-        FE.churn_features(tx).select("customer_id", "churned"), "customer_id", "churned"))
+        FE.churn_features(tx).select("customer_id", "churned"), "customer_id", "churned")
+        .groupBy("churned", "is_test").agg(F.count(F.lit(1)).alias("customers")))
+    reg("delivery_features_full")(lambda tx: FE.delivery_features(tx, optional=True))
 
     # ---- models (2.11); trained models are checked by rows and invariants
-    reg("choose_k")(lambda tx: M.choose_k(tx, max_k=5))
-    reg("customer_segments")(lambda tx: M.customer_segments(tx, k=4))
-    reg("segment_profiles")(lambda tx: M.segment_profiles(tx, k=4))
+    reg("choose_k")(M.choose_k)
+
+    def segmented(name, use):
+        def run(spark, sf_dir):
+            tx = _tx(spark, sf_dir)
+            return _final(use(_segmentation(spark, sf_dir, tx), tx))
+        q[name] = run
+
+    segmented("customer_segments", lambda model, tx: M.customer_segments(tx, model=model))
+    segmented("segment_profiles", lambda model, tx: M.segment_profiles(tx, model=model))
+    segmented("segment_summary", lambda model, tx: A.segment_summary(tx, city="ASIA", model=model))
+    segmented("segment_totals", M.segment_totals)
     reg("segment_rules", _CLV_COLS + ["delivery_time"])(lambda tx: M.segment_rules(tx, AS_OF))
-    q["model_round_trip"] = lambda spark, sf_dir: M.model_round_trip(
-        _tx(spark, sf_dir), scratch_dir(spark, f"segmentation_model/{uuid.uuid4().hex}"))
+    def round_trip(spark, sf_dir):
+        """Scores of the saved segmentation against those of the same model saved and loaded once more."""
+        tx = _tx(spark, sf_dir)
+        return M.model_round_trip(tx, scratch_dir(spark, f"segmentation_model/{uuid.uuid4().hex}"),
+                                  model=_segmentation(spark, sf_dir, tx))
+
+    q["model_round_trip"] = round_trip
+
     def model_key(name, kind, use):
         def run(spark, sf_dir):
             tx = _tx(spark, sf_dir)
             return _final(use(_trained(kind, spark, sf_dir, tx), tx))
         q[name] = run
 
-    model_key("delivery_model_metrics", "delivery", lambda trained, tx: trained[2])
+    def again(score, key, col):
+        """A model saved to a second folder and loaded from it gives equal scores."""
+        def use(model, tx):
+            path = scratch_dir(tx.sparkSession, f"model_copy/{uuid.uuid4().hex}")
+            M.save_model(tx.sparkSession, model, path)
+            return M.compare_scores(score(model, tx), score(M.load_model(tx.sparkSession, path), tx), key, col)
+        return use
+
+    model_key("delivery_model_metrics", "delivery", lambda model, tx: M.model_metrics(tx.sparkSession, model))
     reg("regression_metrics")(lambda tx: M.regression_metrics(M.rule_prediction(tx)))
     reg("scoring_input_report")(M.required_field_report)
-    model_key("score_delivery", "delivery", lambda trained, tx: M.score_delivery(trained[0], trained[1], tx))
+    model_key("score_delivery", "delivery", M.score_delivery)
+    model_key("delivery_round_trip", "delivery", again(M.score_delivery, "order_id", "predicted_delivery_time"))
     reg("prediction_interval")(lambda tx: M.prediction_interval(
         M.rule_prediction(tx).filter(F.col("prediction").isNotNull()).select(
             "order_id", F.greatest(F.col("prediction").cast("double"), F.lit(10.0))
             .alias("predicted_delivery_time")), "predicted_delivery_time"))
-    model_key("churn_model_metrics", "churn", lambda trained, tx: trained[1])
+    model_key("churn_model_metrics", "churn", lambda model, tx: M.model_metrics(tx.sparkSession, model))
     reg("classification_metrics")(lambda tx: M.classification_counts(M.rule_churn_prediction(tx)))
-    model_key("score_churn", "churn", lambda trained, tx: M.score_churn(trained[0], tx))
+    model_key("score_churn", "churn", M.score_churn)
+    model_key("churn_round_trip", "churn", again(M.score_churn, "customer_id", "churn_probability"))
 
     # ---- streaming (2.14): the streams (rows) and their batch twins (oracle)
     q["stream_daily_kpis"] = lambda spark, sf_dir: ST.stream_daily_kpis(
-        spark, f"{sf_dir.rstrip('/')}/events*.parquet",
+        spark, f"{sf_dir.rstrip('/')}/events.parquet",
         scratch_dir(spark, f"stream_daily_kpis/{uuid.uuid4().hex}"))
     q["daily_kpis_events"] = lambda spark, sf_dir: ST.daily_kpis(
         ST.purchases(read_table(spark, sf_dir, "events")))
     q["stream_hourly_kpis"] = lambda spark, sf_dir: ST.stream_daily_kpis(
-        spark, f"{sf_dir.rstrip('/')}/events*.parquet",
+        spark, f"{sf_dir.rstrip('/')}/events.parquet",
         scratch_dir(spark, f"stream_hourly_kpis/{uuid.uuid4().hex}"), window="1 hour", watermark="10 minutes")
     q["hourly_kpis_events"] = lambda spark, sf_dir: ST.daily_kpis(
         ST.purchases(read_table(spark, sf_dir, "events")), window="1 hour")

@@ -151,7 +151,7 @@ FROM m"""
 
 
 # ---------------------------------------------------------------- Q2
-def _cohort(period: str) -> str:
+def _cohort(period: str, where: str = "TRUE") -> str:
     if period == "monthly":
         bucket = "date_trunc('month', order_date)"
         diff = "date_diff('month', c.cohort, t.bucket)"
@@ -164,7 +164,7 @@ def _cohort(period: str) -> str:
         names = ("cohort_week", "week_number")
     return with_tx(f"""
 t AS (SELECT customer_id, CAST({bucket} AS DATE) AS bucket FROM transactions
-      WHERE customer_id IS NOT NULL AND order_date IS NOT NULL),
+      WHERE customer_id IS NOT NULL AND order_date IS NOT NULL AND {where}),
 c AS (SELECT customer_id, MIN(bucket) AS cohort FROM t GROUP BY customer_id),
 ct AS (SELECT c.cohort, c.customer_id, {diff} AS n FROM c JOIN t ON c.customer_id = t.customer_id),
 sizes AS (SELECT cohort, COUNT(DISTINCT customer_id) AS cohort_size FROM c GROUP BY cohort),
@@ -905,3 +905,30 @@ SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start,
        CAST(date_trunc('hour', ts) + INTERVAL 1 HOUR AS TIMESTAMP) AS window_end,
        COUNT(*) AS orders, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS revenue
 FROM events WHERE event_type = 'purchase' GROUP BY 1, 2"""
+
+
+# ---------------------------------------------------------------- the same numbers by another path
+ORACLES["csv_round_trip"] = ORACLES["scan_transactions"]
+ORACLES["stream_daily_kpis"] = ORACLES["daily_kpis_events"]
+ORACLES["stream_hourly_kpis"] = ORACLES["hourly_kpis_events"]
+ORACLES["weekly_trend_json"] = ORACLES["weekly_trend"]
+ORACLES["executive_summary_json"] = ORACLES["executive_summary"]
+ORACLES["retention_cohorts"] = _cohort("monthly", "city = 'ASIA'")
+# the fixture has neither optional column: the default distance and no weather
+ORACLES["delivery_features_full"] = ORACLES["delivery_features"].replace(
+    "SELECT t.order_id,", "SELECT CAST(3.0 AS DOUBLE) AS estimated_distance_km, CAST(NULL AS VARCHAR) AS "
+    "weather_condition, t.order_id,")
+# exact class sizes: ceil(0.2 n) of each class are test rows
+ORACLES["train_test_split"] = with_tx(F3_SQL, """
+n AS (SELECT churned, COUNT(*) AS n, CAST(ceil(0.2 * COUNT(*)) AS BIGINT) AS t FROM f3 GROUP BY churned)""") + """
+SELECT churned, is_test, customers FROM (
+  SELECT churned, TRUE AS is_test, t AS customers FROM n UNION ALL SELECT churned, FALSE, n - t FROM n)
+WHERE customers > 0"""
+# a saved and loaded model scores every row as before
+ORACLES["model_round_trip"] = with_tx(F1_SQL) + "SELECT COUNT(*) AS rows, COUNT(*) AS equal_rows FROM f1"
+ORACLES["delivery_round_trip"] = with_tx() + "SELECT COUNT(*) AS rows, COUNT(*) AS equal_rows FROM transactions"
+ORACLES["churn_round_trip"] = with_tx(F3_SQL) + "SELECT COUNT(*) AS rows, COUNT(*) AS equal_rows FROM f3"
+# whatever the clusters, they hold every customer once
+ORACLES["segment_totals"] = with_tx(F1_SQL) + """
+SELECT COUNT(*) AS customers, CAST(SUM(total_spent) AS DOUBLE) AS total_spent, TRUE AS segments_in_range,
+       CAST(COUNT(*) AS BIGINT) AS profiled_customers FROM f1"""

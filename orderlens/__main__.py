@@ -7,8 +7,12 @@
 
 ``--input`` is any Parquet / CSV / JSON source with the fact-table columns
 (conformed to the schema); ``--fixture DIR`` builds ``transactions`` from the
-TPC-H-like test tables instead.  The result is written with the DataFrame
+TPC-H-like test tables instead.  Rows that do not fit the schema are counted,
+written to ``--quarantine`` when it is given, and fail the job above
+``--max-bad-rows`` (default 0).  The result is written with the DataFrame
 writer (nothing is collected to the driver); ``--show N`` prints N rows instead.
+The jobs ``train_delivery``, ``train_churn`` and ``train_segments`` save a model to
+``--output``; ``score_delivery``, ``score_churn`` and ``score_segments`` read it from ``--model``.
 """
 
 from __future__ import annotations
@@ -18,27 +22,42 @@ import datetime as dt
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderlens.plans.catalog import jobs
-from orderlens.sources.schema import conform
+from orderlens.plans.catalog import jobs, scoring_jobs, training_jobs
+from orderlens.session import BASE_CONF
+from orderlens.sources.files import CORRUPT, read_csv
+from orderlens.sources.schema import bad_rows, conform
 
 
 def _read(spark: SparkSession, args) -> DataFrame:
     if args.fixture:
         from orderlens.sources.fixture import transactions
         return transactions(spark, args.fixture)
-    reader = spark.read
     if args.input_format == "csv":
-        from orderlens.sources.files import read_csv
-        return conform(read_csv(spark, args.input).drop("_corrupt_record"))
-    return conform(getattr(reader, args.input_format)(args.input))
+        raw = read_csv(spark, args.input)
+        flagged = F.col(CORRUPT).isNotNull()
+    else:
+        raw = getattr(spark.read, args.input_format)(args.input)
+        flagged = bad_rows(raw)
+    if args.quarantine:
+        raw.filter(flagged).write.mode("overwrite").json(args.quarantine)
+    # a further column is named because CSV does not let the corrupt record stand alone
+    n = raw.agg(F.count_if(flagged), F.count(raw.columns[0])).first()[0]
+    good = conform(raw.filter(~flagged).drop(CORRUPT))
+    if n:
+        print(f"rows that do not fit the schema: {n}", file=sys.stderr)
+    if n > args.max_bad_rows:
+        raise SystemExit(f"{n} rows do not fit the schema; --max-bad-rows is {args.max_bad_rows}")
+    return good
 
 
 def main(argv: list[str] | None = None) -> int:
     table = jobs()
     p = argparse.ArgumentParser(prog="orderlens", description=__doc__,
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
-    p.add_argument("analysis", nargs="?", choices=sorted(table) + ["prepare"],
+    train, score = training_jobs(), scoring_jobs()
+    p.add_argument("analysis", nargs="?", choices=sorted([*table, *train, *score]) + ["prepare"],
                    help="an analysis, or 'prepare' to write the conformed fact table "
                         "as Parquet partitioned by order month")
     p.add_argument("--list", action="store_true", help="list the analyses")
@@ -46,25 +65,43 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--input", help="fact table path")
     src.add_argument("--fixture", help="folder of the TPC-H-like test tables")
     p.add_argument("--input-format", default="parquet", choices=["parquet", "csv", "json", "orc"])
-    p.add_argument("--as-of", default=dt.date.today().isoformat(), help="reference date (YYYY-MM-DD)")
+    p.add_argument("--as-of", help="reference date (YYYY-MM-DD); needed by the analyses")
+    p.add_argument("--model", help="folder of a trained model (scoring jobs)")
+    p.add_argument("--quarantine", help="folder for rows that do not fit the schema (JSON lines)")
+    p.add_argument("--max-bad-rows", type=int, default=0, help="fail above this many such rows")
     p.add_argument("--output", help="output path")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
     p.add_argument("--show", type=int, default=0, help="print N rows instead of writing")
     p.add_argument("--explain", action="store_true", help="print the formatted physical plan instead")
     args = p.parse_args(argv)
     if args.list or not args.analysis:
-        print("\n".join(sorted(table)))
+        print("\n".join(sorted([*table, *train, *score])))
         return 0
     if not (args.input or args.fixture) or not (args.output or args.show or args.explain):
         p.error("need --input or --fixture, and --output, --show or --explain")
-    spark = SparkSession.builder.appName(f"orderlens-{args.analysis}").getOrCreate()
+    if args.analysis in table and not args.as_of:
+        p.error("the analyses need --as-of")
+    if args.analysis in score and not args.model:
+        p.error("scoring needs --model")
+    spark = SparkSession.builder.appName(f"orderlens-{args.analysis}").config(map=BASE_CONF).getOrCreate()
+    for k, v in BASE_CONF.items():
+        if spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
     if args.analysis == "prepare":
         from orderlens.sources.files import write_table
         if not args.output:
             p.error("prepare needs --output")
         write_table(_read(spark, args), args.output)
         return 0
-    result = table[args.analysis](_read(spark, args), dt.date.fromisoformat(args.as_of))
+    if args.analysis in train:
+        if not args.output:
+            p.error("training needs --output")
+        train[args.analysis](_read(spark, args), args.output)
+        return 0
+    if args.analysis in score:
+        result = score[args.analysis](_read(spark, args), args.model)
+    else:
+        result = table[args.analysis](_read(spark, args), dt.date.fromisoformat(args.as_of))
     if args.explain:
         result.explain("formatted")
     elif args.show:

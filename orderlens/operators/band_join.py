@@ -50,7 +50,9 @@ def item_pairs_per_key(tx: DataFrame | None = None, band_days: int = 30, cells:
     bucket = F.floor(F.col("day") / width)
     left = cells.select("k", F.col("item").alias("item_1"), F.col("day").alias("d1"),
                         F.col("n").alias("n1"), F.col("m").alias("m1"),
-                        F.col("s").alias("s1"), bucket.alias("b"))
+                        F.col("s").alias("s1"),
+                        # exploded like the other side: both then read one exchange of cells
+                        F.explode(F.array(bucket)).alias("b"))
     right = cells.select("k", F.col("item").alias("item_2"), F.col("day").alias("d2"),
                          F.col("n").alias("n2"), F.col("m").alias("m2"),
                          F.col("s").alias("s2"),
@@ -72,18 +74,3 @@ def item_pairs(tx: DataFrame | None = None, band_days: int = 30, min_keys: int =
                  F.sum("valued_pairs").alias("valued_pairs"),
                  F.sum("value_sum").alias("value_sum"))
             .filter(F.col("keys") >= min_keys))
-
-
-def item_pairs_join(tx: DataFrame, band_days: int = 30, min_keys: int = 10) -> DataFrame:
-    """Literal self-join (quadratic per customer): small inputs and equivalence tests only."""
-    t1 = tx.select(F.col("customer_id").alias("k"), F.col("cuisine_type").alias("item_1"),
-                   F.col("order_value").alias("v1"), F.col("order_date").alias("t1"))
-    t2 = tx.select(F.col("customer_id").alias("k2"), F.col("cuisine_type").alias("item_2"),
-                   F.col("order_value").alias("v2"), F.col("order_date").alias("t2"))
-    j = t1.join(t2, (F.col("k") == F.col("k2")) & (F.col("item_1") != F.col("item_2"))
-                & (F.abs(F.datediff("t1", "t2")) <= band_days))
-    v = F.col("v1") + F.col("v2")
-    return (j.groupBy("item_1", "item_2")
-            .agg(F.count_distinct("k").alias("keys"), F.count(F.lit(1)).alias("pairs"),
-                 F.count(v).alias("valued_pairs"), F.sum(v).alias("value_sum"))
-            .filter(F.col("keys") >= min_keys))

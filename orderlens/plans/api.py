@@ -34,18 +34,17 @@ def _growth(cur: Column, prev: Column) -> Column:
     return F.when(p > 0, (c - p) / p * 100).otherwise(F.lit(0.0))
 
 
-def has_rows(df: DataFrame) -> bool:
-    """Emptiness test for the outermost caller only (analyses return empty frames)."""
-    return not df.isEmpty()
-
-
 # ---------------------------------------------------------------- segments endpoint
 def segment_summary(tx: DataFrame, city: str | None = None, date_from=None, date_to=None,
-                    k: int = 4, optimize: bool = False, max_k: int = 10) -> DataFrame:
-    """Segment profiles of the filtered orders, with the number of customers segmented."""
+                    k: int | None = None, max_k: int = 10, n_init: int = 10, model=None) -> DataFrame:
+    """Segment profiles of the filtered orders, with the number of customers segmented.
+
+    Fits the filtered customers when called (searching for k unless it is given); ``model``
+    scores them with a saved segmentation instead.
+    """
     from .models import customer_segments, profiles
-    seg = customer_segments(filter_orders(tx, city, date_from, date_to), k=k, optimize=optimize,
-                            max_k=max_k)
+    seg = customer_segments(filter_orders(tx, city, date_from, date_to), k=k, max_k=max_k, n_init=n_init,
+                            model=model)
     prof = profiles(seg).withColumn("segment", F.concat(F.lit("Segment_"), F.col("segment")))
     total = F.sum("size").over(Window.partitionBy())          # one row per segment: bounded
     return prof.withColumn("total_customers", total)
@@ -189,6 +188,12 @@ def weekly_trend_json(tx: DataFrame, as_of, days: int = 7) -> DataFrame:
                                        "orders", "revenue")).alias("record"))
 
 
+def parse_trend(records: DataFrame) -> DataFrame:
+    """The JSON records read back into columns."""
+    return (records.select(F.from_json("record", "date date, orders bigint, revenue double").alias("r"))
+            .select("r.*"))
+
+
 def top_cities(tx: DataFrame, as_of, days: int = 30, k: int = 5) -> DataFrame:
     """Top ``k`` cities by revenue over the last ``days`` days (ties by city name)."""
     w = D.day_range(tx, D.as_date(as_of) - _days(days), None)

@@ -9,6 +9,7 @@ from . import api as A
 from . import customers as C
 from . import dashboard as DB
 from . import features as FE
+from . import models as M
 from . import operations as O
 
 
@@ -37,3 +38,21 @@ def jobs():
         "delivery_features": lambda tx, _: FE.delivery_features(tx),
         "churn_features": lambda tx, _: FE.churn_features(tx),
     }
+
+
+def training_jobs():
+    """name -> function(tx, path): train and save a model."""
+    return {
+        "train_delivery": lambda tx, path: M.train_delivery_model(tx, path=path),
+        "train_churn": lambda tx, path: M.train_churn_model(tx, path=path),
+        "train_segments": lambda tx, path: M.fit_segmentation(tx).write().overwrite().save(path),
+    }
+
+
+def scoring_jobs():
+    """name -> function(tx, path) -> DataFrame: score with a saved model."""
+    return {
+        "score_delivery": lambda tx, path: M.score_delivery(M.load_model(tx.sparkSession, path), tx),
+        "score_churn": lambda tx, path: M.score_churn(M.load_model(tx.sparkSession, path), tx),
+        "score_segments": lambda tx, path: M.customer_segments(tx, model=M.PipelineModel.load(path)),
+    }

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions.rounding import as_dec, mean_as_double, percent, round_half_up
 from ..operators.band_join import item_pairs
-from ..operators.ntile import global_ntile, window_ntile
+from ..operators.ntile import global_ntile
 
 DAYS_PER_YEAR = Decimal("365.25")
 
@@ -128,12 +128,13 @@ def cohort_retention(tx: DataFrame, period: str = "monthly", horizon: int = 12,
 
 # ---------------------------------------------------------------- Q3 RFM
 def rfm(tx: DataFrame, as_of, months: int = 12, orientation: str = "as_written",
-        method: str = "distributed", ordered: bool = True) -> DataFrame:
+        ordered: bool = True, ntile=global_ntile) -> DataFrame:
     """RFM scores (three global NTILE(5)) and the seven ordered categories.
 
     ``orientation='as_written'`` sorts recency ASC, frequency and monetary DESC
     (best customers score 1); ``'conventional'`` reverses the three sorts.
-    Ties are broken by ``customer_id``.
+    Ties are broken by ``customer_id``.  Each score is numbered by a job of its own,
+    run when the function is called; ``ntile`` may be another implementation.
     """
     base = (D.trailing(tx, as_of, months=months).groupBy("customer_id")
             .agg(F.datediff(D.lit_date(as_of), F.max("order_date")).cast("bigint").alias("recency_days"),
@@ -147,7 +148,6 @@ def rfm(tx: DataFrame, as_of, months: int = 12, orientation: str = "as_written",
         first = F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last()
         return [first, F.col("customer_id").asc_nulls_first()]
 
-    ntile = global_ntile if method == "distributed" else window_ntile
     scored = ntile(base, 5, key("recency_days", not conventional), "recency_score")
     scored = ntile(scored, 5, key("frequency", conventional), "frequency_score")
     scored = ntile(scored, 5, key("monetary", conventional), "monetary_score")
@@ -176,8 +176,8 @@ def churn_risk(tx: DataFrame, as_of, min_orders: int = 2, ordered: bool = True)
 
     The mean of ``DATEDIFF(order_date, LAG(order_date))`` over a customer's
     dated orders telescopes to ``DATEDIFF(max, min) / (dated orders - 1)``, so
-    the whole analysis is one map-side-combined aggregation: no per-customer
-    sort, no hot-customer task.  (``operators.gaps`` has the literal window form.)
+    the whole analysis is aggregation by customer (the distinct orders first): no
+    per-customer sort, no hot-customer task.  (``operators.gaps`` has the literal window form.)
     """
     g = tx.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
@@ -249,7 +249,7 @@ def cross_sell(tx: DataFrame, as_of, months: int = 6, band_days: int = 30,
     """Recommend cuisines paired with the customer's primary cuisine but not yet ordered.
 
     Preferences read only the trailing window (partition-pruned on a table
-    partitioned by month); the pairs read all history once, pre-aggregated
+    partitioned by month); the pairs read all history, pre-aggregated once
     into day cells.  NOT EXISTS becomes a membership test against the
     customer's set of ordered cuisines, built by the same window that ranks
     the preferences.  The pair table has at most cuisines^2 rows; AQE

@@ -31,6 +31,10 @@ DELIVERY_FEATURES = [
     "city_delivery_time_std", "city_order_value_mean", "city_encoded", "cuisine_type_encoded",
     "order_complexity_encoded"]
 
+# Used in addition when the fact table may carry them.
+OPTIONAL_DELIVERY_FEATURES = ["estimated_distance_km", "weather_condition_encoded"]
+DEFAULT_DISTANCE_KM = 3.0                  # fixed value
+
 CHURN_FEATURES = ["total_orders", "total_spent", "avg_order_value", "order_value_variability",
                   "avg_delivery_time", "delivery_consistency", "days_active", "order_frequency",
                   "days_since_last_order", "city_encoded", "cuisine_type_encoded"]
@@ -61,16 +65,6 @@ def segmentation_features(tx: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- F2
-def group_stats(tx: DataFrame, key: str, prefix: str, with_count: bool) -> DataFrame:
-    """Per-key delivery-time mean/std(/count) and mean order value, rounded like pandas."""
-    aggs = [_bround(exact_mean("delivery_time", integral=True)).alias(f"{prefix}delivery_time_mean"),
-            F.bround(F.stddev_samp("delivery_time"), 2).alias(f"{prefix}delivery_time_std")]
-    if with_count:
-        aggs.append(F.count("delivery_time").alias(f"{prefix}delivery_time_count"))
-    aggs.append(_bround(exact_mean("order_value")).alias(f"{prefix}order_value_mean"))
-    return tx.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
-
-
 def time_features(ts: Column) -> list[Column]:
     dow = D.weekday_mon0(ts)
     hour = F.hour(ts)
@@ -79,43 +73,66 @@ def time_features(ts: Column) -> list[Column]:
             hour.isin(PEAK_HOURS).cast("int").alias("is_peak_hour")]
 
 
-def delivery_features(tx: DataFrame, stats: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+def delivery_features(tx: DataFrame, stats: tuple[DataFrame, DataFrame] | None = None,
+                      optional: bool = False) -> DataFrame:
     """Order features for the delivery-time model.
 
     Restaurant and city statistics are aggregates joined back by key: the
     restaurant table grows with the data, so the join strategy is left to
     AQE (broadcast when measured small, skew-split otherwise).  Pass ``stats``
     fitted on a training split to avoid target leakage.
+
+    ``optional`` adds the distance and weather features: the columns
+    ``distance_km`` and ``weather_condition`` where ``tx`` has them, else the
+    default distance and a NULL weather.
     """
     rest, city = stats if stats is not None else delivery_stats(tx)
+    extra = optional_inputs(tx) if optional else []
     base = tx.select("order_id", "restaurant_id", "city", "cuisine_type", "order_value",
                      "delivery_time", *time_features(F.col("order_date")),
-                     complexity("order_value").alias("order_complexity"))
+                     complexity("order_value").alias("order_complexity"), *extra)
     return base.join(rest, "restaurant_id", "left").join(city, "city", "left")
 
 
+def optional_inputs(tx: DataFrame) -> list[Column]:
+    """``estimated_distance_km`` (default 3.0) and ``weather_condition`` from the columns present."""
+    present = set(tx.columns)
+    distance = F.col("distance_km").cast("double") if "distance_km" in present else F.lit(None).cast("double")
+    weather = F.col("weather_condition").cast("string") if "weather_condition" in present \
+        else F.lit(None).cast("string")
+    return [F.coalesce(distance, F.lit(DEFAULT_DISTANCE_KM)).alias("estimated_distance_km"),
+            weather.alias("weather_condition")]
+
+
 def delivery_stats(tx: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Restaurant and city statistics from one aggregate (grouping sets), split by set.
+    """Restaurant and city statistics, both rolled up from one table of mergeable partials.
 
-    Same values as ``group_stats`` per key, with one pass over the orders.
+    The orders are reduced once to counts, sums and sums of squares per
+    (restaurant, city); both roll-ups start from that exchange, which Spark
+    reuses.  Sums are exact (integers and DECIMAL), so the order of merging
+    does not matter; the sample deviation of one row is NULL.
     """
-    dt = F.col("delivery_time")
-    g = (tx.groupingSets([["restaurant_id"], ["city"]], "restaurant_id", "city")
-         .agg(_bround(exact_mean(dt, integral=True)).alias("dt_mean"),
-              F.bround(F.stddev_samp(dt), 2).alias("dt_std"),
-              F.count(dt).alias("dt_count"),
-              _bround(exact_mean("order_value")).alias("value_mean"),
-              F.grouping_id().alias("gid")))
-    rest = g.filter((F.col("gid") == 1) & F.col("restaurant_id").isNotNull()).select(
-        "restaurant_id", F.col("dt_mean").alias("restaurant_delivery_time_mean"),
-        F.col("dt_std").alias("restaurant_delivery_time_std"),
-        F.col("dt_count").alias("restaurant_delivery_time_count"),
-        F.col("value_mean").alias("restaurant_order_value_mean"))
-    city = g.filter((F.col("gid") == 2) & F.col("city").isNotNull()).select(
-        "city", F.col("dt_mean").alias("city_delivery_time_mean"),
-        F.col("dt_std").alias("city_delivery_time_std"),
-        F.col("value_mean").alias("city_order_value_mean"))
-    return rest, city
+    t = F.col("delivery_time").cast("decimal(10,0)")
+    partial = tx.groupBy("restaurant_id", "city").agg(
+        F.count("delivery_time").alias("_n"), F.sum(t).alias("_s"), F.sum(t * t).alias("_q"),
+        F.count("order_value").alias("_vn"), F.sum("order_value").alias("_v"))
+
+    def roll(key: str, prefix: str, with_count: bool) -> DataFrame:
+        g = partial.filter(F.col(key).isNotNull()).groupBy(key).agg(
+            F.sum("_n").alias("n"), F.sum("_s").cast("decimal(20,0)").alias("s"),
+            F.sum("_q").cast("decimal(24,0)").alias("q"), F.sum("_vn").alias("vn"), F.sum("_v").alias("v"))
+        n = F.col("n").cast("double")
+        spread = F.col("q").cast("double") - F.col("s").cast("double") * F.col("s").cast("double") / n
+        std = F.when(F.col("n") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n - 1)))
+        mean = F.try_divide(F.col("s"), F.col("n").cast("decimal(20,0)"))
+        value = F.try_divide(F.col("v"), F.col("vn").cast("decimal(20,0)"))
+        cols = [_bround(mean).cast("decimal(20,2)").alias(f"{prefix}delivery_time_mean"),
+                F.bround(std, 2).alias(f"{prefix}delivery_time_std")]
+        if with_count:
+            cols.append(F.col("n").alias(f"{prefix}delivery_time_count"))
+        return g.select(key, *cols, _bround(value).cast("decimal(20,2)").alias(f"{prefix}order_value_mean"))
+
+    return roll("restaurant_id", "restaurant_", True), roll("city", "city_", False)
 
 
 # ---------------------------------------------------------------- F3
@@ -123,22 +140,22 @@ def churn_features(tx: DataFrame, prediction_window_days: int = 30,
                    observation_days: int = 90) -> DataFrame:
     """Customer features over a 90-day observation window ending 30 days before the last order.
 
-    The window end is an uncorrelated scalar subquery (the last order minus
-    the prediction window; no driver round trip).  Statistics and the churn
-    label (an order after the window) come from one hash aggregation over each
-    customer's orders; the latest city and cuisine need a struct-valued
-    ``max_by`` (sort-based), so it runs separately over the observation window
-    only and is joined back by customer.
+    The window end comes from an uncorrelated scalar subquery (the last order
+    minus the prediction window; no driver round trip).  Only orders from the
+    window start on can matter, for the statistics as for the label (an order
+    after the window), so everything else is one aggregation over that range,
+    which prunes a table partitioned by month.
     """
     last = tx.agg(F.max("order_date")).scalar()
-    end = last - F.make_dt_interval(F.lit(prediction_window_days))
-    start = end - F.make_dt_interval(F.lit(observation_days))
-    obs = F.col("order_date").between(start, end)
+    back = F.make_dt_interval(F.lit(prediction_window_days))
+    start = last - F.make_dt_interval(F.lit(prediction_window_days + observation_days))
+    known = (D.since(tx.filter(F.col("customer_id").isNotNull()), start)
+             .withColumn("_end", (last - back).cast("timestamp_ntz")))
+    obs = F.col("order_date") <= F.col("_end")
 
     def o(c: str) -> Column:
         return F.when(obs, F.col(c))
 
-    known = tx.filter(F.col("customer_id").isNotNull())
     g = (known.groupBy("customer_id").agg(
         F.count(o("order_id")).alias("total_orders"),
         F.sum(o("order_value")).alias("total_spent"),
@@ -147,13 +164,12 @@ def churn_features(tx: DataFrame, prediction_window_days: int = 30,
         _bround(exact_mean(o("delivery_time"), integral=True)).alias("avg_delivery_time"),
         F.bround(F.stddev_samp(o("delivery_time")), 2).alias("delivery_consistency"),
         F.min(o("order_date")).alias("_first"), F.max(o("order_date")).alias("_last"),
-        F.count_if(obs).alias("_in_window"),
-        F.max("order_date").alias("_latest_any"))
+        F.count_if(obs).alias("_in_window"), F.max("_end").alias("_end"),
+        F.max("order_date").alias("_latest_any"),
+        F.max_by(F.struct("city", "cuisine_type"),
+                 F.when(obs, F.struct("order_date", "order_id"))).alias("_cat"))
          .filter(F.col("_in_window") > 0))
-    latest = (D.between(known, start, end).groupBy(F.col("customer_id").alias("_c"))
-              .agg(F.max_by(F.struct("city", "cuisine_type"), F.struct("order_date", "order_id"))
-                   .alias("_cat")))
-    g = g.join(latest, g["customer_id"] == latest["_c"], "left")
+    end = F.col("_end")
     days_active = D.elapsed_days(F.col("_last"), F.col("_first")) + 1
     zero2 = F.lit(0).cast("decimal(20,2)")
     return g.select(

@@ -1,11 +1,19 @@
 """Models on MLlib: customer segmentation (KMeans), delivery time (random forest),
 churn (gradient-boosted trees).  Training, evaluation and scoring are Spark jobs
 over DataFrames; only metrics, parameters and label lists reach the driver.
+
+Trained models are folders (``save_model`` / ``load_model``): encoders, fitted
+pipeline, statistics as Parquet, and one JSON row with inputs, importances and
+version.  Scoring reads only that folder.  Training functions, ``choose_k`` and
+``customer_segments`` run Spark jobs when they are called.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -13,7 +21,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, ClusteringEvaluator,
                                    RegressionEvaluator)
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -22,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rounding import mean_as_double, round_half_up
 from ..operators.split import hash_split, stratified_split
+from ..session import scratch_dir
 from . import features as FE
 
 MODEL_VERSION = "1.0"
@@ -67,62 +76,79 @@ def characteristics(spent: Column, freq: Column, aov: Column) -> Column:
     return expr.otherwise(DEFAULT_CHARACTERISTIC)
 
 
-def segmentation_pipeline(k: int = 4, seed: int = 42) -> Pipeline:
+# Restarts and iterations of KMeans, and the largest k tried.
+N_INIT, MAX_ITER, MAX_K = 10, 300, 10
+
+
+def _kmeans(k: int, seed: int) -> KMeans:
+    return KMeans(k=k, seed=seed, maxIter=MAX_ITER, featuresCol="features", predictionCol="segment")
+
+
+def _scaling() -> Pipeline:
     return Pipeline(stages=[
         VectorAssembler(inputCols=FE.SEGMENT_FEATURES, outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="segment")])
+        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)])
 
 
 def _segment_input(tx: DataFrame) -> DataFrame:
     return _stable(_doubles(FE.segmentation_features(tx), FE.SEGMENT_FEATURES), "customer_id")
 
 
-def choose_k(tx: DataFrame, max_k: int = 10, seed: int = 42) -> DataFrame:
-    """Silhouette for k = 2..max_k (MLlib's squared-Euclidean silhouette, linear cost).
+def _best_fits(scaled: DataFrame, ks: list[int], seed: int, n_init: int, parallelism: int) -> dict:
+    """k -> the KMeans model of lowest cost over ``n_init`` seeds (fits run side by side)."""
+    jobs = [(k, seed + i) for k in ks for i in range(n_init)]
+    with ThreadPool(max(1, parallelism)) as pool:
+        fits = pool.map(lambda j: (j[0], _kmeans(*j).fit(scaled)), jobs)
+    best: dict = {}
+    for k, m in fits:                       # jobs keep their order: the first of equal costs wins
+        if k not in best or m.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = m
+    return best
 
-    The scaled vectors are persisted for the loop (recomputable if an executor
-    is lost); the first k with the best silhouette is flagged ``chosen``.
-    """
-    spark = tx.sparkSession
-    data = _segment_input(tx)
-    scaled = Pipeline(stages=segmentation_pipeline().getStages()[:2]).fit(data).transform(data)
-    scaled = scaled.select("customer_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
+
+def _search(tx: DataFrame, ks: list[int], seed: int, n_init: int, parallelism: int):
+    """Scaler, model of the best k, and a row per k; the customers are evaluated once."""
+    data = _segment_input(tx).persist(StorageLevel.MEMORY_AND_DISK)
+    scaled = None
     try:
+        scaling = _scaling().fit(data)
+        scaled = scaling.transform(data).select("customer_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
+        models = _best_fits(scaled, ks, seed, n_init, parallelism)
         evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="segment")
-        for k in range(2, max_k + 1):
-            model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="segment").fit(scaled)
-            sil = evaluator.evaluate(model.transform(scaled))
-            rows.append({"k": k, "silhouette": float(sil),
-                         "training_cost": float(model.summary.trainingCost)})
-    finally:
-        scaled.unpersist()
-    best = max(rows, key=lambda r: (r["silhouette"], -r["k"]))["k"]
-    return spark.createDataFrame([{**r, "chosen": r["k"] == best} for r in rows],
-                                 "k int, silhouette double, training_cost double, chosen boolean")
-
-
-def fit_segmentation(tx: DataFrame, k: int = 4, seed: int = 42, n_init: int = 1) -> PipelineModel:
-    """Fit scaler + KMeans; ``n_init`` > 1 restarts with seeds seed..seed+n_init-1 and keeps
-    the lowest training cost (scikit-learn's restarts)."""
-    data = _segment_input(tx)
-    if n_init <= 1:
-        return segmentation_pipeline(k, seed).fit(data)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fits = [segmentation_pipeline(k, seed + i).fit(data) for i in range(n_init)]
+        rows = [{"k": k, "silhouette": float(evaluator.evaluate(models[k].transform(scaled))) if len(ks) > 1 else None,
+                 "training_cost": float(models[k].summary.trainingCost)} for k in ks]
     finally:
         data.unpersist()
-    return min(fits, key=lambda m: m.stages[-1].summary.trainingCost)
+        if scaled is not None:
+            scaled.unpersist()
+    best = max(rows, key=lambda r: (r["silhouette"] or 0.0, -r["k"]))["k"]
+    return PipelineModel(stages=[*scaling.stages, models[best]]), rows, best
+
+
+def choose_k(tx: DataFrame, max_k: int = MAX_K, seed: int = 42, n_init: int = N_INIT,
+             parallelism: int = 4) -> DataFrame:
+    """Silhouette for k = 2..max_k (MLlib's squared-Euclidean silhouette, linear cost).
 
+    The scaled vectors are persisted for the loop (recomputable if an executor
+    is lost); the first k with the best silhouette is flagged ``chosen``.
+    """
+    _, rows, best = _search(tx, list(range(2, max_k + 1)), seed, n_init, parallelism)
+    return tx.sparkSession.createDataFrame([{**r, "chosen": r["k"] == best} for r in rows],
+                                           "k int, silhouette double, training_cost double, chosen boolean")
 
-def customer_segments(tx: DataFrame, k: int = 4, optimize: bool = False, max_k: int = 10,
-                      seed: int = 42, model: PipelineModel | None = None) -> DataFrame:
-    if model is None:
-        if optimize:
-            k = choose_k(tx, max_k, seed).filter("chosen").first()["k"]
-        model = fit_segmentation(tx, k, seed)
+
+def fit_segmentation(tx: DataFrame, k: int | None = None, seed: int = 42, n_init: int = N_INIT,
+                     max_k: int = MAX_K, parallelism: int = 4) -> PipelineModel:
+    """Scaler and KMeans; without ``k`` the search over 2..max_k decides.  ``n_init`` restarts with
+    seeds seed..seed+n_init-1 keep the lowest training cost."""
+    ks = [k] if k else list(range(2, max_k + 1))
+    return _search(tx, ks, seed, n_init, parallelism)[0]
+
+
+def customer_segments(tx: DataFrame, k: int | None = None, max_k: int = MAX_K, seed: int = 42,
+                      model: PipelineModel | None = None, n_init: int = N_INIT) -> DataFrame:
+    """Customers with their segment; fits a model (searching for k unless given) when none is passed."""
+    model = model or fit_segmentation(tx, k, seed, n_init, max_k)
     scored = model.transform(_segment_input(tx))
     return scored.select("customer_id", *FE.SEGMENT_FEATURES, F.col("segment").cast("int"))
 
@@ -140,12 +166,23 @@ def profiles(segmented: DataFrame, group: str = "segment") -> DataFrame:
         F.col("avg_total_spent"), F.col("avg_order_frequency"), F.col("avg_order_value")))
 
 
-def segment_profiles(tx: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
-    seg = customer_segments(tx, k=k, seed=seed)
+def segment_profiles(tx: DataFrame, k: int | None = None, seed: int = 42,
+                     model: PipelineModel | None = None, n_init: int = N_INIT) -> DataFrame:
+    seg = customer_segments(tx, k=k, seed=seed, model=model, n_init=n_init)
     return (profiles(seg).withColumn("segment", F.concat(F.lit("Segment_"), F.col("segment")))
             .orderBy("segment"))
 
 
+def segment_totals(model: PipelineModel, tx: DataFrame) -> DataFrame:
+    """One row of invariants: customers and spend over the segments, the customers of the profiles,
+    and whether the number of segments lies in 2..``MAX_K``."""
+    seg = customer_segments(tx, model=model)
+    sizes = profiles(seg).agg(F.sum("size").alias("profiled_customers"))
+    return seg.agg(F.count(F.lit(1)).alias("customers"), F.sum("total_spent").alias("total_spent"),
+                   F.count_distinct("segment").between(2, MAX_K).alias("segments_in_range")).crossJoin(
+        F.broadcast(sizes))                                    # one row each
+
+
 def segment_rules(tx: DataFrame, as_of) -> DataFrame:
     """The characteristic rules on a fixed grouping: the CLV value band of each customer."""
     from .customers import clv
@@ -154,86 +191,123 @@ def segment_rules(tx: DataFrame, as_of) -> DataFrame:
     return profiles(feats.join(bands, "customer_id"), "customer_segment")
 
 
-def model_round_trip(tx: DataFrame, path: str, k: int = 4, seed: int = 42) -> DataFrame:
+def model_round_trip(tx: DataFrame, path: str, k: int | None = None, seed: int = 42,
+                     n_init: int = N_INIT, model: PipelineModel | None = None) -> DataFrame:
     """Save the fitted pipeline, load it back and score with both (must agree)."""
-    model = fit_segmentation(tx, k, seed)
+    model = model or fit_segmentation(tx, k, seed, n_init)
     model.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
-    data = _segment_input(tx)
-    a = model.transform(data).select("customer_id", F.col("segment").alias("segment_saved"))
-    b = loaded.transform(data).select("customer_id", F.col("segment").alias("segment_loaded"))
-    return a.join(b, "customer_id").withColumn("equal", F.col("segment_saved") == F.col("segment_loaded"))
+    return compare_scores(model.transform(_segment_input(tx)), PipelineModel.load(path).transform(_segment_input(tx)),
+                          "customer_id", "segment")
+
+
+def compare_scores(a: DataFrame, b: DataFrame, key: str, score: str) -> DataFrame:
+    """One row: how many keys both scorings have, and for how many the score is equal."""
+    both = a.select(key, F.col(score).alias("_a")).join(b.select(key, F.col(score).alias("_b")), key)
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_a").eqNullSafe(F.col("_b"))).alias("equal_rows"))
 
 
 # ================================================================ delivery time (M4-M7)
-DELIVERY_CATEGORICAL = ["city", "cuisine_type", "order_complexity"]
-DELIVERY_NUMERIC = [c for c in FE.DELIVERY_FEATURES if not c.endswith("_encoded")]
-DELIVERY_INPUTS = DELIVERY_NUMERIC + [f"{c}_encoded" for c in DELIVERY_CATEGORICAL]
+DELIVERY_CATEGORICAL = ["city", "cuisine_type", "order_complexity", "weather_condition"]
+DELIVERY_INPUTS = [*FE.DELIVERY_FEATURES, *FE.OPTIONAL_DELIVERY_FEATURES]
+DELIVERY_NUMERIC = [c for c in DELIVERY_INPUTS if not c.endswith("_encoded")]
 
-SMALL_GRID = {"numTrees": [20], "maxDepth": [5, 10], "minInstancesPerNode": [1]}
-# The reference grid; max_depth None -> 30 (MLlib's limit), min_samples_split has no MLlib twin.
+# max_depth None -> 30 (MLlib's limit); min_samples_split has no MLlib twin.
 REFERENCE_GRID = {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2, 4]}
+FOLDS = 5
 
 
-def delivery_pipeline(rf: RandomForestRegressor) -> Pipeline:
-    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_encoded", stringOrderType="alphabetAsc",
-                              handleInvalid="keep") for c in DELIVERY_CATEGORICAL]
-    return Pipeline(stages=[
-        *indexers,
-        VectorAssembler(inputCols=DELIVERY_INPUTS, outputCol="raw", handleInvalid="keep"),
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-        rf])
+@dataclass
+class TrainedModel:
+    """What scoring needs: encoders, fitted pipeline, statistics frames, and a record of facts."""
+    encoders: PipelineModel
+    pipeline: PipelineModel
+    stats: tuple[DataFrame, ...]
+    facts: dict
+
+
+def save_model(spark: SparkSession, model: TrainedModel, path: str) -> None:
+    model.encoders.write().overwrite().save(f"{path}/encoders")
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    for i, frame in enumerate(model.stats):
+        frame.write.mode("overwrite").parquet(f"{path}/stats_{i}")
+    facts = {**model.facts, "stats": len(model.stats)}
+    spark.createDataFrame([(json.dumps(facts, sort_keys=True),)], "facts string").coalesce(1) \
+        .write.mode("overwrite").text(f"{path}/facts")
+
 
+def load_model(spark: SparkSession, path: str) -> TrainedModel:
+    facts = json.loads(spark.read.text(f"{path}/facts").first()[0])
+    stats = tuple(spark.read.parquet(f"{path}/stats_{i}") for i in range(facts["stats"]))
+    return TrainedModel(PipelineModel.load(f"{path}/encoders"), PipelineModel.load(f"{path}/pipeline"), stats, facts)
 
-def _delivery_rows(tx: DataFrame, stats=None) -> DataFrame:
-    f = FE.delivery_features(tx, stats)
-    f = f.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in DELIVERY_CATEGORICAL})
-    return _doubles(f, DELIVERY_NUMERIC)
 
+def model_metrics(spark: SparkSession, model: TrainedModel) -> DataFrame:
+    """The metrics of the training run, one row; lists and maps as JSON."""
+    return _one_row(spark, {k: json.dumps(v, sort_keys=True) if isinstance(v, (dict, list)) else v
+                            for k, v in model.facts["metrics"].items()})
 
-def train_delivery_model(tx: DataFrame, grid: dict | None = None, folds: int = 3,
-                         seed: int = 42, parallelism: int = 4):
-    """Grid-searched random forest for delivery minutes.
 
-    Restaurant/city statistics are fitted on the training split only and
-    returned with the model (they are joined at scoring time).
-    Returns ``(model, stats, metrics_df)``.
+def _delivery_rows(tx: DataFrame, stats, encoders: PipelineModel) -> DataFrame:
+    """Encoded, null-filled inputs; a category the training data did not hold becomes -1."""
+    f = FE.apply_label_encoders(encoders, FE.delivery_features(tx, stats, optional=True), DELIVERY_CATEGORICAL)
+    return _doubles(f, DELIVERY_INPUTS)
+
+
+def train_delivery_model(tx: DataFrame, grid: dict | None = None, folds: int = FOLDS, seed: int = 42,
+                         parallelism: int = 4, path: str | None = None) -> TrainedModel:
+    """Grid-searched random forest for delivery minutes, saved to ``path`` and loaded from there.
+
+    Restaurant/city statistics and encoders are fitted on the training split only.  Encoding,
+    assembling and scaling happen once, before the grid; every split looks at all features.
     """
     spark = tx.sparkSession
+    grid = grid or REFERENCE_GRID
+    path = path or scratch_dir(spark, f"models/delivery/{uuid.uuid4().hex}")
     labelled = hash_split(tx.filter(F.col("delivery_time").isNotNull()), "order_id", 0.2, seed)
     train_tx = labelled.filter(~F.col("is_test")).drop("is_test")
     test_tx = labelled.filter(F.col("is_test")).drop("is_test")
-    stats = FE.delivery_stats(train_tx)
-    train = _stable(_delivery_rows(train_tx, stats).withColumn("label", F.col("delivery_time").cast("double")),
-                    "order_id").persist(StorageLevel.MEMORY_AND_DISK)
-    test = _delivery_rows(test_tx, stats).withColumn("label", F.col("delivery_time").cast("double"))
-    rf = RandomForestRegressor(featuresCol="features", labelCol="label", seed=seed)
-    grid = grid or SMALL_GRID
+    stats = []
+    for i, frame in enumerate(FE.delivery_stats(train_tx)):
+        frame.write.mode("overwrite").parquet(f"{path}/training_stats_{i}")
+        stats.append(spark.read.parquet(f"{path}/training_stats_{i}"))
+    encoders = FE.fit_label_encoders(FE.delivery_features(train_tx, tuple(stats), optional=True), DELIVERY_CATEGORICAL)
+
+    def rows(t: DataFrame) -> DataFrame:
+        return _delivery_rows(t, tuple(stats), encoders).withColumn("label", F.col("delivery_time").cast("double"))
+
+    raw = _stable(rows(train_tx), "order_id")
+    prepare = Pipeline(stages=[
+        VectorAssembler(inputCols=DELIVERY_INPUTS, outputCol="raw", handleInvalid="keep"),
+        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)]).fit(raw)
+    train = prepare.transform(raw).select("order_id", "features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    test = prepare.transform(rows(test_tx)).select("order_id", "features", "label")
+    rf = RandomForestRegressor(featuresCol="features", labelCol="label", seed=seed, featureSubsetStrategy="all")
     params = (ParamGridBuilder().addGrid(rf.numTrees, grid["numTrees"]).addGrid(rf.maxDepth, grid["maxDepth"])
               .addGrid(rf.minInstancesPerNode, grid["minInstancesPerNode"]).build())
     mae = RegressionEvaluator(labelCol="label", metricName="mae")
     rmse = RegressionEvaluator(labelCol="label", metricName="rmse")
-    cv = CrossValidator(estimator=delivery_pipeline(rf), estimatorParamMaps=params, evaluator=mae,
-                        numFolds=folds, seed=seed, parallelism=parallelism)
+    cv = CrossValidator(estimator=rf, estimatorParamMaps=params, evaluator=mae, numFolds=folds, seed=seed,
+                        parallelism=parallelism)
     try:
         cvm = cv.fit(train)
-        best = cvm.bestModel
+        forest = cvm.bestModel
         i = min(range(len(cvm.avgMetrics)), key=lambda j: cvm.avgMetrics[j])
-        p_train, p_test = best.transform(train), best.transform(test)
-        forest = best.stages[-1]
-        importances = dict(zip(DELIVERY_INPUTS, [round(float(x), 6) for x in forest.featureImportances.toArray()]))
-        best_params = {p.name: v for p, v in params[i].items()}
+        p_train, p_test = forest.transform(train), forest.transform(test)
         metrics = {
             "train_mae": round(mae.evaluate(p_train), 2), "test_mae": round(mae.evaluate(p_test), 2),
             "train_rmse": round(rmse.evaluate(p_train), 2), "test_rmse": round(rmse.evaluate(p_test), 2),
-            "cv_mae_mean": round(float(cvm.avgMetrics[i]), 2),
-            "cv_mae_std": round(float(cvm.stdMetrics[i]), 2) if cvm.stdMetrics else None,
-            "best_params": json.dumps(best_params, sort_keys=True),
-            "feature_importance": json.dumps(importances, sort_keys=True),
+            "cv_mae_mean": round(float(cvm.avgMetrics[i]), 2), "cv_mae_std": round(float(cvm.stdMetrics[i]), 2),
+            "best_params": {p.name: v for p, v in params[i].items()},
+            "feature_importance": dict(zip(DELIVERY_INPUTS, [round(float(x), 6)
+                                                             for x in forest.featureImportances.toArray()])),
+            "grid_points": len(params), "folds": folds, "full_grid": grid == REFERENCE_GRID and folds == FOLDS,
             "model_version": MODEL_VERSION}
     finally:
         train.unpersist()
-    return best, stats, _one_row(spark, metrics)
+    trained = TrainedModel(encoders, PipelineModel(stages=[*prepare.stages, forest]), tuple(stats),
+                           {"kind": "delivery", "inputs": DELIVERY_INPUTS, "version": MODEL_VERSION, "metrics": metrics})
+    save_model(spark, trained, path)
+    return load_model(spark, path)
 
 
 # The fields a delivery-time request must carry (the prediction endpoint's check).
@@ -249,13 +323,17 @@ def required_field_report(orders: DataFrame) -> DataFrame:
     return orders.agg(n.alias("rows"), *[c.alias(f"missing_{f}") for c, f in zip(cols, REQUIRED_FIELDS)])
 
 
-def score_delivery(model: PipelineModel, stats, orders: DataFrame, floor_minutes: float = 10.0,
+def score_delivery(model: TrainedModel, orders: DataFrame, floor_minutes: float = 10.0,
                    confidence: float = 0.95) -> DataFrame:
-    """Batch scoring: prediction floored at 10 minutes, plus the fixed-width interval."""
-    scored = model.transform(_delivery_rows(orders, stats))
+    """Batch scoring: prediction floored at 10 minutes, the fixed-width interval around it, the rounded
+    one-decimal figures of a response, and the model version."""
+    scored = model.pipeline.transform(_delivery_rows(orders, model.stats, model.encoders))
     pred = F.greatest(F.col("prediction"), F.lit(floor_minutes))
-    return prediction_interval(scored.select("order_id", pred.alias("predicted_delivery_time")),
-                               "predicted_delivery_time", confidence, floor_minutes)
+    out = prediction_interval(scored.select("order_id", pred.alias("predicted_delivery_time")),
+                              "predicted_delivery_time", confidence, floor_minutes)
+    shown = {f"{c}_1dp": F.bround(F.col(c).cast("decimal(20,10)"), 1).cast("double")
+             for c in ("predicted_delivery_time", "lower_bound", "upper_bound")}
+    return out.withColumns(shown).withColumn("model_version", F.lit(model.facts["version"]))
 
 
 def interval_margin(confidence: float = 0.95, std_error: float = 5.0) -> float:
@@ -293,45 +371,47 @@ CHURN_CATEGORICAL = ["city", "cuisine_type"]
 CHURN_NUMERIC = [c for c in FE.CHURN_FEATURES if not c.endswith("_encoded")]
 
 
-def churn_pipeline(max_iter: int = 100, seed: int = 42) -> Pipeline:
-    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_encoded", stringOrderType="alphabetAsc",
-                              handleInvalid="keep") for c in CHURN_CATEGORICAL]
-    return Pipeline(stages=[
-        *indexers,
-        VectorAssembler(inputCols=FE.CHURN_FEATURES, outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-        GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=3,
-                      stepSize=0.1, seed=seed)])
-
-
 def _churn_rows(tx: DataFrame) -> DataFrame:
     f = FE.churn_features(tx)
     return _doubles(f, CHURN_NUMERIC).withColumn("label", F.col("churned").cast("double"))
 
 
-def train_churn_model(tx: DataFrame, max_iter: int = 100, seed: int = 42):
-    """Gradient-boosted churn classifier on a stratified 80/20 split.  Returns (model, metrics_df)."""
+def _churn_inputs(rows: DataFrame, encoders: PipelineModel) -> DataFrame:
+    return _doubles(FE.apply_label_encoders(encoders, rows, CHURN_CATEGORICAL), FE.CHURN_FEATURES)
+
+
+def train_churn_model(tx: DataFrame, max_iter: int = 100, seed: int = 42, path: str | None = None) -> TrainedModel:
+    """Gradient-boosted churn classifier on a stratified 80/20 split, saved to ``path`` and loaded from there."""
     spark = tx.sparkSession
+    path = path or scratch_dir(spark, f"models/churn/{uuid.uuid4().hex}")
     rows = stratified_split(_churn_rows(tx), "customer_id", "churned", 0.2, seed)
+    encoders = FE.fit_label_encoders(rows.filter(~F.col("is_test")), CHURN_CATEGORICAL)
+    rows = _churn_inputs(rows, encoders)
     train = _stable(rows.filter(~F.col("is_test")), "customer_id").persist(StorageLevel.MEMORY_AND_DISK)
     test = rows.filter(F.col("is_test"))
+    pipeline = Pipeline(stages=[
+        VectorAssembler(inputCols=FE.CHURN_FEATURES, outputCol="raw"),
+        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
+        GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=3, stepSize=0.1, seed=seed)])
     try:
-        model = churn_pipeline(max_iter, seed).fit(train)
+        model = pipeline.fit(train)
         p_train, p_test = model.transform(train), model.transform(test)
         m_train = classification_counts(p_train).first()
         m_test = classification_counts(p_test).first()
         auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction",
                                             metricName="areaUnderROC").evaluate(p_test)
-        importances = dict(zip(FE.CHURN_FEATURES,
-                               [round(float(x), 6) for x in model.stages[-1].featureImportances.toArray()]))
         metrics = {"train_accuracy": m_train["accuracy"], "test_accuracy": m_test["accuracy"],
                    "precision": m_test["precision"], "recall": m_test["recall"], "f1_score": m_test["f1_score"],
-                   "roc_auc": round(float(auc), 3),
-                   "feature_importance": json.dumps(importances, sort_keys=True),
+                   "roc_auc": round(float(auc), 3), "rounds": max_iter,
+                   "feature_importance": dict(zip(FE.CHURN_FEATURES, [
+                       round(float(x), 6) for x in model.stages[-1].featureImportances.toArray()])),
                    "model_version": MODEL_VERSION}
     finally:
         train.unpersist()
-    return model, _one_row(spark, metrics)
+    trained = TrainedModel(encoders, model, (), {"kind": "churn", "inputs": FE.CHURN_FEATURES,
+                                                 "version": MODEL_VERSION, "metrics": metrics})
+    save_model(spark, trained, path)
+    return load_model(spark, path)
 
 
 def classification_counts(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -357,8 +437,20 @@ def rule_churn_prediction(tx: DataFrame, days: int = 30) -> DataFrame:
                     (F.col("days_since_last_order") > days).cast("int").alias("prediction"))
 
 
-def score_churn(model: PipelineModel, tx: DataFrame) -> DataFrame:
+def score_churn(model: TrainedModel, tx: DataFrame) -> DataFrame:
     """Churn probability per customer, 3 decimals."""
-    scored = model.transform(_churn_rows(tx))
+    scored = model.pipeline.transform(_churn_inputs(_churn_rows(tx), model.encoders))
     prob = vector_to_array(F.col("probability"))[1]
     return scored.select("customer_id", F.round(prob, 3).alias("churn_probability"))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def trained_at(spark: SparkSession, path: str, train) -> TrainedModel:
+    """The model saved at ``path``; trained and saved there first if it is not."""
+    if not exists(spark, f"{path}/facts/_SUCCESS"):      # written last
+        train(path)
+    return load_model(spark, path)

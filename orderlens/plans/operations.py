@@ -227,3 +227,12 @@ def executive_summary(tx: DataFrame, as_of, days: int = 30, as_json: bool = Fals
         metrics = F.to_json(F.struct(*[c for c in k.columns]), {"ignoreNullFields": "false"})
         out = out.select("metric_category", metrics.alias("metrics"))
     return out
+
+
+def parse_summary(summary: DataFrame) -> DataFrame:
+    """The JSON form of ``executive_summary`` read back into columns."""
+    fields = ("total_orders_last_30_days bigint, total_revenue_last_30_days double, "
+              "avg_order_value_last_30_days double, avg_delivery_time_last_30_days double, "
+              "active_customers_last_30_days bigint, active_restaurants_last_30_days bigint")
+    return summary.select("metric_category", F.from_json("metrics", fields).alias("m")).select(
+        "metric_category", "m.*")

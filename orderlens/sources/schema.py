@@ -33,7 +33,7 @@ COLUMNS = [f.name for f in TRANSACTIONS.fields]
 def conform(df: DataFrame, with_optional: bool = False) -> DataFrame:
     """Cast known columns to the fact-table types; add missing ones as NULL.
 
-    Bad values become NULL (``try_cast``) instead of failing the job.
+    Bad values become NULL (``try_cast``); ``bad_rows`` finds them beforehand.
     """
     fields = list(TRANSACTIONS.fields) + (list(OPTIONAL.fields) if with_optional else [])
     present = set(df.columns)
@@ -50,6 +50,15 @@ def conform(df: DataFrame, with_optional: bool = False) -> DataFrame:
     return df.select(*cols, *extra)
 
 
+def bad_rows(df: DataFrame) -> Column:
+    """True for rows with a value that ``conform`` would turn into NULL."""
+    flag = F.lit(False)
+    for f in [*TRANSACTIONS.fields, *OPTIONAL.fields]:
+        if f.name in df.columns and df.schema[f.name].dataType != f.dataType:
+            flag = flag | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+    return flag
+
+
 def validate(df: DataFrame) -> DataFrame:
     """Primary-key report: one row with total rows, NULL keys and duplicate keys.
 

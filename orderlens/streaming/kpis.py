@@ -1,9 +1,10 @@
 """Live order KPIs with Structured Streaming.
 
 The reference refreshes its daily numbers by re-querying on every request.
-Here purchases are read as a stream, tumbling windows are aggregated with a
-watermark (rows later than the watermark are dropped, windows are emitted once
-closed, in append mode) and each micro-batch lands in a sink.  The batch twin
+Here purchases are read as a stream and tumbling windows are aggregated with a
+watermark (rows later than the watermark are dropped).  In update mode each
+micro-batch upserts the windows it changed, the open one included; in append
+mode a window is written once, when it is closed.  The batch twin
 ``daily_kpis`` computes the same numbers over a table.
 """
 
@@ -42,6 +43,9 @@ def daily_kpis(orders: DataFrame, window: str = "1 day", watermark: str | None =
 
 
 def read_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream the files of a folder or pattern, or one file."""
+    if path.endswith(".parquet"):        # a stream takes no plain file: a pattern that fits this name only
+        path = path[:-1] + "[t]"
     reader = spark.readStream.schema(EVENTS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -57,9 +61,32 @@ def run_available(agg: DataFrame, sink: str, checkpoint: str) -> None:
         raise q.exception()
 
 
+def run_upserts(agg: DataFrame, sink: str, checkpoint: str) -> None:
+    """Update mode with an idempotent sink: a batch overwrites its own folder of changed windows,
+    so a repeated batch changes nothing; ``read_upserts`` takes the latest state of each window."""
+
+    def upsert(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    q = (agg.writeStream.outputMode("update").foreachBatch(upsert)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
+def read_upserts(spark: SparkSession, sink: str) -> DataFrame:
+    """The current value of every window, closed or open."""
+    rows = spark.read.parquet(sink)
+    return (rows.groupBy("window_start", "window_end")
+            .agg(F.max_by(F.struct("orders", "revenue"), "batch_id").alias("k"))
+            .select("window_start", "window_end", "k.orders", "k.revenue"))
+
+
 def stream_daily_kpis(spark: SparkSession, events_path: str, out_dir: str,
                       window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
-    """Run the stream over the available events and return what the sink received."""
+    """Run the stream over the available events (a job of its own, when called) and return the
+    current windows, the still open one included."""
     stream = purchases(read_event_stream(spark, events_path))
-    run_available(daily_kpis(stream, window, watermark), f"{out_dir}/sink", f"{out_dir}/checkpoint")
-    return spark.read.parquet(f"{out_dir}/sink")
+    run_upserts(daily_kpis(stream, window, watermark), f"{out_dir}/sink", f"{out_dir}/checkpoint")
+    return read_upserts(spark, f"{out_dir}/sink")

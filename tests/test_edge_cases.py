@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from helpers import make_tx
 from orderlens.functions import dates as D
-from orderlens.operators.ntile import global_ntile, window_ntile
+from literal import window_ntile
+from orderlens.operators.ntile import global_ntile
 from orderlens.plans import api as A
 from orderlens.plans import customers as C
 from orderlens.plans import features as FE
@@ -31,8 +32,8 @@ def test_one_order_customer(spark):
     assert clv["solo"]["customer_lifetime_value"] == 36525.0          # 100 / 1 * 365.25
     churn = by(C.churn_risk(tx, AS_OF), "customer_id")
     assert "solo" not in churn and churn["duo"]["avg_days_between_orders"] == 10.0
-    stats = by(FE.group_stats(tx, "customer_id", "c_", False), "customer_id")
-    assert stats["solo"]["c_delivery_time_std"] is None                # sample std of one row
+    rest, _ = FE.delivery_stats(tx.filter("customer_id = 'solo'").withColumn("restaurant_id", F.lit("r")))
+    assert rest.first()["restaurant_delivery_time_std"] is None        # sample std of one row
 
 
 def test_same_day_boundary_pair(spark):

@@ -4,9 +4,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_MID
-from orderlens.operators.band_join import item_pairs, item_pairs_join
-from orderlens.operators.gaps import previous_event, previous_event_window
-from orderlens.operators.ntile import global_ntile, window_ntile
+from literal import item_pairs_join, previous_event_window, window_ntile
+from orderlens.operators.band_join import item_pairs
+from orderlens.operators.gaps import previous_event
+from orderlens.operators.ntile import global_ntile
 from orderlens.plans import customers as C
 from orderlens.sources.fixture import transactions
 import __spark_entry__ as E

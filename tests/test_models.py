@@ -1,5 +1,7 @@
 """Models: determinism, persistence, invariants (metrics are not compared bit for bit)."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
@@ -11,39 +13,72 @@ from orderlens.sources.fixture import transactions
 
 def test_segmentation_deterministic_and_complete(spark):
     tx = transactions(spark, SF_SMALL)
-    a = M.customer_segments(tx, k=3).select("customer_id", "segment")
-    b = M.customer_segments(tx, k=3).select("customer_id", "segment")
+    a = M.customer_segments(tx, k=3, n_init=2).select("customer_id", "segment")
+    b = M.customer_segments(tx, k=3, n_init=2).select("customer_id", "segment")
     assert sorted(a.collect()) == sorted(b.collect())
-    sizes = M.profiles(M.customer_segments(tx, k=3)).agg(F.sum("size")).first()[0]
+    sizes = M.profiles(M.customer_segments(tx, k=3, n_init=2)).agg(F.sum("size")).first()[0]
     assert sizes == FE.segmentation_features(tx).count()
 
 
 def test_model_round_trip(spark):
     tx = transactions(spark, SF_SMALL)
-    df = M.model_round_trip(tx, scratch_dir(spark, "test_round_trip"), k=3)
-    assert df.filter(~F.col("equal")).count() == 0 and df.count() > 0
+    r = M.model_round_trip(tx, scratch_dir(spark, "test_round_trip"), k=3, n_init=1).first()
+    assert r["rows"] == r["equal_rows"] > 0
 
 
 def test_choose_k_flags_one(spark):
     tx = transactions(spark, SF_SMALL)
-    ks = M.choose_k(tx, max_k=4).collect()
+    ks = M.choose_k(tx, max_k=4, n_init=2).collect()
     assert [r["k"] for r in ks] == [2, 3, 4] and sum(r["chosen"] for r in ks) == 1
 
 
-def test_delivery_model_trains_and_scores(spark):
+SMALL_GRID = {"numTrees": [10], "maxDepth": [4, 6], "minInstancesPerNode": [1]}
+
+
+def test_full_search_is_the_default():
+    import inspect
+    p = inspect.signature(M.train_delivery_model).parameters
+    assert p["grid"].default is None and p["folds"].default == 5
+    assert [len(v) for v in M.REFERENCE_GRID.values()] == [2, 3, 3]
+    p = inspect.signature(M.choose_k).parameters
+    assert (p["max_k"].default, p["n_init"].default, M.MAX_ITER) == (10, 10, 300)
+    assert inspect.signature(M.customer_segments).parameters["k"].default is None
+
+
+def test_delivery_model_trains_saves_and_scores(spark):
     tx = transactions(spark, SF_SMALL)
-    model, stats, metrics = M.train_delivery_model(tx, folds=2)
-    m = metrics.first()
-    assert 0 <= m["test_mae"] <= 50 and m["cv_mae_mean"] > 0
-    scored = M.score_delivery(model, stats, tx)
+    path = scratch_dir(spark, f"test_delivery_model_{uuid.uuid4().hex}")
+    model = M.train_delivery_model(tx, grid=SMALL_GRID, folds=2, path=path)
+    m = M.model_metrics(spark, model).first()
+    assert 0 <= m["test_mae"] <= 50 and m["cv_mae_mean"] > 0 and (m["grid_points"], m["folds"]) == (2, 2)
+    assert not m["full_grid"]
+    scored = M.score_delivery(model, tx)
     assert scored.filter(F.col("predicted_delivery_time") < 10).count() == 0
     assert scored.filter(F.col("lower_bound") < 10).count() == 0
+    assert scored.filter(F.abs(F.col("predicted_delivery_time") - F.col("predicted_delivery_time_1dp")) > 0.05001).count() == 0
+    again = M.score_delivery(M.load_model(spark, path), tx)
+    assert M.compare_scores(scored, again, "order_id", "predicted_delivery_time").first()["equal_rows"] == tx.count()
+    assert M.trained_at(spark, path, None).facts == model.facts          # found, not trained again
+
+
+def test_unseen_category_and_optional_columns(spark):
+    tx = transactions(spark, SF_SMALL)
+    path = scratch_dir(spark, f"test_delivery_model_{uuid.uuid4().hex}")
+    model = M.train_delivery_model(tx, grid=SMALL_GRID, folds=2, path=path)
+    other = tx.limit(50).withColumn("city", F.lit("Atlantis")).withColumn("distance_km", F.lit(7.5)).withColumn(
+        "weather_condition", F.lit("storm"))
+    rows = M._delivery_rows(other, model.stats, model.encoders).select(
+        "city_encoded", "weather_condition_encoded", "estimated_distance_km").distinct().collect()
+    assert [tuple(r) for r in rows] == [(-1.0, -1.0, 7.5)]
+    known = M._delivery_rows(tx, model.stats, model.encoders)
+    assert known.filter("city_encoded < 0 or estimated_distance_km <> 3.0").count() == 0
+    assert M.score_delivery(model, other).count() == 50
 
 
 def test_churn_model_metrics_in_range(spark):
     tx = transactions(spark, SF_MID)
-    model, metrics = M.train_churn_model(tx, max_iter=10)
-    m = metrics.first()
+    model = M.train_churn_model(tx, max_iter=10)
+    m = M.model_metrics(spark, model).first()
     for k in ("train_accuracy", "test_accuracy", "precision", "recall", "f1_score", "roc_auc"):
         assert 0.0 <= m[k] <= 1.0
     probs = M.score_churn(model, tx)
@@ -74,6 +109,6 @@ def test_required_field_report_counts_absent_columns(spark):
 
 def test_same_seed_same_churn_metrics(spark):
     tx = transactions(spark, SF_MID)
-    a = M.train_churn_model(tx, max_iter=5)[1].first().asDict()
-    b = M.train_churn_model(tx, max_iter=5)[1].first().asDict()
+    a = M.train_churn_model(tx, max_iter=5).facts["metrics"]
+    b = M.train_churn_model(tx, max_iter=5).facts["metrics"]
     assert a == b

@@ -6,9 +6,10 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from helpers import make_tx
-from orderlens.operators.band_join import item_pairs, item_pairs_join
-from orderlens.operators.gaps import previous_event, previous_event_window
-from orderlens.operators.ntile import global_ntile, window_ntile
+from literal import item_pairs_join, previous_event_window, window_ntile
+from orderlens.operators.band_join import item_pairs
+from orderlens.operators.gaps import previous_event
+from orderlens.operators.ntile import global_ntile
 from orderlens.operators.split import hash_split
 
 

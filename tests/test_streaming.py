@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,17 +12,28 @@ from orderlens.sources.fixture import read_table
 from orderlens.streaming import kpis as ST
 
 
-def test_stream_equals_batch_for_closed_windows(spark):
-    out = scratch_dir(spark, "test_stream_twin")
-    streamed = ST.stream_daily_kpis(spark, f"{SF_MID}/events*.parquet", out)
+def test_stream_equals_batch_with_the_open_window(spark):
+    batch = ST.daily_kpis(ST.purchases(read_table(spark, SF_MID, "events")))
+    out = scratch_dir(spark, f"test_stream_twin_{uuid.uuid4().hex}")
+    streamed = ST.stream_daily_kpis(spark, f"{SF_MID}/events.parquet", out)
+    assert sorted(streamed.collect()) == sorted(batch.collect())
+    # a second run over the same checkpoint changes nothing
+    again = ST.stream_daily_kpis(spark, f"{SF_MID}/events.parquet", out)
+    assert sorted(again.collect()) == sorted(batch.collect())
+
+
+def test_append_mode_writes_closed_windows_once(spark):
+    base = scratch_dir(spark, f"test_stream_append_{uuid.uuid4().hex}")
+    agg = ST.daily_kpis(ST.purchases(ST.read_event_stream(spark, f"{SF_MID}/events.parquet")))
+    ST.run_available(agg, f"{base}/sink", f"{base}/ckpt")
     batch = ST.daily_kpis(ST.purchases(read_table(spark, SF_MID, "events")))
     last = batch.agg(F.max("window_start")).first()[0]
-    expect = sorted(batch.filter(F.col("window_start") < last).collect())
-    assert sorted(streamed.collect()) == expect
+    assert sorted(spark.read.parquet(f"{base}/sink").collect()) == sorted(
+        batch.filter(F.col("window_start") < last).collect())
 
 
 def test_late_event_is_dropped(spark):
-    base = scratch_dir(spark, "test_stream_late")
+    base = scratch_dir(spark, f"test_stream_late_{uuid.uuid4().hex}")
     src = os.path.join(base, "src")
     schema = ST.EVENTS
 
