@@ -82,10 +82,6 @@ def day_range(df: DataFrame, start: AsOf | None, end: AsOf | None,
     return df
 
 
-def on_day(df: DataFrame, day: AsOf, col: str = "order_date") -> DataFrame:
-    return day_range(df, day, day, col)
-
-
 def calendar_days(later: Column, earlier: Column) -> Column:
     """SQL ``DATEDIFF``: difference of the date parts."""
     return F.datediff(later, earlier)

@@ -45,7 +45,7 @@ def training_jobs():
     return {
         "train_delivery": lambda tx, path: M.train_delivery_model(tx, path=path),
         "train_churn": lambda tx, path: M.train_churn_model(tx, path=path),
-        "train_segments": lambda tx, path: M.fit_segmentation(tx).write().overwrite().save(path),
+        "train_segments": lambda tx, path: M.train_segmentation(tx, path),
     }
 
 
@@ -54,5 +54,5 @@ def scoring_jobs():
     return {
         "score_delivery": lambda tx, path: M.score_delivery(M.load_model(tx.sparkSession, path), tx),
         "score_churn": lambda tx, path: M.score_churn(M.load_model(tx.sparkSession, path), tx),
-        "score_segments": lambda tx, path: M.customer_segments(tx, model=M.PipelineModel.load(path)),
+        "score_segments": lambda tx, path: M.customer_segments(tx, model=M.PipelineModel.load(f"{path}/model")),
     }

@@ -115,16 +115,6 @@ def repeat_rate(df: DataFrame) -> DataFrame:
                              F.try_divide(F.col("repeat_customers"), F.col("total_customers")) * 100)
 
 
-def side_by_side(*parts: DataFrame) -> DataFrame:
-    """One row from one-row aggregates: the first part, each other part as one scalar subquery."""
-    first, rest = parts[0], parts[1:]
-    extra = []
-    for p in rest:
-        packed = p.select(F.struct(*p.columns).alias("v")).scalar()
-        extra += [packed.getField(c).alias(c) for c in p.columns]
-    return first.select("*", *extra)
-
-
 def _insight_sets(df: DataFrame, full: bool) -> DataFrame:
     """Hour, city, (customer and grand-total) groups of the selection in one aggregate."""
     sets = [["h"], ["city"]] + ([["customer_id"], []] if full else [])
@@ -192,10 +182,10 @@ def dataset_overview(df: DataFrame) -> DataFrame:
                   F.count_distinct("city").alias("cities"))
 
 
-def export_csv(df: DataFrame, base_path: str, as_of) -> str:
+def export_csv(df: DataFrame, base_path: str, as_of, prefix: str = "orders_") -> str:
     """Write the current selection as CSV under a dated folder; returns the folder."""
     from ..sources.files import write_csv
-    path = f"{base_path.rstrip('/')}/food_delivery_data_{D.as_date(as_of):%Y%m%d}"
+    path = f"{base_path.rstrip('/')}/{prefix}{D.as_date(as_of):%Y%m%d}"
     write_csv(df, path)
     return path
 

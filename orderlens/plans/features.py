@@ -118,7 +118,9 @@ def delivery_stats(tx: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.count("order_value").alias("_vn"), F.sum("order_value").alias("_v"))
 
     def roll(key: str, prefix: str, with_count: bool) -> DataFrame:
-        g = partial.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        # an exploded key: filters on it stay above, so both roll-ups read the same exchange
+        rows = partial.select(F.explode(F.array(F.col(key))).alias(key), "_n", "_s", "_q", "_vn", "_v")
+        g = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(
             F.sum("_n").alias("n"), F.sum("_s").cast("decimal(20,0)").alias("s"),
             F.sum("_q").cast("decimal(24,0)").alias("q"), F.sum("_vn").alias("vn"), F.sum("_v").alias("v"))
         n = F.col("n").cast("double")

@@ -125,6 +125,11 @@ def _search(tx: DataFrame, ks: list[int], seed: int, n_init: int, parallelism: i
     return PipelineModel(stages=[*scaling.stages, models[best]]), rows, best
 
 
+def _choices(spark: SparkSession, rows: list[dict], best: int) -> DataFrame:
+    return spark.createDataFrame([{**r, "chosen": r["k"] == best} for r in rows],
+                                 "k int, silhouette double, training_cost double, chosen boolean")
+
+
 def choose_k(tx: DataFrame, max_k: int = MAX_K, seed: int = 42, n_init: int = N_INIT,
              parallelism: int = 4) -> DataFrame:
     """Silhouette for k = 2..max_k (MLlib's squared-Euclidean silhouette, linear cost).
@@ -133,8 +138,15 @@ def choose_k(tx: DataFrame, max_k: int = MAX_K, seed: int = 42, n_init: int = N_
     is lost); the first k with the best silhouette is flagged ``chosen``.
     """
     _, rows, best = _search(tx, list(range(2, max_k + 1)), seed, n_init, parallelism)
-    return tx.sparkSession.createDataFrame([{**r, "chosen": r["k"] == best} for r in rows],
-                                           "k int, silhouette double, training_cost double, chosen boolean")
+    return _choices(tx.sparkSession, rows, best)
+
+
+def train_segmentation(tx: DataFrame, path: str, max_k: int = MAX_K, seed: int = 42, n_init: int = N_INIT,
+                       parallelism: int = 4) -> None:
+    """The whole search once: the chosen model to ``path/model``, the row per k to ``path/choose_k``."""
+    model, rows, best = _search(tx, list(range(2, max_k + 1)), seed, n_init, parallelism)
+    model.write().overwrite().save(f"{path}/model")
+    _choices(tx.sparkSession, rows, best).coalesce(1).write.mode("overwrite").parquet(f"{path}/choose_k")
 
 
 def fit_segmentation(tx: DataFrame, k: int | None = None, seed: int = 42, n_init: int = N_INIT,

@@ -146,7 +146,7 @@ def test_jdbc_options_partition_the_read():
 def test_export_csv_uses_dated_folder_and_json_records(spark):
     tx = make_tx(spark, [{"order_id": "o1", "order_value": 5, "order_date": "2024-03-10 10:00:00"}])
     path = DB.export_csv(tx, scratch_dir(spark, "test_export"), AS_OF)
-    assert path.endswith("food_delivery_data_20240331")
+    assert path.endswith("/orders_20240331")
     assert files.read_csv(spark, path).select("order_id").first()["order_id"] == "o1"
     rec = files.json_records(tx.select("order_id", "order_value")).first()["record"]
     assert rec == '{"order_id":"o1","order_value":5.00}'
@@ -162,3 +162,31 @@ def test_analyses_as_sql_views(spark):
     n = spark.sql("SELECT count(*) AS n FROM v_clv WHERE customer_segment IS NOT NULL").first()["n"]
     assert n == C.clv(tx, dt.date(2001, 8, 1)).count()
     assert spark.sql("SELECT count(*) FROM v_transactions").first()[0] == tx.count()
+
+
+def test_table_has_few_files(spark, tmp_path):
+    """Many tasks times many months still give about one file per month."""
+    import pathlib
+    rows = [{"order_id": f"o{i}", "order_date": f"2024-{i % 12 + 1:02d}-10 10:00:00"} for i in range(240)]
+    files.write_table(make_tx(spark, rows).repartition(16), str(tmp_path / "t"))
+    assert 12 <= len(list(pathlib.Path(tmp_path / "t").rglob("part-*.parquet"))) <= 24
+
+
+def test_job_runner_quarantines_bad_rows(spark, tmp_path, capsys):
+    import pytest
+    from orderlens.__main__ import main
+    src = tmp_path / "orders.csv"
+    head = ("order_id,customer_id,restaurant_id,city,order_value,delivery_time,order_date,cuisine_type,"
+            "payment_method,delivery_status")
+    src.write_text("\n".join([head, "o1,c1,r1,X,10.00,20,2024-03-10T10:00:00,A,card,done",
+                              "o2,c1,r1,X,ten,20,2024-03-10T10:00:00,A,card,done",
+                              "o3,c1,r1,X,10.00,20,yesterday,A,card,done"]) + "\n")
+    args = ["executive_summary", "--input", str(src), "--input-format", "csv", "--as-of", "2024-03-31",
+            "--quarantine", str(tmp_path / "bad"), "--output", str(tmp_path / "out"), "--format", "json"]
+    with pytest.raises(SystemExit):
+        main(args)
+    assert main([*args, "--max-bad-rows", "2"]) == 0
+    assert "2" in capsys.readouterr().err
+    assert spark.read.json(str(tmp_path / "bad")).count() == 2
+    with pytest.raises(SystemExit):
+        main([a for a in args if a not in ("--as-of", "2024-03-31")])

@@ -65,3 +65,54 @@ def test_band_join_equi_keys_include_time_bucket(spark):
 def test_output_columns_unique_and_named(spark, key):
     cols = E.queries()[key](spark, SF_SMALL).columns
     assert len(cols) == len(set(cols)) and all(re.fullmatch(r"[a-z][a-z0-9_]*", c) for c in cols), cols
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    from orderlens.sources.files import write_table
+    path = str(tmp_path_factory.mktemp("stored") / "transactions")
+    write_table(transactions(spark, SF_SMALL), path)
+    return spark.read.parquet(path)
+
+
+def final_plan(df) -> str:
+    """The adaptive plan that ran."""
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    return p.split("== Initial Plan ==")[0]
+
+
+def scans(df) -> int:
+    """Scans of the fact table that were executed (a reused exchange scans nothing)."""
+    return len(re.findall(r"FileScan parquet", final_plan(df)))
+
+
+def test_churn_features_scan_is_pruned(spark, stored):
+    from orderlens.plans import features as FE
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        df = FE.churn_features(stored)
+        df.collect()
+        p = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    main = [x for x in re.findall(r"FileScan parquet[^\n]*", p) if "customer_id" in x]
+    assert main and all(re.search(r"PartitionFilters: \[.*order_month#\d+ >= date_format", x) for x in main)
+    assert len({x.split("Batched")[0] for x in main}) == 1              # one scan, in the final and the initial plan
+
+
+def test_delivery_features_scan_at_most_twice(spark, stored):
+    from orderlens.plans import features as FE
+    assert scans(FE.delivery_features(stored)) <= 2
+
+
+def test_cross_sell_aggregates_cells_once(spark, stored):
+    from orderlens.plans import customers as C
+    assert scans(C.cuisine_pairs(stored, min_customers=1)) == 1
+    assert scans(C.cross_sell(stored, E.AS_OF, min_customers=1)) <= 2
+
+
+def test_order_gaps_scan_once(spark, stored):
+    from orderlens.plans import primitives as P
+    assert scans(P.order_gaps(stored)) == 1
