@@ -8,6 +8,7 @@ return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlens.llm import byte_bpe, decontaminate, language_id, line_dedup, near_dups
 from orderlens.llm.common import materialise, read_table, ship
@@ -22,7 +23,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs are deleted; documents that this empties go."""
     ship(spark)
-    return line_dedup.clean(docs, drop_emptied=True)
+    out = line_dedup.clean(docs, drop_emptied=True)
+    if "n_chars" in out.columns:                    # the length of the text that is left
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
