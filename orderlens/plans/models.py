@@ -190,7 +190,7 @@ def segment_totals(model: PipelineModel, tx: DataFrame) -> DataFrame:
     and whether the number of segments lies in 2..``MAX_K``."""
     seg = customer_segments(tx, model=model)
     sizes = profiles(seg).agg(F.sum("size").alias("profiled_customers"))
-    return seg.agg(F.count(F.lit(1)).alias("customers"), F.sum("total_spent").alias("total_spent"),
+    return seg.agg(F.count(F.lit(1)).alias("customers"), F.sum(F.col("total_spent").cast("decimal(20,2)")).alias("total_spent"),
                    F.count_distinct("segment").between(2, MAX_K).alias("segments_in_range")).crossJoin(
         F.broadcast(sizes))                                    # one row each
 
