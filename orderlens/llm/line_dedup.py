@@ -60,7 +60,8 @@ def line_table(docs: DataFrame) -> DataFrame:
 def _repeated(lines: DataFrame, min_words: int) -> DataFrame:
     """Lines of stretches of repeated lines with enough words: ``..., seg, c0`` (words before in the
     stretch), ``m``."""
-    again = lines.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h")
+    # written first, so that the join is between plain tables and a hot line can be split
+    again = materialise(lines.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h"), "line_ids")
     inside = lines.join(again, "h")
     by_doc = Window.partitionBy(*_DOC).orderBy("j")
     seg = Window.partitionBy(*_DOC, "seg")
@@ -133,8 +134,9 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
              .withColumn("b", _at_level([f"q_{r}" for r in ranks], m))
              .select(*_DOC, "seg", "j", "m", "a", "b"))
     named = materialise(named, "line_intervals")
-    firsts = (named.groupBy("m", "a", "b")
-              .agg(F.min(F.struct(*_DOC, "j", "seg")).alias("first"), F.count("*").alias("k")).filter("k > 1").drop("k"))
+    firsts = materialise(named.groupBy("m", "a", "b")
+                         .agg(F.min(F.struct(*_DOC, "j", "seg")).alias("first"), F.count("*").alias("k"))
+                         .filter("k > 1").drop("k"), "line_firsts")
     later = (named.join(firsts, ["m", "a", "b"]).filter(~_key().eqNullSafe(
                 F.struct(F.col("first.doc_id").alias("doc_id"), F.col("first.th").alias("th"),
                          F.col("first.j").alias("j"))))
