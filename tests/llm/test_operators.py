@@ -16,6 +16,7 @@ from orderlens.llm import (byte_bpe, decontaminate, language_id, line_dedup, nea
 from orderlens.llm.components import connected_components
 
 SF_SMALL, SF_MID = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+SF_LARGE = "/root/testdata/sf0.1"           # a few hundred labels (sf0.01) are too few to learn from
 SHA = lambda b: hashlib.sha256(b).hexdigest()
 
 
@@ -404,8 +405,8 @@ def test_line_runs_small_lines(spark, odd):
 # ---- 9 toxicity
 
 def test_toxicity_held_out(spark):
-    got = rows_of(queries.op9_toxicity(spark, SF_MID))
-    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF_MID}/labels.parquet").collect()}
+    got = rows_of(queries.op9_toxicity(spark, SF_LARGE))
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF_LARGE}/labels.parquet").collect()}
     held = [i for i in labels if got[i].held_out]
     assert {i for i in got if zlib.crc32(str(i).encode()) % 4 == 2} == {i for i in got if got[i].held_out}
     toxic, clean = [i for i in held if labels[i]], [i for i in held if not labels[i]]
