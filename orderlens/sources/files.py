@@ -25,7 +25,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = TRANSACTIONS
     """CSV with an explicit schema; malformed lines land in ``_corrupt_record``, not errors."""
     with_corrupt = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in schema.fields),
                                  T.StructField(CORRUPT, T.StringType(), True)])
+    # all columns are parsed whatever is read, or a bad value in an unread column would pass unseen
     return (spark.read.schema(with_corrupt).option("header", True).option("mode", "PERMISSIVE")
+            .option("columnPruning", False)
             .option("columnNameOfCorruptRecord", CORRUPT)
             .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
             .csv(path))
