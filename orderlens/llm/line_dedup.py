@@ -8,11 +8,13 @@ enter the suffix array.
   such pairs, from one distributed sort of the distinct pairs.  After level k suffixes are sorted
   by their first ``2**k`` lines, and suffixes of one rank form a longest-common-prefix interval of
   at least that depth.  Doubling ends when the depth passes the longest prefix that is asked for.
-* For each place ``p``, ``m`` is the least number of lines from ``p`` that hold ``MIN_WORDS`` words.  The interval
-  of depth ``m`` around ``p`` is named by two overlapping ranks, at ``p`` and at ``p + m - 2**k``.
-* Each interval with several suffixes is a repeated run.  Its first occurrence (least document id,
-  then line) stays; every later copy is deleted, made maximal to the right by
-  comparing the lines after it with those after the first occurrence.
+* A run of enough words is the union of its shortest windows of ``MIN_WORDS`` words: a line whose run holds
+  enough words up to it is in the window that ends there, any other in the window that begins with
+  the run.  So each place has two windows, the shortest that begins and the shortest that ends there,
+  and longer agreements need no deeper ranks.  A window of ``m`` lines from ``p`` is named by two
+  overlapping ranks, at ``p`` and at ``p + m - 2**k``.
+* A window whose name has an earlier place (least document id, then line) is deleted.  All
+  earlier places count, as each window of a run is looked up on its own.
 
 So a line goes exactly if it lies in a run of at least ``MIN_WORDS`` words that also begins earlier.
 The earliest copy of any line always stays somewhere.
@@ -58,8 +60,8 @@ def line_table(docs: DataFrame) -> DataFrame:
 
 
 def _repeated(lines: DataFrame, min_words: int) -> DataFrame:
-    """Lines of stretches of repeated lines with enough words: ``..., seg, c0`` (words before in the
-    stretch), ``m``."""
+    """Lines of stretches of repeated lines with enough words: ``..., seg, m``, ``back``: lines of the
+    shortest windows with enough words that begin and that end there (null: none)."""
     # written first, so that the join is between plain tables and a hot line can be split
     again = materialise(lines.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h"), "line_ids")
     inside = lines.join(again, "h")
@@ -69,11 +71,16 @@ def _repeated(lines: DataFrame, min_words: int) -> DataFrame:
             .withColumn("seg_words", F.sum("wc").over(seg)).filter(F.col("seg_words") >= min_words)
             .withColumn("c0", F.sum("wc").over(seg.orderBy("j")) - F.col("wc")))
     reach = seg.orderBy("c0").rangeBetween(min_words, Window.unboundedFollowing)
+    behind = seg.orderBy("c1").rangeBetween(Window.unboundedPreceding, -min_words)
     last = F.max("j").over(seg) + 1
-    return (rows.withColumn("stop", F.coalesce(
+    return (rows.withColumn("c1", F.col("c0") + F.col("wc"))
+            .withColumn("stop", F.coalesce(
                 F.min("j").over(reach), F.when(F.col("seg_words") - F.col("c0") >= min_words, last)))
+            .withColumn("start", F.coalesce(
+                F.max("j").over(behind) + 1, F.when(F.col("c1") >= min_words, F.min("j").over(seg))))
             .withColumn("m", (F.col("stop") - F.col("j")).cast("int"))
-            .select(*_DOC, "seg", "j", "i", "h", "m"))
+            .withColumn("back", (F.col("j") + 1 - F.col("start")).cast("int"))
+            .select(*_DOC, "seg", "j", "i", "h", "m", "back"))
 
 
 def _ranks(pairs: DataFrame) -> DataFrame:
@@ -122,55 +129,37 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, th, gone``: sorted numbers of the lines to delete, of documents that lose any."""
     lines = materialise(line_table(docs), "line_table")
     rows = materialise(_repeated(lines, min_words), "repeated_lines")
-    depth = rows.agg(F.max("m")).first()[0] or 0
+    depth = rows.agg(F.max(F.greatest("m", "back"))).first()[0] or 0
     rows, levels = suffix_ranks(rows, depth)
     ranks = [f"r{k}" for k in range(levels + 1)]
     m = F.col("m")
+    order = Window.partitionBy(*_DOC, "seg").orderBy("j")
+    # ranks of the 2**k lines that end at a place
+    ended = rows.select(*_DOC, "seg", "j", F.col("back").alias("m"),
+                        *[F.lag(r, (1 << k) - 1).over(order).alias(r) for k, r in enumerate(ranks)])
+    windows = (rows.filter("m is not null")
+               .select(*_DOC, "seg", "j", "m", _at_level(ranks, m).alias("own"),
+                       (F.col("j") + m - _power(m, levels)).alias("at"), F.lit(True).alias("begins"))
+               .unionByName(ended.filter("m is not null")
+                            .select(*_DOC, "seg", (F.col("j") + 1 - m).alias("j"), "m", _at_level(ranks, m).alias("own"),
+                                    (F.col("j") + 1 - m).alias("at"), F.lit(False).alias("begins"))))
     second = rows.select(*[F.col(c).alias(f"q_{c}") for c in [*_DOC, "j", *ranks]])
-    ends = F.col("j") + m - _power(m, levels)
-    named = (rows.filter("m is not null").withColumn("a", _at_level(ranks, m))
-             .join(second, F.col("doc_id").eqNullSafe(F.col("q_doc_id")) & (F.col("th") == F.col("q_th"))
-                   & (F.col("q_j") == ends))
-             .withColumn("b", _at_level([f"q_{r}" for r in ranks], m))
-             .select(*_DOC, "seg", "j", "m", "a", "b"))
+    other = _at_level([f"q_{r}" for r in ranks], m)
+    named = (windows.join(second, F.col("doc_id").eqNullSafe(F.col("q_doc_id")) & (F.col("th") == F.col("q_th"))
+                          & (F.col("q_j") == F.col("at")))
+             .select(*_DOC, "seg", "j", "m", F.when(F.col("begins"), F.col("own")).otherwise(other).alias("a"),
+                     F.when(F.col("begins"), other).otherwise(F.col("own")).alias("b")))
     named = materialise(named, "line_intervals")
     firsts = materialise(named.groupBy("m", "a", "b")
-                         .agg(F.min(F.struct(*_DOC, "j", "seg")).alias("first"), F.count("*").alias("k"))
-                         .filter("k > 1").drop("k"), "line_firsts")
-    later = (named.join(firsts, ["m", "a", "b"]).filter(~_key().eqNullSafe(
-                F.struct(F.col("first.doc_id").alias("doc_id"), F.col("first.th").alias("th"),
-                         F.col("first.j").alias("j"))))
-             .select(*_DOC, "seg", "j", "m", "first"))
-    order = Window.partitionBy(*_DOC, "seg").orderBy("j")
-    # a copy goes on in the next row if that one is the copy of the first occurrence's next line
-    goes_on = ((F.lead("j").over(order) == F.col("j") + 1)
-               & F.lead("first.doc_id").over(order).eqNullSafe(F.col("first.doc_id"))
-               & (F.lead("first.th").over(order) == F.col("first.th"))
-               & (F.lead("first.j").over(order) == F.col("first.j") + 1))
-    copies = materialise(later.withColumn("on", F.coalesce(goes_on, F.lit(False))), "line_copies")
-
-    stretch = rows.groupBy(*_DOC, "seg").agg(F.min("j").alias("lo"), F.transform(
-        F.sort_array(F.collect_list(F.struct("j", "h"))), lambda x: x.h).alias("hs"))
-    mine = stretch.select(*[F.col(c).alias(f"p_{c}") for c in stretch.columns])
-    theirs = stretch.select(*[F.col(c).alias(f"q_{c}") for c in stretch.columns])
-    tails = (copies.filter(~F.col("on"))
-             .join(mine, F.col("doc_id").eqNullSafe(F.col("p_doc_id")) & (F.col("th") == F.col("p_th"))
-                   & (F.col("seg") == F.col("p_seg")))
-             .join(theirs, F.col("first.doc_id").eqNullSafe(F.col("q_doc_id")) & (F.col("first.th") == F.col("q_th"))
-                   & (F.col("first.seg") == F.col("q_seg"))))
-    rest = lambda hs, lo, j: F.slice(hs, (j + m - lo + 1).cast("int"), F.size(hs))
-    same = F.zip_with(rest(F.col("p_hs"), F.col("p_lo"), F.col("j")), rest(F.col("q_hs"), F.col("q_lo"), F.col("first.j")),
-                      lambda x, y: F.coalesce(x == y, F.lit(False)))
-    # lines that still agree: the place of the first difference, or all of them
-    differ = F.array_position(same, False)
-    more = F.when(differ > 0, differ - 1).otherwise(F.size(same))
-    spans = (copies.filter("on").select(*_DOC, "j", (F.col("j") + m).alias("stop"))
-             .unionByName(tails.select(*_DOC, "j", (F.col("j") + m + more).cast("int").alias("stop"))))
-    covered = spans.select(*_DOC, F.explode(F.sequence("j", F.col("stop") - 1)).alias("j")).distinct()
-    return (covered.alias("c").join(rows.alias("r"), F.col("c.doc_id").eqNullSafe(F.col("r.doc_id"))
-                                    & (F.col("c.th") == F.col("r.th")) & (F.col("c.j") == F.col("r.j")))
-            .groupBy(F.col("c.doc_id").alias("doc_id"), F.col("c.th").alias("th"))
-            .agg(F.array_sort(F.collect_set("r.i")).alias("gone")))
+                         .agg(F.min(_key()).alias("first"), F.max(_key()).alias("last"))
+                         .filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last"), "line_firsts")
+    later = (named.join(firsts, ["m", "a", "b"]).filter(~_key().eqNullSafe(F.col("first")))
+             .select(*_DOC, "seg", "j", F.lit(None).cast("int").alias("i"), (F.col("j") + m).alias("stop")))
+    # a line goes if a window that begins there or before ends after it
+    both = rows.select(*_DOC, "seg", "j", "i", F.lit(None).cast("int").alias("stop")).unionByName(later)
+    reached = both.withColumn("reach", F.max("stop").over(order))
+    return (reached.filter(F.col("i").isNotNull() & (F.col("reach") > F.col("j")))
+            .groupBy(*_DOC).agg(F.array_sort(F.collect_set("i")).alias("gone")))
 
 
 def _joined(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> tuple[DataFrame, str]:

@@ -402,6 +402,43 @@ def test_line_runs_small_lines(spark, odd):
     assert {r.doc_id: r.text for r in line_dedup.clean(d).collect()} == {i: r.text for i, r in got.items()}
 
 
+def defined_lines(texts, least=50):
+    """From the definition: every earlier place, each pair's longest agreement."""
+    seq = [(i, k, x, len(x.split())) for i in sorted(texts) for k, x in enumerate(texts[i].split("\n")) if x.strip()]
+    gone = {i: set() for i in texts}
+    for p in range(len(seq)):
+        longest = 0
+        for q in range(p):
+            m = 0
+            while (p + m < len(seq) and seq[p + m][2] == seq[q + m][2] and seq[p + m][0] == seq[p][0]
+                   and seq[q + m][0] == seq[q][0]):
+                m += 1
+            longest = max(longest, m)
+        if sum(x[3] for x in seq[p:p + longest]) >= least:
+            gone[seq[p][0]] |= {x[1] for x in seq[p:p + longest]}
+    return gone
+
+
+def test_line_runs_longest_agreement_with_any_earlier_place(spark):
+    import random
+    rnd = random.Random(8)
+    block = " ".join(f"p{k}" for k in range(60))
+    x, y = (" ".join(f"{c}{k}" for k in range(10)) for c in "xy")
+    case = {1: f"{block}\n{x}", 2: f"{block}\n{y}", 3: f"{block}\n{y}"}
+    assert defined_lines(case) == {1: set(), 2: {0}, 3: {0, 1}}
+    lines = [" ".join(f"{c}{k}" for k in range(n)) for c, n in zip("abcdef", (3, 9, 14, 30, 55, 1))]
+    mixed = {10 + i: "\n".join(rnd.choice([*lines, ""]) if rnd.random() < .95 else f"own{rnd.random()}"
+                               for _ in range(rnd.randint(0, 30))) for i in range(40)}
+    rnd = random.Random(2)                    # the texts of test_line_runs_small_lines
+    small = [" ".join(f"{c}{k}" for k in range(n)) for c, n in zip("abcdefgh", (3, 9, 14, 2, 30, 7, 55, 1))]
+    short = {i: "\n".join(rnd.choice(small + [""]) if rnd.random() < .9 else f"own{rnd.random()}"
+                          for _ in range(rnd.randint(0, 40))) for i in range(60)}
+    for texts in (case, mixed, short):
+        d = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+        got = {i: {int(k) for k in r.deleted_lines.split(",") if k} for i, r in rows_of(line_dedup.report(d)).items()}
+        assert got == defined_lines(texts)
+
+
 # ---- 9 toxicity
 
 def test_toxicity_held_out(spark):
