@@ -2,9 +2,10 @@
 
 1. Each text becomes its set of word shingles (64-bit hashes).  Documents with equal sets form
    one class, so exact copies cost one row from here on.
-2. A class has ``MINIMA`` universal hash minima; the first of them make ``BANDS`` bucket keys.  At a similarity of
-   exactly 0.85 a pair shares no bucket with probability ``(1 - 0.85 ** 8) ** 36``, about 1e-5, and
-   less above.  The signature keeps four bits of every minimum.
+2. A class has ``MINIMA`` universal hash minima; the first of them make the bucket keys.  Rows and number of the
+   bands follow from the similarity that is asked for (``banding``): at exactly that similarity a pair
+   shares no bucket with a probability of about 1e-5 (0.85: 36 bands of 8, 0.80: 49 of 7), and less
+   above.  The signature keeps four bits of every minimum.
 3. Links are confirmed on the full sets, without listing all pairs of a bucket.  The leader of a
    bucket is its most connected class (the one that meets most others over all its buckets: the
    original of edited copies, not just any copy).  Every class is compared with the leaders of its
@@ -21,6 +22,7 @@ least id; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -35,11 +37,8 @@ from orderlens.llm.components import connected_components
 
 SHINGLE = 5
 PERCENT = 85
-BANDS, ROWS = 36, 8
-MINIMA = 576                               # of the signature; the first BANDS * ROWS make the buckets
-# Signature verification: equal four-bit minima that a pair needs.  At the threshold each of the 576
-# agrees with probability 0.85 + 0.15 / 16: 495 on average, deviation 8.3; 457 is 4.5 deviations less.
-LEAST_EQUAL = 457
+MINIMA = 576                               # of the signature; the first bands * rows make the buckets
+MISSED = 1.1e-5                            # share of pairs at the threshold that may meet in no bucket
 # Pairs (two 64-bit ids each) that are broadcast at most; more are joined by shuffles.
 BROADCAST_PAIRS = 2_000_000
 
@@ -86,10 +85,27 @@ def signature(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def bucket_keys(sig: np.ndarray) -> np.ndarray:
-    rows = sig[:BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
-    total = np.arange(BANDS, dtype=np.uint64)
-    for j in range(ROWS):
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows: the most rows whose bands, at most 5/8 of the minima, miss a share of ``MISSED`` at most."""
+    for rows in range(8, 0, -1):
+        shared = (percent / 100) ** rows
+        bands = 1 if shared == 1 else math.ceil(math.log(MISSED) / math.log(1 - shared))
+        if bands * rows <= MINIMA * 5 // 8:
+            return bands, rows
+    return MINIMA, 1
+
+
+def least_equal(percent: int) -> int:
+    """Equal four-bit minima that a pair needs: 4.5 deviations less than the mean at the threshold, where
+    each agrees with probability ``s + (1 - s) / 16`` (0.85: 457 of 576)."""
+    p = percent / 100 + (1 - percent / 100) / 16
+    return int(MINIMA * p - 4.5 * math.sqrt(MINIMA * p * (1 - p)))
+
+
+def bucket_keys(sig: np.ndarray, bands: int, size: int) -> np.ndarray:
+    rows = sig[:bands * size].reshape(bands, size).astype(np.uint64)
+    total = np.arange(bands, dtype=np.uint64)
+    for j in range(size):
         total = total * np.uint64(0x9E3779B97F4A7C15) + mix(rows[:, j] + np.uint64(1))
     return mix(total)
 
@@ -106,8 +122,9 @@ def _class_id(s: np.ndarray) -> np.uint64:
     return mix(mix(sums[:1] + np.uint64(len(s))) ^ sums[1:])[0]
 
 
-def describe(docs: DataFrame) -> DataFrame:
+def describe(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, th, n, c`` (class), ``buckets`` and ``sig`` for ``docs (doc_id, th, text)``."""
+    bands, size = banding(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple] = {}                  # copies near each other share the signature
@@ -125,7 +142,7 @@ def describe(docs: DataFrame) -> DataFrame:
                     if len(known) > 2000:
                         known.clear()
                     sig = signature(s)
-                    known[own] = (bucket_keys(sig).view(np.int64), nibbles(sig).view(np.int64))
+                    known[own] = (bucket_keys(sig, bands, size).view(np.int64), nibbles(sig).view(np.int64))
                 c.append(own), keys.append(known[own][0]), sigs.append(known[own][1])
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("th"), pa.array(n, pa.int64()), pa.array(c, pa.int64()),
@@ -192,7 +209,7 @@ def _allowed(a: str, b: str, percent: int) -> Column:
     """Sizes and signatures of two classes do not rule out the similarity, and this is their first bucket."""
     least = F.least(F.col(f"{a}.n"), F.col(f"{b}.n")) * 100 >= F.greatest(F.col(f"{a}.n"), F.col(f"{b}.n")) * percent
     first = F.array_min(F.array_intersect(F.col(f"{a}.buckets"), F.col(f"{b}.buckets"))) == F.col(f"{a}.bucket")
-    return least & (_equal_minima(a, b) >= LEAST_EQUAL) & first
+    return least & (_equal_minima(a, b) >= least_equal(percent)) & first
 
 
 class Groups(NamedTuple):
@@ -211,7 +228,7 @@ def _label(rows: DataFrame, components: DataFrame, key: str, out: str) -> DataFr
 def find(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> Groups:
     """Classes and their components; runs Spark jobs when called."""
     own = id_and_text(docs, id_col, text_col)
-    described = materialise(describe(own.withColumn("th", F.xxhash64("text"))), "minhash")
+    described = materialise(describe(own.withColumn("th", F.xxhash64("text")), percent), "minhash")
     documents = described.select("doc_id", "th", "n", "c")
     full = described.filter("n > 0")
     classes = materialise(full.groupBy("c").agg(

@@ -279,6 +279,28 @@ def test_near_dups_chain_of_groups(spark):
     assert got == brute_components(texts)
 
 
+def test_near_dups_stage_against_all_pairs_at_80(spark):
+    """Pairs on both sides of 0.80 and of 0.85; the stage keeps the first of each group."""
+    import random
+
+    import corpus_pipeline as C
+    assert near_dups.banding(85) == (36, 8) and near_dups.least_equal(85) == 457
+    bands, size = near_dups.banding(80)
+    assert (1 - 0.8 ** size) ** bands < 1.2e-5 and bands * size <= near_dups.MINIMA
+    rnd, texts = random.Random(4), {}
+    for i in range(150):
+        words = [f"d{i}w{k}" for k in range(200)]
+        texts[2 * i] = " ".join(words)
+        # one word in the middle takes 5 of 196 shingles: similarity 0.90 to 0.73
+        for k in range(rnd.randint(2, 6)):
+            words[10 + 30 * k] = f"x{k}"
+        texts[2 * i + 1] = " ".join(words)
+    want = {i for i, (_, root) in brute_components(texts, 80).items() if i == root}
+    assert want < {i for i, (_, root) in brute_components(texts, 85).items() if i == root}
+    d = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert {r.doc_id for r in C.near_dup_stage(spark, d, SF_SMALL).collect()} == want
+
+
 def test_near_dups_odd_rows(spark, odd):
     got = near_dups.groups(odd).collect()
     assert len(got) == odd.count()
