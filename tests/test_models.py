@@ -112,3 +112,13 @@ def test_same_seed_same_churn_metrics(spark):
     a = M.train_churn_model(tx, max_iter=5).facts["metrics"]
     b = M.train_churn_model(tx, max_iter=5).facts["metrics"]
     assert a == b
+
+
+def test_registered_delivery_model_searches_the_whole_grid(spark, monkeypatch):
+    """The keys leave grid and folds at their defaults."""
+    import __spark_entry__ as E
+    passed = []
+    monkeypatch.setattr(M, "train_delivery_model", lambda tx, **options: passed.append(options))
+    monkeypatch.setattr(M, "trained_at", lambda spark, path, train: train(path))
+    E._trained("delivery", spark, SF_SMALL, transactions(spark, SF_SMALL))
+    assert [set(options) for options in passed] == [{"path"}]
