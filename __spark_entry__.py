@@ -79,16 +79,17 @@ def _trained(kind: str, spark: SparkSession, sf_dir: str, tx: DataFrame) -> M.Tr
     return M.trained_at(spark, _model_path(spark, sf_dir, kind), train)
 
 
-def _segmentation_path(spark: SparkSession, sf_dir: str, tx: DataFrame) -> str:
-    """The segmentation of a data folder (search for k, ten starts), trained once per application."""
-    path = _model_path(spark, sf_dir, "segmentation")
+def _segmentation_path(spark: SparkSession, sf_dir: str, tx: DataFrame, city: str | None = None) -> str:
+    """The segmentation of a data folder or of one city's orders in it (search for k, ten starts),
+    trained once per application."""
+    path = _model_path(spark, sf_dir, f"segmentation_{city}" if city else "segmentation")
     if not M.exists(spark, f"{path}/choose_k/_SUCCESS"):        # written last
-        M.train_segmentation(tx, path)
+        M.train_segmentation(A.filter_orders(tx, city), path)
     return path
 
 
-def _segmentation(spark: SparkSession, sf_dir: str, tx: DataFrame):
-    return M.PipelineModel.load(f"{_segmentation_path(spark, sf_dir, tx)}/model")
+def _segmentation(spark: SparkSession, sf_dir: str, tx: DataFrame, city: str | None = None):
+    return M.PipelineModel.load(f"{_segmentation_path(spark, sf_dir, tx, city)}/model")
 
 
 # key -> (analysis over a transactions frame, columns it reads); filled by _registry
@@ -205,15 +206,16 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     q["choose_k"] = choose_k
 
-    def segmented(name, use):
+    def segmented(name, use, city=None):
         def run(spark, sf_dir):
             tx = _tx(spark, sf_dir)
-            return _final(use(_segmentation(spark, sf_dir, tx), tx))
+            return _final(use(_segmentation(spark, sf_dir, tx, city), tx))
         q[name] = run
 
     segmented("customer_segments", lambda model, tx: M.customer_segments(tx, model=model))
     segmented("segment_profiles", lambda model, tx: M.segment_profiles(tx, model=model))
-    segmented("segment_summary", lambda model, tx: A.segment_summary(tx, city="ASIA", model=model))
+    segmented("segment_summary", lambda model, tx: A.segment_summary(tx, city="ASIA", model=model),
+              city="ASIA")
     segmented("segment_totals", M.segment_totals)
     reg("segment_rules", _CLV_COLS + ["delivery_time"])(lambda tx: M.segment_rules(tx, AS_OF))
     def round_trip(spark, sf_dir):

@@ -122,3 +122,22 @@ def test_registered_delivery_model_searches_the_whole_grid(spark, monkeypatch):
     monkeypatch.setattr(M, "trained_at", lambda spark, path, train: train(path))
     E._trained("delivery", spark, SF_SMALL, transactions(spark, SF_SMALL))
     assert [set(options) for options in passed] == [{"path"}]
+
+
+def test_registered_segment_summary_fits_the_city(spark, monkeypatch):
+    """Scaling, search and starts see the filtered orders only (a short search here)."""
+    import __spark_entry__ as E
+    from orderlens.plans import api as A
+    train, cities = M.train_segmentation, []
+
+    def short(tx, path):
+        cities.extend(r.city for r in tx.select("city").distinct().collect())
+        train(tx, path, max_k=3, n_init=1)
+
+    folder = scratch_dir(spark, f"test_segment_summary_{uuid.uuid4().hex}")
+    monkeypatch.setattr(E, "_model_path", lambda spark, sf_dir, kind: f"{folder}/{kind}")
+    monkeypatch.setattr(M, "train_segmentation", short)
+    got = E.queries()["segment_summary"](spark, SF_SMALL).collect()
+    assert cities == ["ASIA"]
+    want = E._final(A.segment_summary(transactions(spark, SF_SMALL), city="ASIA", max_k=3, n_init=1)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
