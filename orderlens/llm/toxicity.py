@@ -9,7 +9,8 @@ exactly zero, so the model that is broadcast is a short list of (place, weight).
 Training: a hash sample of at most about ``MAX_ROWS`` labelled rows is turned into features once
 (written into the shared folder) and dealt over ``SHARDS`` tasks.  In each of ``ROUNDS`` rounds
 every shard goes on from the common state over its own rows, and a coordinate's new state is the
-mean over the shards that met it.  State sent at once is bounded by the table size.
+mean over the shards that met it.  State below the L1 bound is kept too, since it adds up over
+rounds.  State sent at once is bounded by the table size.
 
 Cases: null and empty texts score as the bias alone; labels that are null or not 0/1 are ignored;
 several labels of one document all count; without labels of both kinds scores are the smoothed share
@@ -145,8 +146,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, shards: in
                 before = np.zeros(size)
                 before[at] = n0
                 met = np.flatnonzero(ns != before)
-                # coordinates that are still far below the L1 bound would stay zero anyway
-                met = met[(np.abs(zs[met]) > 0.5 * l1) | (before[met] > 0)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x.tobytes()], pa.binary()) for x in
                      (met.astype(np.int32), zs[met].astype(np.float32), ns[met].astype(np.float32))],

@@ -482,6 +482,36 @@ def test_toxicity_cases(spark, odd):
     assert not len(one.place) and toxicity.score(odd, one).filter("predicted = 1").count() == 0
 
 
+def test_toxicity_learns_a_word_with_two_toxic_rows_per_shard(spark):
+    """Below the L1 bound in each round, above it over the four rounds."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from orderlens.llm.common import held_out
+    rnd, shards = random.Random(6), toxicity.SHARDS
+    ids = spark.range(6000).withColumnRenamed("id", "doc_id").select(
+        "doc_id", held_out().alias("held"), F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(shards)).alias("shard")).collect()
+    planted = [r.doc_id for s in range(shards) for r in [x for x in ids if not x.held and x.shard == s][:2]]
+    asked = [r.doc_id for r in ids if r.held][:10]
+    rows = []
+    for r in ids:
+        toxic = r.doc_id % 20 == 0 or r.doc_id in planted or r.doc_id in asked
+        words = [f"w{rnd.randrange(3000)}" for _ in range(8)]
+        if r.doc_id in planted or r.doc_id in asked:
+            words[4] = "rarecue"
+        elif toxic:
+            words[4] = "commoncue"
+        rows.append((r.doc_id, " ".join(words), int(toxic)))
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").cache()
+    w = toxicity.fit(d, d.select("doc_id", "toxic"))
+    got = rows_of(toxicity.score(d, w))
+    assert sum(not r.held for r in ids) >= 4000              # the bound is at its highest
+    assert sum(got[i].predicted for i in asked) >= 9
+    clean = [r.doc_id for r, (_, _, toxic) in zip(ids, rows) if r.held and not toxic]
+    assert sum(got[i].predicted for i in clean) <= 0.02 * len(clean)
+
+
 # ---- 10 quality
 
 def brute_measures(t):
