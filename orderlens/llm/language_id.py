@@ -5,9 +5,9 @@ lower-case words, is encoded once per language in pieces of ``PIECE`` bytes that
 language whose dictionary gives the fewest bytes in total wins.  Texts of at least ``LEAST_BYTES``
 are rejected when the second language needs hardly more; shorter ones carry too few bytes for a margin.
 
-The dictionaries are fitted on a bounded sample of labelled rows: ``DICT_BYTES`` of text per
-language, from documents of at most ``SAMPLE_TEXT`` bytes, and ``MAX_LANGUAGES`` languages at most
-(more raise an error).  Only they are broadcast.
+The dictionaries are fitted on a bounded sample of all labelled rows: ``DICT_BYTES`` of text per
+language, where a text of more than ``SAMPLE_TEXT`` bytes counts as pieces of a quarter as many characters,
+and ``MAX_LANGUAGES`` languages at most (more raise an error).  Only they are broadcast.
 
 Cases: null texts and texts without a letter are ``und`` with score 0 and rejected; ties go to the
 language with more learning text, then the first in alphabetical order; without any labelled row all are ``und``; repeated rows get
@@ -54,8 +54,7 @@ def fit(docs: DataFrame, learn: Column | None = None, lang_col: str = "lang", id
         text_col: str = "text") -> Profile:
     """Dictionaries from the rows that ``learn`` admits (default: rows that are not held out)."""
     learn = ~held_out(id_col) if learn is None else learn
-    rows = (docs.filter(learn & F.col(lang_col).isNotNull() & (F.octet_length(text_col) <= SAMPLE_TEXT)
-                        & F.col(text_col).rlike(r"\p{L}"))
+    rows = (docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
             .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
                     F.xxhash64(F.col(id_col), F.col(text_col)).alias("h")))
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n"))
@@ -69,13 +68,22 @@ def fit(docs: DataFrame, learn: Column | None = None, lang_col: str = "lang", id
     for lang, n in sizes.items():
         share = min(1.0, 2.0 * DICT_BYTES / max(n, 1))
         limit = F.when(F.col("lang") == lang, F.lit(int(share * (1 << 31)))).otherwise(limit)
-    picked = rows.filter(F.pmod("h", F.lit(1 << 31)) < limit).select("lang", "text", "h").collect()
+    # pieces of long texts are picked one by one, each by a hash of its own
+    size, long = SAMPLE_TEXT // 4, F.octet_length("text") > SAMPLE_TEXT
+    own = lambda k: F.when(k == 0, F.col("h")).otherwise(F.xxhash64("h", k))
+    last = F.when(long, F.floor((F.length("text") - 1) / size)).otherwise(0).cast("int")
+    pieces = F.filter(F.sequence(F.lit(0), last), lambda k: F.pmod(own(k), F.lit(1 << 31)) < F.col("limit"))
+    picked = (rows.withColumn("limit", limit).select("lang", "text", "h", F.explode(pieces).alias("k"))
+              .select("lang", own(F.col("k")).alias("h"),
+                      F.when(long, F.substring("text", F.col("k") * size + 1, F.lit(size))).otherwise(F.col("text"))
+                      .alias("text")).collect())
     contents = {lang: b"" for lang in sizes}
     for r in sorted(picked, key=lambda r: (r.h, r.text)):
         if len(contents[r.lang]) < DICT_BYTES:
             contents[r.lang] += reduced(r.text) + b"\n"
-    langs = tuple(sorted((lang for lang, c in contents.items() if len(c) >= 8), key=lambda x: (-sizes[x], x)))
-    return Profile(langs, tuple(contents[lang][:DICT_BYTES] for lang in langs))
+    langs = tuple(sorted((lang for lang, c in contents.items() if c.strip()), key=lambda x: (-sizes[x], x)))
+    # a dictionary has 8 bytes at least: less text is repeated
+    return Profile(langs, tuple((contents[lang] * (8 if len(contents[lang]) < 8 else 1))[:DICT_BYTES] for lang in langs))
 
 
 def _compressors(profile: Profile) -> list[zstandard.ZstdCompressor]:

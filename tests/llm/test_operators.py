@@ -367,6 +367,26 @@ def test_language_cases(spark, odd):
     assert language_id.keep_identified(odd, p).columns == odd.columns
 
 
+def test_language_of_long_or_tiny_texts_is_learned(spark):
+    """One language has books only, one a short note beside them, one a single letter."""
+    import random
+
+    from pyspark.sql import functions as F
+    rnd = random.Random(9)
+    words = {c: ["".join(rnd.choice(letters) for _ in range(rnd.randint(3, 8))) for _ in range(300)]
+             for c, letters in (("aa", "abcdefgh"), ("bb", "ijklmnop"), ("cc", "qrstuvw"))}
+    text = lambda c, n: " ".join(rnd.choice(words[c]) for _ in range(n))
+    rows = [(1, "aa", text("aa", 40000)), (2, "bb", text("bb", 30)), (3, "bb", "qqqq"), (4, "bb", text("bb", 40000)),
+            (5, "zz", "z")] + [(10 + i, "cc", text("cc", 60)) for i in range(20)]
+    d = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    p = language_id.fit(d, learn=F.lit(True))
+    size = dict(zip(p.languages, map(len, p.contents)))
+    assert set(size) == {"aa", "bb", "cc", "zz"} and 8 <= size["zz"] < 20
+    assert size["aa"] > 100_000 and size["bb"] > 100_000
+    asked = spark.createDataFrame([(1, text("aa", 60)), (2, text("bb", 60)), (3, text("cc", 60))], "doc_id bigint, text string")
+    assert [r.lang_pred for r in language_id.predict(asked, p).orderBy("doc_id").collect()] == ["aa", "bb", "cc"]
+
+
 # ---- 8 line runs
 
 def brute_lines(texts, least=50):
