@@ -2,8 +2,12 @@
 
 Each language has a zstandard raw-content dictionary of sampled texts.  A text, reduced to its
 lower-case words, is encoded once per language in pieces of ``PIECE`` bytes that cover it whole; the
-language whose dictionary gives the fewest bytes in total wins.  Texts of at least ``LEAST_BYTES``
-are rejected when the second language needs hardly more; shorter ones carry too few bytes for a margin.
+language whose dictionary gives the fewest bytes in total wins.  A text is rejected when the second
+language needs hardly more, or when the first needs more than its texts of that size do.  Both limits
+are calibrated per language and size: dictionaries of every other learning piece classify
+beginnings of the rest, and quantiles of the right predictions, with some slack, are the limits.
+A language with fewer than ``LEAST_RIGHT`` of them at any size has only the fixed margin from ``LEAST_BYTES`` on.
+Below about 25 bytes compressed sizes are equal, so there is no limit.
 
 The dictionaries are fitted on a bounded sample of all labelled rows: ``DICT_BYTES`` of text per
 language, where a text of more than ``SAMPLE_TEXT`` bytes counts as pieces of a quarter as many characters,
@@ -22,7 +26,7 @@ from typing import NamedTuple
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import blocks, held_out, id_and_text, texts_of
@@ -32,7 +36,12 @@ SAMPLE_TEXT = 16 << 10
 MAX_LANGUAGES = 200
 PIECE = 2048
 LEVEL = 6
-# Rejection: the second language needs less than this share of bytes more than the first.
+# Rejection: sizes (reduced bytes) that are calibrated, texts per language, right predictions that a
+# limit needs, share of them beyond it, slack of margin and of bytes.
+SIZES = (25, 50, 100, 200, 400, 800, 1600, 3200)
+CALIBRATED, LEAST_RIGHT, BEYOND = 200, 20, 0.005
+MARGIN_SLACK, BYTES_SLACK = 0.5, 1.12
+# Without calibration: the second language needs less than this share of bytes more than the first.
 MARGIN = 0.002
 LEAST_BYTES = 200
 UNKNOWN = "und"
@@ -40,9 +49,11 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 class Profile(NamedTuple):
-    """Languages, those with more learning text first, and their dictionaries."""
+    """Languages, those with more learning text first, their dictionaries, and for each language the
+    limits ``(size, least margin, most compressed bytes per byte)`` by rising size."""
     languages: tuple[str, ...]
     contents: tuple[bytes, ...]
+    limits: tuple[tuple[tuple[int, float, float], ...], ...] = ()
 
 
 def reduced(text: str) -> bytes:
@@ -77,13 +88,52 @@ def fit(docs: DataFrame, learn: Column | None = None, lang_col: str = "lang", id
               .select("lang", own(F.col("k")).alias("h"),
                       F.when(long, F.substring("text", F.col("k") * size + 1, F.lit(size))).otherwise(F.col("text"))
                       .alias("text")).collect())
-    contents = {lang: b"" for lang in sizes}
+    texts: dict[str, list[bytes]] = {lang: [] for lang in sizes}
     for r in sorted(picked, key=lambda r: (r.h, r.text)):
-        if len(contents[r.lang]) < DICT_BYTES:
-            contents[r.lang] += reduced(r.text) + b"\n"
-    langs = tuple(sorted((lang for lang, c in contents.items() if c.strip()), key=lambda x: (-sizes[x], x)))
-    # a dictionary has 8 bytes at least: less text is repeated
-    return Profile(langs, tuple((contents[lang] * (8 if len(contents[lang]) < 8 else 1))[:DICT_BYTES] for lang in langs))
+        if raw := reduced(r.text):
+            texts[r.lang].append(raw)
+    langs = tuple(sorted((lang for lang, t in texts.items() if t), key=lambda x: (-sizes[x], x)))
+    half = Profile(langs, tuple(_content(texts[lang][::2]) for lang in langs))
+    limits = _calibrate(docs.sparkSession, half, [texts[lang][1::2][:CALIBRATED] for lang in langs])
+    return Profile(langs, tuple(_content(texts[lang]) for lang in langs), limits)
+
+
+def _content(texts: list[bytes]) -> bytes:
+    """A dictionary of the texts; it has 8 bytes at least, so less text is repeated."""
+    out = b""
+    for raw in texts:
+        if len(out) < DICT_BYTES:
+            out += raw + b"\n"
+    return (out * (8 if len(out) < 8 else 1))[:DICT_BYTES]
+
+
+def _calibrate(spark: SparkSession, half: Profile, texts: list[list[bytes]]) -> tuple:
+    """The limits of each language from ``texts`` that are not in the dictionaries of ``half``."""
+    cases = [(k, raw[:n]) for k, own in enumerate(texts) for raw in own for n in SIZES if len(raw) >= n]
+    if not cases:
+        return ((),) * len(texts)
+    sent = spark.sparkContext.broadcast(tuple(half))
+
+    def run(part: Iterator[tuple[int, bytes]]) -> Iterator[tuple[int, int, float, float]]:
+        compressors = _compressors(Profile(*sent.value))
+        for k, raw in part:
+            best, margin, share = _measure(raw, compressors)
+            if best == k:
+                yield k, len(raw), margin, share
+
+    right = spark.sparkContext.parallelize(cases, min(64, len(cases))).mapPartitions(run).collect()
+    sent.unpersist()
+    out = []
+    for k in range(len(texts)):
+        own = []
+        for n in SIZES:
+            margins = sorted(m for i, size, m, _ in right if (i, size) == (k, n))
+            shares = sorted(s for i, size, _, s in right if (i, size) == (k, n))
+            if len(margins) >= LEAST_RIGHT:
+                at = int(BEYOND * len(margins))
+                own.append((n, MARGIN_SLACK * margins[at], BYTES_SLACK * shares[-1 - at]))
+        out.append(tuple(own))
+    return tuple(out)
 
 
 def _compressors(profile: Profile) -> list[zstandard.ZstdCompressor]:
@@ -96,18 +146,26 @@ def _compressors(profile: Profile) -> list[zstandard.ZstdCompressor]:
     return out
 
 
+def _measure(raw: bytes, compressors: list) -> tuple[int, float, float]:
+    """The best compressor, the share of bytes that the second needs more, compressed bytes per byte."""
+    pieces = [raw[i:i + PIECE] for i in range(0, len(raw), PIECE)]
+    sizes = sorted((sum(len(c.compress(p)) for p in pieces), k) for k, c in enumerate(compressors))
+    best, k = sizes[0]
+    return k, sizes[1][0] / best - 1 if len(sizes) > 1 else 1.0, best / len(raw)
+
+
 def classify(text: str, profile: Profile, compressors: list) -> tuple[str, float, bool]:
     """Language, score (share of bytes that the second language needs more, 0 to 1), rejected."""
     raw = reduced(text)
     if not compressors or not raw:
         return UNKNOWN, 0.0, True
-    pieces = [raw[i:i + PIECE] for i in range(0, len(raw), PIECE)]
-    sizes = sorted((sum(len(c.compress(p)) for p in pieces), k) for k, c in enumerate(compressors))
-    best, k = sizes[0]
-    if len(sizes) == 1:
-        return profile.languages[k], 1.0, False
-    margin = sizes[1][0] / best - 1
-    return profile.languages[k], min(1.0, max(0.0, margin)), len(raw) >= LEAST_BYTES and margin < MARGIN
+    k, margin, share = _measure(raw, compressors)
+    limits = profile.limits[k] if profile.limits else ()
+    rejected = not limits and len(raw) >= LEAST_BYTES and margin < MARGIN
+    for size, least, most in limits:
+        if size <= len(raw):                          # the last one that fits decides
+            rejected = margin < least or share > most
+    return profile.languages[k], min(1.0, max(0.0, margin)), rejected
 
 
 def _broadcast(docs: DataFrame, profile: Profile):

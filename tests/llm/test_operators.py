@@ -367,6 +367,30 @@ def test_language_cases(spark, odd):
     assert language_id.keep_identified(odd, p).columns == odd.columns
 
 
+def test_language_rejects_noise_mixtures_and_unlearned_languages(spark):
+    import random
+    rnd = random.Random(3)
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    rows = [r for r in docs.select("doc_id", "lang", "text").collect() if len(r.text or "") >= 1500]
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    profile = language_id.fit(docs)
+    own = language_id._compressors(profile)
+    rejected = lambda t: language_id.classify(t, profile, own)[2]
+    for n in (70, 150, 400, 1500):
+        noise = [" ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(2, 9))) for _ in range(n))[:n]
+                 for _ in range(40)]
+        assert sum(map(rejected, noise)) >= 38
+        clean = [r.text[:n] for r in held]
+        assert sum(map(rejected, clean)) <= 0.03 * len(clean)
+    mixed = [a.text[:750] + " " + b.text[:750] for a in held for b in held if a.lang < b.lang]
+    assert sum(map(rejected, mixed)) >= 0.33 * len(mixed)
+    profile = language_id.fit(docs.filter("lang <> 'de'"))
+    own = language_id._compressors(profile)
+    for n in (100, 400, 1500):
+        unlearned = [r.text[:n] for r in rows if r.lang == "de"]
+        assert sum(map(rejected, unlearned)) >= 0.85 * len(unlearned)
+
+
 def test_language_of_long_or_tiny_texts_is_learned(spark):
     """One language has books only, one a short note beside them, one a single letter."""
     import random
