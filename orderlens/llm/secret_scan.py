@@ -6,8 +6,9 @@ A candidate is a run of 20 or more characters of ``[A-Za-z0-9+/_=-]``.  Its clas
 it; the sum of ``c * log2(c)`` over the character counts is updated for the character that
 enters and the one that leaves, so each step costs the same whatever the window.  Windows that
 reach the entropy of their class and mix letters and digits are united to spans of kind
-``entropy_hex`` or ``entropy_base64``.  The allow-list suppresses spans whose candidate it matches;
-base spans always stay.
+``entropy_hex`` or ``entropy_base64``.  The allow-list is matched against the parts of a candidate between
+``=`` and ``/``; what is left beside a matched part is scanned as a candidate of its own.  Base spans
+always stay.
 
 Cases: null and empty texts have no spans; texts of any length are scanned whole; repeated rows get
 equal results; an empty table gives an empty result; other columns are not read.  Positions count
@@ -40,6 +41,9 @@ LEAST_BITS = {"hex": 3.0, "base64": 3.7}
 # Candidates that look random but are none: placeholders, repeated letters, separators of tables.
 ALLOW = (r"(?i).*(example|placeholder|changeme|your[-_]?(key|token|secret)|dummy|lorem).*",
          r"[xX*0=_-]+", r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
+PART = re.compile(r"[^=/]+")
+# Shorter parts are not matched: a random string can hold "/x/" or "=0/".
+LEAST_PART = 4
 
 Span = tuple[str, int, int]
 
@@ -87,16 +91,38 @@ def entropy_runs(s: str, least: float, window: int = WINDOW) -> list[tuple[int,
     return out
 
 
+def _kind(s: str) -> str:
+    return "hex" if not s.strip("0123456789abcdef") or not s.strip("0123456789ABCDEF") else "base64"
+
+
+def _beside_allowed(s: str, allow: Sequence[re.Pattern]) -> list[tuple[int, int]]:
+    """The stretches of a candidate without the parts that the allow-list matches."""
+    out, at = [], 0
+    for p in PART.finditer(s):
+        if len(p[0]) >= LEAST_PART and any(a.fullmatch(p[0]) for a in allow):
+            out.append((at, p.start()))
+            at = p.end() + 1
+    return [*out, (at, len(s))]
+
+
 def entropy_spans(text: str, allow: Sequence[re.Pattern]) -> list[Span]:
     out: list[Span] = []
     for m in CANDIDATE.finditer(text):
         s = m[0]
         if s.isalpha() and (s.islower() or s.istitle()):        # a long word
             continue
-        kind = "hex" if not s.strip("0123456789abcdef") or not s.strip("0123456789ABCDEF") else "base64"
+        kind = _kind(s)
         runs = entropy_runs(s, LEAST_BITS[kind])
-        if runs and not any(a.fullmatch(s) for a in allow):
+        if not runs:
+            continue
+        stretches = _beside_allowed(s, allow)
+        if len(stretches) == 1:
             out += [(f"entropy_{kind}", m.start() + a, m.start() + b) for a, b in runs]
+            continue
+        for lo, hi in stretches:
+            kind = _kind(s[lo:hi])
+            out += [(f"entropy_{kind}", m.start() + lo + a, m.start() + lo + b)
+                    for a, b in entropy_runs(s[lo:hi], LEAST_BITS[kind])]
     return out
 
 

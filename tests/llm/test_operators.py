@@ -194,6 +194,21 @@ def test_secret_cases(spark, odd):
     assert secret_scan.scan(odd).count() == odd.count() and secret_scan.scan(odd.limit(0)).count() == 0
 
 
+def test_secret_beside_an_allowed_word():
+    allow = [re.compile(a) for a in secret_scan.ALLOW]
+    token = "gH7kP2xQ9vL4mT8wZ3nB6yC1rF5sD0jK8uE2aXq7"
+    cut = "gH7kP2xQ9vL4/mT8wZ3nB6yC1/x/rF5sD0jK8uE2aXq7"
+    for before, secret in (("EXAMPLE_KEY=", token), ("/example/", token), ("lorem/", cut), ("", token), ("", cut)):
+        for after in ("", "/dummy/file"):
+            t = f"see {before}{secret}{after} here"
+            spans = secret_scan.entropy_spans(t, allow)
+            at = t.index(secret)
+            assert [(k, a) for k, a, _ in spans] == [("entropy_base64", at)]
+            assert at + len(secret) <= spans[0][2] <= at + len(secret) + 1
+    for t in (f"EXAMPLE{token}", f"/home/your_key{token}/file", f"key=dummy-{token}"):
+        assert secret_scan.entropy_spans(t, allow) == []
+
+
 # ---- 4 token files
 
 def brute_ids(texts):
