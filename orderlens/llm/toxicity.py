@@ -7,7 +7,7 @@ counted once per document.  FTRL keeps per coordinate a sum ``z`` and a squared-
 exactly zero, so the model that is broadcast is a short list of (place, weight).
 
 Training: a hash sample of at most about ``MAX_ROWS`` labelled rows is turned into features once
-(written into the shared folder) and dealt over ``SHARDS`` tasks.  In each of ``ROUNDS`` rounds
+and dealt once over ``SHARDS`` tasks, which keep them.  In each of ``ROUNDS`` rounds
 every shard goes on from the common state over its own rows, and a coordinate's new state is the
 mean over the shards that met it.  State below the L1 bound is kept too, since it adds up over
 rounds.  State sent at once is bounded by the table size.
@@ -25,11 +25,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.byte_hash import hash_stretches, mix
-from orderlens.llm.common import blocks, held_out, id_and_text, materialise, texts_of
+from orderlens.llm.common import blocks, held_out, id_and_text, texts_of
 
 BITS = 20
 MAX_ROWS = 100_000
@@ -122,7 +123,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, shards: in
 
     own = (id_and_text(docs, id_col, text_col).join(F.broadcast(picked), F.col("doc_id") == F.col("label_id"))
            .select(F.xxhash64("doc_id", F.lit(11)).alias("k"), "y", "text"))
-    table = materialise(own.mapInArrow(extract, "k bigint, y int, places binary"), "toxicity_features")
+    # dealt once; all rounds read the same shards
+    dealt = (own.mapInArrow(extract, "k bigint, y int, places binary")
+             .repartition(shards, F.pmod("k", F.lit(shards))).sortWithinPartitions(F.xxhash64("k"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
 
     size = 2 * (1 << BITS) + 1
     z, sq = np.zeros(size), np.zeros(size)
@@ -151,7 +155,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, shards: in
                      (met.astype(np.int32), zs[met].astype(np.float32), ns[met].astype(np.float32))],
                     names=["place", "z", "n"])
 
-        dealt = (table.repartition(shards, F.pmod("k", F.lit(shards))).sortWithinPartitions(F.xxhash64("k")))
         parts = dealt.mapInArrow(train, "place binary, z binary, n binary").collect()
         sum_z, sum_n, seen = np.zeros(size), np.zeros(size), np.zeros(size)
         for p in parts:
@@ -161,7 +164,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, shards: in
             seen[at] += 1
         met = seen > 0
         z[met], sq[met] = sum_z[met] / seen[met], sum_n[met] / seen[met]
-        state.unpersist()
+        state.destroy()
+    dealt.unpersist()
     w = _weight(z[:-1], sq[:-1], l1)
     place = np.flatnonzero(w)
     bias = -z[-1] / ((BETA + math.sqrt(sq[-1])) / ALPHA + L2)
