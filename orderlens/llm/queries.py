@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import (byte_bpe, decontaminate, language_id, line_dedup, near_dups, quality_rules,
+from orderlens.llm import (byte_bpe, decontaminate, hard_negatives, language_id, line_dedup, near_dups, quality_rules,
                            secret_scan, sharding, token_files, toxicity)
 from orderlens.llm.common import read_table
 
@@ -63,8 +63,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "posterior")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_byte_bpe, op2_decontaminate, op3_secret_scan, op4_token_files, op5_near_dups, op6_sharding,
-    op7_language_id, op8_line_dedup, op9_toxicity, op10_quality_rules)}
+    op7_language_id, op8_line_dedup, op9_toxicity, op10_quality_rules, op13_hard_negatives)}
 
-ORACLES: dict[str, str] = {"op2_decontaminate": decontaminate.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op2_decontaminate": decontaminate.ORACLE_SQL,
+                           "op13_hard_negatives": hard_negatives.ORACLE_SQL}
