@@ -3,13 +3,15 @@ parameters, to the whole of its tables, and derives the digest columns."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import (byte_bpe, decontaminate, hard_negatives, language_id, line_dedup, near_dups, quality_rules,
-                           secret_scan, sharding, token_files, toxicity)
+from orderlens.llm import (byte_bpe, decontaminate, hard_negatives, html_extract, language_id, line_dedup, near_dups,
+                           periodic_runs, quality_rules, secret_scan, sharding, token_files, toxicity)
 from orderlens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +65,36 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "posterior")
 
 
+def op11_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
+def _planted(doc_id: object, n: int) -> np.ndarray | None:
+    """The contract's periodic tail: in a tenth of the documents words repeat from some place on."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % (1 + (n - a) // (3 + g % 8)))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(_documents(spark, sf_dir), rewrite=_planted)
+    # the longest run; ties: smallest start, then period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(
+        r[k].cast("string") for k in ("start", "length", "period"))), F.lit("\n")))
+    return (found.withColumn("best", best)
+            .withColumns({"start": -F.col("best.start"), "length": F.col("best.length"), "period": -F.col("best.period")})
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "start", "length", "period",
+                    F.expr("1000 * length div period").alias("exponent_milli"),
+                    F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                    F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -71,7 +103,8 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_byte_bpe, op2_decontaminate, op3_secret_scan, op4_token_files, op5_near_dups, op6_sharding,
-    op7_language_id, op8_line_dedup, op9_toxicity, op10_quality_rules, op13_hard_negatives)}
+    op7_language_id, op8_line_dedup, op9_toxicity, op10_quality_rules, op11_html_extract,
+    op12_periodic_runs, op13_hard_negatives)}
 
 ORACLES: dict[str, str] = {"op2_decontaminate": decontaminate.ORACLE_SQL,
                            "op13_hard_negatives": hard_negatives.ORACLE_SQL}
