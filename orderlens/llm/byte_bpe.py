@@ -24,6 +24,8 @@ from orderlens.llm.common import blocks, id_and_text, texts_of
 from orderlens.llm.piece_cache import PieceCache, gather, learn_with, plain_runs, spaced_cuts
 
 VOCABULARY = "byte_bpe_50k.json"
+# Ids that are digested together; blocks of more are digested document by document in such parts.
+DIGEST_IDS = 1 << 18
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -130,6 +132,18 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
+def _digests(m: ByteBpe, ids: np.ndarray) -> tuple[str, str, int]:
+    """Digests of the ids and of the decoded bytes of one document, and its tokens that begin inside a character."""
+    names, decoded, inside = hashlib.sha256(), hashlib.sha256(), 0
+    for s in range(0, len(ids), DIGEST_IDS):
+        part = ids[s:s + DIGEST_IDS]
+        names.update(((" " if s else "") + " ".join(map(m.name.__getitem__, part.tolist()))).encode())
+        raw, ends = m.decode(part)
+        decoded.update(raw)
+        inside += int(np.count_nonzero((raw[ends - m.size[part]] & 0xC0) == 0x80))
+    return names.hexdigest(), decoded.hexdigest(), inside
+
+
 def round_trip(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256, n_split_chars``: digests of the ids and
@@ -139,18 +153,22 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None, id_col: str = "do
         m = model(_vocabulary(vocabulary))
         for b in blocks(batches):
             ids, at = m.encode(texts_of(b))
-            raw, ends = m.decode(ids)
-            byte_at = np.concatenate([[0], ends])[at].tolist()
-            begin = ends - m.size[ids]
-            inside = np.concatenate([[0], np.cumsum((raw[begin] & 0xC0) == 0x80)])
-            names = list(map(m.name.__getitem__, ids.tolist()))
-            raw, bounds = raw.tobytes(), at.tolist()
-            digest = [hashlib.sha256(" ".join(names[s:e]).encode()).hexdigest()
-                      for s, e in zip(bounds, bounds[1:])]
-            decoded = [hashlib.sha256(raw[s:e]).hexdigest() for s, e in zip(byte_at, byte_at[1:])]
+            bounds = at.tolist()
+            if len(ids) > 4 * DIGEST_IDS:
+                digest, decoded, split = zip(*(_digests(m, ids[s:e]) for s, e in zip(bounds, bounds[1:])))
+            else:
+                raw, ends = m.decode(ids)
+                byte_at = np.concatenate([[0], ends])[at].tolist()
+                begin = ends - m.size[ids]
+                split = np.diff(np.concatenate([[0], np.cumsum((raw[begin] & 0xC0) == 0x80)])[at])
+                names = list(map(m.name.__getitem__, ids.tolist()))
+                raw = raw.tobytes()
+                digest = [hashlib.sha256(" ".join(names[s:e]).encode()).hexdigest()
+                          for s, e in zip(bounds, bounds[1:])]
+                decoded = [hashlib.sha256(raw[s:e]).hexdigest() for s, e in zip(byte_at, byte_at[1:])]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(np.diff(at)), pa.array(digest, pa.string()),
-                 pa.array(decoded, pa.string()), pa.array(np.diff(inside[at]))],
+                 pa.array(decoded, pa.string()), pa.array(split, pa.int64())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_split_chars"])
 
     kind = dict(docs.dtypes)[id_col]

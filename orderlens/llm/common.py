@@ -90,6 +90,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return scratch_dir(spark, f"{name}/{uuid.uuid4().hex}")
 
 
+def filesystem(folder: str):
+    """The ``pyarrow`` file system of a shared folder, and the folder's path in it."""
+    from pyarrow import fs
+    if folder.startswith("file:"):          # Hadoop writes local folders as file:/x, pyarrow wants file:///x
+        folder = "file:///" + folder[5:].lstrip("/")
+    return fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write as Parquet into the shared folder and read back."""
     spark = df.sparkSession

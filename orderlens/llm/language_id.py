@@ -6,13 +6,15 @@ language whose dictionary gives the fewest bytes in total wins.  A text is rejec
 language needs hardly more, or when the first needs more than its texts of that size do.  Both limits
 are calibrated per language and size: dictionaries of every other learning piece classify
 beginnings of the rest, and quantiles of the right predictions, with some slack, are the limits.
-A language with fewer than ``LEAST_RIGHT`` of them at any size has only the fixed margin from ``LEAST_BYTES`` on.
+A language with fewer than ``LEAST_RIGHT`` of them at a size takes the widest limits that the others have there.
 Below about 25 bytes compressed sizes are equal, so there is no limit.
 
 The dictionaries are fitted on a bounded sample of all labelled rows: ``DICT_BYTES`` of text per
 language, where a text of more than ``SAMPLE_TEXT`` bytes counts as pieces of a quarter as many characters,
 and ``MAX_LANGUAGES`` languages at most (more raise an error).  Only they are broadcast.
 
+Letters are the characters of Unicode's letter classes; digits and other numbers are none.
+
 Cases: null texts and texts without a letter are ``und`` with score 0 and rejected; ties go to the
 language with more learning text, then the first in alphabetical order; without any labelled row all are ``und``; repeated rows get
 equal results; other columns are not read by a prediction.
@@ -20,16 +22,19 @@ equal results; other columns are not read by a prediction.
 
 from __future__ import annotations
 
+import math
 import re
+import sys
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import blocks, held_out, id_and_text, texts_of
+from orderlens.llm.common import blocks, held_out, id_and_text, materialise, texts_of
 
 DICT_BYTES = 192 << 10
 SAMPLE_TEXT = 16 << 10
@@ -41,11 +46,7 @@ LEVEL = 6
 SIZES = (25, 50, 100, 200, 400, 800, 1600, 3200)
 CALIBRATED, LEAST_RIGHT, BEYOND = 200, 20, 0.005
 MARGIN_SLACK, BYTES_SLACK = 0.5, 1.12
-# Without calibration: the second language needs less than this share of bytes more than the first.
-MARGIN = 0.002
-LEAST_BYTES = 200
 UNKNOWN = "und"
-_WORD = re.compile(r"[^\W\d_]+")
 
 
 class Profile(NamedTuple):
@@ -56,9 +57,17 @@ class Profile(NamedTuple):
     limits: tuple[tuple[tuple[int, float, float], ...], ...] = ()
 
 
+@cache
+def _not_letters() -> re.Pattern:
+    """Runs without letters; word characters that are neither letters nor decimal digits are listed."""
+    numbers = "".join(c for c in map(chr, range(sys.maxunicode + 1))
+                      if c.isalnum() and not c.isalpha() and not c.isdecimal())
+    return re.compile(rf"[\W\d_{numbers}]+")
+
+
 def reduced(text: str) -> bytes:
-    """The words of a text in lower case, as UTF-8."""
-    return " ".join(_WORD.findall(text.lower())).encode()
+    """The words (runs of letters) of a text in lower case, joined by one space, as UTF-8."""
+    return _not_letters().sub(" ", text.lower()).strip(" ").encode()
 
 
 def fit(docs: DataFrame, learn: Column | None = None, lang_col: str = "lang", id_col: str = "doc_id",
@@ -87,15 +96,17 @@ def fit(docs: DataFrame, learn: Column | None = None, lang_col: str = "lang", id
     picked = (rows.withColumn("limit", limit).select("lang", "text", "h", F.explode(pieces).alias("k"))
               .select("lang", own(F.col("k")).alias("h"),
                       F.when(long, F.substring("text", F.col("k") * size + 1, F.lit(size))).otherwise(F.col("text"))
-                      .alias("text")).collect())
-    texts: dict[str, list[bytes]] = {lang: [] for lang in sizes}
-    for r in sorted(picked, key=lambda r: (r.h, r.text)):
+                      .alias("text")))
+    picked = materialise(picked, "language_pieces")
+    texts: dict[str, list[tuple[bytes, bool]]] = {lang: [] for lang in sizes}
+    for r in sorted(picked.collect(), key=lambda r: (r.h, r.text)):
         if raw := reduced(r.text):
-            texts[r.lang].append(raw)
+            texts[r.lang].append((raw, r.h % 2 == 0))
     langs = tuple(sorted((lang for lang, t in texts.items() if t), key=lambda x: (-sizes[x], x)))
-    half = Profile(langs, tuple(_content(texts[lang][::2]) for lang in langs))
-    limits = _calibrate(docs.sparkSession, half, [texts[lang][1::2][:CALIBRATED] for lang in langs])
-    return Profile(langs, tuple(_content(texts[lang]) for lang in langs), limits)
+    # half of the pieces classify the other half, which the tasks read from the table
+    half = Profile(langs, tuple(_content([raw for raw, first in texts[lang] if first]) for lang in langs))
+    limits = _calibrate(picked.filter(F.pmod("h", F.lit(2)) == 1), half)
+    return Profile(langs, tuple(_content([raw for raw, _ in texts[lang]]) for lang in langs), limits)
 
 
 def _content(texts: list[bytes]) -> bytes:
@@ -107,33 +118,43 @@ def _content(texts: list[bytes]) -> bytes:
     return (out * (8 if len(out) < 8 else 1))[:DICT_BYTES]
 
 
-def _calibrate(spark: SparkSession, half: Profile, texts: list[list[bytes]]) -> tuple:
-    """The limits of each language from ``texts`` that are not in the dictionaries of ``half``."""
-    cases = [(k, raw[:n]) for k, own in enumerate(texts) for raw in own for n in SIZES if len(raw) >= n]
-    if not cases:
-        return ((),) * len(texts)
-    sent = spark.sparkContext.broadcast(tuple(half))
+def _calibrate(pieces: DataFrame, half: Profile) -> tuple:
+    """The limits of each language from ``pieces (lang, h, text)`` that are not in the dictionaries of ``half``."""
+    number = {lang: k for k, lang in enumerate(half.languages)}
+    sent = pieces.sparkSession.sparkContext.broadcast(tuple(half))
+    first = Window.partitionBy("lang").orderBy("h", "text")       # a bounded sample per language
+    cases = (pieces.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= CALIBRATED)
+             .select("lang", "text").repartition(64))
 
-    def run(part: Iterator[tuple[int, bytes]]) -> Iterator[tuple[int, int, float, float]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = _compressors(Profile(*sent.value))
-        for k, raw in part:
-            best, margin, share = _measure(raw, compressors)
-            if best == k:
-                yield k, len(raw), margin, share
-
-    right = spark.sparkContext.parallelize(cases, min(64, len(cases))).mapPartitions(run).collect()
+        for b in batches:
+            right = []
+            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
+                raw = reduced(text)
+                for n in SIZES:
+                    if len(raw) >= n and lang in number:
+                        best, margin, share = _measure(raw[:n], compressors)
+                        if best == number[lang]:
+                            right.append((best, n, margin, share))
+            if right:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*right)], names=["k", "n", "margin", "share"])
+
+    def beyond(c: str, rising: bool) -> Column:
+        """The value of ``c`` that a share of ``BEYOND`` lies beyond."""
+        return F.get(F.sort_array(F.collect_list(c), rising), F.floor(BEYOND * F.count("*")).cast("int"))
+
+    own = {(r.k, r.n): (r.n, MARGIN_SLACK * r.margin, BYTES_SLACK * r.share) for r in
+           cases.mapInArrow(run, "k bigint, n bigint, margin double, share double").groupBy("k", "n")
+           .agg(F.count("*").alias("right"), beyond("margin", True).alias("margin"), beyond("share", False).alias("share"))
+           .filter(F.col("right") >= LEAST_RIGHT).collect()}
     sent.unpersist()
-    out = []
-    for k in range(len(texts)):
-        own = []
-        for n in SIZES:
-            margins = sorted(m for i, size, m, _ in right if (i, size) == (k, n))
-            shares = sorted(s for i, size, _, s in right if (i, size) == (k, n))
-            if len(margins) >= LEAST_RIGHT:
-                at = int(BEYOND * len(margins))
-                own.append((n, MARGIN_SLACK * margins[at], BYTES_SLACK * shares[-1 - at]))
-        out.append(tuple(own))
-    return tuple(out)
+    widest = {}
+    for n in SIZES:
+        here = [x for (_, size), x in own.items() if size == n]
+        if here:
+            widest[n] = (n, min(x[1] for x in here), max(x[2] for x in here))
+    return tuple(tuple(own.get((k, n), widest[n]) for n in SIZES if n in widest) for k in range(len(half.languages)))
 
 
 def _compressors(profile: Profile) -> list[zstandard.ZstdCompressor]:
@@ -160,12 +181,21 @@ def classify(text: str, profile: Profile, compressors: list) -> tuple[str, float
     if not compressors or not raw:
         return UNKNOWN, 0.0, True
     k, margin, share = _measure(raw, compressors)
-    limits = profile.limits[k] if profile.limits else ()
-    rejected = not limits and len(raw) >= LEAST_BYTES and margin < MARGIN
-    for size, least, most in limits:
-        if size <= len(raw):                          # the last one that fits decides
-            rejected = margin < least or share > most
-    return profile.languages[k], min(1.0, max(0.0, margin)), rejected
+    least, most = limits_at(len(raw), profile.limits[k] if profile.limits else ())
+    return profile.languages[k], min(1.0, max(0.0, margin)), margin < least or share > most
+
+
+def limits_at(size: int, limits: tuple) -> tuple[float, float]:
+    """Least margin and most compressed bytes per byte at a size: between two calibrated sizes by the logarithm of the size."""
+    below = [x for x in limits if x[0] <= size]
+    if not below:
+        return 0.0, math.inf
+    low, least, most = below[-1]
+    above = limits[len(below):]
+    if not above:
+        return least, most
+    t = math.log(size / low) / math.log(above[0][0] / low)
+    return least + t * (above[0][1] - least), most + t * (above[0][2] - most)
 
 
 def _broadcast(docs: DataFrame, profile: Profile):

@@ -46,6 +46,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_STRETCH = 1 << 18
 _rng = np.random.Generator(np.random.PCG64(771))
 _PLACE = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _A = _rng.integers(0, 1 << 31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -67,10 +68,14 @@ def shingle_set(w: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     if not len(w):
         return w
     k = min(size, len(w))
-    total = np.full(len(w) - k + 1, k, np.uint64)
-    for j in range(k):
-        total += w[j:len(w) - k + 1 + j] * _PLACE[j]
-    return np.unique(mix(total))
+    parts = []
+    for lo in range(0, len(w) - k + 1, _STRETCH):      # temporaries of a long text stay small
+        hi = min(lo + _STRETCH, len(w) - k + 1)
+        total = np.full(hi - lo, k, np.uint64)
+        for j in range(k):
+            total += w[lo + j:hi + j] * _PLACE[j]
+        parts.append(np.unique(mix(total)))
+    return parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
 
 
 def signature(s: np.ndarray) -> np.ndarray:
@@ -267,8 +272,9 @@ def find(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_c
                     & _allowed("a", "b", percent))
              .select(F.least("a.c", "b.c").alias("u"), F.greatest("a.c", "b.c").alias("v")).distinct())
     more = _confirmed(cross, sets, percent)
-    if not more.isEmpty():
-        parts = connected_components(links.unionByName(more))
+    if not more.isEmpty():                        # the stars found so far stand for their links
+        stars = parts.filter("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
+        parts = connected_components(stars.unionByName(more))
     return Groups(documents, classes.select("c", "rep"), parts)
 
 

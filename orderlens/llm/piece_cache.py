@@ -16,8 +16,10 @@ import numpy as np
 
 from orderlens.llm.byte_hash import hash_stretches
 
-# Distinct pieces kept per worker; the table starts anew beyond it (bounded memory, same ids).
-MAX_PIECES = 1_500_000
+# Distinct pieces kept per worker, some 80 bytes each; the table starts anew beyond it (bounded memory, same ids).
+MAX_PIECES = 250_000
+# Text bytes encoded at once: longer texts are taken in parts.
+PART_BYTES = 1 << 21
 
 # Byte classes: only bytes that are certain to be a letter, a mark and so on.
 OTHER, LETTER, MARK, DIGIT, SPACE, FEED, END = range(7)
@@ -81,6 +83,22 @@ def bare_cuts(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return white | white_before | _letters_against_marks(kind, before), white
 
 
+def short_parts(raw: bytes, most: int) -> list[bytes]:
+    """A text in parts of about ``most`` bytes.  They are cut before a space between two plain letters or
+    digits, where a pre-token certainly ends and the next one begins."""
+    parts, start = [], 0
+    while len(raw) - start > most:
+        at = raw.find(b" ", start + most)
+        while 0 <= at and not (raw[at - 1:at].isalnum() and raw[at + 1:at + 2].isalnum()):
+            at = raw.find(b" ", at + 1)
+        if at < 0:
+            break
+        parts.append(raw[start:at])
+        start = at
+    parts.append(raw[start:])
+    return parts
+
+
 class PieceCache:
     """``learn(pieces)`` gives the ids of distinct pieces: (all ids, how many each has)."""
 
@@ -143,10 +161,32 @@ class PieceCache:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the ``len(texts) + 1`` bounds of the texts in them."""
+        raw = [t.encode() for t in texts]
+        if sum(map(len, raw)) <= PART_BYTES:
+            return self._encode(raw)
+        found, counts = [], np.zeros(len(raw), np.int64)
+        group, owner, size = [], [], 0
+        for k, text in enumerate(raw):
+            for part in short_parts(text, PART_BYTES):
+                if group and size + len(part) > PART_BYTES:
+                    self._encode_into(found, counts, group, owner)
+                    group, owner, size = [], [], 0
+                group.append(part)
+                owner.append(k)
+                size += len(part)
+        if group:
+            self._encode_into(found, counts, group, owner)
+        return (np.concatenate(found) if found else np.empty(0, np.int32)), np.concatenate([[0], np.cumsum(counts)])
+
+    def _encode_into(self, found: list, counts: np.ndarray, parts: list[bytes], owner: list[int]) -> None:
+        ids, bounds = self._encode(parts)
+        found.append(ids)
+        np.add.at(counts, owner, np.diff(bounds))
+
+    def _encode(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if self.count > MAX_PIECES or self.used > 8 * MAX_PIECES:
             self._clear()
         end = bytes([END_BYTE])
-        raw = [t.encode() for t in texts]
         buf = np.frombuffer(end.join(raw) + end, np.uint8)
         if self.lower:
             buf = _LOWER[buf]

@@ -30,6 +30,8 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 KEEP_AT = 0.5
+# Beta priors of EM as pseudo-counts (for, against): of a rule's right votes, and of good documents.
+RIGHT, GOOD = (30.0, 10.0), (8.0, 2.0)
 
 
 class Model(NamedTuple):
@@ -126,7 +128,9 @@ def fit(voted: DataFrame, rules: list[str], steps: int = 30, start: float = 0.75
         tolerance: float = 1e-5) -> Model:
     """EM over the pattern counts; runs one small job per step.
 
-    Accuracies stay in [0.55, 0.99]: a rule may be weak, but not against its own meaning.
+    ``RIGHT`` and ``GOOD`` are added to the counts, so no estimate reaches 0 or 1 and a few votes say little; a
+    rule that the others contradict on enough documents falls below one half and then counts against
+    its own vote.
     """
     cols = [f"vote_{r}" for r in rules]
     patterns = materialise(voted.groupBy(*cols).agg(F.count("*").alias("n")).coalesce(1), "vote_patterns")
@@ -141,9 +145,8 @@ def fit(voted: DataFrame, rules: list[str], steps: int = 30, start: float = 0.75
         s = patterns.withColumn("p", posterior(model)).agg(*aggs).first()
         if not s["all"]:
             return model
-        new = Model(min(max(s["good"] / s["all"], 0.05), 0.95),
-                    {r: min(max(s[f"right_{r}"] / s[f"cast_{r}"], 0.55), 0.99) if s[f"cast_{r}"] else a
-                     for r, a in model.accuracy.items()})
+        new = Model((s["good"] + GOOD[0]) / (s["all"] + sum(GOOD)),
+                    {r: (s[f"right_{r}"] + RIGHT[0]) / (s[f"cast_{r}"] + sum(RIGHT)) for r in rules})
         change = max(abs(new.prior - model.prior),
                      *(abs(new.accuracy[r] - model.accuracy[r]) for r in rules))
         model = new

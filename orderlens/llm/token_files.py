@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import blocks, id_and_text, new_folder, texts_of
+from orderlens.llm.common import blocks, filesystem, id_and_text, new_folder, texts_of
 from orderlens.llm.piece_cache import PieceCache, bare_cuts, learn_with, plain_runs
 
 VOCABULARY = "word_bpe_49k.json"
@@ -71,25 +71,15 @@ class TokenFiles(NamedTuple):
     id_bytes: int
 
 
-def _filesystem(uri: str):
-    from pyarrow import fs
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-
-
-def _uri(path: str) -> str:
-    # Hadoop writes local folders as file:/x, pyarrow wants file:///x
-    return "file:///" + path[6:].lstrip("/") if path.startswith("file:") else path
-
-
 def _put(folder: str, name: str, content: bytes) -> None:
-    fs, base = _filesystem(_uri(folder))
+    fs, base = filesystem(folder)
     fs.create_dir(f"{base}/{name.rpartition('/')[0]}", recursive=True)
     with fs.open_output_stream(f"{base}/{name}") as out:
         out.write(content)
 
 
 def _get(folder: str, name: str) -> bytes:
-    fs, base = _filesystem(_uri(folder))
+    fs, base = filesystem(folder)
     with fs.open_input_stream(f"{base}/{name}") as f:
         return f.read()
 
@@ -151,7 +141,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: i
         cache, dtype = cache_of(path), np.dtype(_dtype(id_bytes))
         part = TaskContext.get().partitionId()
         name = f"data/part-{part:06d}-{uuid.uuid4().hex}.bin"
-        fs, base = _filesystem(_uri(folder))
+        fs, base = filesystem(folder)
         fs.create_dir(f"{base}/data", recursive=True)
         out, at, before = None, 0, 0
         for b in blocks(batches):
@@ -218,7 +208,7 @@ def read(spark: SparkSession, files: TokenFiles, digest: bool = False) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, decompressor = _codec(folder, sha, id_bytes)
-        fs, base = _filesystem(_uri(folder))
+        fs, base = filesystem(folder)
         name, f = None, None
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
@@ -255,7 +245,7 @@ def read_document(spark: SparkSession, files: TokenFiles, doc_id) -> list[int] |
     if row is None:
         return None
     _, decompressor = _codec(files.folder, files.dict_sha256, files.id_bytes)
-    fs, base = _filesystem(_uri(files.folder))
+    fs, base = filesystem(files.folder)
     with fs.open_input_file(f"{base}/{row.file}") as f:
         return _ids(f.read_at(row.size, row.offset), decompressor, files.id_bytes).tolist()
 

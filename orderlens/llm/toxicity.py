@@ -9,8 +9,12 @@ exactly zero, so the model that is broadcast is a short list of (place, weight).
 Training: a hash sample of at most about ``MAX_ROWS`` labelled rows is turned into features once
 and dealt once over ``SHARDS`` tasks, which keep them.  In each of ``ROUNDS`` rounds
 every shard goes on from the common state over its own rows, and a coordinate's new state is the
-mean over the shards that met it.  State below the L1 bound is kept too, since it adds up over
-rounds.  State sent at once is bounded by the table size.
+mean over the shards that met it.  That mean is taken on executors, place range by place range, and
+written under the checkpoint folder, where the next round's tasks read it; only non-zero weights come to the
+driver.  State below the L1 bound is kept too, since it adds up over rounds.
+
+L1 is chosen from ``L1_GRID``: all its values are trained side by side on the rows outside a hash fold
+(a fifth of the sample), and the one with the least log-loss on the fold is trained on all rows.
 
 Cases: null and empty texts score as the bias alone; labels that are null or not 0/1 are ignored;
 several labels of one document all count; without labels of both kinds scores are the smoothed share
@@ -25,20 +29,22 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.byte_hash import hash_stretches, mix
-from orderlens.llm.common import blocks, held_out, id_and_text, texts_of
+from orderlens.llm.common import blocks, filesystem, held_out, id_and_text, new_folder, texts_of
 
 BITS = 20
 MAX_ROWS = 100_000
 SHARDS = 4
 ROUNDS = 4
 ALPHA, BETA, L2 = 5.0, 1.0, 0.01
-# L1 grows with the training rows: few rows cannot push a weight over a high bound.
-MOST_L1, LEAST_L1, ROWS_PER_L1 = 4.0, 0.5, 1000
+L1_GRID = (1.0, 2.0, 4.0, 8.0)
+FOLDS = 5
+RANGES = 64                  # place ranges whose states are averaged apart
 TOXIC_AT = 0.3
 
 # ASCII letters (lower-cased), digits and all bytes of other characters form words.
@@ -75,33 +81,177 @@ def features(w: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(parts))
 
 
-def _sigmoid(x: float) -> float:
-    return 1 / (1 + math.exp(-max(min(x, 35.0), -35.0)))
+_SIZE = (2 << BITS) + 1                    # places of both tables, and the bias
 
 
-def _weight(z: np.ndarray, n: np.ndarray, l1: float) -> np.ndarray:
+def _weight(z: np.ndarray, n: np.ndarray, l1: np.ndarray) -> np.ndarray:
     return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
-def _epoch(z: np.ndarray, n: np.ndarray, rows: list[tuple[np.ndarray, int]], l1: float) -> None:
-    """One pass of FTRL-proximal; the last place is the bias (no L1)."""
-    bias = len(z) - 1
+def _bias(z: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The last place has no L1."""
+    return -z / ((BETA + np.sqrt(n)) / ALPHA + L2)
+
+
+def margins(x: np.ndarray, z: np.ndarray, n: np.ndarray, l1: np.ndarray) -> tuple:
+    """Weights of the places ``x`` and the bias, for every L1 (column), and their sums."""
+    zx, nx = z[x], n[x]
+    w = _weight(zx, nx, l1)
+    w[-1] = _bias(zx[-1], nx[-1])
+    return zx, nx, w, w.sum(axis=0)
+
+
+def _probability(total: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(total, -35, 35)))
+
+
+def epoch(z: np.ndarray, n: np.ndarray, rows, l1: np.ndarray, met: np.ndarray) -> None:
+    """One pass of FTRL-proximal over (places, label), a column of state for every L1."""
     for places, y in rows:
-        x = np.append(places, bias)
-        zx, nx = z[x], n[x]
-        w = _weight(zx, nx, l1)
-        w[-1] = -zx[-1] / ((BETA + math.sqrt(nx[-1])) / ALPHA + L2)
-        g = _sigmoid(float(w.sum())) - y
-        root = np.sqrt(nx + g * g)
-        z[x] = zx + g - (root - np.sqrt(nx)) / ALPHA * w
-        n[x] = nx + g * g
+        x = np.append(places, _SIZE - 1)
+        zx, nx, w, total = margins(x, z, n, l1)
+        g = _probability(total) - y
+        square = nx + g * g
+        z[x] = zx + g - (np.sqrt(square) - np.sqrt(nx)) / ALPHA * w
+        n[x] = square
+        met[x] = True
+
+
+def _rows(batch: pa.RecordBatch):
+    for places, y in zip(batch.column("places"), batch.column("y").to_pylist()):
+        yield np.frombuffer(places.as_buffer(), np.int32), y
+
+
+class State(NamedTuple):
+    """Where the rounds of a training lie, how many there are, and what the state was before."""
+    folder: str
+    rounds: int
+    prior: float
+    l1: tuple[float, ...]
+
+    def load(self) -> tuple[np.ndarray, np.ndarray]:
+        """``z`` and ``n``, a column for every L1; a later round replaces what an earlier one left."""
+        k = len(self.l1)
+        z, n = np.zeros((_SIZE, k)), np.zeros((_SIZE, k))
+        n[-1], z[-1] = 1.0, -math.log(self.prior / (1 - self.prior)) * ((BETA + 1.0) / ALPHA + L2)
+        for r in range(self.rounds):
+            fs, base = filesystem(f"{self.folder}/round_{r}")
+            for part in pq.read_table(base, filesystem=fs).to_batches():
+                for place, own_z, own_n in zip(*(part.column(c).to_pylist() for c in ("place", "z", "n"))):
+                    at = np.frombuffer(place, np.int32)
+                    z[at], n[at] = _columns(own_z, k), _columns(own_n, k)
+        return z, n
+
+
+_STATE = "part int, place binary, z binary, n binary"
+
+
+def _columns(raw: bytes, k: int) -> np.ndarray:
+    return np.frombuffer(raw, np.float32).reshape(-1, k)
+
+
+def _record(part: list[int], *arrays: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part, pa.int32()), *(pa.array([x.tobytes() for x in a], pa.binary()) for a in arrays)],
+        names=["part", "place", "z", "n"])
+
+
+def _train(dealt: DataFrame, prior: float, l1: tuple[float, ...], rounds: int) -> State:
+    """Rounds over the shards; states stay on the executors and in the shared folder."""
+    state = State(new_folder(dealt.sparkSession, "toxicity_state"), 0, prior, l1)
+    k, step = len(l1), -(-_SIZE // RANGES)
+
+    def left(z: np.ndarray, n: np.ndarray, met: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for r in range(RANGES):
+            at = np.flatnonzero(met[r * step:(r + 1) * step]) + r * step
+            if len(at):
+                yield _record([r], [at.astype(np.int32)], [z[at].astype(np.float32)], [n[at].astype(np.float32)])
+
+    def shard(batches: Iterator[pa.RecordBatch], now: State) -> Iterator[pa.RecordBatch]:
+        own = None                                    # a task may hold several shards, one after the other
+        for b in batches:
+            numbers = b.column("shard").to_numpy()
+            for part in np.split(np.arange(len(numbers)), np.flatnonzero(np.diff(numbers)) + 1):
+                if len(part) and numbers[part[0]] != own:
+                    if own is not None:
+                        yield from left(z, n, met)
+                    own = numbers[part[0]]
+                    (z, n), met = now.load(), np.zeros(_SIZE, bool)
+                if len(part):
+                    epoch(z, n, _rows(b.slice(part[0], len(part))), np.array(now.l1), met)
+        if own is not None:
+            yield from left(z, n, met)
+
+    def mean(key: tuple, group: pa.Table) -> pa.Table:
+        low = key[0].as_py() * step
+        total, seen = np.zeros((2, step, k)), np.zeros((step, 1))
+        for place, *own in zip(*(group[c].to_pylist() for c in ("place", "z", "n"))):
+            at = np.frombuffer(place, np.int32) - low
+            for t, x in zip(total, own):
+                t[at] += _columns(x, k)
+            seen[at] += 1
+        at = np.flatnonzero(seen)
+        z, n = (total[:, at] / seen[at]).astype(np.float32)
+        return pa.Table.from_batches([_record([key[0].as_py()], [(at + low).astype(np.int32)], [z], [n])])
+
+    for r in range(rounds):
+        (dealt.mapInArrow(lambda batches, now=state: shard(batches, now), _STATE)
+         .groupBy("part").applyInArrow(mean, _STATE).write.parquet(f"{state.folder}/round_{r}"))
+        state = state._replace(rounds=r + 1)
+    return state
+
+
+def _losses(dealt: DataFrame, state: State) -> list[float]:
+    """The log-loss of each L1 over the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = None
+        for b in batches:
+            if z is None and b.num_rows:
+                z, n = state.load()
+            for places, y in _rows(b):
+                p = _probability(margins(np.append(places, _SIZE - 1), z, n, np.array(state.l1))[3])
+                loss = -np.log(p if y else 1 - p)
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(loss)), pa.int32()), pa.array(loss)], names=["k", "loss"])
+
+    got = {r.k: r.loss for r in dealt.mapInArrow(run, "k int, loss double").groupBy("k").agg(F.sum("loss").alias("loss")).collect()}
+    return [got.get(k, 0.0) for k in range(len(state.l1))]
+
+
+def _weights(dealt: DataFrame, state: State) -> Weights:
+    """The non-zero weights, found range by range on the executors, and the bias."""
+    l1, last, step = state.l1[0], _SIZE - 1, -(-_SIZE // RANGES)
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        low = key[0].as_py() * step
+        z, n = np.zeros(step), np.zeros(step)
+        for _, place, own_z, own_n in sorted(zip(*(group[c].to_pylist() for c in ("round", "place", "z", "n")))):
+            at = np.frombuffer(place, np.int32) - low
+            z[at], n[at] = np.frombuffer(own_z, np.float32), np.frombuffer(own_n, np.float32)
+        w = _weight(z, n, l1)
+        if low <= last < low + step:
+            w[last - low] = _bias(z[last - low], n[last - low])
+        at = np.flatnonzero(w)
+        return pa.table({"place": [(at + low).astype(np.int64).tobytes()], "weight": [w[at].tobytes()]})
+
+    read = dealt.sparkSession.read
+    rows = None
+    for r in range(state.rounds):
+        own = read.schema(_STATE).parquet(f"{state.folder}/round_{r}").withColumn("round", F.lit(r))
+        rows = own if rows is None else rows.unionByName(own)
+    found = rows.groupBy("part").applyInArrow(run, "place binary, weight binary").collect()
+    place = np.concatenate([np.frombuffer(r.place, np.int64) for r in found])
+    weight = np.concatenate([np.frombuffer(r.weight, np.float64) for r in found])
+    order = np.argsort(place)
+    place, weight = place[order], weight[order]
+    bias = float(weight[place == last].sum())
+    return Weights(place[place != last], weight[place != last], bias)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, shards: int = SHARDS,
-        rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text",
+        rounds: int = ROUNDS, l1_grid: tuple[float, ...] = L1_GRID, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic") -> Weights:
     """Train on rows that are not held out; runs Spark jobs when called."""
-    spark = docs.sparkSession
     usable = labels.filter(~held_out(id_col) & F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("y"))
     count = usable.agg(F.count("*").alias("n"), F.sum("y").alias("pos")).first()
@@ -110,7 +260,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, shards: in
     if not pos or pos == n:
         return Weights(np.empty(0, np.int64), np.empty(0), math.log(prior / (1 - prior)))
     limit = int(min(1.0, max_rows / n) * (1 << 31))
-    l1 = min(MOST_L1, max(LEAST_L1, min(n, max_rows) / ROWS_PER_L1))
     # about max_rows rows of (id, label) at most: a broadcast of bounded size
     picked = usable.filter(F.pmod(F.xxhash64("label_id", F.lit(7)), F.lit(1 << 31)) < limit)
 
@@ -123,53 +272,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, shards: in
 
     own = (id_and_text(docs, id_col, text_col).join(F.broadcast(picked), F.col("doc_id") == F.col("label_id"))
            .select(F.xxhash64("doc_id", F.lit(11)).alias("k"), "y", "text"))
-    # dealt once; all rounds read the same shards
-    dealt = (own.mapInArrow(extract, "k bigint, y int, places binary")
-             .repartition(shards, F.pmod("k", F.lit(shards))).sortWithinPartitions(F.xxhash64("k"))
+    # dealt once, over enough partitions that few share one; all rounds read the same shards
+    dealt = (own.mapInArrow(extract, "k bigint, y int, places binary").withColumn("shard", F.pmod("k", F.lit(shards)).cast("int"))
+             .repartition(4 * shards, "shard").sortWithinPartitions("shard", F.xxhash64("k"), "y")
              .persist(StorageLevel.MEMORY_AND_DISK))
-
-    size = 2 * (1 << BITS) + 1
-    z, sq = np.zeros(size), np.zeros(size)
-    sq[-1], z[-1] = 1.0, -math.log(prior / (1 - prior)) * ((BETA + 1.0) / ALPHA + L2)
-    for _ in range(rounds):
-        used = np.flatnonzero(sq)
-        state = spark.sparkContext.broadcast((used.astype(np.int32), z[used].astype(np.float32),
-                                              sq[used].astype(np.float32)))
-
-        def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            at, z0, n0 = state.value
-            zs, ns = np.zeros(size), np.zeros(size)
-            zs[at], ns[at] = z0, n0
-            rows = 0
-            for b in batches:
-                got = [(np.frombuffer(p, np.int32), y) for p, y in zip(b.column("places").to_pylist(),
-                                                                       b.column("y").to_pylist())]
-                _epoch(zs, ns, got, l1)
-                rows += len(got)
-            if rows:
-                before = np.zeros(size)
-                before[at] = n0
-                met = np.flatnonzero(ns != before)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.tobytes()], pa.binary()) for x in
-                     (met.astype(np.int32), zs[met].astype(np.float32), ns[met].astype(np.float32))],
-                    names=["place", "z", "n"])
-
-        parts = dealt.mapInArrow(train, "place binary, z binary, n binary").collect()
-        sum_z, sum_n, seen = np.zeros(size), np.zeros(size), np.zeros(size)
-        for p in parts:
-            at = np.frombuffer(p.place, np.int32)
-            sum_z[at] += np.frombuffer(p.z, np.float32)
-            sum_n[at] += np.frombuffer(p.n, np.float32)
-            seen[at] += 1
-        met = seen > 0
-        z[met], sq[met] = sum_z[met] / seen[met], sum_n[met] / seen[met]
-        state.destroy()
-    dealt.unpersist()
-    w = _weight(z[:-1], sq[:-1], l1)
-    place = np.flatnonzero(w)
-    bias = -z[-1] / ((BETA + math.sqrt(sq[-1])) / ALPHA + L2)
-    return Weights(place, w[place], float(bias))
+    try:
+        in_fold = F.pmod(F.xxhash64("k", F.lit(5)), F.lit(FOLDS)) == 0
+        trial = _train(dealt.filter(~in_fold), prior, tuple(l1_grid), rounds)
+        losses = _losses(dealt.filter(in_fold), trial)
+        return _weights(dealt, _train(dealt, prior, (l1_grid[int(np.argmin(losses))],), rounds))
+    finally:
+        dealt.unpersist()
 
 
 def score(docs: DataFrame, weights: Weights, toxic_at: float = TOXIC_AT, id_col: str = "doc_id",
