@@ -3,11 +3,13 @@ names, table readers and the folder for tables that cut lineage."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -64,20 +66,39 @@ def held_out(id_col: str = "doc_id"):
                       F.lit(False))
 
 
+def give_back() -> None:
+    """Hand memory that the allocators of this process keep for later back to the system: Python workers are used
+    again by tasks of other stages, beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    if (trim := _malloc_trim()) is not None:
+        trim(0)
+
+
+@cache
+def _malloc_trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):        # another C library
+        return None
+
+
 def blocks(batches: Iterable[pa.RecordBatch], text: str = "text",
            max_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``max_bytes`` of text each (one row at least)."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        start = total = 0
-        for i, n in enumerate(size.tolist()):
-            if i > start and total + n > max_bytes:
-                yield batch.slice(start, i - start)
-                start, total = i, 0
-            total += n
-        yield batch.slice(start)
+    try:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+            start = total = 0
+            for i, n in enumerate(size.tolist()):
+                if i > start and total + n > max_bytes:
+                    yield batch.slice(start, i - start)
+                    start, total = i, 0
+                total += n
+            yield batch.slice(start)
+    finally:
+        give_back()
 
 
 def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:

@@ -24,9 +24,7 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 from collections.abc import Iterator
-from functools import cache
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -57,17 +55,16 @@ class Profile(NamedTuple):
     limits: tuple[tuple[tuple[int, float, float], ...], ...] = ()
 
 
-@cache
-def _not_letters() -> re.Pattern:
-    """Runs without letters; word characters that are neither letters nor decimal digits are listed."""
-    numbers = "".join(c for c in map(chr, range(sys.maxunicode + 1))
-                      if c.isalnum() and not c.isalpha() and not c.isdecimal())
-    return re.compile(rf"[\W\d_{numbers}]+")
+_BREAK = re.compile(r"[\W\d_]+")
 
 
 def reduced(text: str) -> bytes:
     """The words (runs of letters) of a text in lower case, joined by one space, as UTF-8."""
-    return _not_letters().sub(" ", text.lower()).strip(" ").encode()
+    words = _BREAK.sub(" ", text.lower()).strip(" ")
+    if not words.replace(" ", "").isalpha():         # characters like \u00b2 or \u00bd count as word characters there
+        words = " ".join("".join(c if c.isalpha() else " " for c in words).split(" "))
+        words = re.sub(" +", " ", words).strip(" ")
+    return words.encode()
 
 
 def fit(docs: DataFrame, learn: Column | None = None, lang_col: str = "lang", id_col: str = "doc_id",

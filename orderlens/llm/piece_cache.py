@@ -16,8 +16,8 @@ import numpy as np
 
 from orderlens.llm.byte_hash import hash_stretches
 
-# Distinct pieces kept per worker, some 80 bytes each; the table starts anew beyond it (bounded memory, same ids).
-MAX_PIECES = 250_000
+# Distinct pieces kept per worker, some 50 bytes each; the table starts anew beyond it (bounded memory, same ids).
+MAX_PIECES = 600_000
 # Text bytes encoded at once: longer texts are taken in parts.
 PART_BYTES = 1 << 21
 
@@ -111,7 +111,7 @@ class PieceCache:
         self.count = 0
         self.keys, self.codes = np.zeros(1 << 17, np.uint64), np.zeros(1 << 17, np.int32)
         self.flat, self.used = np.empty(1 << 18, np.int32), 0
-        self.start, self.length = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
+        self.start, self.length = np.empty(1 << 16, np.int32), np.empty(1 << 16, np.int32)
 
     def _find(self, h: np.ndarray) -> np.ndarray:
         """Row of each hash, -1 where unknown (open addressing, one numpy pass per probe)."""
@@ -142,7 +142,7 @@ class PieceCache:
 
     def _add(self, h: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
         n, k = len(h), self.count
-        while (k + n) * 2 > len(self.keys):
+        while (k + n) * 3 > len(self.keys) * 2:
             old = self.keys != 0
             keys, codes = self.keys[old], self.codes[old]
             size = len(self.keys) * 2
@@ -213,7 +213,7 @@ class PieceCache:
                                                                   stops[first].tolist())])
             self._add(new, ids, lengths)
             codes[unknown] = self._find(h[unknown])
-        ids, ends_of = gather(self.flat, self.start[codes], self.length[codes])
+        ids, ends_of = gather(self.flat, self.start[codes].astype(np.int64), self.length[codes].astype(np.int64))
         sizes = np.array([len(r) + 1 for r in raw], np.int64)
         pieces_before = np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)]))
         return ids, np.concatenate([[0], ends_of])[pieces_before]

@@ -11,10 +11,11 @@ and dealt once over ``SHARDS`` tasks, which keep them.  In each of ``ROUNDS`` ro
 every shard goes on from the common state over its own rows, and a coordinate's new state is the
 mean over the shards that met it.  That mean is taken on executors, place range by place range, and
 written under the checkpoint folder, where the next round's tasks read it; only non-zero weights come to the
-driver.  State below the L1 bound is kept too, since it adds up over rounds.
+driver.  State below the L1 bound is kept too, since it adds up over rounds; between rounds ``z`` has 32 bits and
+the root of ``n`` 16.
 
-L1 is chosen from ``L1_GRID``: all its values are trained side by side on the rows outside a hash fold
-(a fifth of the sample), and the one with the least log-loss on the fold is trained on all rows.
+L1 is chosen from ``L1_GRID`` on a hash sample of about ``TRIAL_ROWS`` of these rows: one task per value trains (same
+shards and rounds) on four fifths of it, and the value with the least log-loss on the rest is taken.
 
 Cases: null and empty texts score as the bias alone; labels that are null or not 0/1 are ignored;
 several labels of one document all count; without labels of both kinds scores are the smoothed share
@@ -31,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm.byte_hash import hash_stretches, mix
@@ -42,8 +43,8 @@ MAX_ROWS = 100_000
 SHARDS = 4
 ROUNDS = 4
 ALPHA, BETA, L2 = 5.0, 1.0, 0.01
-L1_GRID = (1.0, 2.0, 4.0, 8.0)
-FOLDS = 5
+L1_GRID = (0.5, 1.0, 2.0, 4.0)
+TRIAL_ROWS, FOLDS = 3000, 5
 RANGES = 64                  # place ranges whose states are averaged apart
 TOXIC_AT = 0.3
 
@@ -82,43 +83,50 @@ def features(w: np.ndarray) -> np.ndarray:
 
 
 _SIZE = (2 << BITS) + 1                    # places of both tables, and the bias
+_STEP = -(-_SIZE // RANGES)
 
 
-def _weight(z: np.ndarray, n: np.ndarray, l1: np.ndarray) -> np.ndarray:
+def _weight(z: np.ndarray, n: np.ndarray, l1: float) -> np.ndarray:
     return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
-def _bias(z: np.ndarray, n: np.ndarray) -> np.ndarray:
+def _bias(z: float, n: float) -> float:
     """The last place has no L1."""
-    return -z / ((BETA + np.sqrt(n)) / ALPHA + L2)
+    return -z / ((BETA + math.sqrt(n)) / ALPHA + L2)
 
 
-def margins(x: np.ndarray, z: np.ndarray, n: np.ndarray, l1: np.ndarray) -> tuple:
-    """Weights of the places ``x`` and the bias, for every L1 (column), and their sums."""
+def _weights_at(x: np.ndarray, z: np.ndarray, n: np.ndarray, l1: float) -> tuple:
+    """State and weights of the places ``x``; the last of them is the bias."""
     zx, nx = z[x], n[x]
     w = _weight(zx, nx, l1)
     w[-1] = _bias(zx[-1], nx[-1])
-    return zx, nx, w, w.sum(axis=0)
+    return zx, nx, w
 
 
-def _probability(total: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(total, -35, 35)))
+def _probability(total: float) -> float:
+    return 1 / (1 + math.exp(-max(min(total, 35.0), -35.0)))
 
 
-def epoch(z: np.ndarray, n: np.ndarray, rows, l1: np.ndarray, met: np.ndarray) -> None:
-    """One pass of FTRL-proximal over (places, label), a column of state for every L1."""
+def epoch(z: np.ndarray, n: np.ndarray, rows, l1: float, met: np.ndarray) -> None:
+    """One pass of FTRL-proximal over (places, label)."""
     for places, y in rows:
         x = np.append(places, _SIZE - 1)
-        zx, nx, w, total = margins(x, z, n, l1)
-        g = _probability(total) - y
+        zx, nx, w = _weights_at(x, z, n, l1)
+        g = _probability(float(w.sum())) - y
         square = nx + g * g
         z[x] = zx + g - (np.sqrt(square) - np.sqrt(nx)) / ALPHA * w
         n[x] = square
         met[x] = True
 
 
-def _rows(batch: pa.RecordBatch):
-    for places, y in zip(batch.column("places"), batch.column("y").to_pylist()):
+def _start(prior: float) -> tuple[np.ndarray, np.ndarray]:
+    z, n = np.zeros(_SIZE), np.zeros(_SIZE)
+    n[-1], z[-1] = 1.0, -math.log(prior / (1 - prior)) * ((BETA + 1.0) / ALPHA + L2)
+    return z, n
+
+
+def _rows(batch) -> Iterator[tuple[np.ndarray, int]]:
+    for places, y in zip(batch["places"], batch["y"].to_pylist()):
         yield np.frombuffer(places.as_buffer(), np.int32), y
 
 
@@ -127,45 +135,47 @@ class State(NamedTuple):
     folder: str
     rounds: int
     prior: float
-    l1: tuple[float, ...]
 
     def load(self) -> tuple[np.ndarray, np.ndarray]:
-        """``z`` and ``n``, a column for every L1; a later round replaces what an earlier one left."""
-        k = len(self.l1)
-        z, n = np.zeros((_SIZE, k)), np.zeros((_SIZE, k))
-        n[-1], z[-1] = 1.0, -math.log(self.prior / (1 - self.prior)) * ((BETA + 1.0) / ALPHA + L2)
+        """``z`` and ``n``; a later round replaces what an earlier one left."""
+        z, n = _start(self.prior)
         for r in range(self.rounds):
             fs, base = filesystem(f"{self.folder}/round_{r}")
-            for part in pq.read_table(base, filesystem=fs).to_batches():
-                for place, own_z, own_n in zip(*(part.column(c).to_pylist() for c in ("place", "z", "n"))):
-                    at = np.frombuffer(place, np.int32)
-                    z[at], n[at] = _columns(own_z, k), _columns(own_n, k)
+            for batch in pq.read_table(base, filesystem=fs).to_batches():
+                for row in batch.to_pylist():
+                    at, own_z, own_n = _unpacked(row)
+                    z[at], n[at] = own_z, own_n
         return z, n
 
 
-_STATE = "part int, place binary, z binary, n binary"
+_STATE = "part int, met binary, z binary, root binary"
+
+
+def _packed(part: int, met: np.ndarray, z: np.ndarray, n: np.ndarray) -> list:
+    """A range: which of its places are met (a bit each), and their state."""
+    return [part, np.packbits(met).tobytes(), z[met].astype(np.float32).tobytes(), np.sqrt(n[met]).astype(np.float16).tobytes()]
 
 
-def _columns(raw: bytes, k: int) -> np.ndarray:
-    return np.frombuffer(raw, np.float32).reshape(-1, k)
+def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, ``z`` and ``n`` of a range."""
+    at = np.flatnonzero(np.unpackbits(np.frombuffer(row["met"], np.uint8))) + row["part"] * _STEP
+    return at, np.frombuffer(row["z"], np.float32), np.frombuffer(row["root"], np.float16).astype(np.float64) ** 2
 
 
-def _record(part: list[int], *arrays: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(part, pa.int32()), *(pa.array([x.tobytes() for x in a], pa.binary()) for a in arrays)],
-        names=["part", "place", "z", "n"])
+def _table(records: list[list]) -> pa.Table:
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.table({c: pa.array([r[i] for r in records], k) for i, (c, k) in enumerate(zip(("part", "met", "z", "root"), kinds))})
 
 
-def _train(dealt: DataFrame, prior: float, l1: tuple[float, ...], rounds: int) -> State:
+def _train(dealt: DataFrame, prior: float, l1: float, rounds: int) -> State:
     """Rounds over the shards; states stay on the executors and in the shared folder."""
-    state = State(new_folder(dealt.sparkSession, "toxicity_state"), 0, prior, l1)
-    k, step = len(l1), -(-_SIZE // RANGES)
+    state = State(new_folder(dealt.sparkSession, "toxicity_state"), 0, prior)
 
     def left(z: np.ndarray, n: np.ndarray, met: np.ndarray) -> Iterator[pa.RecordBatch]:
         for r in range(RANGES):
-            at = np.flatnonzero(met[r * step:(r + 1) * step]) + r * step
-            if len(at):
-                yield _record([r], [at.astype(np.int32)], [z[at].astype(np.float32)], [n[at].astype(np.float32)])
+            own = slice(r * _STEP, (r + 1) * _STEP)
+            if met[own].any():
+                yield from _table([_packed(r, met[own], z[own], n[own])]).to_batches()
 
     def shard(batches: Iterator[pa.RecordBatch], now: State) -> Iterator[pa.RecordBatch]:
         own = None                                    # a task may hold several shards, one after the other
@@ -178,21 +188,18 @@ def _train(dealt: DataFrame, prior: float, l1: tuple[float, ...], rounds: int) -
                     own = numbers[part[0]]
                     (z, n), met = now.load(), np.zeros(_SIZE, bool)
                 if len(part):
-                    epoch(z, n, _rows(b.slice(part[0], len(part))), np.array(now.l1), met)
+                    epoch(z, n, _rows(b.slice(part[0], len(part))), l1, met)
         if own is not None:
             yield from left(z, n, met)
 
     def mean(key: tuple, group: pa.Table) -> pa.Table:
-        low = key[0].as_py() * step
-        total, seen = np.zeros((2, step, k)), np.zeros((step, 1))
-        for place, *own in zip(*(group[c].to_pylist() for c in ("place", "z", "n"))):
-            at = np.frombuffer(place, np.int32) - low
-            for t, x in zip(total, own):
-                t[at] += _columns(x, k)
-            seen[at] += 1
-        at = np.flatnonzero(seen)
-        z, n = (total[:, at] / seen[at]).astype(np.float32)
-        return pa.Table.from_batches([_record([key[0].as_py()], [(at + low).astype(np.int32)], [z], [n])])
+        part = key[0].as_py()
+        total, seen = np.zeros((2, _STEP)), np.zeros(_STEP)
+        for row in group.to_pylist():
+            at, z, n = _unpacked(row)
+            total[:, at - part * _STEP] += (z, n)
+            seen[at - part * _STEP] += 1
+        return _table([_packed(part, seen > 0, *(total / np.maximum(seen, 1)))])
 
     for r in range(rounds):
         (dealt.mapInArrow(lambda batches, now=state: shard(batches, now), _STATE)
@@ -201,51 +208,74 @@ def _train(dealt: DataFrame, prior: float, l1: tuple[float, ...], rounds: int) -
     return state
 
 
-def _losses(dealt: DataFrame, state: State) -> list[float]:
-    """The log-loss of each L1 over the rows."""
+def trial(rows: list[tuple[int, np.ndarray, int]], asked: list[tuple[np.ndarray, int]], prior: float, l1: float,
+          rounds: int) -> float:
+    """Log-loss over ``asked`` after the same training on a few rows (shard, places, label), in one place."""
+    z, n = _start(prior)
+    shards = sorted({s for s, _, _ in rows})
+    for _ in range(rounds):
+        total, seen = np.zeros((2, _SIZE)), np.zeros(_SIZE)
+        for s in shards:
+            own_z, own_n, met = z.copy(), n.copy(), np.zeros(_SIZE, bool)
+            epoch(own_z, own_n, ((x, y) for k, x, y in rows if k == s), l1, met)
+            total[:, met] += (own_z[met], own_n[met])
+            seen += met
+        on = seen > 0
+        z[on], n[on] = total[:, on] / seen[on]
+    loss = 0.0
+    for x, y in asked:
+        p = _probability(float(_weights_at(np.append(x, _SIZE - 1), z, n, l1)[2].sum()))
+        loss -= math.log(p if y else 1 - p)
+    return loss
+
+
+def _choose_l1(dealt: DataFrame, share: float, grid: tuple[float, ...], prior: float, rounds: int) -> float:
+    """The value with the least loss on the trial rows; the largest of equal ones."""
+    if len(grid) == 1:
+        return grid[0]
+    limit = int(min(1.0, share) * (1 << 31))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = None
-        for b in batches:
-            if z is None and b.num_rows:
-                z, n = state.load()
-            for places, y in _rows(b):
-                p = _probability(margins(np.append(places, _SIZE - 1), z, n, np.array(state.l1))[3])
-                loss = -np.log(p if y else 1 - p)
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(loss)), pa.int32()), pa.array(loss)], names=["k", "loss"])
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        own = group.sort_by([("h", "ascending"), ("y", "ascending")])
+        rows = list(zip(own["fold"].to_pylist(), own["shard"].to_pylist(), _rows(own)))
+        loss = trial([(s, x, y) for f, s, (x, y) in rows if f], [xy for f, _, xy in rows if not f], prior,
+                     key[0].as_py(), rounds)
+        return pa.table({"l1": [key[0].as_py()], "loss": [loss]})
 
-    got = {r.k: r.loss for r in dealt.mapInArrow(run, "k int, loss double").groupBy("k").agg(F.sum("loss").alias("loss")).collect()}
-    return [got.get(k, 0.0) for k in range(len(state.l1))]
+    sample = (dealt.filter(F.pmod(F.xxhash64("k", F.lit(13)), F.lit(1 << 31)) < limit)
+              .select("shard", "y", "places", F.xxhash64("k").alias("h"),
+                      F.pmod(F.xxhash64("k", F.lit(5)), F.lit(FOLDS)).alias("fold"),
+                      F.explode(F.array(*map(F.lit, grid))).alias("l1")))
+    got = sample.groupBy("l1").applyInArrow(run, "l1 double, loss double").collect()
+    return min(got, key=lambda r: (r.loss, -r.l1)).l1 if got else max(grid)
 
 
-def _weights(dealt: DataFrame, state: State) -> Weights:
+def _weights(spark: SparkSession, state: State, l1: float) -> Weights:
     """The non-zero weights, found range by range on the executors, and the bias."""
-    l1, last, step = state.l1[0], _SIZE - 1, -(-_SIZE // RANGES)
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        low = key[0].as_py() * step
-        z, n = np.zeros(step), np.zeros(step)
-        for _, place, own_z, own_n in sorted(zip(*(group[c].to_pylist() for c in ("round", "place", "z", "n")))):
-            at = np.frombuffer(place, np.int32) - low
-            z[at], n[at] = np.frombuffer(own_z, np.float32), np.frombuffer(own_n, np.float32)
-        w = _weight(z, n, l1)
-        if low <= last < low + step:
-            w[last - low] = _bias(z[last - low], n[last - low])
+        part = key[0].as_py()
+        z, n = np.zeros(_STEP), np.zeros(_STEP)
+        for row in sorted(group.to_pylist(), key=lambda r: r["round"]):
+            at, own_z, own_n = _unpacked(row)
+            z[at - part * _STEP], n[at - part * _STEP] = own_z, own_n
+        w, last = _weight(z, n, l1), _SIZE - 1 - part * _STEP
+        if 0 <= last < _STEP:
+            w[last] = _bias(z[last], n[last])
         at = np.flatnonzero(w)
-        return pa.table({"place": [(at + low).astype(np.int64).tobytes()], "weight": [w[at].tobytes()]})
+        return pa.table({"place": [(at + part * _STEP).astype(np.int64).tobytes()], "weight": [w[at].tobytes()]})
 
-    read = dealt.sparkSession.read
     rows = None
     for r in range(state.rounds):
-        own = read.schema(_STATE).parquet(f"{state.folder}/round_{r}").withColumn("round", F.lit(r))
+        own = spark.read.schema(_STATE).parquet(f"{state.folder}/round_{r}").withColumn("round", F.lit(r))
         rows = own if rows is None else rows.unionByName(own)
     found = rows.groupBy("part").applyInArrow(run, "place binary, weight binary").collect()
     place = np.concatenate([np.frombuffer(r.place, np.int64) for r in found])
     weight = np.concatenate([np.frombuffer(r.weight, np.float64) for r in found])
     order = np.argsort(place)
     place, weight = place[order], weight[order]
-    bias = float(weight[place == last].sum())
-    return Weights(place[place != last], weight[place != last], bias)
+    bias = float(weight[place == _SIZE - 1].sum())
+    return Weights(place[place < _SIZE - 1], weight[place < _SIZE - 1], bias)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, shards: int = SHARDS,
@@ -277,10 +307,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, shards: in
              .repartition(4 * shards, "shard").sortWithinPartitions("shard", F.xxhash64("k"), "y")
              .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        in_fold = F.pmod(F.xxhash64("k", F.lit(5)), F.lit(FOLDS)) == 0
-        trial = _train(dealt.filter(~in_fold), prior, tuple(l1_grid), rounds)
-        losses = _losses(dealt.filter(in_fold), trial)
-        return _weights(dealt, _train(dealt, prior, (l1_grid[int(np.argmin(losses))],), rounds))
+        l1 = _choose_l1(dealt, TRIAL_ROWS / min(n, max_rows), tuple(l1_grid), prior, rounds)
+        return _weights(docs.sparkSession, _train(dealt, prior, l1, rounds), l1)
     finally:
         dealt.unpersist()
 
