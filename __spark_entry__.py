@@ -29,12 +29,17 @@ from orderlens.plans import features as FE
 from orderlens.plans import models as M
 from orderlens.plans import operations as O
 from orderlens.plans import primitives as P
+from orderlens.plans import rollup as RU
+from orderlens.plans import sketches as SK
 from orderlens.operators.split import stratified_split
+from orderlens.functions.dates import days_back, trailing
 from orderlens.session import scratch_dir
+from orderlens.sources.files import CORRUPT, path_exists, read_csv
 from orderlens.sources.fixture import read_table, transactions
 from orderlens.sources.schema import COLUMNS as TX_COLUMNS
 from orderlens.sources.schema import validate
 from orderlens.streaming import kpis as ST
+from orderlens.streaming import reconciled as RC
 
 AS_OF = dt.date(2001, 8, 1)
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -83,7 +88,7 @@ def _segmentation_path(spark: SparkSession, sf_dir: str, tx: DataFrame, city: st
     """The segmentation of a data folder or of one city's orders in it (search for k, ten starts),
     trained once per application."""
     path = _model_path(spark, sf_dir, f"segmentation_{city}" if city else "segmentation")
-    if not M.exists(spark, f"{path}/choose_k/_SUCCESS"):        # written last
+    if not path_exists(spark, f"{path}/choose_k/_SUCCESS"):        # written last
         M.train_segmentation(A.filter_orders(tx, city), path)
     return path
 
@@ -92,6 +97,68 @@ def _segmentation(spark: SparkSession, sf_dir: str, tx: DataFrame, city: str | N
     return M.PipelineModel.load(f"{_segmentation_path(spark, sf_dir, tx, city)}/model")
 
 
+def _derived(spark: SparkSession, sf_dir: str, kind: str, build) -> str:
+    """A folder that the first key of this application that needs it builds (``build(path)``)."""
+    path = f"{_model_path(spark, sf_dir, kind)}"
+    if not path_exists(spark, f"{path}/done"):
+        build(path)
+        spark.range(1).write.mode("overwrite").parquet(f"{path}/done")
+    return path
+
+
+def _rollup(spark: SparkSession, sf_dir: str) -> str:
+    """Day partials after two loads: most orders first, then a file of orders of days already taken."""
+    def build(path: str) -> None:
+        tx = _tx(spark, sf_dir, ["order_id", "customer_id", "city", "order_value", "delivery_time", "order_date"])
+        late = F.pmod(F.xxhash64("order_id"), F.lit(97)) == 0
+        for name, rows in (("first", tx.filter(~late)), ("late", tx.filter(late))):
+            rows.coalesce(4).write.mode("overwrite").parquet(f"{path}/landing/{name}")
+            RU.refresh(spark, f"{path}/landing", f"{path}/table")
+    return _derived(spark, sf_dir, "rollup", build) + "/table"
+
+
+def _sketches(spark: SparkSession, sf_dir: str) -> str:
+    return _derived(spark, sf_dir, "sketches", lambda path: SK.write_sketches(_tx(
+        spark, sf_dir, ["order_id", "customer_id", "restaurant_id", "city", "order_date"]), f"{path}/table")) + "/table"
+
+
+def _close(estimate: str, exact: str, share: float = 0.02):
+    return (F.abs(F.col(estimate) - F.col(exact)) <= share * F.col(exact)).alias(f"{exact}_close")
+
+
+def _sketch_counts(rows: DataFrame, tx: DataFrame) -> DataFrame:
+    """Exact counts of the window, and whether the merged sketches are within two per cent of them."""
+    got = SK.distinct_counts(rows, AS_OF).select("city", *[F.col(k).alias(f"{k}_est") for k in ("customers", "restaurants", "orders")])
+    want = P.distinct_counts(trailing(tx, AS_OF, months=12))
+    return want.join(got, "city").select("city", "customers", "restaurants", "orders",
+                                         *[_close(f"{k}_est", k) for k in ("customers", "restaurants", "orders")])
+
+
+def _sketch_new(rows: DataFrame, tx: DataFrame) -> DataFrame:
+    """Customers of the last 30 days without an order in the year before, per city: exact, and whether the sketches agree."""
+    recent = F.col("order_date") >= days_back(AS_OF, 30).cast("timestamp_ntz")
+    per = trailing(tx, AS_OF, months=12).groupBy("city", "customer_id").agg(
+        F.bool_or(recent).alias("r"), F.bool_or(~recent).alias("b"))
+    want = per.filter(F.col("customer_id").isNotNull()).groupBy("city").agg(
+        F.count_if("r").alias("customers"), F.count_if(F.col("r") & ~F.col("b")).alias("new_customers"))
+    got = SK.new_customers(rows, AS_OF).select("city", F.col("customers").alias("customers_est"), F.col("new_customers").alias("new_est"))
+    # the error of a difference is relative to the sets that it is taken of
+    near = (F.abs(F.col("new_est") - F.col("new_customers")) <= 0.02 * F.col("customers")).alias("new_customers_close")
+    return want.join(got, "city").select("city", "customers", "new_customers", _close("customers_est", "customers"), near)
+
+
+def _event_loads(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The purchases as a source sends them: some twice at once, some again within the hour, some held back too long."""
+    events = read_table(spark, sf_dir, "events").filter("event_type = 'purchase'")
+    last = events.agg(F.max("ts").alias("m")).select(F.col("m") - F.expr("INTERVAL 1 HOUR")).scalar()
+    held = (F.col("event_id") % 50 == 1) & (F.col("ts") <= last)
+    first = events.filter(~held)
+    loads = [first.unionByName(first.filter("event_id % 100 = 3")),
+             events.filter((F.col("ts") > last) & (F.col("event_id") % 2 == 0)), events.filter(held)]
+    for k, rows in enumerate(loads):
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{folder}/load_{k}")
+
+
 # key -> (analysis over a transactions frame, columns it reads); filled by _registry
 ANALYSES: dict[str, tuple[Callable[[DataFrame], DataFrame], list[str] | None]] = {}
 
@@ -156,9 +223,33 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     dash("operational_insights", DB.operational_insights, _DT + ["city", "customer_id"])
     dash("peak_hour_and_best_city", DB.peak_hour_and_best_city, ["order_date", "order_value", "city"])
     dash("repeat_rate", DB.repeat_rate, ["customer_id", "order_date"])
+    reg("spend_box_stats", _CLV_COLS + ["delivery_time"])(lambda tx: DB.spend_box_stats(tx, AS_OF))
+
+    def dated_export(spark, sf_dir):
+        """The selection written as CSV under its dated folder, and read back from there."""
+        folder = DB.export_csv(DB.dashboard_frame(_tx(spark, sf_dir), AS_OF),
+                               scratch_dir(spark, f"dated_export/{uuid.uuid4().hex}"), AS_OF)
+        return _final(read_csv(spark, folder).drop(CORRUPT))
+
+    q["dated_export"] = dated_export
     dash("dataset_overview", DB.dataset_overview, ["order_date", "city"])
     dash("distinct_cities", DB.distinct_cities, ["order_date", "city"])
 
+    # ---- the same tables from day partials and sketches
+    def rolled(name, use):
+        q[name] = lambda spark, sf_dir: _final(use(RU.read_days(spark, _rollup(spark, sf_dir))))
+
+    rolled("kpi_cards_rollup", lambda days: RU.kpi_cards(days, AS_OF))
+    rolled("daily_revenue_rollup", lambda days: RU.daily_revenue(days, AS_OF))
+    rolled("city_performance_rollup", lambda days: RU.city_performance(days, AS_OF))
+
+    def sketched(name, use):
+        q[name] = lambda spark, sf_dir: use(SK.read_sketches(spark, _sketches(spark, sf_dir)), _tx(
+            spark, sf_dir, ["order_id", "customer_id", "restaurant_id", "city", "order_date"]))
+
+    sketched("sketch_distinct_counts", _sketch_counts)
+    sketched("sketch_new_customers", _sketch_new)
+
     # ---- single operators (2.1-2.8)
     reg("scan_transactions")(lambda tx: tx)
     reg("scan_pruned", P.SEGMENT_COLUMNS)(P.scan_pruned)
@@ -168,6 +259,9 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         _tx(spark, sf_dir), scratch_dir(spark, f"csv_round_trip/{uuid.uuid4().hex}")).drop("_corrupt_record"))
     reg("trailing_window", ["order_date"])(lambda tx: P.trailing_window(tx, AS_OF))
     reg("filter_city_dates")(lambda tx: A.filter_orders(tx, "ASIA", "2001-01-01", "2001-03-31"))
+    reg("any_row", ["order_id", "city", "order_date"])(
+        lambda tx: A.any_row(A.filter_orders(tx, "ASIA", "2001-01-01", "2001-03-31")))
+    reg("value_counts", _CLV_COLS)(lambda tx: P.value_counts(C.clv(tx, AS_OF, ordered=False), "customer_segment"))
     reg("having_filter", ["order_id", "customer_id"])(P.having_filter)
     reg("on_time_rate", ["city", "delivery_time"])(P.on_time_rate)
     reg("band_self_join", _CLV_COLS + ["cuisine_type"])(P.band_self_join)
@@ -218,6 +312,9 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
               city="ASIA")
     segmented("segment_totals", M.segment_totals)
     reg("segment_rules", _CLV_COLS + ["delivery_time"])(lambda tx: M.segment_rules(tx, AS_OF))
+    reg("characteristic_sizes", _CLV_COLS + ["delivery_time"])(
+        lambda tx: M.characteristic_sizes(M.segment_rules(tx, AS_OF)))
+
     def round_trip(spark, sf_dir):
         """Scores of the saved segmentation against those of the same model saved and loaded once more."""
         tx = _tx(spark, sf_dir)
@@ -240,6 +337,11 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             return M.compare_scores(score(model, tx), score(M.load_model(tx.sparkSession, path), tx), key, col)
         return use
 
+    def delivery_grid(spark, sf_dir):
+        _trained("delivery", spark, sf_dir, _tx(spark, sf_dir))
+        return M.delivery_grid(spark, _model_path(spark, sf_dir, "delivery"))
+
+    q["delivery_grid"] = delivery_grid
     model_key("delivery_model_metrics", "delivery", lambda model, tx: M.model_metrics(tx.sparkSession, model))
     reg("regression_metrics")(lambda tx: M.regression_metrics(M.rule_prediction(tx)))
     reg("scoring_input_report")(M.required_field_report)
@@ -258,6 +360,13 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["stream_daily_kpis"] = lambda spark, sf_dir: ST.stream_daily_kpis(
         spark, f"{sf_dir.rstrip('/')}/events.parquet",
         scratch_dir(spark, f"stream_daily_kpis/{uuid.uuid4().hex}"))
+    def stream_reconciled(spark, sf_dir):
+        out = scratch_dir(spark, f"stream_reconciled/{uuid.uuid4().hex}")
+        _event_loads(spark, sf_dir, f"{out}/source")
+        RC.run(ST.purchases(ST.read_event_stream(spark, f"{out}/source/*", 1)), out)
+        return RC.balance(spark, out)
+
+    q["stream_reconciled"] = stream_reconciled
     q["daily_kpis_events"] = lambda spark, sf_dir: ST.daily_kpis(
         ST.purchases(read_table(spark, sf_dir, "events")))
     q["stream_hourly_kpis"] = lambda spark, sf_dir: ST.stream_daily_kpis(

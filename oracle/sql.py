@@ -630,6 +630,10 @@ FROM transactions"""
 ORACLES["filter_city_dates"] = with_tx() + f"""
 SELECT {TX_DOUBLE} FROM transactions
 WHERE city = 'ASIA' AND order_date >= DATE '2001-01-01' AND order_date < DATE '2001-04-01'"""
+ORACLES["any_row"] = with_tx() + """
+SELECT COUNT(*) > 0 AS has_rows FROM transactions
+WHERE city = 'ASIA' AND order_date >= DATE '2001-01-01' AND order_date < DATE '2001-04-01'"""
+ORACLES["dated_export"] = with_tx(DF) + f"SELECT {TX_DOUBLE} FROM df"
 ORACLES["having_filter"] = with_tx() + """
 SELECT customer_id, COUNT(DISTINCT order_id) AS total_orders FROM transactions
 GROUP BY customer_id HAVING COUNT(DISTINCT order_id) >= 10"""
@@ -838,6 +842,27 @@ SELECT customer_segment, COUNT(*) AS size, {spent} AS avg_total_spent, {freq} AS
 FROM f1k JOIN clvb USING (customer_id) GROUP BY customer_segment"""
 
 
+ORACLES["characteristic_sizes"] = f"""
+SELECT characteristics, CAST(SUM(size) AS BIGINT) AS customers, COUNT(*) AS segments
+FROM ({ORACLES["segment_rules"]}) GROUP BY characteristics"""
+
+ORACLES["value_counts"] = with_tx(CLV_BAND_SQL) + f"""
+SELECT customer_segment, COUNT(*) AS count, {hu('100 * COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS pct
+FROM clvb GROUP BY customer_segment"""
+
+ORACLES["spend_box_stats"] = with_tx(CLV_BAND_SQL, F1K_SQL, """
+b AS (SELECT customer_segment, CAST(spent_c AS DOUBLE) / 100.0 AS v, spent_c FROM f1k JOIN clvb USING (customer_id)),
+q AS (SELECT customer_segment, COUNT(*) AS count, MIN(v) AS min, MAX(v) AS max, SUM(spent_c) AS s,
+             quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3
+      FROM b GROUP BY customer_segment)""") + """
+SELECT q.customer_segment, q.count, q.min, q.max, q.q1, q.median, q.q3,
+       (SELECT MIN(v) FROM b WHERE b.customer_segment = q.customer_segment AND v >= q.q1 - 1.5 * (q.q3 - q.q1)) AS whisker_low,
+       (SELECT MAX(v) FROM b WHERE b.customer_segment = q.customer_segment AND v <= q.q3 + 1.5 * (q.q3 - q.q1)) AS whisker_high,
+       CAST(q.s AS DOUBLE) / 100.0 / q.count AS mean,
+       CAST(SUM(q.s) OVER () AS DOUBLE) / 100.0 / SUM(q.count) OVER () AS overall_mean
+FROM q"""
+
+
 RULE_PRED_SQL = f"""
 rk AS (SELECT restaurant_id, {he_k('SUM(delivery_time)', 'COUNT(delivery_time)')} AS mk
        FROM transactions WHERE restaurant_id IS NOT NULL AND delivery_time IS NOT NULL GROUP BY 1),
@@ -932,3 +957,30 @@ ORACLES["churn_round_trip"] = with_tx(F3_SQL) + "SELECT COUNT(*) AS rows, COUNT(
 ORACLES["segment_totals"] = with_tx(F1_SQL) + """
 SELECT COUNT(*) AS customers, CAST(SUM(total_spent) AS DOUBLE) AS total_spent, TRUE AS segments_in_range,
        CAST(COUNT(*) AS BIGINT) AS profiled_customers FROM f1"""
+# day partials give the numbers of the full computation
+for _key in ("kpi_cards", "daily_revenue", "city_performance"):
+    ORACLES[f"{_key}_rollup"] = ORACLES[_key]
+ORACLES["sketch_distinct_counts"] = with_tx() + f"""
+SELECT city, COUNT(DISTINCT customer_id) AS customers, COUNT(DISTINCT restaurant_id) AS restaurants,
+       COUNT(DISTINCT order_id) AS orders, TRUE AS customers_close, TRUE AS restaurants_close, TRUE AS orders_close
+FROM transactions WHERE order_date >= {months_back(12)} GROUP BY city"""
+ORACLES["sketch_new_customers"] = with_tx(f"""
+p AS (SELECT city, customer_id, BOOL_OR(order_date >= {days_back(30)}) AS r, BOOL_OR(order_date < {days_back(30)}) AS b
+      FROM transactions WHERE order_date >= {months_back(12)} AND customer_id IS NOT NULL GROUP BY 1, 2)""") + """
+SELECT city, COUNT(CASE WHEN r THEN 1 END) AS customers, COUNT(CASE WHEN r AND NOT b THEN 1 END) AS new_customers,
+       TRUE AS customers_close, TRUE AS new_customers_close
+FROM p GROUP BY city"""
+# every source row is in a window, late or a repeat
+ORACLES["stream_reconciled"] = """
+WITH e AS (SELECT *, ts <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM events WHERE event_type = 'purchase') AS old
+           FROM events WHERE event_type = 'purchase'),
+h AS (SELECT *, event_id % 50 = 1 AND old AS held FROM e)
+SELECT COUNT(*) + COUNT(CASE WHEN NOT held AND event_id % 100 = 3 THEN 1 END)
+         + COUNT(CASE WHEN NOT old AND event_id % 2 = 0 THEN 1 END) AS source_rows,
+       COUNT(CASE WHEN NOT held THEN 1 END) AS window_rows,
+       CAST(SUM(CASE WHEN NOT held THEN CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS window_revenue,
+       COUNT(CASE WHEN held THEN 1 END) AS late_rows,
+       COUNT(CASE WHEN NOT held AND event_id % 100 = 3 THEN 1 END)
+         + COUNT(CASE WHEN NOT old AND event_id % 2 = 0 THEN 1 END) AS repeated_rows,
+       TRUE AS balanced
+FROM h"""

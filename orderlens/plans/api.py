@@ -28,6 +28,16 @@ def filter_orders(tx: DataFrame, city: str | None = None, date_from=None, date_t
     return D.day_range(tx, date_from, date_to, end_inclusive_day=not exact)
 
 
+def has_rows(df: DataFrame) -> bool:
+    """Is there any row: reads as far as the first one (the check before an endpoint's work)."""
+    return bool(any_row(df).first()["has_rows"])
+
+
+def any_row(df: DataFrame) -> DataFrame:
+    """One row: whether there is any (LIMIT 1 below the count)."""
+    return df.select(F.lit(1)).limit(1).agg((F.count(F.lit(1)) > 0).alias("has_rows"))
+
+
 def _growth(cur: Column, prev: Column) -> Column:
     """Percent change when the previous value is positive, else 0 (DOUBLE arithmetic)."""
     c, p = cur.cast("double"), prev.cast("double")

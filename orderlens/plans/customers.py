@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions.rounding import as_dec, mean_as_double, percent, round_half_up
 from ..operators.band_join import item_pairs
-from ..operators.ntile import global_ntile
+from ..operators.cutpoints import Measure, ntiles
 
 DAYS_PER_YEAR = Decimal("365.25")
 
@@ -86,35 +86,60 @@ def clv_simple(tx: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- Q2 cohorts
 def _period_index(ts: Column, period: str) -> Column:
+    """Number of the calendar month or of the Monday week, without gaps."""
     if period == "monthly":
         return F.year(ts) * 12 + F.month(ts) - 1
     if period == "weekly":
-        return F.unix_date(F.date_trunc("week", ts).cast("date"))
+        return F.floor((F.unix_date(F.date_trunc("week", ts).cast("date")) - _FIRST_MONDAY) / 7).cast("int")
     raise ValueError(f"period must be 'monthly' or 'weekly', not {period!r}")
 
 
 def _period_label(idx: Column, period: str) -> Column:
     if period == "monthly":
-        return F.format_string("%04d-%02d", F.floor(idx / 12).cast("int"), (idx % 12 + 1).cast("int"))
-    return F.date_format(F.date_from_unix_date(idx), "yyyy-MM-dd")
+        return F.format_string("%04d-%02d", F.floor(idx / 12).cast("int"), F.pmod(idx, F.lit(12)).cast("int") + 1)
+    return F.date_format(F.date_from_unix_date((idx * 7 + _FIRST_MONDAY).cast("int")), "yyyy-MM-dd")
+
+
+_FIRST_MONDAY = 4                    # 1970-01-05, in days after the epoch
+_WORD = 32                           # periods of a word; a customer's row sees two words, so 32 periods after the first
+_MOST_HORIZON = 32
+_WORD_SHIFT = 1 << 19                # word numbers are stored from 0 on
 
 
 def cohort_retention(tx: DataFrame, period: str = "monthly", horizon: int = 12,
                      ordered: bool = True) -> DataFrame:
     """Customers retained per first-period cohort and periods since the first order.
 
-    One shuffle by customer with map-side ``collect_set`` of the active periods
-    (bounded by the number of calendar periods), then a tiny cohort x period
-    aggregate.  Cohort size = customers active in period 0.
+    A customer's active periods are bitmaps: every order sets its bit in its own 32-period word and, one word
+    on, in the word before, so a word's row sees the 32 periods that follow any period of it.  ``bit_or``
+    combines map-side; the earliest word of a customer gives the first period (lowest bit) and the bits of
+    the horizon after it, packed into one LONG whose minimum is taken.  Buffers are fixed numbers however
+    active a customer is.  Cohort size = customers active in period 0.
     """
-    per_customer = (tx.filter(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull())
-                    .groupBy("customer_id")
-                    .agg(F.collect_set(_period_index(F.col("order_date"), period)).alias("p")))
-    active = per_customer.select(F.array_min("p").alias("cohort"), F.explode("p").alias("idx"))
-    step = 1 if period == "monthly" else 7   # weekly indexes are Monday day numbers
-    counts = (active.select("cohort", ((F.col("idx") - F.col("cohort")) / step).cast("int").alias("n"))
-              .filter(F.col("n") <= horizon)
-              .groupBy("cohort", "n").agg(F.count(F.lit(1)).alias("customers_retained")))
+    if not 0 <= horizon <= _MOST_HORIZON:
+        raise ValueError(f"horizon must lie between 0 and {_MOST_HORIZON}")
+    idx = _period_index(F.col("order_date"), period)
+    one = F.lit(1).cast("bigint")
+    rows = (tx.filter(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull())
+            .select("customer_id", idx.alias("i"))
+            .select("customer_id", F.shiftright("i", 5).alias("w"), F.call_function("shiftleft", one, F.col("i").bitwiseAND(_WORD - 1)).alias("b"))
+            .select("customer_id", F.explode(F.array(
+                F.struct("w", "b"), F.struct((F.col("w") - 1).alias("w"), F.shiftleft("b", _WORD).alias("b")))).alias("e"))
+            .select("customer_id", "e.w", "e.b"))
+    words = rows.groupBy("customer_id", "w").agg(F.bit_or("b").alias("b"))
+    low = F.col("b").bitwiseAND(F.lit((1 << _WORD) - 1))
+    # the lowest set bit: as many ones lie below it as its number
+    lowest = F.bit_count((low.bitwiseAND(-low)) - 1)
+    after = F.call_function("shiftrightunsigned", F.col("b"), F.col("t").cast("int")).bitwiseAND(F.lit((1 << (horizon + 1)) - 1))
+    packed = (((F.col("w") + _WORD_SHIFT).cast("bigint") * _WORD + F.col("t")) * (1 << (horizon + 1))) + F.col("a")
+    firsts = (words.filter(low != 0).withColumn("t", lowest.cast("bigint")).withColumn("a", after)
+              .groupBy("customer_id").agg(F.min(packed).alias("p")))
+    start = F.shiftright("p", horizon + 1)
+    active = (firsts.select((start - F.lit(_WORD_SHIFT * _WORD)).alias("cohort"), F.col("p").bitwiseAND(F.lit((1 << (horizon + 1)) - 1)).alias("a"))
+              .groupBy("cohort", "a").agg(F.count(F.lit(1)).alias("c")))
+    counts = (active.select("cohort", "c", "a", F.explode(F.sequence(F.lit(0), F.lit(horizon))).alias("n"))
+              .filter(F.call_function("getbit", F.col("a"), F.col("n")) == 1)
+              .groupBy("cohort", "n").agg(F.sum("c").alias("customers_retained")))
     size = F.max(F.when(F.col("n") == 0, F.col("customers_retained"))).over(
         Window.partitionBy("cohort"))
     names = ("cohort_month", "month_number") if period == "monthly" else ("cohort_week", "week_number")
@@ -128,13 +153,14 @@ def cohort_retention(tx: DataFrame, period: str = "monthly", horizon: int = 12,
 
 # ---------------------------------------------------------------- Q3 RFM
 def rfm(tx: DataFrame, as_of, months: int = 12, orientation: str = "as_written",
-        ordered: bool = True, ntile=global_ntile) -> DataFrame:
+        ordered: bool = True, ntile=None) -> DataFrame:
     """RFM scores (three global NTILE(5)) and the seven ordered categories.
 
     ``orientation='as_written'`` sorts recency ASC, frequency and monetary DESC
     (best customers score 1); ``'conventional'`` reverses the three sorts.
-    Ties are broken by ``customer_id``.  Each score is numbered by a job of its own,
-    run when the function is called; ``ntile`` may be another implementation.
+    Ties are broken by ``customer_id``.  The customers that begin the tiles of all three scores are
+    looked up when the function is called (``operators.cutpoints``); ``ntile`` may be another
+    implementation, one score at a time.
     """
     base = (D.trailing(tx, as_of, months=months).groupBy("customer_id")
             .agg(F.datediff(D.lit_date(as_of), F.max("order_date")).cast("bigint").alias("recency_days"),
@@ -148,9 +174,14 @@ def rfm(tx: DataFrame, as_of, months: int = 12, orientation: str = "as_written",
         first = F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last()
         return [first, F.col("customer_id").asc_nulls_first()]
 
-    scored = ntile(base, 5, key("recency_days", not conventional), "recency_score")
-    scored = ntile(scored, 5, key("frequency", conventional), "frequency_score")
-    scored = ntile(scored, 5, key("monetary", conventional), "monetary_score")
+    if ntile is None:
+        scored = ntiles(base, "customer_id", {"recency_score": Measure("recency_days", not conventional),
+                                              "frequency_score": Measure("frequency", conventional),
+                                              "monetary_score": Measure("monetary", conventional)}, 5)
+    else:
+        scored = ntile(base, 5, key("recency_days", not conventional), "recency_score")
+        scored = ntile(scored, 5, key("frequency", conventional), "frequency_score")
+        scored = ntile(scored, 5, key("monetary", conventional), "monetary_score")
     r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")
     champions, loyal, potential, at_risk, cannot_lose, new, others = RFM_CATEGORIES
     category = (F.when((r >= 4) & (f >= 4) & (m >= 4), champions)

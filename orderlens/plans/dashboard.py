@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.rounding import exact_mean, round_half_even
+from ..operators.percentile import percentiles
 from .api import daily_summary, filter_orders
 
 # pandas' day names, Monday first (the heatmap row order), and the
@@ -83,6 +84,33 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
             .drop("_sum"))
 
 
+def box_stats_wide(df: DataFrame, group: str, value: str) -> DataFrame:
+    """The same numbers for values of a wide range (money): quartiles by radix selection, so no buffer grows
+    with the distinct values; whiskers and sums in one more aggregate."""
+    q = percentiles(df, group, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    iqr = F.col("q3") - F.col("q1")
+    fences = q.select(F.col(group).alias("_bg"), (F.col("q1") - 1.5 * iqr).alias("_lo"), (F.col("q3") + 1.5 * iqr).alias("_hi"))
+    v = F.col(value).cast("double")
+    rows = df.filter(F.col(value).isNotNull()).join(fences, F.col(group) == F.col("_bg"))      # one row per group
+    ends = rows.groupBy("_bg").agg(
+        F.min(v).alias("min"), F.max(v).alias("max"), F.sum(value).alias("_sum"),
+        F.min(F.when(v >= F.col("_lo"), v)).alias("whisker_low"), F.max(F.when(v <= F.col("_hi"), v)).alias("whisker_high"))
+    everything = Window.partitionBy()      # one row per group: bounded
+    return (q.join(ends, F.col(group) == F.col("_bg")).drop("_bg")
+            .withColumn("mean", F.col("_sum").cast("double") / F.col("count"))
+            .withColumn("overall_mean", F.sum("_sum").over(everything).cast("double") / F.sum("count").over(everything))
+            .drop("_sum"))
+
+
+def spend_box_stats(tx: DataFrame, as_of) -> DataFrame:
+    """Box-plot numbers of customers' total spend per value band (the fixed grouping of the segment rules)."""
+    from .customers import clv
+    from .features import segmentation_features
+    bands = clv(tx, as_of, ordered=False).select("customer_id", "customer_segment")
+    spend = segmentation_features(tx).select("customer_id", F.col("total_spent").cast("decimal(18,2)").alias("total_spent"))
+    return box_stats_wide(spend.join(bands, "customer_id"), "customer_segment", "total_spent")
+
+
 def delivery_box_stats(df: DataFrame) -> DataFrame:
     return box_stats(df, "city", "delivery_time")
 

@@ -1,5 +1,5 @@
-"""Models on MLlib: customer segmentation (KMeans), delivery time (random forest),
-churn (gradient-boosted trees).  Training, evaluation and scoring are Spark jobs
+"""Models: customer segmentation (MLlib's KMeans), delivery time (random forest, ``operators.forest``),
+churn (MLlib's gradient-boosted trees).  Training, evaluation and scoring are Spark jobs
 over DataFrames; only metrics, parameters and label lists reach the driver.
 
 Trained models are folders (``save_model`` / ``load_model``): encoders, fitted
@@ -11,6 +11,7 @@ version.  Scoring reads only that folder.  Training functions, ``choose_k`` and
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -23,14 +24,15 @@ from pyspark.ml.evaluation import (BinaryClassificationEvaluator, ClusteringEval
                                    RegressionEvaluator)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.rounding import mean_as_double, round_half_up
+from ..operators import forest
+from ..operators.forest import Forest, write_forest
 from ..operators.split import hash_split, stratified_split
 from ..session import scratch_dir
+from ..sources.files import path_exists
 from . import features as FE
 
 MODEL_VERSION = "1.0"
@@ -203,6 +205,11 @@ def segment_rules(tx: DataFrame, as_of) -> DataFrame:
     return profiles(feats.join(bands, "customer_id"), "customer_segment")
 
 
+def characteristic_sizes(profiled: DataFrame) -> DataFrame:
+    """Customers per characteristic: groups that the rules name alike are one."""
+    return profiled.groupBy("characteristics").agg(F.sum("size").alias("customers"), F.count(F.lit(1)).alias("segments"))
+
+
 def model_round_trip(tx: DataFrame, path: str, k: int | None = None, seed: int = 42,
                      n_init: int = N_INIT, model: PipelineModel | None = None) -> DataFrame:
     """Save the fitted pipeline, load it back and score with both (must agree)."""
@@ -223,26 +230,32 @@ DELIVERY_CATEGORICAL = ["city", "cuisine_type", "order_complexity", "weather_con
 DELIVERY_INPUTS = [*FE.DELIVERY_FEATURES, *FE.OPTIONAL_DELIVERY_FEATURES]
 DELIVERY_NUMERIC = [c for c in DELIVERY_INPUTS if not c.endswith("_encoded")]
 
-# max_depth None -> 30 (MLlib's limit); min_samples_split has no MLlib twin.
-REFERENCE_GRID = {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2, 4]}
+# The grid that is searched (None: no limit of depth) and the number of folds.
+REFERENCE_GRID = {"trees": [100, 200], "depths": [10, 20, None], "splits": [2, 5, 10], "leaves": [1, 2, 4]}
 FOLDS = 5
 
 
 @dataclass
 class TrainedModel:
-    """What scoring needs: encoders, fitted pipeline, statistics frames, and a record of facts."""
+    """What scoring needs: encoders, fitted pipeline or forest, statistics frames, and a record of facts."""
     encoders: PipelineModel
-    pipeline: PipelineModel
+    pipeline: PipelineModel | Forest
     stats: tuple[DataFrame, ...]
     facts: dict
 
 
 def save_model(spark: SparkSession, model: TrainedModel, path: str) -> None:
     model.encoders.write().overwrite().save(f"{path}/encoders")
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    facts = dict(model.facts)
+    if isinstance(model.pipeline, Forest):
+        if model.pipeline.folder != f"{path}/forest":
+            write_forest(spark.read.parquet(model.pipeline.folder), f"{path}/forest")
+        facts["forest"] = model.pipeline._asdict() | {"folder": None}
+    else:
+        model.pipeline.write().overwrite().save(f"{path}/pipeline")
     for i, frame in enumerate(model.stats):
         frame.write.mode("overwrite").parquet(f"{path}/stats_{i}")
-    facts = {**model.facts, "stats": len(model.stats)}
+    facts["stats"] = len(model.stats)
     spark.createDataFrame([(json.dumps(facts, sort_keys=True),)], "facts string").coalesce(1) \
         .write.mode("overwrite").text(f"{path}/facts")
 
@@ -250,7 +263,11 @@ def save_model(spark: SparkSession, model: TrainedModel, path: str) -> None:
 def load_model(spark: SparkSession, path: str) -> TrainedModel:
     facts = json.loads(spark.read.text(f"{path}/facts").first()[0])
     stats = tuple(spark.read.parquet(f"{path}/stats_{i}") for i in range(facts["stats"]))
-    return TrainedModel(PipelineModel.load(f"{path}/encoders"), PipelineModel.load(f"{path}/pipeline"), stats, facts)
+    if "forest" in facts:
+        predictor = Forest(**facts["forest"] | {"folder": f"{path}/forest"})
+    else:
+        predictor = PipelineModel.load(f"{path}/pipeline")
+    return TrainedModel(PipelineModel.load(f"{path}/encoders"), predictor, stats, facts)
 
 
 def model_metrics(spark: SparkSession, model: TrainedModel) -> DataFrame:
@@ -266,11 +283,13 @@ def _delivery_rows(tx: DataFrame, stats, encoders: PipelineModel) -> DataFrame:
 
 
 def train_delivery_model(tx: DataFrame, grid: dict | None = None, folds: int = FOLDS, seed: int = 42,
-                         parallelism: int = 4, path: str | None = None) -> TrainedModel:
+                         path: str | None = None, local_rows: int = forest.LOCAL_ROWS) -> TrainedModel:
     """Grid-searched random forest for delivery minutes, saved to ``path`` and loaded from there.
 
-    Restaurant/city statistics and encoders are fitted on the training split only.  Encoding,
-    assembling and scaling happen once, before the grid; every split looks at all features.
+    Restaurant/city statistics and encoders are fitted on the training split only.  All folds, leaf sizes and
+    trees grow together (``operators.forest``), and every point of the grid is read off them; every split looks
+    at all features.  Trees compare an input with cuts of its own values, so inputs are not scaled.
+    ``path/grid`` holds a row per grid point.
     """
     spark = tx.sparkSession
     grid = grid or REFERENCE_GRID
@@ -285,43 +304,45 @@ def train_delivery_model(tx: DataFrame, grid: dict | None = None, folds: int = F
     encoders = FE.fit_label_encoders(FE.delivery_features(train_tx, tuple(stats), optional=True), DELIVERY_CATEGORICAL)
 
     def rows(t: DataFrame) -> DataFrame:
-        return _delivery_rows(t, tuple(stats), encoders).withColumn("label", F.col("delivery_time").cast("double"))
-
-    raw = _stable(rows(train_tx), "order_id")
-    prepare = Pipeline(stages=[
-        VectorAssembler(inputCols=DELIVERY_INPUTS, outputCol="raw", handleInvalid="keep"),
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)]).fit(raw)
-    train = prepare.transform(raw).select("order_id", "features", "label").persist(StorageLevel.MEMORY_AND_DISK)
-    test = prepare.transform(rows(test_tx)).select("order_id", "features", "label")
-    rf = RandomForestRegressor(featuresCol="features", labelCol="label", seed=seed, featureSubsetStrategy="all")
-    params = (ParamGridBuilder().addGrid(rf.numTrees, grid["numTrees"]).addGrid(rf.maxDepth, grid["maxDepth"])
-              .addGrid(rf.minInstancesPerNode, grid["minInstancesPerNode"]).build())
+        return _delivery_rows(t, tuple(stats), encoders).select(
+            "order_id", F.col("delivery_time").cast("double").alias("label"), *DELIVERY_INPUTS)
+
+    rows(train_tx).write.mode("overwrite").parquet(f"{path}/training_rows")
+    train, test = spark.read.parquet(f"{path}/training_rows"), rows(test_tx)
+    cuts = forest.fit(train, "order_id", "label", DELIVERY_INPUTS, grid, folds, seed, f"{path}/search", local_rows)
+    forest.scores(spark, f"{path}/search", grid, folds).coalesce(1).write.mode("overwrite").parquet(f"{path}/grid")
+    points = spark.read.parquet(f"{path}/grid").orderBy("cv_mae_mean", "point")      # one row per grid point
+    best = points.first()
+    forest.keep_forest(spark, f"{path}/search", f"{path}/forest", best.min_leaf, best.trees, folds)
+    predictor = Forest(f"{path}/forest", DELIVERY_INPUTS, cuts, best.trees, best.depth, best.min_split)
     mae = RegressionEvaluator(labelCol="label", metricName="mae")
     rmse = RegressionEvaluator(labelCol="label", metricName="rmse")
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=params, evaluator=mae, numFolds=folds, seed=seed,
-                        parallelism=parallelism)
-    try:
-        cvm = cv.fit(train)
-        forest = cvm.bestModel
-        i = min(range(len(cvm.avgMetrics)), key=lambda j: cvm.avgMetrics[j])
-        p_train, p_test = forest.transform(train), forest.transform(test)
-        metrics = {
-            "train_mae": round(mae.evaluate(p_train), 2), "test_mae": round(mae.evaluate(p_test), 2),
-            "train_rmse": round(rmse.evaluate(p_train), 2), "test_rmse": round(rmse.evaluate(p_test), 2),
-            "cv_mae_mean": round(float(cvm.avgMetrics[i]), 2), "cv_mae_std": round(float(cvm.stdMetrics[i]), 2),
-            "best_params": {p.name: v for p, v in params[i].items()},
-            "feature_importance": dict(zip(DELIVERY_INPUTS, [round(float(x), 6)
-                                                             for x in forest.featureImportances.toArray()])),
-            "grid_points": len(params), "folds": folds, "full_grid": grid == REFERENCE_GRID and folds == FOLDS,
-            "model_version": MODEL_VERSION}
-    finally:
-        train.unpersist()
-    trained = TrainedModel(encoders, PipelineModel(stages=[*prepare.stages, forest]), tuple(stats),
+    p_train, p_test = (predictor.predict(t).select("label", "prediction").persist(StorageLevel.MEMORY_AND_DISK)
+                       for t in (train, test))
+    metrics = {
+        "train_mae": round(mae.evaluate(p_train), 2), "test_mae": round(mae.evaluate(p_test), 2),
+        "train_rmse": round(rmse.evaluate(p_train), 2), "test_rmse": round(rmse.evaluate(p_test), 2),
+        "cv_mae_mean": round(best.cv_mae_mean, 2), "cv_mae_std": round(best.cv_mae_std, 2),
+        "best_params": {"n_estimators": best.trees, "max_depth": best.depth, "min_samples_split": best.min_split,
+                        "min_samples_leaf": best.min_leaf},
+        "feature_importance": dict(zip(DELIVERY_INPUTS, [round(x, 6) for x in predictor.importance(spark)])),
+        "grid_points": math.prod(map(len, grid.values())), "folds": folds,
+        "full_grid": grid == REFERENCE_GRID and folds == FOLDS, "model_version": MODEL_VERSION}
+    p_train.unpersist()
+    p_test.unpersist()
+    trained = TrainedModel(encoders, predictor, tuple(stats),
                            {"kind": "delivery", "inputs": DELIVERY_INPUTS, "version": MODEL_VERSION, "metrics": metrics})
     save_model(spark, trained, path)
     return load_model(spark, path)
 
 
+def delivery_grid(spark: SparkSession, path: str) -> DataFrame:
+    """The grid of a training run, a row per point: mean and deviation of the folds' mean absolute errors."""
+    rows = spark.read.parquet(f"{path}/grid")
+    first = F.row_number().over(Window.orderBy("cv_mae_mean", "point")) == 1       # one row per grid point
+    return rows.withColumn("chosen", first).drop("point")
+
+
 # The fields a delivery-time request must carry (the prediction endpoint's check).
 REQUIRED_FIELDS = ["restaurant_id", "customer_location", "order_value", "cuisine_type", "peak_hour",
                    "weather_condition"]
@@ -339,7 +360,8 @@ def score_delivery(model: TrainedModel, orders: DataFrame, floor_minutes: float
                    confidence: float = 0.95) -> DataFrame:
     """Batch scoring: prediction floored at 10 minutes, the fixed-width interval around it, the rounded
     one-decimal figures of a response, and the model version."""
-    scored = model.pipeline.transform(_delivery_rows(orders, model.stats, model.encoders))
+    rows = _delivery_rows(orders, model.stats, model.encoders).select("order_id", *DELIVERY_INPUTS)
+    scored = model.pipeline.predict(rows)
     pred = F.greatest(F.col("prediction"), F.lit(floor_minutes))
     out = prediction_interval(scored.select("order_id", pred.alias("predicted_delivery_time")),
                               "predicted_delivery_time", confidence, floor_minutes)
@@ -456,13 +478,8 @@ def score_churn(model: TrainedModel, tx: DataFrame) -> DataFrame:
     return scored.select("customer_id", F.round(prob, 3).alias("churn_probability"))
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
 def trained_at(spark: SparkSession, path: str, train) -> TrainedModel:
     """The model saved at ``path``; trained and saved there first if it is not."""
-    if not exists(spark, f"{path}/facts/_SUCCESS"):      # written last
+    if not path_exists(spark, f"{path}/facts/_SUCCESS"):      # written last
         train(path)
     return load_model(spark, path)

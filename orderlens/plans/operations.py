@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions.rounding import (as_dec, exact_mean, exact_ratio, mean_as_double, percent,
                                   percent_change, round_half_up)
+from ..operators.rank import ascending, descending, ranks_within
 
 
 # The labels and thresholds the analyses must output, in rule order.
@@ -124,7 +125,8 @@ def restaurant_performance(tx: DataFrame, as_of, months: int = 3, ordered: bool
                            approximate: bool = False) -> DataFrame:
     """Restaurant x cuisine x city metrics with three RANKs inside the city.
 
-    Ranks are taken over restaurant aggregates (far fewer rows than orders);
+    Ranks are taken over restaurant aggregates (far fewer rows than orders), spread over buckets of the
+    measure (``operators.rank``), so a city with nearly all restaurants is no hot task;
     the mean delivery time ranks ascending with missing means first.
     """
     w = D.trailing(tx, as_of, months=months)
@@ -135,12 +137,9 @@ def restaurant_performance(tx: DataFrame, as_of, months: int = 3, ordered: bool
         F.sum("order_value").alias("_rev"),
         exact_mean("order_value").alias("_aov"),
         _distinct("customer_id", approximate).alias("unique_customers"))
-    city = Window.partitionBy("city")
-    ranked = m.select(
-        "*",
-        F.rank().over(city.orderBy(F.col("_rev").desc_nulls_last())).cast("bigint").alias("revenue_rank"),
-        F.rank().over(city.orderBy(F.col("total_orders").desc_nulls_last())).cast("bigint").alias("order_rank"),
-        F.rank().over(city.orderBy(F.col("_dt").asc_nulls_first())).cast("bigint").alias("delivery_rank"))
+    ranked = ranks_within(m, ["restaurant_id", "cuisine_type", "city"], "city", {
+        "revenue_rank": descending(F.col("_rev")), "order_rank": descending(F.col("total_orders")),
+        "delivery_rank": ascending(F.col("_dt"))})
     rev, dlv = F.col("revenue_rank"), F.col("delivery_rank")
     top, high_revenue, fast, high_volume, standard = RESTAURANT_CATEGORIES
     category = (F.when((rev <= 5) & (dlv <= 10), top).when(rev <= 10, high_revenue)

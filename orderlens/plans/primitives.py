@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions.rounding import exact_mean, percent, round_half_even, round_half_up
 from ..operators.band_join import item_pairs_per_key
+from ..operators.cutpoints import Measure, ntiles
 from ..operators.gaps import previous_event
-from ..operators.ntile import global_ntile
+from ..operators.rank import descending, ranks_within
 from ..sources import files
 from .customers import cuisine_preferences
 
@@ -108,16 +109,22 @@ def latest_order_attrs(tx: DataFrame) -> DataFrame:
 
 
 def ntile_scores(tx: DataFrame, n: int = 5) -> DataFrame:
-    """Spend quintile of every customer (global NTILE, computed in parallel)."""
+    """Spend quintile of every customer (global NTILE by exact cut points)."""
     spend = tx.groupBy("customer_id").agg(F.sum("order_value").alias("total_spent"))
-    return global_ntile(spend, n, [F.col("total_spent").desc_nulls_last(),
-                                   F.col("customer_id").asc_nulls_first()], "spend_quintile")
+    return ntiles(spend, "customer_id", {"spend_quintile": Measure("total_spent", ascending=False)}, n)
 
 
 def rank_in_city(tx: DataFrame) -> DataFrame:
+    """Rank of each restaurant's revenue in its city (ties share a rank), spread over value buckets."""
     g = tx.groupBy("city", "restaurant_id").agg(F.sum("order_value").alias("revenue"))
-    w = Window.partitionBy("city").orderBy(F.col("revenue").desc_nulls_last())
-    return g.withColumn("revenue_rank", F.rank().over(w).cast("bigint"))
+    return ranks_within(g, ["city", "restaurant_id"], "city", {"revenue_rank": descending(F.col("revenue"))})
+
+
+def value_counts(values: DataFrame, column: str) -> DataFrame:
+    """Rows per value with their share, most frequent first (NULLs do not count)."""
+    g = values.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    total = F.sum("count").over(Window.partitionBy())           # one row per value of a category
+    return g.withColumn("pct", percent(F.col("count"), total)).orderBy(F.col("count").desc(), column)
 
 
 def top_preference(tx: DataFrame, as_of, months: int = 6) -> DataFrame:

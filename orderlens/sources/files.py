@@ -22,15 +22,36 @@ def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = TRANSACTIONS) -> DataFrame:
-    """CSV with an explicit schema; malformed lines land in ``_corrupt_record``, not errors."""
-    with_corrupt = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in schema.fields),
-                                 T.StructField(CORRUPT, T.StringType(), True)])
-    # all columns are parsed whatever is read, or a bad value in an unread column would pass unseen
-    return (spark.read.schema(with_corrupt).option("header", True).option("mode", "PERMISSIVE")
-            .option("columnPruning", False)
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
-            .csv(path))
+    """CSV with an explicit schema; the text of malformed lines lands in ``_corrupt_record``, not errors.
+
+    Every column is read as text and cast here, so whether a row is flagged depends on named columns and
+    not on which of them a query goes on to read; the parser itself only counts the fields of a line.
+    """
+    texts = T.StructType([*(T.StructField(f.name, T.StringType(), True) for f in schema.fields),
+                          T.StructField(CORRUPT, T.StringType(), True)])
+    raw = (spark.read.schema(texts).option("header", True).option("mode", "PERMISSIVE")
+           .option("columnPruning", False)           # else a line is only parsed as far as it is read
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    bad = F.col(CORRUPT).isNotNull()
+    for f in schema.fields:
+        bad = bad | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+    line = F.when(bad, F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*[f.name for f in schema.fields]))))
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields], line.alias(CORRUPT))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str | None = None, buckets: int = 64, key: str = "customer_id",
+                   sort: tuple[str, ...] = ("order_date",)) -> None:
+    """Parquet table of the session's catalog, bucketed by ``key`` and sorted inside: aggregates and windows by
+    ``key`` read it without an exchange.  Rows are dealt by the same hash first, so each bucket is one file.
+
+    A bucket holds whole keys, so one very frequent key makes one large file (and later one long task); the
+    month-partitioned layout of ``write_table`` has no such file and suits analyses over recent windows.
+    """
+    w = (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+         .bucketBy(buckets, key).sortBy(key, *sort))
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = "order_month") -> None:
@@ -65,6 +86,11 @@ def read_jdbc(spark: SparkSession, **kwargs) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**kwargs)).load()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def json_records(df: DataFrame) -> DataFrame:
     """Each row as one JSON object (the reference's ``to_dict('records')``)."""
     return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("record"))

@@ -32,14 +32,14 @@ def test_choose_k_flags_one(spark):
     assert [r["k"] for r in ks] == [2, 3, 4] and sum(r["chosen"] for r in ks) == 1
 
 
-SMALL_GRID = {"numTrees": [10], "maxDepth": [4, 6], "minInstancesPerNode": [1]}
+SMALL_GRID = {"trees": [10], "depths": [4, 6], "splits": [2], "leaves": [1]}
 
 
 def test_full_search_is_the_default():
     import inspect
     p = inspect.signature(M.train_delivery_model).parameters
     assert p["grid"].default is None and p["folds"].default == 5
-    assert [len(v) for v in M.REFERENCE_GRID.values()] == [2, 3, 3]
+    assert [len(v) for v in M.REFERENCE_GRID.values()] == [2, 3, 3, 3]
     p = inspect.signature(M.choose_k).parameters
     assert (p["max_k"].default, p["n_init"].default, M.MAX_ITER) == (10, 10, 300)
     assert inspect.signature(M.customer_segments).parameters["k"].default is None
@@ -52,6 +52,8 @@ def test_delivery_model_trains_saves_and_scores(spark):
     m = M.model_metrics(spark, model).first()
     assert 0 <= m["test_mae"] <= 50 and m["cv_mae_mean"] > 0 and (m["grid_points"], m["folds"]) == (2, 2)
     assert not m["full_grid"]
+    grid = M.delivery_grid(spark, path).collect()
+    assert sorted(r.depth for r in grid) == [4, 6] and [r.cv_mae_mean for r in grid if r.chosen] == [min(r.cv_mae_mean for r in grid)]
     scored = M.score_delivery(model, tx)
     assert scored.filter(F.col("predicted_delivery_time") < 10).count() == 0
     assert scored.filter(F.col("lower_bound") < 10).count() == 0
