@@ -4,10 +4,7 @@ names, table readers and the folder for tables that cut lineage."""
 from __future__ import annotations
 
 import ctypes
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -16,32 +13,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.session import scratch_dir
+from orderlens.session import scratch_dir, ship
 
 # Text bytes handled at once inside a task; bounds numpy temporaries whatever the batch size.
 BLOCK_BYTES = 1 << 21
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the package to the Python workers (once per application), wherever they start."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="orderlens-"), "orderlens.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, files in os.walk(package):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(folder, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
-    sc.addPyFile(path)                    # Spark's own file server carries it to the executors
-    _shipped.add(sc.applicationId)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

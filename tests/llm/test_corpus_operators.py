@@ -727,7 +727,7 @@ def test_toxicity_learns_a_word_with_two_toxic_rows_per_shard(spark):
             words[4] = "commoncue"
         rows.append((r.doc_id, " ".join(words), int(toxic)))
     d = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").cache()
-    w = toxicity.fit(d, d.select("doc_id", "toxic"))
+    w = toxicity.fit(d, d.select("doc_id", "toxic"), l1_grid=(4.0,))      # the bound that the case is about
     got = rows_of(toxicity.score(d, w))
     assert sum(got[i].predicted for i in asked) >= 9
     clean = [r.doc_id for r, (_, _, toxic) in zip(ids, rows) if r.held and not toxic]
