@@ -223,3 +223,27 @@ def report(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
 
     return (joined.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(gone).alias("gone"))
             .mapInArrow(run, f"doc_id {kind}, n_lines bigint, n_deleted bigint, deleted_lines string, text string"))
+
+
+ORACLE_SQL = """
+WITH a AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+x AS (
+  SELECT doc_id, unnest(range(len(ls))) AS i, unnest(ls) AS line FROM a WHERE text IS NOT NULL),
+p AS (
+  SELECT doc_id, i, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS wc,
+         row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j
+  FROM x WHERE NOT regexp_full_match(line, '[\\x20\\x09-\\x0D]*')),
+pairs AS (
+  SELECT l.doc_id, l.i, l.j, l.wc, e.doc_id AS other, l.j - e.j AS lag,
+         l.j - row_number() OVER (PARTITION BY l.doc_id, e.doc_id, l.j - e.j ORDER BY l.j) AS island
+  FROM p l JOIN p e ON l.line = e.line AND (e.doc_id < l.doc_id OR e.doc_id = l.doc_id AND e.j < l.j)),
+gone AS (
+  SELECT DISTINCT doc_id, i FROM (
+    SELECT doc_id, i, SUM(wc) OVER (PARTITION BY doc_id, other, lag, island) AS words FROM pairs) WHERE words >= 50),
+g AS (SELECT doc_id, list(i ORDER BY i) AS gone FROM gone GROUP BY doc_id)
+SELECT a.doc_id, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_deleted,
+       coalesce(array_to_string(gone, ','), '') AS deleted_lines,
+       CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_filter(ls, lambda l, k: NOT list_contains(gone, k - 1)), chr(10)) END AS text
+FROM a LEFT JOIN g ON g.doc_id = a.doc_id
+"""

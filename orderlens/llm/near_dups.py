@@ -317,3 +317,22 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", te
         blank = F.coalesce(F.btrim(F.col(text_col), F.lit(" \t\n\x0b\x0c\r")), F.lit("")) == ""
         left = left.filter(blank).unionByName(left.filter(~blank).dropDuplicates([id_col, own]))
     return left.drop(own)
+
+
+ORACLE_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+c AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) AS nu, any_value(b.n) AS nv, COUNT(*) AS common
+  FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT u, v FROM c WHERE 100 * common >= 85 * (nu + nv - common)),
+b AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+r AS (SELECT doc_id AS d, doc_id AS m FROM documents UNION SELECT b.v, r.m FROM r JOIN b ON b.u = r.d)
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, g.m AS component_id, s.doc_id = g.m AS kept
+FROM s JOIN (SELECT d, MIN(m) AS m FROM r GROUP BY d) g ON g.d = s.doc_id
+"""

@@ -106,5 +106,6 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op7_language_id, op8_line_dedup, op9_toxicity, op10_quality_rules, op11_html_extract,
     op12_periodic_runs, op13_hard_negatives)}
 
-ORACLES: dict[str, str] = {"op2_decontaminate": decontaminate.ORACLE_SQL,
+ORACLES: dict[str, str] = {"op2_decontaminate": decontaminate.ORACLE_SQL, "op5_near_dups": near_dups.ORACLE_SQL,
+                           "op8_line_dedup": line_dedup.ORACLE_SQL,
                            "op13_hard_negatives": hard_negatives.ORACLE_SQL}

@@ -348,6 +348,16 @@ def test_near_dups_against_all_pairs(spark, sf):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
+@pytest.mark.parametrize("name", ["op5_near_dups", "op8_line_dedup"])
+def test_oracles_of_groups_and_lines(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    df = queries.QUERIES[name](spark, SF_SMALL)
+    rel = con.sql(queries.ORACLES[name])
+    assert sorted(df.columns) == sorted(rel.columns)
+    assert sorted(map(str, map(tuple, df.select(*rel.columns).collect()))) == sorted(map(str, rel.fetchall()))
+
+
 def test_near_dups_chain_of_groups(spark):
     """Two stars joined only through members that are not leaders."""
     import random
