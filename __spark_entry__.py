@@ -311,6 +311,13 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     segmented("segment_summary", lambda model, tx: A.segment_summary(tx, city="ASIA", model=model),
               city="ASIA")
     segmented("segment_totals", M.segment_totals)
+    # what holds whatever the models are: every customer once, shares in range, one choice
+    segmented("segment_summary_totals", lambda model, tx: A.segment_summary(tx, city="ASIA", model=model).agg(
+        F.sum("size").alias("customers"), F.max("total_customers").alias("total_customers"),
+        F.count(F.lit(1)).between(2, M.MAX_K).alias("segments_in_range")), city="ASIA")
+    q["choose_k_totals"] = lambda spark, sf_dir: choose_k(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("ks"), F.count_if("chosen").alias("chosen"),
+        (F.max(F.when(F.col("chosen"), F.col("silhouette"))) == F.max("silhouette")).alias("best_chosen"))
     reg("segment_rules", _CLV_COLS + ["delivery_time"])(lambda tx: M.segment_rules(tx, AS_OF))
     reg("characteristic_sizes", _CLV_COLS + ["delivery_time"])(
         lambda tx: M.characteristic_sizes(M.segment_rules(tx, AS_OF)))
@@ -342,6 +349,9 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return M.delivery_grid(spark, _model_path(spark, sf_dir, "delivery"))
 
     q["delivery_grid"] = delivery_grid
+    q["delivery_grid_totals"] = lambda spark, sf_dir: delivery_grid(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("points"), F.count_if("chosen").alias("chosen"),
+        (F.max(F.when(F.col("chosen"), F.col("cv_mae_mean"))) == F.min("cv_mae_mean")).alias("least_chosen"))
     model_key("delivery_model_metrics", "delivery", lambda model, tx: M.model_metrics(tx.sparkSession, model))
     reg("regression_metrics")(lambda tx: M.regression_metrics(M.rule_prediction(tx)))
     reg("scoring_input_report")(M.required_field_report)
@@ -354,6 +364,8 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     model_key("churn_model_metrics", "churn", lambda model, tx: M.model_metrics(tx.sparkSession, model))
     reg("classification_metrics")(lambda tx: M.classification_counts(M.rule_churn_prediction(tx)))
     model_key("score_churn", "churn", M.score_churn)
+    model_key("churn_score_totals", "churn", lambda model, tx: M.score_churn(model, tx).agg(
+        F.count(F.lit(1)).alias("customers"), F.count_if(F.col("churn_probability").between(0, 1)).alias("in_range")))
     model_key("churn_round_trip", "churn", again(M.score_churn, "customer_id", "churn_probability"))
 
     # ---- streaming (2.14): the streams (rows) and their batch twins (oracle)

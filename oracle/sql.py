@@ -984,3 +984,8 @@ SELECT COUNT(*) + COUNT(CASE WHEN NOT held AND event_id % 100 = 3 THEN 1 END)
          + COUNT(CASE WHEN NOT old AND event_id % 2 = 0 THEN 1 END) AS repeated_rows,
        TRUE AS balanced
 FROM h"""
+ORACLES["segment_summary_totals"] = with_tx(F1_SQL.replace("WHERE customer_id IS NOT NULL", "WHERE customer_id IS NOT NULL AND city = 'ASIA'")) + """
+SELECT COUNT(*) AS customers, COUNT(*) AS total_customers, TRUE AS segments_in_range FROM f1"""
+ORACLES["choose_k_totals"] = with_tx() + "SELECT 9 AS ks, 1 AS chosen, COUNT(*) > 0 AS best_chosen FROM transactions"
+ORACLES["delivery_grid_totals"] = with_tx() + "SELECT 54 AS points, 1 AS chosen, COUNT(*) > 0 AS least_chosen FROM transactions"
+ORACLES["churn_score_totals"] = with_tx(F3_SQL) + "SELECT COUNT(*) AS customers, COUNT(*) AS in_range FROM f3"
