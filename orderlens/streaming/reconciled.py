@@ -96,10 +96,14 @@ def repeats(spark: SparkSession, out: str) -> DataFrame:
 
 def balance(spark: SparkSession, out: str) -> DataFrame:
     """One row: rows read, rows in windows, late rows, repeats, and whether they add up."""
+    nothing = F.lit(0).cast("bigint")
     source = spark.read.parquet(f"{out}/progress").agg(F.sum("source_rows").alias("source_rows"))
-    counted = spark.read.parquet(f"{out}/windows").agg(F.coalesce(F.sum("orders"), F.lit(0)).alias("window_rows"),
-                                                      F.sum("revenue").cast("double").alias("window_revenue"))
+    counted = spark.read.parquet(f"{out}/windows").agg(F.sum("orders").alias("window_rows"), F.sum("revenue").alias("window_revenue"))
     late = late_rows(spark, out).agg(F.count(F.lit(1)).alias("late_rows"))
     again = repeats(spark, out).agg(F.count(F.lit(1)).alias("repeated_rows"))
-    row = source.crossJoin(counted).crossJoin(late).crossJoin(again)          # one row each
+    parts = source
+    for part in (counted, late, again):                  # one row each
+        parts = parts.unionByName(part, allowMissingColumns=True)
+    row = parts.agg(*[F.coalesce(F.sum(c), nothing).alias(c) for c in ("source_rows", "window_rows", "late_rows", "repeated_rows")],
+                    F.sum("window_revenue").cast("double").alias("window_revenue"))
     return row.withColumn("balanced", F.col("source_rows") == F.col("window_rows") + F.col("late_rows") + F.col("repeated_rows"))
