@@ -4,17 +4,17 @@ The corpus is read as sequences of line ids (non-blank lines of a document, in o
 occur once anywhere end a run, so only stretches of repeated lines with ``MIN_WORDS`` words
 enter the suffix array.
 
-* Prefix doubling: ``r0`` is the line id; ``r(k+1)`` is the rank of ``(rk at p, rk at p + 2**k)`` among all
-  such pairs, from one distributed sort of the distinct pairs.  After level k suffixes are sorted
-  by their first ``2**k`` lines, and suffixes of one rank form a longest-common-prefix interval of
-  at least that depth.  Doubling ends when the depth passes the longest prefix that is asked for.
-* A run of enough words is the union of its shortest windows of ``MIN_WORDS`` words: a line whose run holds
-  enough words up to it is in the window that ends there, any other in the window that begins with
-  the run.  So each place has two windows, the shortest that begins and the shortest that ends there,
-  and longer agreements need no deeper ranks.  A window of ``m`` lines from ``p`` is named by two
-  overlapping ranks, at ``p`` and at ``p + m - 2**k``.
-* A window whose name has an earlier place (least document id, then line) is deleted.  All
-  earlier places count, as each window of a run is looked up on its own.
+* Prefix doubling: ``r0`` is the place of a line id in sorted order; ``r(k+1)`` splits a group of equal ``rk`` by the
+  rank ``2**k`` lines on, from one distributed sort of the distinct pairs.  A rank is the place of its group's
+  first suffix, so groups that need no more splitting keep theirs, and only suffixes whose rank is still shared and that have
+  not ended are sorted again, until all suffixes are in order.
+* Suffixes that are equal up to their ends are one from there on.  The longest common prefix of neighbours in
+  the order is added up from the ranks of all levels, the largest power of two first.
+* In each interval of suffixes with a common prefix the earliest stays.  Any other suffix is deleted as far as it agrees with some
+  earlier place: that is the widest of the intervals in which it is not the earliest, found from the nearest smaller
+  place on either side.  The order is read in chunks of ``CHUNK`` suffixes; what a chunk sees of the others is a
+  stair of values, at most as many as the longest run has lines, put together from one summary per chunk.
+* Agreements of ``MIN_WORDS`` words or more are runs; their later copies are deleted.
 
 So a line goes exactly if it lies in a run of at least ``MIN_WORDS`` words that also begins earlier.
 The earliest copy of any line always stays somewhere.
@@ -29,9 +29,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.llm.common import blocks, fresh, id_and_text, materialise
 
@@ -40,14 +43,11 @@ WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
 # Documents with deletions that are broadcast at most, with their line numbers.
 BROADCAST_LINES = 4_000_000
+# Suffixes of a chunk in which nearest smaller places are looked for at once.
+CHUNK = 1 << 18
 _DOC = ["doc_id", "th"]
 
 
-def _key() -> Column:
-    """Order of occurrence."""
-    return F.struct(F.col("doc_id").alias("doc_id"), F.col("th").alias("th"), F.col("j").alias("j"))
-
-
 def line_table(docs: DataFrame) -> DataFrame:
     """``doc_id, th, j, i, h, wc``: non-blank lines with their place ``j`` among them and ``i`` among all."""
     trimmed = lambda x: F.btrim(x, F.lit(WHITE))
@@ -60,8 +60,8 @@ def line_table(docs: DataFrame) -> DataFrame:
 
 
 def _repeated(lines: DataFrame, min_words: int) -> DataFrame:
-    """Lines of stretches of repeated lines with enough words: ``..., seg, m``, ``back``: lines of the
-    shortest windows with enough words that begin and that end there (null: none)."""
+    """Lines of stretches of repeated lines with enough words: ``doc_id, th, seg, j, i, h, left, m``: lines
+    left in the stretch, and the fewest lines with enough words that begin here (null: too few words left)."""
     # written first, so that the join is between plain tables and a hot line can be split
     again = materialise(lines.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h"), "line_ids")
     inside = lines.join(again, "h")
@@ -71,94 +71,214 @@ def _repeated(lines: DataFrame, min_words: int) -> DataFrame:
             .withColumn("seg_words", F.sum("wc").over(seg)).filter(F.col("seg_words") >= min_words)
             .withColumn("c0", F.sum("wc").over(seg.orderBy("j")) - F.col("wc")))
     reach = seg.orderBy("c0").rangeBetween(min_words, Window.unboundedFollowing)
-    behind = seg.orderBy("c1").rangeBetween(Window.unboundedPreceding, -min_words)
     last = F.max("j").over(seg) + 1
-    return (rows.withColumn("c1", F.col("c0") + F.col("wc"))
+    return (rows.withColumn("left", last - F.col("j"))
             .withColumn("stop", F.coalesce(
                 F.min("j").over(reach), F.when(F.col("seg_words") - F.col("c0") >= min_words, last)))
-            .withColumn("start", F.coalesce(
-                F.max("j").over(behind) + 1, F.when(F.col("c1") >= min_words, F.min("j").over(seg))))
-            .withColumn("m", (F.col("stop") - F.col("j")).cast("int"))
-            .withColumn("back", (F.col("j") + 1 - F.col("start")).cast("int"))
-            .select(*_DOC, "seg", "j", "i", "h", "m", "back"))
-
-
-def _ranks(pairs: DataFrame) -> DataFrame:
-    """``a, b, rank`` for distinct pairs: their places in sorted order, numbered by partition."""
-    rows = materialise(pairs.orderBy("a", F.col("b").asc_nulls_first())
-                       .withColumn("at", F.monotonically_increasing_id()), "line_ranks")
-    part = F.shiftright("at", 33)
+            .select(*_DOC, "seg", "j", "i", "h", F.col("left").cast("int").alias("left"),
+                    (F.col("stop") - F.col("j")).cast("int").alias("m")))
+
+
+def _placed(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``rows`` with ``place``: the sum of ``n`` over all rows before, in the order of ``keys`` (distinct)."""
+    kept = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = TaskContext.get().partitionId(), 0
+        for b in batches:
+            n = b.column("n").to_numpy(zero_copy_only=False)
+            upto = total + np.cumsum(n, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(upto - n, pa.int64()), pa.array(np.full(len(n), part), pa.int64())],
+                names=[*kept, "before", "part"])
+            total = int(upto[-1]) if len(n) else total
+
+    types = T.StructType([*rows.schema.fields, T.StructField("before", T.LongType()), T.StructField("part", T.LongType())])
+    done = materialise(rows.orderBy(*keys).mapInArrow(run, types), name)
     # one row per partition
-    before = (rows.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-              .select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base")))
-    return (rows.join(F.broadcast(before), part == F.col("part"))
-            .select("a", "b", (F.col("base") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("rank")))
-
-
-def suffix_ranks(rows: DataFrame, depth: int) -> tuple[DataFrame, int]:
-    """``rows`` with ``r0 .. rK``, ranks by the first ``2**k`` lines; ``2**K`` is at most ``depth``."""
-    rows = rows.withColumn("r0", F.col("h"))
-    order = Window.partitionBy(*_DOC, "seg").orderBy("j")
-    k = 0
-    while 2 << k <= depth:
-        rows = materialise(rows.withColumn("b", F.lead(f"r{k}", 1 << k).over(order)), "line_suffixes")
-        ranks = _ranks(rows.select(F.col(f"r{k}").alias("a"), "b").distinct())
-        rows = (rows.join(ranks.withColumnRenamed("b", "rb"),
-                          (F.col(f"r{k}") == F.col("a")) & F.col("b").eqNullSafe(F.col("rb")))
-                .withColumn(f"r{k + 1}", F.col("rank")).drop("a", "b", "rb", "rank"))
+    bases = done.groupBy("part").agg(F.sum("n").alias("total"))
+    bases = bases.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
+    return done.join(F.broadcast(bases), "part").select(*kept, (F.col("base") + F.col("before")).alias("place"))
+
+
+def suffix_ranks(rows: DataFrame) -> tuple[DataFrame, int]:
+    """``pos, left, m, r0 .. rK`` for ``rows (pos, left, m, h)``; ``rK`` orders whole suffixes."""
+    heads = _placed(rows.groupBy("h").agg(F.count("*").alias("n")), ["h"], "line_ranks")
+    table = materialise(rows.join(heads, "h").select("pos", "left", "m", F.col("place").alias("r0"), "n"), "line_suffixes")
+    active, table, k = table.filter("n > 1").select("pos", "left", F.col("r0").alias("r")), table.drop("n"), 0
+    while not active.isEmpty():
+        after = table.select(F.col("pos").alias("to"), F.col(f"r{k}").alias("b"))
+        # a suffix that ends here sorts first; its key meets nothing
+        to = F.when(F.col("left") > (1 << k), F.col("pos") + (1 << k)).otherwise(-F.col("pos") - 1)
+        paired = materialise(active.withColumn("to", to).join(after, "to", "left")
+                             .select("pos", "left", F.col("r").alias("a"), F.coalesce("b", F.lit(-1)).alias("b")), "line_pairs")
+        pairs = _placed(paired.groupBy("a", "b").agg(F.count("*").alias("n")), ["a", "b"], "line_ranks")
+        first = pairs.groupBy("a").agg(F.min("place").alias("p0"))
+        named = pairs.join(first, "a").select("a", "b", "n", (F.col("a") + F.col("place") - F.col("p0")).alias("r"))
+        moved = materialise(paired.join(named, ["a", "b"]).select("pos", "left", "r", "n"), "line_moved")
         k += 1
-    return materialise(rows, "line_suffixes"), k
+        table = materialise(table.join(moved.select("pos", "r"), "pos", "left")
+                            .withColumn(f"r{k}", F.coalesce("r", f"r{k - 1}")).drop("r"), "line_suffixes")
+        active = moved.filter((F.col("n") > 1) & (F.col("left") >= (1 << k))).select("pos", "left", "r")
+    return table, k
 
 
-def _at_level(names: list[str], m: Column) -> Column:
-    """The rank of the largest level that fits into ``m`` lines."""
-    out = F.col(names[0])
-    for k, name in enumerate(names[1:], 1):
-        out = F.when(m >= (1 << k), F.col(name)).otherwise(out)
+def _prefixes(near: DataFrame, table: DataFrame, levels: int) -> DataFrame:
+    """``near (seq, p, q, m, lp, lq)`` with ``lcp``, the common lines of the different suffixes ``p`` and ``q``,
+    where there are ``m`` or more.  A round adds the largest power of two that still agrees."""
+    ranks = [f"r{k}" for k in range(levels + 1)]
+    at_p = table.select(F.col("pos").alias("pp"), *[F.col(r).alias(f"p_{r}") for r in ranks])
+    at_q = table.select(F.col("pos").alias("pq"), *[F.col(r).alias(f"q_{r}") for r in ranks])
+    step = F.coalesce(*[F.when(F.col(f"p_{r}") == F.col(f"q_{r}"), F.lit(1 << k))
+                        for k, r in reversed(list(enumerate(ranks)))], F.lit(0))
+    todo, found = near.withColumn("lcp", F.lit(0)), None
+    for _ in range(levels + 2):
+        now = materialise(todo.join(at_p, F.col("p") + F.col("lcp") == F.col("pp"))
+                          .join(at_q, F.col("q") + F.col("lcp") == F.col("pq"))
+                          .withColumn("step", step).withColumn("lcp", F.col("lcp") + F.col("step"))
+                          .withColumn("open", (F.col("step") > 0) & (F.col("lcp") < F.least("lp", "lq")))
+                          .filter(F.col("open") | (F.col("lcp") >= F.col("m"))).select(*near.columns, "lcp", "open"),
+                          "line_prefixes")
+        done = now.filter("not open").drop("open")
+        found = done if found is None else found.unionByName(done)
+        todo = now.filter("open").drop("open")
+        if todo.isEmpty():
+            break
+    return found
+
+
+_ALL = 1 << 62                             # common lines of a suffix with itself
+
+
+def nearest_smaller(values: list[int], common: list[int], stack: list[tuple[int, int]]) -> list[int]:
+    """For each value the common lines with the nearest smaller one before it (0: none).  ``common[i]`` belongs
+    to neighbours ``i - 1`` and ``i``.  ``stack`` holds rising values, each with the common lines down to the one
+    below; it is changed in place and carries on from a chunk to the next."""
+    out = []
+    for v, d in zip(values, common):
+        while stack and d and stack[-1][0] > v:
+            d = min(d, stack.pop()[1])
+        if not d:
+            stack.clear()
+        out.append(d if stack else 0)
+        stack.append((v, d if stack else 0))
     return out
 
 
-def _power(m: Column, levels: int) -> Column:
-    out = F.lit(1)
-    for k in range(1, levels + 1):
-        out = F.when(m >= (1 << k), F.lit(1 << k)).otherwise(out)
+def stairs(stack: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Values from the last one down, with their common lines up to the end; of equal ones the least value."""
+    out, reach = [], _ALL
+    for v, down in reversed(stack):
+        if out and out[-1][1] == reach:
+            out.pop()
+        out.append((v, reach))
+        reach = min(reach, down)
+        if not reach:
+            break
     return out
 
 
-def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def _stack(steps: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The stack that has these stairs."""
+    up = steps[::-1]
+    return [(v, up[i - 1][1] if i else 0) for i, (v, _) in enumerate(up)]
+
+
+def _chunk(table: pa.Table) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Places and common lines of a chunk in sorted order, and the same from its end (with those of the next chunk)."""
+    t = table.sort_by("seq")
+    p, d, after = (t.column(c).to_pylist() for c in ("p", "lcp", "next_lcp"))
+    return p, d, p[::-1], after[::-1]
+
+
+_SUMMARY = "chunk bigint, back boolean, value array<bigint>, reach array<bigint>, through bigint"
+_SUMMARY_ARROW = pa.schema([("chunk", pa.int64()), ("back", pa.bool_()), ("value", pa.list_(pa.int64())),
+                            ("reach", pa.list_(pa.int64())), ("through", pa.int64())])
+
+
+def _summary(key: tuple, table: pa.Table) -> pa.Table:
+    """What later (earlier: ``back``) chunks can see of a chunk."""
+    p, d, pb, db = _chunk(table)
+    out = []
+    for back, v, c in ((False, p, d), (True, pb, db)):
+        stack: list[tuple[int, int]] = []
+        nearest_smaller(v, c, stack)
+        steps = stairs(stack)
+        out.append({"chunk": key[0].as_py(), "back": back, "value": [x for x, _ in steps],
+                    "reach": [r for _, r in steps], "through": min(c)})
+    return pa.Table.from_pylist(out, schema=_SUMMARY_ARROW)
+
+
+def carry_over(chunks: list[tuple[int, list[tuple[int, int]], int]]) -> list[tuple[int, list[tuple[int, int]]]]:
+    """For ``(chunk, stairs, through)`` in order of sight, the stairs that each chunk sees behind it."""
+    out, carry, before = [], [], None
+    for chunk, steps, through in chunks:
+        if before is None or abs(chunk - before) != 1:
+            carry = []
+        out.append((chunk, carry))
+        seen = list(steps)
+        for v, r in carry:
+            r = min(r, through)
+            if r and v < seen[-1][0]:
+                if seen[-1][1] == r:
+                    seen.pop()
+                seen.append((v, r))
+        carry, before = seen, chunk
+    return out
+
+
+def _carried(key: tuple, table: pa.Table) -> pa.Table:
+    back = key[0].as_py()
+    rows = sorted(table.to_pylist(), key=lambda r: -r["chunk"] if back else r["chunk"])
+    got = carry_over([(r["chunk"], list(zip(r["value"], r["reach"])), r["through"]) for r in rows])
+    return pa.Table.from_pylist([{"chunk": c, "back": back, "value": [v for v, _ in s], "reach": [r for _, r in s],
+                                  "through": 0} for c, s in got if s], schema=_SUMMARY_ARROW)
+
+
+def _longest(key: tuple, table: pa.Table, carried: pa.Table) -> pa.Table:
+    """``p, lpf`` of a chunk's suffixes: common lines with the nearest smaller place on either side."""
+    p, d, pb, db = _chunk(table)
+    seen = {r["back"]: list(zip(r["value"], r["reach"])) for r in carried.to_pylist()}
+    ahead = nearest_smaller(p, d, _stack(seen.get(False, [])))
+    behind = nearest_smaller(pb, db, _stack(seen.get(True, [])))[::-1]
+    best = [(v, max(x, y)) for v, x, y in zip(p, ahead, behind) if x or y]
+    return pa.table({"p": pa.array([v for v, _ in best], pa.int64()), "lpf": pa.array([x for _, x in best], pa.int64())})
+
+
+def longest_earlier(near: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``p, lpf`` for neighbours ``(seq, p, q, lcp)`` in suffix order: the most lines that a suffix has in common
+    with one that begins earlier.  The suffixes of an interval of common lines have one least place, and
+    each other suffix ends its walk up the intervals at the nearest smaller place on one side."""
+    both = (near.select("seq", "p", F.col("lcp").cast("bigint").alias("lcp"), F.lit(0).cast("bigint").alias("next_lcp"))
+            .unionByName(near.select((F.col("seq") - 1).alias("seq"), F.col("q").alias("p"),
+                                     F.lit(0).cast("bigint").alias("lcp"), F.col("lcp").cast("bigint").alias("next_lcp"))))
+    rows = materialise(both.groupBy("seq").agg(F.max("p").alias("p"), F.max("lcp").alias("lcp"), F.max("next_lcp").alias("next_lcp"))
+                       .withColumn("chunk", F.floor(F.col("seq") / chunk)), "line_intervals")
+    seen = rows.groupBy("chunk").applyInArrow(_summary, _SUMMARY)
+    carried = materialise(seen.groupBy("back").applyInArrow(_carried, _SUMMARY), "line_carried")
+    return rows.groupBy("chunk").cogroup(carried.groupBy("chunk")).applyInArrow(_longest, "p bigint, lpf bigint")
+
+
+def deletions(docs: DataFrame, min_words: int = MIN_WORDS, chunk: int = CHUNK) -> DataFrame:
     """``doc_id, th, gone``: sorted numbers of the lines to delete, of documents that lose any."""
     lines = materialise(line_table(docs), "line_table")
-    rows = materialise(_repeated(lines, min_words), "repeated_lines")
-    depth = rows.agg(F.max(F.greatest("m", "back"))).first()[0] or 0
-    rows, levels = suffix_ranks(rows, depth)
-    ranks = [f"r{k}" for k in range(levels + 1)]
-    m = F.col("m")
-    order = Window.partitionBy(*_DOC, "seg").orderBy("j")
-    # ranks of the 2**k lines that end at a place
-    ended = rows.select(*_DOC, "seg", "j", F.col("back").alias("m"),
-                        *[F.lag(r, (1 << k) - 1).over(order).alias(r) for k, r in enumerate(ranks)])
-    windows = (rows.filter("m is not null")
-               .select(*_DOC, "seg", "j", "m", _at_level(ranks, m).alias("own"),
-                       (F.col("j") + m - _power(m, levels)).alias("at"), F.lit(True).alias("begins"))
-               .unionByName(ended.filter("m is not null")
-                            .select(*_DOC, "seg", (F.col("j") + 1 - m).alias("j"), "m", _at_level(ranks, m).alias("own"),
-                                    (F.col("j") + 1 - m).alias("at"), F.lit(False).alias("begins"))))
-    second = rows.select(*[F.col(c).alias(f"q_{c}") for c in [*_DOC, "j", *ranks]])
-    other = _at_level([f"q_{r}" for r in ranks], m)
-    named = (windows.join(second, F.col("doc_id").eqNullSafe(F.col("q_doc_id")) & (F.col("th") == F.col("q_th"))
-                          & (F.col("q_j") == F.col("at")))
-             .select(*_DOC, "seg", "j", "m", F.when(F.col("begins"), F.col("own")).otherwise(other).alias("a"),
-                     F.when(F.col("begins"), other).otherwise(F.col("own")).alias("b")))
-    named = materialise(named, "line_intervals")
-    firsts = materialise(named.groupBy("m", "a", "b")
-                         .agg(F.min(_key()).alias("first"), F.max(_key()).alias("last"))
-                         .filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last"), "line_firsts")
-    later = (named.join(firsts, ["m", "a", "b"]).filter(~_key().eqNullSafe(F.col("first")))
-             .select(*_DOC, "seg", "j", F.lit(None).cast("int").alias("i"), (F.col("j") + m).alias("stop")))
-    # a line goes if a window that begins there or before ends after it
-    both = rows.select(*_DOC, "seg", "j", "i", F.lit(None).cast("int").alias("stop")).unionByName(later)
-    reached = both.withColumn("reach", F.max("stop").over(order))
-    return (reached.filter(F.col("i").isNotNull() & (F.col("reach") > F.col("j")))
+    rows = _placed(_repeated(lines, min_words).withColumn("n", F.lit(1)), [*_DOC, "j"], "repeated_lines")
+    table, levels = suffix_ranks(rows.select(F.col("place").alias("pos"), "left", "m", "h"))
+    # suffixes that are equal up to their ends are one from here on; the later ones go as a whole
+    whole = table.filter("m is not null").withColumn("r", F.col(f"r{levels}"))
+    kinds = _placed(whole.groupBy("r").agg(F.min("pos").alias("p"), F.first("left").alias("lp"), F.first("m").alias("m"),
+                                           F.lit(1).alias("n")), ["r"], "line_kinds").withColumnRenamed("place", "seq")
+    before = kinds.select((F.col("seq") + 1).alias("seq"), F.col("p").alias("q"), F.col("lp").alias("lq"))
+    near = _prefixes(kinds.join(before, "seq").select("seq", "p", "q", "m", "lp", "lq"), table, levels)
+    equal = (whole.join(kinds.select("r", "p"), "r").filter("pos <> p").select("pos", F.col("left").cast("bigint").alias("run")))
+    runs = equal.unionByName(longest_earlier(near.select("seq", "p", "q", "lcp"), chunk)
+                             .select(F.col("p").alias("pos"), F.col("lpf").alias("run")))
+    runs = materialise(runs, "line_runs")
+    # a line goes if a run that begins there or before ends after it
+    order = Window.partitionBy(*_DOC, "seg").orderBy("place")
+    reached = (rows.join(runs, F.col("place") == F.col("pos"), "left")
+               .withColumn("reach", F.max(F.col("place") + F.col("run")).over(order)))
+    return (reached.filter(F.col("reach") > F.col("place"))
             .groupBy(*_DOC).agg(F.array_sort(F.collect_set("i")).alias("gone")))
 
 
