@@ -629,43 +629,6 @@ def test_line_runs_longest_agreement_with_any_earlier_place(spark):
         assert got == defined_lines(texts)
 
 
-def test_line_runs_over_many_chunks(spark):
-    """Intervals that reach over chunks of three suffixes, deeply nested and tied runs."""
-    import random
-    rnd = random.Random(5)
-    lines = [" ".join(f"{c}{k}" for k in range(n)) for c, n in zip("abc", (20, 30, 40))]
-    texts = {i: "\n".join(rnd.choice(lines) for _ in range(rnd.randint(0, 12))) for i in range(40)}
-    texts |= {50 + i: "\n".join([lines[0]] * (9 - i)) for i in range(4)}
-    d = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    got = {r.doc_id: set(r.gone) for r in line_dedup.deletions(d, chunk=3).collect()}
-    assert got == {i: g for i, g in defined_lines(texts).items() if g}
-
-
-def test_nearest_smaller_over_chunks():
-    """The walk over chunks with carried stairs against all pairs."""
-    import random
-    rnd = random.Random(1)
-    for _ in range(2000):
-        n, width = rnd.randint(1, 14), rnd.randint(1, 4)
-        v, d = rnd.sample(range(100), n), [0] + [rnd.choice([0, 1, 2, 3, 5, 5, 8, 9]) for _ in range(n - 1)]
-        want = [max([0, *(min(d[min(i, j) + 1:max(i, j) + 1]) for j in range(n) if v[j] < v[i])]) for i in range(n)]
-        got, ends = [0] * n, d[1:] + [0]
-        for back in (False, True):
-            chunks = [range(k, min(k + width, n)) for k in range(0, n, width)]
-            sight = [(k, list(c)[::-1] if back else list(c)) for k, c in enumerate(chunks)][::-1 if back else 1]
-            common = ends if back else d
-            seen = []
-            for k, at in sight:
-                stack = []
-                line_dedup.nearest_smaller([v[i] for i in at], [common[i] for i in at], stack)
-                seen.append((k, line_dedup.stairs(stack), min(common[i] for i in at)))
-            for (_, at), (_, carry) in zip(sight, line_dedup.carry_over(seen)):
-                best = line_dedup.nearest_smaller([v[i] for i in at], [common[i] for i in at], line_dedup._stack(carry))
-                for i, x in zip(at, best):
-                    got[i] = max(got[i], x)
-        assert got == want
-
-
 # ---- 9 toxicity
 
 def test_toxicity_held_out(spark):
