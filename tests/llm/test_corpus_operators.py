@@ -629,6 +629,18 @@ def test_line_runs_longest_agreement_with_any_earlier_place(spark):
         assert got == defined_lines(texts)
 
 
+def test_line_runs_nested_and_tied(spark):
+    """Runs inside runs, whole documents of one line, copies that overlap."""
+    import random
+    rnd = random.Random(5)
+    lines = [" ".join(f"{c}{k}" for k in range(n)) for c, n in zip("abc", (20, 30, 40))]
+    texts = {i: "\n".join(rnd.choice(lines) for _ in range(rnd.randint(0, 12))) for i in range(40)}
+    texts |= {50 + i: "\n".join([lines[0]] * (9 - i)) for i in range(4)}
+    d = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: set(r.gone) for r in line_dedup.deletions(d).collect()}
+    assert got == {i: g for i, g in defined_lines(texts).items() if g}
+
+
 # ---- 9 toxicity
 
 def test_toxicity_held_out(spark):
