@@ -130,3 +130,27 @@ def test_scoring_reads_a_forest_in_parts(spark, rows, whole):
     assert len(parts) == 7
     total = sum(R._value(top, cells, bins, [(R.NO_LIMIT, 2)]) for part in parts for top, cells in part) / 7
     assert abs(total.sum() - want) < 1e-6
+
+
+def test_splits_of_a_few_inputs_at_once_are_those_of_all(monkeypatch):
+    bins, y, h = data(2000, features=6, levels=8)
+    w = R.weights(h, 1)
+    want = R.grow(bins, y, w, 2)
+    for pairs in (1, 4000):
+        monkeypatch.setattr(R, "AT_ONCE", pairs)
+        assert all((a == b).all() for a, b in zip(R.grow(bins, y, w, 2), want))
+
+
+@pytest.mark.parametrize("local_rows", [10_000, 250])
+def test_a_search_leaves_no_trees_behind(spark, rows, local_rows):
+    """What a search keeps grows with the rows and the grid's limits, not with rows times trees."""
+    path, _, _ = searched(spark, rows, local_rows=local_rows)
+    kept = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
+    columns = [c for folder in {r.path.rpartition("/")[0] for r in kept.select("path").collect()} for c in spark.read.parquet(folder).columns]
+    assert "feature" not in columns and "sums" not in columns
+    own = [r for r in kept.select("path", "length").collect() if "/rows/" in r.path or "/state_" in r.path]
+    assert sum(r.length for r in own) < 300 * rows.count() + 8_000 * len(own)
+    R.keep_forest(spark, path, f"{path}/short", 1, 3, 3, 2, 5)              # a kept forest is no larger than its limits
+    short = spark.read.parquet(f"{path}/short").filter("cell >= 0")
+    assert sorted(r.tree for r in short.select("tree").distinct().collect()) == [0, 1, 2]
+    assert local_rows < 700 or short.agg(F.max("nodes")).first()[0] <= 7
