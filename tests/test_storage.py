@@ -231,3 +231,21 @@ def test_stream_accounts_for_every_row_and_restarts(spark, tmp_path):
     assert rows(RC.windows(spark, step)) == windows
     RC.run(ST.purchases(ST.read_event_stream(spark, str(tmp_path / "growing/*"), 1)), step)        # nothing new
     assert RC.balance(spark, step).first() == got
+
+
+def test_rollup_rebuild_is_not_narrowed_to_a_few_tasks(spark):
+    """The landing of the first load has a file per task that rebuilds it, not four."""
+    import __spark_entry__ as E
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        table = E._rollup(spark, "/root/testdata/sf0.001//")
+        first = spark.read.parquet(table.removesuffix("/table") + "/landing/first")
+        assert len(first.inputFiles()) == 12
+        assert E.RU.read_days(spark, table).filter("is_total").agg(F.sum("orders")).first()[0] == 1500
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
