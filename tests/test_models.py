@@ -143,3 +143,17 @@ def test_registered_segment_summary_fits_the_city(spark, monkeypatch):
     assert cities == ["ASIA"]
     want = E._final(A.segment_summary(transactions(spark, SF_SMALL), city="ASIA", max_k=3, n_init=1)).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_search_of_seeds_in_joint_passes_finds_mllibs_best_fits(spark):
+    from orderlens.operators import lloyd as L
+    rows = M._segment_input(transactions(spark, SF_SMALL))
+    scaled = M._scaling().fit(rows).transform(rows).select("customer_id", "features").cache()
+    jobs = [(k, 42 + i) for k in (2, 4) for i in range(3)]
+    plain = [M._kmeans(*j).fit(scaled) for j in jobs]
+    starts = [M._kmeans(*j).setMaxIter(0).fit(scaled).clusterCenters() for j in jobs]
+    costs = L.lloyd(scaled, "features", starts, M.MAX_ITER, 1e-4)
+    assert all(abs(c - m.summary.trainingCost) < 1e-6 * c for c, m in zip(costs, plain))
+    best = M._best_fits(scaled, [2, 4], 42, 3, 2)
+    for k in (2, 4):
+        assert abs(best[k].summary.trainingCost - min(m.summary.trainingCost for (j, _), m in zip(jobs, plain) if j == k)) < 1e-9
