@@ -154,3 +154,38 @@ def test_a_search_leaves_no_trees_behind(spark, rows, local_rows):
     short = spark.read.parquet(f"{path}/short").filter("cell >= 0")
     assert sorted(r.tree for r in short.select("tree").distinct().collect()) == [0, 1, 2]
     assert local_rows < 700 or short.agg(F.max("nodes")).first()[0] <= 7
+
+
+@pytest.mark.parametrize("limits", [(1, R.NO_LIMIT, 2), (3, 4, 9), (400, R.NO_LIMIT, 2)])
+def test_a_packed_tree_reads_back_as_it_was_grown(limits):
+    bins, y, h = data(600, levels=16)
+    for t in range(3):
+        tree = R.grow(bins, np.round(y / R.LABEL_STEP) * R.LABEL_STEP, R.weights(h, t), *limits)
+        row = R._trees_table([(t, 0, tree)]).to_pylist()[0]
+        assert row["nodes"] == len(tree.feature)
+        for name, a, b, kind in zip(R.Tree._fields, tree, R._tree_of(row), R._KINDS):
+            assert b.dtype == kind and (a == b).all(), name
+
+
+def test_a_kept_forest_of_unlimited_depth_is_small(spark):
+    """Disk of the forest: a few bytes per node, though gains and means of inner nodes are kept as doubles in a task."""
+    rows = spark.range(6000).selectExpr("cast(id as string) order_id", "cast(pmod(xxhash64(id), 50) as double) label",
+                                        *[f"cast(pmod(xxhash64(id, {k}), 1000) as double) {c}" for k, c in enumerate(INPUTS)])
+    path = scratch_dir(spark, f"test_forest/{uuid.uuid4().hex}")
+    cuts = R.fit(rows, "order_id", "label", INPUTS, {"trees": [1], "depths": [2], "splits": [2], "leaves": [1]}, 2, 11, path)
+    R.keep_forest(spark, path, f"{path}/deep", 1, 10, 2)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{path}/deep")
+    length = files.agg(F.sum("length")).first()[0]
+    nodes = spark.read.parquet(f"{path}/deep").agg(F.sum("nodes")).first()[0]
+    assert nodes > 10 * 4000 and length < 6 * nodes
+    assert abs(sum(R.Forest(f"{path}/deep", INPUTS, cuts, 10, None, 2).importance(spark)) - 1) < 1e-9
+
+
+def test_leaf_sizes_searched_in_jobs_of_their_own_score_the_same(spark, rows, whole, monkeypatch):
+    """A job of the search sends no more than SEARCH_BYTES of sums, or those of one leaf size."""
+    one = 100_000 * 8 * (3 * 2 + 1) * len(GRID["trees"])
+    for most, sizes in ((10 * one, [GRID["leaves"]]), (one, [[x] for x in GRID["leaves"]]), (1, [[x] for x in GRID["leaves"]])):
+        monkeypatch.setattr(R, "SEARCH_BYTES", most)
+        assert R._leaf_jobs(GRID, 100_000) == sizes
+    _, _, got = searched(spark, rows)
+    assert got == whole[2]
